@@ -1,0 +1 @@
+"""Incremental arrival of sheets through Structured Streaming."""
