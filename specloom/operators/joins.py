@@ -25,16 +25,17 @@ def lookup_join(
     how: str = "inner",
     *,
     limit: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Equi join with an optional residual condition; `how` is inner, left, left_semi or left_anti.
 
     A small side of checked size is broadcast, so the big side is not shuffled. Beyond the bound
     the small side is repeated over salts and the big side is spread over them, so one hot key is
-    shared by many tasks.
+    shared by many tasks. `small_rows` is given when the size is known without counting.
     """
     on = list(on)
     limit = broadcast_rows(big.sparkSession) if limit is None else limit
-    if at_most(small, limit):
+    if small_rows <= limit if small_rows is not None else at_most(small, limit):
         return _equi(big, F.broadcast(small), on, condition, how)
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(big)]), F.lit(SALTS)))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))

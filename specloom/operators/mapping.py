@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,22 +16,24 @@ from specloom.functions import text as X
 from specloom.operators.joins import lookup_join
 
 KINDS = ("exact", "includes", "regex")
+PRESENCE = -1
 FUNCTIONS = ("assign", "integers", "numbers", "regex_groups")
 
-RULE_SCHEMA = T.StructType(
+_TEXT = pa.string()
+RULE_SCHEMA = pa.schema(
     [
-        T.StructField("ruleset", T.StringType(), False),
-        T.StructField("rule_idx", T.IntegerType(), False),
-        T.StructField("targets", T.ArrayType(T.StringType()), False),
-        T.StructField("section_kind", T.StringType()),
-        T.StructField("section_pat", T.StringType()),
-        T.StructField("row_kind", T.StringType()),
-        T.StructField("row_pat", T.StringType()),
-        T.StructField("col_kind", T.StringType()),
-        T.StructField("col_pat", T.StringType()),
-        T.StructField("const", T.StringType()),
-        T.StructField("fn", T.StringType(), False),
-        T.StructField("n_groups", T.IntegerType(), False),
+        ("ruleset", _TEXT),
+        ("rule_idx", pa.int32()),
+        ("targets", pa.list_(_TEXT)),
+        ("section_kind", _TEXT),
+        ("section_pat", _TEXT),
+        ("row_kind", _TEXT),
+        ("row_pat", _TEXT),
+        ("col_kind", _TEXT),
+        ("col_pat", _TEXT),
+        ("const", _TEXT),
+        ("fn", _TEXT),
+        ("n_groups", pa.int32()),
     ]
 )
 
@@ -62,50 +65,48 @@ def check_rule(rule: Rule, schema: T.StructType = R.DEVICE) -> None:
 
 
 def rule_table(spark: SparkSession, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE) -> DataFrame:
-    """Checked rules as a table; rule_idx is their order inside the ruleset."""
+    """Checked rules as a table; rule_idx is their order inside the ruleset.
+
+    Each ruleset also gets a rule -1 without targets; it keeps a model that no rule fills.
+    """
     out = []
     for name, rules in rulesets.items():
+        out.append({"ruleset": name, "rule_idx": PRESENCE, "targets": [], "fn": "assign", "n_groups": 0})
         for idx, rule in enumerate(rules):
             check_rule(rule, schema)
-            section, row, col = (m or (None, None) for m in (rule.section, rule.row, rule.col))
-            count = re.compile(col[1]).groups if rule.fn == "regex_groups" else 0
-            out.append((name, idx, list(rule.targets), *section, *row, *col, rule.const or None, rule.fn, count))
-    return spark.createDataFrame(out, RULE_SCHEMA)
-
-
-def with_presence(rules: DataFrame) -> DataFrame:
-    """Add one target-less rule per ruleset; it keeps a model that no rule fills."""
-    empty = {"rule_idx": F.lit(-1), "targets": F.array().cast("array<string>"), "fn": F.lit("assign"), "n_groups": F.lit(0)}
-    blank = {c: F.lit(None).cast("string") for c in rules.columns if c.endswith(("_kind", "_pat")) or c == "const"}
-    marker = rules.select("ruleset").distinct().withColumns({**empty, **blank})
-    return rules.unionByName(marker)
+            row = {"ruleset": name, "rule_idx": idx, "targets": list(rule.targets), "const": rule.const or None, "fn": rule.fn}
+            for part, matcher in (("section", rule.section), ("row", rule.row), ("col", rule.col)):
+                row[f"{part}_kind"], row[f"{part}_pat"] = matcher or (None, None)
+            row["n_groups"] = re.compile(rule.col[1]).groups if rule.fn == "regex_groups" else 0
+            out.append(row)
+    return spark.createDataFrame(pa.Table.from_pylist(out, RULE_SCHEMA))
 
 
 def _holds(kind: str, pat: str, value: str) -> Column:
     return F.col(kind).isNull() | X.matches(F.col(kind), F.col(pat), F.col(value))
 
 
-def match_rows(rows: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rows(rows: DataFrame, rules: DataFrame, n_rules: int | None = None) -> DataFrame:
     """Every (sheet row, rule) pair that matches.
 
     Equi join on the ruleset with the matchers as residual condition. A constant (and the
     presence marker) belongs to the sheet as a whole, so it pairs with row 0 only.
     """
-    whole = F.col("const").isNotNull() | (F.col("rule_idx") < 0)
+    whole = F.col("const").isNotNull() | (F.col("rule_idx") == PRESENCE)
     columns_ok = F.col("col_kind").isNull() | F.forall(
         "vals", lambda v: X.matches(F.col("col_kind"), F.col("col_pat"), F.coalesce(v, F.lit("")))
     )
     fits = _holds("section_kind", "section_pat", "section") & _holds("row_kind", "row_pat", "property") & columns_ok
     condition = F.when(whole, F.col("row_idx") == 0).otherwise(fits)
-    return lookup_join(rows, rules, ["ruleset"], condition)
+    return lookup_join(rows, rules, ["ruleset"], condition, small_rows=n_rules)
 
 
-def single_matches(rows: DataFrame, rules: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def single_matches(rows: DataFrame, rules: DataFrame, keep: Sequence[str] = (), n_rules: int | None = None) -> DataFrame:
     """Rules that match exactly one row of a sheet, with that row's values.
 
     One aggregate row per (sheet, rule) leaves each task, however many rows a sheet has.
     """
-    paired = match_rows(rows, rules)
+    paired = match_rows(rows, rules, n_rules)
     rule_cols = ["targets", "col_pat", "const", "fn", "n_groups"]
     found = paired.groupBy("sheet_id", "rule_idx").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -222,8 +223,9 @@ def nested_records(leaves: DataFrame, schema: T.StructType = R.DEVICE) -> DataFr
 
 def map_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
     """Sheet rows (ruleset, sheet_id, row_idx, section, property, vals) to device records."""
-    rules = with_presence(rule_table(rows.sparkSession, rulesets, schema))
-    filled = fill(cell_entries(single_matches(rows, rules), schema), rulesets)
+    rules = rule_table(rows.sparkSession, rulesets, schema)
+    n_rules = sum(len(r) + 1 for r in rulesets.values())
+    filled = fill(cell_entries(single_matches(rows, rules, n_rules=n_rules), schema), rulesets)
     return nested_records(typed_leaves(filled, schema, strict=strict), schema)
 
 

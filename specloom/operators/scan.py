@@ -37,6 +37,11 @@ def running_min(expr: Column) -> Step:
     return Step("min", expr)
 
 
+def max_before(expr: Column) -> Step:
+    """Largest value of the rows before the current one."""
+    return Step("max_before", expr)
+
+
 def position() -> Step:
     """0-based position in the key."""
     return Step("position", F.lit(1))
@@ -94,6 +99,20 @@ def run(
     return _run_chunked(df, list(keys), list(order), steps, limit)
 
 
+def totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], *, hot: bool | None = None) -> DataFrame:
+    """Add aggregates over the whole key to every row.
+
+    An unordered window while keys are small; with a hot key the aggregate (combined map-side) is
+    joined back, and the join may be split by adaptive execution.
+    """
+    if hot is None:
+        hot = has_hot_key(df, keys)
+    if not hot:
+        win = Window.partitionBy(*keys)
+        return df.withColumns({name: agg.over(win) for name, agg in aggs.items()})
+    return df.join(df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()]), list(keys))
+
+
 def _in_window(step: Step, win) -> Column:
     upto = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     onward = win.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -102,6 +121,8 @@ def _in_window(step: Step, win) -> Column:
             return F.sum(step.expr).over(upto)
         case "min":
             return F.min(step.expr).over(upto)
+        case "max_before":
+            return F.max(step.expr).over(win.rowsBetween(Window.unboundedPreceding, -1))
         case "position":
             return F.row_number().over(win) - 1
         case "previous":
@@ -160,6 +181,8 @@ def _chunk_summary(kind: str, value: Column, at: Column) -> Column:
             return F.sum(value)
         case "min":
             return F.min(value)
+        case "max_before":
+            return F.max(value)
         case "previous":
             return F.max_by(F.struct(value.alias("v")), at)
         case "following":
@@ -177,6 +200,8 @@ def _carry(kind: str, state: Column, across, before, after) -> Column:
             return F.sum(state).over(before)
         case "min":
             return F.min(state).over(before)
+        case "max_before":
+            return F.max(state).over(before)
         case "previous":
             return F.lag(state["v"]).over(across)
         case "following":
@@ -197,6 +222,8 @@ def _combine(kind: str, name: str) -> Column:
             return (local + F.coalesce(carry, F.lit(0))).cast("int")
         case "min":
             return F.least(local, carry)
+        case "max_before":
+            return F.greatest(local, carry)
         case "previous" | "following":
             return F.when(F.col(f"_e_{name}"), local).otherwise(carry)
         case "last" | "next":

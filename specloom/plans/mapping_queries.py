@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import records as R
 from specloom.functions import text as X
-from specloom.operators import diff, mapping, reshape
+from specloom.operators import diff, mapping, reshape, scan
 from specloom.operators.mapping import Rule
 from specloom.plans.registry import query
 from specloom.plans.views import SHEET_COLUMNS, ctes, view
@@ -45,17 +45,22 @@ def flat(path: str) -> str:
 def wide_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Stored form: one row per property, repeated sections blanked."""
     cells = view(spark, sf, "v_spec_cell")
-    return reshape.blank_sections(reshape.long_to_wide(cells, SHEET_COLUMNS), hot=False)
+    return reshape.blank_sections(reshape.long_to_wide(cells, SHEET_COLUMNS), hot=has_hot_sheet(spark, sf))
+
+
+def has_hot_sheet(spark: SparkSession, sf: str) -> bool:
+    """Asked of the cells, before any shuffle."""
+    return scan.has_hot_key(view(spark, sf, "v_spec_cell"), reshape.SHEET)
 
 
 def sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reshape.sheet_rows(wide_sheets(spark, sf), SHEET_COLUMNS)
+    rows = reshape.sheet_rows(wide_sheets(spark, sf), SHEET_COLUMNS, hot=has_hot_sheet(spark, sf))
     return rows.withColumn("ruleset", F.lit("main"))
 
 
 def entries(spark: SparkSession, sf: str, rules=RULES) -> DataFrame:
-    table = mapping.with_presence(mapping.rule_table(spark, {"main": rules}))
-    return mapping.cell_entries(mapping.single_matches(sheet_rows(spark, sf), table))
+    table = mapping.rule_table(spark, {"main": rules})
+    return mapping.cell_entries(mapping.single_matches(sheet_rows(spark, sf), table, n_rules=len(rules) + 1))
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,8 +223,8 @@ def reshape_long(spark, sf):
 @query("rule_row_join", matched_sql() + " SELECT sheet_id, rule_idx, row_idx, property FROM one JOIN filled USING (sheet_id, row_idx, property)")
 def rule_row_join(spark, sf):
     rows = sheet_rows(spark, sf)
-    found = mapping.single_matches(rows, mapping.rule_table(spark, {"main": RULES}), keep=["property"])
-    return found.filter(F.col("const").isNull()).select("sheet_id", "rule_idx", "row_idx", "property")
+    found = mapping.single_matches(rows, mapping.rule_table(spark, {"main": RULES}), keep=["property"], n_rules=len(RULES) + 1)
+    return found.filter(F.col("const").isNull() & (F.col("rule_idx") >= 0)).select("sheet_id", "rule_idx", "row_idx", "property")
 
 
 def _match_query(kind: str, condition: str):
