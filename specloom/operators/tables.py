@@ -1,8 +1,12 @@
 """Table reconstruction: positioned text fragments of many pages to sheet cells.
 
-A fragment is (sheet_id, frag_id, text, minx, miny, maxx, maxy), y growing downwards. Everything
-is keyed by sheet_id (one extraction area on one page of one document). `hot` tells the ordered
-passes whether some page is too large for one task; it is asked once, of the input.
+A fragment is (sheet_id, frag_id, text, minx, miny, maxx, maxy), y growing downwards; sheet_id is
+one extraction area on one page of one document.
+
+All fragments of a sheet (row headers, section labels, cells) stay in one frame and every step adds
+columns with a window inside the sheet. The frame is shuffled once, on sheet_id; no step pairs
+fragments with rows. `hot` says that some sheet is too large for one task; it is asked once, of the
+input, and then every ordered pass runs over range chunks instead (see `scan`).
 """
 
 from __future__ import annotations
@@ -10,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.operators import clusters, scan
+from specloom.operators import scan
 from specloom.operators.joins import at_most
-from specloom.session import broadcast_rows
+from specloom.session import broadcast_rows, stable
 
 SHEET = ["sheet_id"]
+KIND = ["sheet_id", "kind"]
+ROW = ["sheet_id", "row_id"]
 BOX = ["minx", "miny", "maxx", "maxy"]
 
 # Tolerances in points.
@@ -24,8 +30,8 @@ SECTION_EPS = 2  # a section may lie this far below its first row
 CENTRE_EPS = 2  # a centred label lies within this of the middle of the area
 LINE_EPS = 2  # line gaps within this of the smallest are wraps
 BOUND_EPS = 3  # forward and backward row borders must agree within this
-EDGE_EPS = 15  # a cell edge must lie within this of a column edge
-EXTREME_EPS = 10  # fragments within this of the outermost one
+# Where a table prints its section labels.
+NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER = "none", "empty-line", "first-col", "table-center"
 
 
 def midx() -> Column:
@@ -40,12 +46,18 @@ def union_box() -> dict[str, Column]:
     return {"minx": F.min("minx"), "miny": F.min("miny"), "maxx": F.max("maxx"), "maxy": F.max("maxy")}
 
 
+def top_to_bottom(sep: str = " ") -> Column:
+    """Texts of a group in top-to-bottom order; the group is one cell of the result."""
+    pieces = F.array_sort(F.collect_list(F.struct(midy().alias("midy"), "frag_id", "text")))
+    return F.array_join(F.transform(pieces, lambda p: p["text"]), sep)
+
+
 # ---- area, added cells ----------------------------------------------------------
 
 
 def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join with a table of about one row per sheet: broadcast while its checked size allows,
-    otherwise a shuffle on the sheet that adaptive execution may split."""
+    otherwise a shuffle on the key that adaptive execution may split."""
     if at_most(small, broadcast_rows(big.sparkSession)):
         small = F.broadcast(small)
     return big.join(small, on, how)
@@ -75,12 +87,18 @@ def area_filter(fragments: DataFrame, config: DataFrame) -> DataFrame:
     return per_sheet(fragments, area, ["doc_id", "page"]).filter(inside)
 
 
+def by_sheet(frame: DataFrame, hot: bool) -> DataFrame:
+    """The one shuffle of the frame; windows on the sheet and on finer keys reuse it."""
+    return frame if hot else frame.repartition("sheet_id")
+
+
 def find_text(fragments: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     """The one fragment of the sheet with a text: unique exact match, else unique substring match.
 
     Names that are ambiguous or missing give a null box. Counts combine map-side.
     """
-    pairs = per_sheet(fragments.select("sheet_id", "text", *BOX, "frag_id"), wanted.select("sheet_id", F.col(name).alias("_name")).distinct(), SHEET)
+    names = wanted.select("sheet_id", F.col(name).alias("_name")).distinct()
+    pairs = per_sheet(fragments.select("sheet_id", "frag_id", "text", *BOX), names, SHEET)
     exact = F.col("text") == F.col("_name")
     box = F.struct("frag_id", *BOX)
     hits = pairs.filter(F.contains("text", "_name")).groupBy("sheet_id", "_name").agg(
@@ -116,7 +134,7 @@ def add_cell(fragments: DataFrame, fixes: DataFrame) -> tuple[DataFrame, DataFra
 # ---- sections and row headers -----------------------------------------------------
 
 
-def centre_labels(fragments: DataFrame, *, hot: bool | None = None) -> DataFrame:
+def centre_labels(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Flag fragments in the middle of the area that share no height with any other fragment.
 
     Sorted by top edge, a fragment overlaps one before it if the lowest bottom so far is below its
@@ -125,213 +143,263 @@ def centre_labels(fragments: DataFrame, *, hot: bool | None = None) -> DataFrame
     tall = F.col("maxy") > F.col("miny")
     # keyed by height or not as well, so boxes without height stay out of the ordering
     steps = {"_lowest": scan.max_before(F.col("maxy")), "_below": scan.following(F.col("miny"))}
-    keyed = fragments.withColumn("_tall", tall)
+    keyed = frame.withColumn("_tall", tall)
     ordered = scan.run(keyed, [*SHEET, "_tall"], ["miny", "frag_id"], steps, hot=hot)
     free = ~tall | (
         F.coalesce(F.col("_lowest") <= F.col("miny"), F.lit(True)) & F.coalesce(F.col("_below") >= F.col("maxy"), F.lit(True))
     )
     centred = F.abs(midx() - (F.col("area_minx") + F.col("area_maxx")) / 2.0) < CENTRE_EPS
-    return ordered.withColumn("is_label", (F.col("sections") == "table-center") & centred & free).drop("_tall", "_lowest", "_below")
+    label = (F.col("sections") == TABLE_CENTER) & centred & free
+    return ordered.withColumn("is_label", label).drop("_tall", "_lowest", "_below")
 
 
-def header_column(fragments: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Give every fragment a role: header, section, or cell.
+def header_column(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Give every fragment a kind: row, section, or cell.
 
-    Headers are the leftmost cluster (measured from its first member); with sections in the first
-    column that cluster holds the sections and the next one the headers.
+    Row headers are the leftmost cluster (measured from its first member); with sections in the
+    first column that cluster holds the sections and the next one the row headers.
     """
-    first = scan.totals(fragments, SHEET, {"_m1": F.min("minx")}, hot=hot)
+    first = scan.totals(frame, SHEET, {"_m1": F.min("minx")}, hot=hot)
     beyond = F.when(F.col("minx") - F.col("_m1") > HEADER_EPS, F.col("minx"))
     second = scan.totals(first, SHEET, {"_m2": F.min(beyond)}, hot=hot)
     in_first = F.col("minx") - F.col("_m1") <= HEADER_EPS
     in_second = ~in_first & (F.col("minx") - F.col("_m2") <= HEADER_EPS)
-    by_column = F.col("sections") == "first-col"
-    role = (
+    by_column = F.col("sections") == FIRST_COL
+    kind = (
         F.when(F.col("is_label"), "section")
         .when(by_column & in_first, "section")
-        .when(F.when(by_column, in_second).otherwise(in_first), "header")
+        .when(F.when(by_column, in_second).otherwise(in_first), "row")
         .otherwise("cell")
     )
-    return second.withColumn("role", role).drop("_m1", "_m2")
+    return second.withColumn("kind", kind).drop("_m1", "_m2")
 
 
-def merge_multiline(lines: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Join lines of a column that wrap: gaps as small as the smallest ones (within 2) are wraps."""
+def multiline_runs(frame: DataFrame, keys: list[str], *, hot: bool | None = None) -> DataFrame:
+    """Number lines that wrap: gaps as small as the smallest ones (within 2) join two lines."""
     order = ["midy", "frag_id"]
-    lined = lines.withColumn("midy", midy())
-    gaps = scan.run(lined, SHEET, order, {"_bottom": scan.previous(F.col("maxy"))}, hot=hot).withColumn("_gap", F.col("miny") - F.col("_bottom"))
-    low = scan.totals(gaps, SHEET, {"_low": F.min("_gap")}, hot=hot)
-    top = scan.totals(low, SHEET, {"_wrap": F.max(F.when(F.col("_gap") - F.col("_low") <= LINE_EPS, F.col("_gap")))}, hot=hot)
+    gaps = scan.run(frame.withColumn("midy", midy()), keys, order, {"_bottom": scan.previous(F.col("maxy"))}, hot=hot)
+    gaps = gaps.withColumn("_gap", F.col("miny") - F.col("_bottom"))
+    low = scan.totals(gaps, keys, {"_low": F.min("_gap")}, hot=hot)
+    wrap = F.max(F.when(F.col("_gap") - F.col("_low") <= LINE_EPS, F.col("_gap")))
+    top = scan.totals(low, keys, {"_wrap": wrap}, hot=hot)
     starts = F.when(F.coalesce(F.col("_gap") < F.col("_wrap") + 0.001, F.lit(False)), 0).otherwise(1)
-    runs = scan.run(top, SHEET, order, {"_line": scan.running_sum(starts)}, hot=hot)
-    return merge_fragments(runs, ["sheet_id", "_line"]).drop("_line")
+    return scan.run(top, keys, order, {"line": scan.running_sum(starts)}, hot=hot).drop("_bottom", "_gap", "_low", "_wrap")
 
 
-def merge_fragments(fragments: DataFrame, keys: list[str], sep: str = " ", keep: list[str] | None = None) -> DataFrame:
-    """Fragments of one cell to one fragment: text in top-to-bottom order, boxes united.
+def merge_multiline(lines: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Lines of one column per sheet, wrapped ones joined."""
+    return merge_fragments(multiline_runs(lines, SHEET, hot=hot), ["sheet_id", "line"]).drop("line")
 
-    A cell holds few fragments; its text is one value of the result.
-    """
-    first = {c: F.min_by(c, F.struct(midy(), "frag_id")) for c in keep or []}
-    pieces = F.array_sort(F.collect_list(F.struct(midy().alias("midy"), "frag_id", "text")))
-    joined = F.array_join(F.transform(pieces, lambda p: p["text"]), sep)
-    return fragments.groupBy(*keys).agg(
-        F.min("frag_id").alias("frag_id"), joined.alias("text"), *[a.alias(n) for n, a in {**union_box(), **first}.items()]
+
+def merge_fragments(fragments: DataFrame, keys: list[str], sep: str = " ", first: list[str] | None = None) -> DataFrame:
+    """Fragments of one cell to one fragment: text in top-to-bottom order, boxes united."""
+    kept = [F.min_by(c, F.struct(midy(), "frag_id")).alias(c) for c in first or []]
+    boxes = [a.alias(n) for n, a in union_box().items()]
+    return fragments.groupBy(*keys).agg(F.min("frag_id").alias("frag_id"), top_to_bottom(sep).alias("text"), *boxes, *kept)
+
+
+def merge_wrapped(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Join wrapped row headers or section labels on the sheets whose configuration asks for it."""
+    flagged = F.coalesce(
+        F.when(F.col("kind") == "row", F.col("multiline_row_header")).when(F.col("kind") == "section", F.col("multiline_section_header")), F.lit(False)
+    )
+    numbered = multiline_runs(frame.withColumn("_flag", flagged), [*KIND, "_flag"], hot=hot)
+    unit = F.when(F.col("_flag"), F.struct(F.lit(0).alias("a"), F.col("line").cast("long").alias("b"))).otherwise(
+        F.struct(F.lit(1).alias("a"), F.col("frag_id").cast("long").alias("b"))
     )
+    rest = [c for c in frame.columns if c not in ("sheet_id", "kind", "frag_id", "text", *BOX)]
+    return merge_fragments(numbered.withColumn("_unit", unit), [*KIND, "_unit"], first=rest).drop("_unit")
 
 
-def row_headers(roles: DataFrame, *, hot: bool | None = None) -> tuple[DataFrame, DataFrame]:
-    """Header rows numbered top to bottom, and section labels numbered top to bottom.
+def enter_phantoms(frame: DataFrame) -> DataFrame:
+    """A centred label also enters as a row without text, so that row ranges stop at it."""
+    own = F.struct(F.col("kind"), F.col("text"), F.lit(False).alias("phantom"))
+    extra = F.struct(F.lit("row").alias("kind"), F.lit("").alias("text"), F.lit(True).alias("phantom"))
+    entries = F.when((F.col("kind") == "section") & (F.col("sections") == TABLE_CENTER), F.array(own, extra)).otherwise(F.array(own))
+    rest = [c for c in frame.columns if c not in ("kind", "text")]
+    return frame.select(*rest, F.inline(entries)).withColumn("midy", midy())
+
+
+def row_headers(frame: DataFrame, config: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Wrapped lines joined, phantom rows entered, lines of each kind numbered."""
+    entered = enter_phantoms(frame)
+    wrapped = config.filter("multiline_row_header or multiline_section_header")
+    if not at_most(wrapped, 0):
+        entered = _merge_own(entered, hot)
+    return scan.run(entered.withColumn("midy", midy()), KIND, ["midy", "frag_id", "phantom"], {"line_no": scan.position()}, hot=hot)
+
+
+def _merge_own(entered: DataFrame, hot: bool | None) -> DataFrame:
+    """Phantom rows take no part in the merge of wrapped lines."""
+    kind = F.when(F.col("phantom"), "phantom").otherwise(F.col("kind"))
+    merged = merge_wrapped(entered.withColumn("kind", kind), hot=hot)
+    return merged.withColumn("kind", F.when(F.col("kind") == "phantom", "row").otherwise(F.col("kind")))
 
-    A centred label also enters as a row without text, so that spans stop at it.
-    """
-    area = [c for c in ("area_miny", "area_maxy", "sections") if c in roles.columns]
-    heads, labels = roles.filter("role = 'header'"), roles.filter("role = 'section'")
-    phantoms = labels.filter("sections = 'table-center'").withColumns({"text": F.lit(""), "phantom": F.lit(True)})
-    merged_heads = _merge_where(heads, "multiline_row_header", area, hot)
-    rows = merged_heads.withColumn("phantom", F.lit(False)).unionByName(phantoms.select(*merged_heads.columns, "phantom"))
-    rows = scan.run(rows.withColumn("midy", midy()), SHEET, ["midy", "frag_id"], {"row_id": scan.position()}, hot=hot)
-    merged_labels = _merge_where(labels, "multiline_section_header", area, hot).withColumn("midy", midy())
-    return rows, scan.run(merged_labels, SHEET, ["midy", "frag_id"], {"section_id": scan.position()}, hot=hot)
 
+def is_row() -> Column:
+    return F.col("kind") == "row"
 
-def _merge_where(lines: DataFrame, flag: str, area: list[str], hot: bool | None) -> DataFrame:
-    """Merge wrapped lines only on sheets whose configuration asks for it."""
-    cols = ["sheet_id", "frag_id", "text", *BOX, *area]
-    wrapped = lines.filter(flag)
-    merged = merge_multiline(wrapped.select(*cols), hot=hot)
-    back = merged.join(wrapped.select("sheet_id", "frag_id", *area), ["sheet_id", "frag_id"])
-    return lines.filter(~F.coalesce(F.col(flag), F.lit(False))).select(*cols).unionByName(back.select(*cols))
 
+def is_cell() -> Column:
+    return F.col("kind") == "cell"
 
-def sections_by_column(rows: DataFrame, labels: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Section of each header row: labels at or above it, but at most one more per row.
+
+def sections_by_column(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Label of each row header: the labels at or above it, but at most one more per row.
 
     With c = labels so far, the count after row i is min(i + 1, i + min over j <= i of (c_j - j)).
+    The text then follows by sorting labels and rows by that count.
     """
-    at_row = rows.select("sheet_id", "row_id", F.col("midy").alias("_pos"), F.lit(1).alias("_kind"))
-    at_label = labels.select("sheet_id", F.lit(None).cast("int").alias("row_id"), (F.col("midy") - SECTION_EPS).alias("_pos"), F.lit(0).alias("_kind"))
-    order = ["_pos", "_kind", "row_id"]
-    seen = scan.run(at_row.unionByName(at_label), SHEET, order, {"_c": scan.running_sum(F.when(F.col("_kind") == 0, 1).otherwise(0))}, hot=hot)
-    lagged = scan.run(seen.filter("_kind = 1"), SHEET, ["row_id"], {"_low": scan.running_min(F.col("_c") - F.col("row_id"))}, hot=hot)
-    count = F.least(F.col("row_id") + 1, F.col("row_id") + F.col("_low"))
-    return lagged.select("sheet_id", "row_id", (count - 1).cast("int").alias("section_id"))
+    section = F.col("kind") == "section"
+    placed = frame.withColumns({"_pos": F.when(section, F.col("midy") - SECTION_EPS).otherwise(F.col("midy")), "_prio": F.when(section, 0).otherwise(1)})
+    counted = scan.run(placed, SHEET, ["_pos", "_prio", "kind", "line_no"], {"_c": scan.running_sum(F.when(section, 1).otherwise(0))}, hot=hot)
+    lagged = scan.run(counted, KIND, ["line_no"], {"_low": scan.running_min(F.col("_c") - F.col("line_no"))}, hot=hot)
+    rank = F.least(F.col("line_no") + 1, F.col("line_no") + F.col("_low")) - 1
+    ranked = lagged.withColumn("section_id", F.when(section, F.col("line_no")).when(is_row(), rank).cast("int"))
+    label = F.when(section, F.struct(F.col("text").alias("t")))
+    named = scan.run(ranked, SHEET, ["section_id", "_prio", "kind", "line_no"], {"_label": scan.last_known(label)}, hot=hot)
+    return named.withColumn("label", F.when(is_row(), F.col("_label.t"))).drop("_pos", "_prio", "_c", "_low", "_label")
 
 
-def sections_by_empty_line(rows: DataFrame, cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """A header row that no cell uses is a section label for the rows below it."""
-    used = cells.filter("row_id is not null").select("sheet_id", "row_id").distinct().withColumn("used", F.lit(True))
-    marked = rows.join(used, ["sheet_id", "row_id"], "left").withColumn("used", F.coalesce("used", F.lit(False)))
-    label = F.when(~F.col("used"), F.struct(F.col("text").alias("t")))
-    out = scan.run(marked, SHEET, ["row_id"], {"_s": scan.last_known(label)}, hot=hot)
-    return out.withColumn("section", F.col("_s.t")).drop("_s")
+def sections_by_empty_line(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """A row header that no cell uses is the section label of the rows below it."""
+    used = scan.totals(frame, ROW, {"_cells": F.count_if(is_cell())}, hot=hot)
+    label = F.when(is_row() & (F.col("_cells") == 0), F.struct(F.col("text").alias("t")))
+    out = scan.run(used, KIND, ["line_no"], {"_s": scan.last_known(label)}, hot=hot)
+    return out.withColumn("line_label", F.when(is_row(), F.col("_s.t"))).drop("_cells", "_s")
 
 
 # ---- rows -------------------------------------------------------------------------
 
 
-def neighbour_span(rows: DataFrame, *, hot: bool | None = None) -> DataFrame:
+def neighbour_span(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Height range of a row: from the middle of the row above to the middle of the row below.
 
     The first two rows start at the top of the area, the last one ends at its bottom.
     """
     steps = {"_above": scan.previous(F.col("midy")), "_below": scan.following(F.col("midy"))}
-    out = scan.run(rows, SHEET, ["row_id"], steps, hot=hot)
-    start = F.when(F.col("row_id") > 1, F.col("_above")).otherwise(F.col("area_miny"))
+    out = scan.run(frame, KIND, ["line_no"], steps, hot=hot).filter(is_row())
+    start = F.when(F.col("line_no") > 1, F.col("_above")).otherwise(F.col("area_miny"))
     return out.withColumns({"span_start": start, "span_stop": F.coalesce("_below", "area_maxy")}).drop("_above", "_below")
 
 
-def span_join(cells: DataFrame, rows: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Candidate rows [lo, hi] of each cell: rows whose height range contains it.
+def _before(frame: DataFrame, position: Column, priority: Column, what: Column, name: str, hot: bool | None) -> DataFrame:
+    """Number of rows of one sort at or before a position; ties go by priority."""
+    placed = frame.withColumns({"_pos": position, "_prio": priority})
+    out = scan.run(placed, SHEET, ["_pos", "_prio", "kind", "line_no"], {name: scan.running_sum(F.when(what, 1).otherwise(0))}, hot=hot)
+    return out.drop("_pos", "_prio")
+
+
+def span_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Candidate rows lo..hi of each cell: rows whose height range contains it.
 
     The ranges run from middle to middle, so the candidates follow from two counts: `a` middles at
-    or above the cell's top and `b` middles above its bottom. Both are running sums over rows and
-    cell edges sorted together; no pair of a cell and a row is ever built.
+    or above the cell's top and `b` middles above its bottom. Both are running counts over rows and
+    cells sorted together; no pair of a cell and a row is ever built.
     """
-    payload = [c for c in cells.columns if c != "sheet_id"]
-    edge = lambda pos, kind: F.struct(pos.alias("_pos"), F.lit(kind).alias("_kind"))
-    edges = cells.select("sheet_id", F.struct(*payload).alias("_cell"), F.inline(F.array(edge(F.col("maxy"), 0), edge(F.col("miny"), 2))))
-    mids = rows.select("sheet_id", F.lit(None).cast(edges.schema["_cell"].dataType).alias("_cell"), F.col("midy").alias("_pos"), F.lit(1).alias("_kind"))
-    both = edges.unionByName(mids).withColumn("_id", F.col("_cell.frag_id"))
-    is_mid = F.when(F.col("_kind") == 1, 1).otherwise(0)
-    counted = scan.run(both, SHEET, ["_pos", "_kind", "_id"], {"_seen": scan.running_sum(is_mid)}, hot=hot)
-    counted = scan.totals(counted, SHEET, {"_n": F.sum(is_mid)}, hot=hot)
-    merged = counted.filter("_kind <> 1").groupBy("sheet_id", "_id").agg(
-        F.first("_cell").alias("_cell"),
-        F.max(F.when(F.col("_kind") == 2, F.col("_seen"))).alias("_a"),
-        F.max(F.when(F.col("_kind") == 0, F.col("_seen"))).alias("_b"),
-        F.first("_n").alias("_n"),
-    )
-    lo = F.greatest(F.col("_b") - 1, F.lit(0)).cast("int")
-    hi = F.least(F.greatest(F.col("_a"), F.lit(1)), F.col("_n") - 1).cast("int")
-    return merged.select("sheet_id", "_cell.*", lo.alias("lo"), hi.alias("hi"))
+    above = _before(frame, F.when(is_row(), F.col("midy")).otherwise(F.col("miny")), F.when(is_row(), 0).otherwise(1), is_row(), "_a", hot)
+    below = _before(above, F.when(is_row(), F.col("midy")).otherwise(F.col("maxy")), F.when(is_row(), 1).otherwise(0), is_row(), "_b", hot)
+    counted = scan.totals(below, SHEET, {"n_rows": F.count_if(is_row())}, hot=hot)
+    lo = F.greatest(F.col("_b") - 1, F.lit(0))
+    hi = F.least(F.greatest(F.col("_a"), F.lit(1)), F.col("n_rows") - 1)
+    return counted.withColumns({"lo": F.when(is_cell(), lo.cast("int")), "hi": F.when(is_cell(), hi.cast("int"))}).drop("_a", "_b")
 
 
-def mark_disputed(rows: DataFrame, candidates: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Flag rows that are candidates of a cell with more than one candidate."""
-    open_cells = candidates.filter("lo < hi")
-    ends = F.array(F.struct(F.col("lo").alias("row_id"), F.lit(1).alias("d")), F.struct((F.col("hi") + 1).alias("row_id"), F.lit(-1).alias("d")))
-    changes = open_cells.select("sheet_id", F.inline(ends)).groupBy("sheet_id", "row_id").agg(F.sum("d").alias("_d"))
-    joined = rows.join(changes, ["sheet_id", "row_id"], "left")
-    depth = scan.run(joined, SHEET, ["row_id"], {"_depth": scan.running_sum(F.coalesce("_d", F.lit(0)))}, hot=hot)
-    return depth.withColumn("disputed", F.col("_depth") > 0).drop("_d", "_depth")
+def mark_disputed(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Flag rows that are candidates of a cell with more than one: cells that start at or before
+    the row, less those that end before it."""
+    disputed = is_cell() & (F.col("lo") < F.col("hi"))
+    at_row = F.when(is_row(), F.col("line_no"))
+    opened = _before(frame, F.coalesce(at_row, F.col("lo")), F.when(is_row(), 1).otherwise(0), disputed, "_opened", hot)
+    closed = _before(opened, F.coalesce(at_row, F.col("hi")), F.when(is_row(), 0).otherwise(1), disputed, "_closed", hot)
+    return closed.withColumn("disputed", is_row() & (F.col("_opened") > F.col("_closed"))).drop("_opened", "_closed")
 
 
-def solve_bounds(rows: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Row borders 0..n of each sheet.
+def solve_bounds(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Upper and lower border of each row.
 
     The border between two undisputed rows is the midpoint of their middles. Unknown borders are
     mirrored across the middles, b_i = 2 m_(i-1) - b_(i-1); with c_i = (-1)^i b_i that is a prefix
-    sum, so c_i - S_i is constant from a known border on, in both directions.
+    sum, so c_i - S_i stays the same from a known border on, in both directions.
     """
-    steps = {"_m0": scan.previous(F.col("midy")), "_d0": scan.previous(F.col("disputed")), "_last": scan.following(F.lit(True))}
-    near = scan.run(rows.select("sheet_id", "row_id", "midy", "disputed"), SHEET, ["row_id"], steps, hot=hot)
-    known = F.when(~F.col("_d0") & ~F.col("disputed"), (F.col("_m0") + F.col("midy")) / 2)
-    own = F.struct(F.col("row_id").alias("bound_id"), F.col("_m0").alias("_m"), known.alias("_b"))
-    end = F.when(F.col("_last").isNull(), F.struct((F.col("row_id") + 1).alias("bound_id"), F.col("midy").alias("_m"), F.lit(None).cast("double").alias("_b")))
-    borders = near.select("sheet_id", F.inline(F.array_compact(F.array(own, end))))
-    sign = F.when(F.col("bound_id") % 2 == 0, 1.0).otherwise(-1.0)
-    summed = scan.run(borders, SHEET, ["bound_id"], {"_S": scan.running_sum(F.coalesce(2 * sign * F.col("_m"), F.lit(0.0)))}, hot=hot)
+    near = scan.run(frame, KIND, ["line_no"], {"_m0": scan.previous(F.col("midy")), "_d0": scan.previous(F.col("disputed"))}, hot=hot)
+    known = F.when(is_row() & ~F.col("_d0") & ~F.col("disputed"), (F.col("_m0") + F.col("midy")) / 2)
+    sign = F.when(F.col("line_no") % 2 == 0, 1.0).otherwise(-1.0)
+    summed = scan.run(near.withColumn("_b", known), KIND, ["line_no"], {"_S": scan.running_sum(F.coalesce(2 * sign * F.col("_m0"), F.lit(0.0)))}, hot=hot)
     const = sign * F.col("_b") - F.col("_S")
-    both = scan.run(summed, SHEET, ["bound_id"], {"_fwd": scan.last_known(const), "_rev": scan.next_known(const)}, hot=hot)
+    both = scan.run(summed, KIND, ["line_no"], {"_fwd": scan.last_known(const), "_rev": scan.next_known(const)}, hot=hot)
     fwd, rev = sign * (F.col("_fwd") + F.col("_S")), sign * (F.col("_rev") + F.col("_S"))
     agreed = F.when(F.abs(fwd - rev) < BOUND_EPS, (fwd + rev) / 2)
     value = F.coalesce("_b", F.when(F.col("_fwd").isNull(), rev).when(F.col("_rev").isNull(), fwd).otherwise(agreed))
-    return both.select("sheet_id", "bound_id", value.alias("bound"))
+    solved = both.withColumn("bound", F.when(is_row(), value))
+    after = scan.run(solved, KIND, ["line_no"], {"_next": scan.following(F.struct(F.col("bound").alias("b")))}, hot=hot)
+    # border below the last row: mirrored on from the last known one
+    last = -sign * (F.col("_fwd") + F.col("_S") - 2 * sign * F.col("midy"))
+    stop = F.when(F.col("_next").isNotNull(), F.col("_next.b")).otherwise(last)
+    return after.withColumn("bound_stop", F.when(is_row(), stop)).drop("_m0", "_d0", "_b", "_S", "_fwd", "_rev", "_next")
 
 
-def row_ranges(bounds: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Rows with both borders known; a border at 0 counts as unknown."""
-    ranged = scan.run(bounds, SHEET, ["bound_id"], {"stop": scan.following(F.col("bound"))}, hot=hot)
-    valid = ranged.filter("bound <> 0 and stop <> 0 and bound <= stop")
-    return valid.select("sheet_id", F.col("bound_id").alias("row_id"), F.col("bound").alias("start"), "stop")
+def _range_known() -> Column:
+    """Both borders are known; a border at 0 counts as unknown."""
+    return is_row() & F.coalesce((F.col("bound") != 0) & (F.col("bound_stop") != 0), F.lit(False))
 
 
-def bound_join(disputed: DataFrame, ranges: DataFrame) -> DataFrame:
-    """First row whose borders contain the cell, kept if it is one of the cell's candidates.
+def bound_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Settle disputed cells: the first row whose borders contain the cell, if it is a candidate.
 
-    Borders need not be ordered, so this is a range join; rows are entered into bands about as high
-    as one row, which makes it an equi join on (sheet, band).
+    While borders grow from row to row only the last row starting at or above a cell can contain
+    it. Where they do not (mirroring may overshoot on uneven rows), or for a cell without height,
+    all rows of the sheet are tried.
     """
-    high = ranges.groupBy("sheet_id").agg(F.greatest((F.max("stop") - F.min("start")) / F.count(F.lit(1)), F.lit(1.0)).alias("_band_height"))
-    sized = ranges.join(high, SHEET)
-    band = lambda c: F.floor(F.col(c) / F.col("_band_height"))
-    entered = sized.select("sheet_id", "row_id", "start", "stop", F.explode(F.sequence(band("start"), band("stop"))).alias("_band"))
-    cells = disputed.join(high, SHEET).select("sheet_id", "frag_id", "miny", "maxy", "lo", "hi", band("miny").alias("_band"))
-    pairs = cells.join(entered, ["sheet_id", "_band"]).filter("start <= miny and maxy <= stop")
-    first = pairs.groupBy("sheet_id", "frag_id", "lo", "hi").agg(F.min("row_id").alias("row_id"))
-    return first.filter("row_id between lo and hi").select("sheet_id", "frag_id", "row_id")
-
-
-def assign_rows(cells: DataFrame, rows: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Row of each cell, null where it stays open."""
-    candidates = span_join(cells, rows, hot=hot)
-    marked = mark_disputed(rows, candidates, hot=hot)
-    ranges = row_ranges(solve_bounds(marked, hot=hot), hot=hot)
-    settled = bound_join(candidates.filter("lo < hi"), ranges).withColumnRenamed("row_id", "_settled")
-    joined = candidates.join(settled, ["sheet_id", "frag_id"], "left")
-    row = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("_settled"))
-    return joined.withColumn("row_id", row).drop("lo", "hi", "_settled")
+    grown = scan.run(frame, KIND, ["line_no"], {"_top": scan.max_before(F.greatest("bound", "bound_stop"))}, hot=hot)
+    bent = F.when(_range_known(), (F.col("bound_stop") < F.col("bound")) | F.coalesce(F.col("bound") < F.col("_top"), F.lit(False)))
+    flat = is_cell() & (F.col("lo") < F.col("hi")) & (F.col("maxy") <= F.col("miny"))
+    checked = scan.totals(grown, SHEET, {"_bent": F.bool_or(bent), "_flat": F.bool_or(flat)}, hot=hot)
+    marked = checked.withColumn("_search", F.coalesce("_bent", F.lit(False)) | F.coalesce("_flat", F.lit(False)))
+    position = F.when(is_row(), F.col("bound")).otherwise(F.col("miny"))
+    holder = F.when(_range_known(), F.struct("line_no", "bound_stop"))
+    placed = marked.withColumns({"_pos": position, "_prio": F.when(is_row(), 0).otherwise(1)})
+    found = scan.run(placed, SHEET, ["_pos", "_prio", "kind", "line_no"], {"_h": scan.last_known(holder)}, hot=hot)
+    direct = F.when(F.col("maxy") <= F.col("_h.bound_stop"), F.col("_h.line_no"))
+    out = found.withColumn("_direct", direct)
+    searched = _search_rows_joined(out) if hot else _search_rows(out)
+    settled = F.when(F.col("_search"), F.col("_searched")).otherwise(F.col("_direct"))
+    accepted = F.when(settled.between(F.col("lo"), F.col("hi")), settled)
+    return searched.withColumn("settled", F.when(is_cell() & (F.col("lo") < F.col("hi")), accepted)).drop(
+        "_top", "_bent", "_flat", "_pos", "_prio", "_h", "_direct", "_search", "_searched"
+    )
+
+
+def _search_rows(frame: DataFrame) -> DataFrame:
+    """First containing row, from the row ranges of the sheet; only built where it is needed."""
+    one = F.when(F.col("_search") & _range_known(), F.struct("line_no", "bound", "bound_stop"))
+    ranged = scan.totals(frame, SHEET, {"_ranges": F.collect_list(one)}, hot=False)
+    fits = F.filter("_ranges", lambda r: (r["bound"] <= F.col("miny")) & (F.col("maxy") <= r["bound_stop"]))
+    first = F.array_min(F.transform(fits, lambda r: r["line_no"]))
+    return ranged.withColumn("_searched", F.when(F.col("_search") & is_cell(), first)).drop("_ranges")
+
+
+def _search_rows_joined(frame: DataFrame) -> DataFrame:
+    """The same for sheets of any size: rows are entered into bands about one row high, so the
+    range join becomes an equi join on (sheet, band)."""
+    frame = stable(frame)
+    ranges = frame.filter(F.col("_search") & _range_known() & (F.col("bound") <= F.col("bound_stop"))).select("sheet_id", "line_no", "bound", "bound_stop")
+    height = F.greatest((F.max("bound_stop") - F.min("bound")) / F.count(F.lit(1)), F.lit(1.0))
+    high = ranges.groupBy("sheet_id").agg(height.alias("_high"))
+    band = lambda c: F.floor(F.col(c) / F.col("_high"))
+    entered = ranges.join(high, SHEET).select("sheet_id", "line_no", "bound", "bound_stop", F.explode(F.sequence(band("bound"), band("bound_stop"))).alias("_band"))
+    cells = frame.filter(F.col("_search") & is_cell() & (F.col("lo") < F.col("hi"))).select("sheet_id", "frag_id", "miny", "maxy")
+    pairs = cells.join(high, SHEET).withColumn("_band", band("miny")).join(entered.withColumnRenamed("line_no", "_row"), ["sheet_id", "_band"])
+    inside = pairs.filter("bound <= miny and maxy <= bound_stop")
+    first = inside.groupBy("sheet_id", "frag_id").agg(F.min("_row").alias("_searched")).withColumn("kind", F.lit("cell"))
+    return frame.join(first, ["sheet_id", "frag_id", "kind"], "left")
+
+
+def settle_rows(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Row of each row header and cell; null for cells that stay open and for labels."""
+    solved = bound_join(solve_bounds(mark_disputed(span_join(frame, hot=hot), hot=hot), hot=hot), hot=hot)
+    row = F.when(is_row(), F.col("line_no")).when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("settled"))
+    return solved.withColumn("row_id", F.when(F.col("kind") != "section", row))
 
 
 def certain_cells(cells: DataFrame) -> DataFrame:
@@ -339,32 +407,47 @@ def certain_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("row_id").isNotNull() & F.col("col_from").isNotNull())
 
 
-# ---- columns ------------------------------------------------------------------------
+def name_rows(frame: DataFrame, *, modes: set[str], hot: bool | None = None) -> DataFrame:
+    """Put property and section of its row on every cell; only the section modes in use are run."""
+    out = frame.withColumns({"label": F.lit(None).cast("string"), "line_label": F.lit(None).cast("string")})
+    if modes & {FIRST_COL, TABLE_CENTER}:
+        out = sections_by_column(out.drop("label"), hot=hot)
+    if EMPTY_LINE in modes:
+        out = sections_by_empty_line(out.drop("line_label"), hot=hot)
+    mode = F.col("sections")
+    section = F.when(mode == EMPTY_LINE, F.col("line_label")).when(mode.isin(FIRST_COL, TABLE_CENTER), F.col("label"))
+    header = F.when(is_row(), F.struct(F.col("text").alias("property"), section.alias("section")))
+    named = scan.totals(out.filter("row_id is not null"), ROW, {"_row": F.max(header)}, hot=hot)
+    return named.select("*", F.col("_row.property").alias("property"), F.col("_row.section").alias("section")).drop("_row", "label", "line_label")
 
-ROW = ["sheet_id", "row_id"]
+
+# ---- columns ------------------------------------------------------------------------
 
 
 def row_clusters(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Cells of each row numbered by column cluster (gap to the neighbour's centre above 5)."""
     placed = cells.withColumn("midx", midx())
-    return clusters.cluster_gap(placed, ROW, "midx", ["frag_id"], COLUMN_EPS, hot=hot)
-
+    order = ["midx", "frag_id"]
+    gaps = scan.run(placed, ROW, order, {"_left": scan.previous(F.col("midx"))}, hot=hot)
+    starts = F.when(F.col("midx") - F.col("_left") > COLUMN_EPS, 1).otherwise(0)
+    return scan.run(gaps, ROW, order, {"cluster_id": scan.running_sum(starts)}, hot=hot).drop("_left")
 
-def cluster_centres(clustered: DataFrame) -> DataFrame:
-    """Centre of each cluster: mean of its first and last member."""
-    return clustered.groupBy(*ROW, "cluster_id").agg(((F.min("midx") + F.max("midx")) / 2).alias("centre"))
 
+def header_centres(clustered: DataFrame, *, hot: bool | None = None) -> DataFrame:
+    """Put the column centres of the sheet on every cell: centres of the clusters of row 0 (mean of
+    first and last member), as many values as the table has columns."""
+    ends = scan.totals(clustered, [*ROW, "cluster_id"], {"_lo": F.min("midx"), "_hi": F.max("midx")}, hot=hot)
+    centre = F.when(F.col("row_id") == 0, (F.col("_lo") + F.col("_hi")) / 2)
+    gathered = scan.totals(ends, SHEET, {"header": F.collect_set(centre)}, hot=hot)
+    return gathered.withColumn("header", F.sort_array("header")).drop("_lo", "_hi")
 
-def header_centres(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Column centres of a sheet, taken from its row 0; as many values as the table has columns."""
-    centres = cluster_centres(row_clusters(cells.filter("row_id = 0"), hot=hot))
-    return centres.groupBy("sheet_id").agg(F.sort_array(F.collect_list("centre")).alias("header"))
 
+def drop_early_cells(cells: DataFrame) -> DataFrame:
+    """Drop cells more than 5 left of the first column; a sheet without row 0 gives nothing.
 
-def drop_early_cells(cells: DataFrame, header: DataFrame) -> DataFrame:
-    """Drop cells more than 5 left of the first column; a sheet without row 0 gives nothing."""
-    joined = per_sheet(cells, header, SHEET)
-    return joined.filter(midx() >= F.col("header")[0] - COLUMN_EPS)
+    The cells dropped are the leftmost of their row, so the clusters of the others stay as they are.
+    """
+    return cells.filter(F.col("midx") >= F.try_element_at("header", F.lit(1)) - COLUMN_EPS)
 
 
 def _spans_by_centre(centres: Column, header: Column) -> Column:
@@ -374,21 +457,24 @@ def _spans_by_centre(centres: Column, header: Column) -> Column:
     starts at column f and has its middle at half-column M ends at column M - f.
     """
     n = F.size(header)
-    kind = "struct<next:int,spans:array<struct<col_from:int,col_to:int>>>"
-    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<col_from:int,col_to:int>>").alias("spans"))
+    span = "array<struct<col_from:int,col_to:int>>"
+    kind = f"struct<next:int,spans:{span}>"
+    start = F.struct(F.lit(0).alias("next"), F.array().cast(span).alias("spans"))
 
     def fits(centre: Column, half: Column) -> Column:
-        left = F.element_at(header, F.floor(half / 2).cast("int") + 1)
-        right = F.try_element_at(header, F.floor(half / 2).cast("int") + 2)
+        at = F.floor(half / 2).cast("int") + 1
+        left, right = F.element_at(header, at), F.try_element_at(header, at + 1)
         on = (left - COLUMN_EPS <= centre) & (centre <= left + COLUMN_EPS)
         between = (left + COLUMN_EPS <= centre) & (centre <= right - COLUMN_EPS)
         return F.when(half % 2 == 0, on).otherwise(between)
 
     def step(state: Column, centre: Column) -> Column:
         f = state["next"]
-        halves = F.when(2 * f <= 2 * (n - 1), F.sequence(2 * f, 2 * (n - 1))).otherwise(F.array().cast("array<int>"))
+        halves = F.when(f < n, F.sequence(2 * f, 2 * (n - 1))).otherwise(F.array().cast("array<int>"))
         half = F.try_element_at(F.filter(halves, lambda m: fits(centre, m)), F.lit(1))
-        moved = F.struct((half - f + 1).alias("next"), F.concat(state["spans"], F.array(F.struct(f.alias("col_from"), (half - f + 1).alias("col_to")))).alias("spans"))
+        end = half - f + 1
+        one = F.array(F.struct(f.alias("col_from"), end.alias("col_to")))
+        moved = F.struct(end.alias("next"), F.concat(state["spans"], one).alias("spans"))
         return F.when(half.isNotNull(), moved).otherwise(F.lit(None).cast(kind))
 
     done = F.reduce(centres, start.cast(kind), step)
@@ -400,63 +486,97 @@ def _fixed_spans(spans: Column) -> Column:
     return F.zip_with(ends, spans, lambda e, s: F.struct((e - s).alias("col_from"), e.alias("col_to")))
 
 
-def resolve_colspans(centres: DataFrame, header: DataFrame, fixed: DataFrame | None = None) -> DataFrame:
-    """Column range of each cluster: fixed by configuration, one per column, one for all, or by
+def merge_cells(cells: DataFrame, joiners: DataFrame | None = None, extra: list[str] | None = None) -> DataFrame:
+    """One cell per (row, cluster): lines joined top to bottom with the row's joiner."""
+    kept = [F.first(c).alias(c) for c in ["property", *(extra or [])]]
+    pieces = F.array_sort(F.collect_list(F.struct(midy().alias("midy"), "frag_id", "text")))
+    boxes = [a.alias(n) for n, a in union_box().items()]
+    centre = (F.min("midx") + F.max("midx")) / 2
+    merged = cells.groupBy(*ROW, "cluster_id").agg(F.min("frag_id").alias("frag_id"), centre.alias("centre"), pieces.alias("_pieces"), *boxes, *kept)
+    sep = F.lit(" ")
+    if joiners is not None:
+        merged = per_sheet(merged, single_joiners(joiners), ["sheet_id", "property"], "left")
+        sep = F.coalesce("_sep", F.lit(" "))
+    texts = F.transform("_pieces", lambda p: p["text"])
+    joined = F.reduce(F.slice(texts, F.lit(2), F.size(texts)), texts[0], lambda acc, t: F.concat(acc, sep, t))
+    return merged.withColumn("text", joined).drop("_pieces", "_sep")
+
+
+def single_joiners(joiners: DataFrame) -> DataFrame:
+    """Joiners by exact header text; a text with several joiner rules keeps the default."""
+    counted = joiners.groupBy("sheet_id", F.col("row_text").alias("property")).agg(F.count(F.lit(1)).alias("_n"), F.first("seq").alias("_sep"))
+    return counted.filter("_n = 1").drop("_n")
+
+
+def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None) -> DataFrame:
+    """Column range of each merged cell: fixed by configuration, one per column, one for all, or by
     its centre; a row that does not come out even is dropped.
 
     A row can use at most as many clusters as there are columns (or fixed spans), so the array per
     row is cut one past that count, which already marks the row as wrong.
     """
-    joined = per_sheet(centres, header, SHEET)
     if fixed is None:
-        joined = joined.withColumn("spans", F.lit(None).cast("array<int>"))
+        joined = merged.withColumn("spans", F.lit(None).cast("array<int>"))
     else:
-        joined = per_sheet(joined, fixed.select(*ROW, "spans"), ROW, "left")
+        joined = per_sheet(merged, fixed.select(*ROW, "spans"), ROW, "left")
+    carried = [c for c in merged.columns if c not in (*ROW, "header")]
+    ranked = scan.run(joined, ROW, ["cluster_id"], {"_k": scan.position()}, hot=False)
     most = F.greatest(F.size("header"), F.coalesce(F.array_size("spans"), F.lit(0)))
-    usable = joined.filter(F.col("cluster_id") <= most)
-    rows = usable.groupBy(*ROW).agg(
-        F.array_sort(F.collect_list(F.struct("cluster_id", "centre"))).alias("_cs"), F.first("header").alias("header"), F.first("spans").alias("spans")
+    rows = ranked.filter(F.col("_k") <= most).groupBy(*ROW).agg(
+        F.array_sort(F.collect_list(F.struct(*carried))).alias("_cells"), F.first("header").alias("header"), F.first("spans").alias("spans")
     )
-    k, n = F.size("_cs"), F.size("header")
+    k, n = F.size("_cells"), F.size("header")
     own = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("col_from"), (i + 1).alias("col_to")))
     whole = F.array(F.struct(F.lit(0).alias("col_from"), n.alias("col_to")))
-    cols = (
+    ranges = (
         F.when(F.col("spans").isNotNull(), F.when(F.size("spans") == k, _fixed_spans(F.col("spans"))))
         .when(k == n, own)
         .when(k == 1, whole)
-        .otherwise(_spans_by_centre(F.transform("_cs", lambda c: c["centre"]), F.col("header")))
+        .otherwise(_spans_by_centre(F.transform("_cells", lambda c: c["centre"]), F.col("header")))
     )
-    ranges = F.zip_with("_cs", cols, lambda c, r: F.struct(c["cluster_id"].alias("cluster_id"), r["col_from"].alias("col_from"), r["col_to"].alias("col_to")))
-    return rows.filter(cols.isNotNull()).select(*ROW, F.inline(ranges))
-
-
-def merge_cells(clustered: DataFrame, joiners: DataFrame | None = None) -> DataFrame:
-    """One cell per (row, cluster): lines joined top to bottom with the row's joiner."""
-    keys = [*ROW, "cluster_id"]
-    pieces = F.array_sort(F.collect_list(F.struct(midy().alias("midy"), "frag_id", "text")))
-    cells = clustered.groupBy(*keys).agg(F.min("frag_id").alias("frag_id"), pieces.alias("_pieces"), *[a.alias(n) for n, a in union_box().items()])
-    sep = F.lit(" ")
-    if joiners is not None:
-        cells = per_sheet(cells, joiners.select(*ROW, F.col("seq").alias("_sep")), ROW, "left")
-        sep = F.coalesce("_sep", F.lit(" "))
-    texts = F.transform("_pieces", lambda p: p["text"])
-    joined = F.reduce(F.slice(texts, F.lit(2), F.size(texts)), texts[0], lambda acc, t: F.concat(acc, sep, t))
-    return cells.withColumn("text", joined).drop("_pieces", "_sep")
+    solved = rows.withColumn("_ranges", ranges).filter("_ranges is not null")
+    pairs = F.arrays_zip(F.col("_cells").alias("c"), F.col("_ranges").alias("r"))
+    return solved.select(*ROW, F.explode(pairs).alias("_p")).select(*ROW, "_p.c.*", "_p.r.*")
 
 
 # ---- all together ---------------------------------------------------------------------
 
 
-def fixed_rows(rows: DataFrame, fixes: DataFrame) -> DataFrame:
+def fixed_rows(frame: DataFrame, fixes: DataFrame) -> DataFrame:
     """Fixed spans addressed by header text to row ids (unique exact, else unique substring)."""
-    named = find_text(rows.withColumn("frag_id", F.col("row_id")), fixes, "row_text")
-    return fixes.join(named, ["sheet_id", "row_text"]).select("sheet_id", F.col("row_text_box.frag_id").alias("row_id"), "spans").filter("row_id is not null")
+    rows = frame.filter(is_row()).withColumn("frag_id", F.col("line_no"))
+    named = find_text(rows, fixes, "row_text")
+    hits = fixes.join(named, ["sheet_id", "row_text"]).select("sheet_id", F.col("row_text_box.frag_id").alias("row_id"), "spans")
+    return hits.filter("row_id is not null")
 
 
-def joiner_rows(rows: DataFrame, joiners: DataFrame) -> DataFrame:
-    """Joiners by exact header text; a text with several joiner rules keeps the default."""
-    single = joiners.groupBy("sheet_id", "row_text").agg(F.count(F.lit(1)).alias("_n"), F.first("seq").alias("seq")).filter("_n = 1")
-    return rows.select("sheet_id", "row_id", F.col("text").alias("row_text")).join(single, ["sheet_id", "row_text"]).select("sheet_id", "row_id", "seq")
+def lined_frame(fragments: DataFrame, config: DataFrame, *, added: DataFrame | None = None, hot: bool = False) -> DataFrame:
+    """Fragments of all areas with their kind, row headers and labels numbered."""
+    inside = area_filter(fragments, config).drop("doc_id", "page")
+    if added is not None:
+        new, _ = add_cell(inside, added)
+        settings = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
+        inside = inside.unionByName(new.join(settings, SHEET))
+    frame = by_sheet(inside, hot)
+    if TABLE_CENTER in section_modes(config):
+        frame = centre_labels(frame, hot=hot)
+    else:
+        frame = frame.withColumn("is_label", F.lit(False))
+    return row_headers(header_column(frame, hot=hot).drop("is_label"), config, hot=hot)
+
+
+def section_modes(config: DataFrame) -> set[str]:
+    """Section modes in use: at most the four known values."""
+    known = (NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER)
+    found = config.agg(*[F.bool_or(F.col("sections") == m).alias(m) for m in known]).first()
+    return {m for m in known if found[m]}
+
+
+def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bool = False) -> DataFrame:
+    """Cells of named rows merged per column cluster, with the column centres of their sheet."""
+    clustered = row_clusters(named.filter(is_cell()), hot=hot)
+    kept = drop_early_cells(header_centres(clustered, hot=hot))
+    return merge_cells(kept, joiners, ["section", "header"])
 
 
 def sheet_cells(
@@ -471,62 +591,33 @@ def sheet_cells(
     """Fragments and extraction settings to cells with section, property, column range and text."""
     if hot is None:
         hot = scan.has_hot_key(fragments, ["doc_id", "page"])
-    inside = area_filter(fragments, config)
-    if added is not None:
-        new, _ = add_cell(inside, added)
-        settings = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
-        inside = inside.unionByName(new.join(settings, SHEET))
-    roles = header_column(centre_labels(inside, hot=hot), hot=hot)
-    rows, labels = row_headers(roles, hot=hot)
-    body = roles.filter("role = 'cell'").select("sheet_id", "frag_id", "text", *BOX, "sections")
-    assigned = assign_rows(body, rows, hot=hot)
-    placed = assigned.filter("row_id is not null")
-    clustered, ranges = place_columns(placed, fixed_rows(rows, fixed) if fixed is not None else None, hot=hot)
-    merged = merge_cells(clustered, joiner_rows(rows, joiners) if joiners is not None else None)
-    cells = certain_cells(merged.join(ranges, [*ROW, "cluster_id"]))
-    named = named_rows(rows, labels, assigned, hot=hot)
-    return cells.join(named, ROW).select(
-        "sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value")
-    )
-
+    lined = lined_frame(fragments, config, added=added, hot=hot)
+    named = name_rows(settle_rows(lined, hot=hot), modes=section_modes(config), hot=hot)
+    merged = place_columns(named, joiners, hot=hot)
+    cells = certain_cells(resolve_colspans(merged, fixed_rows(lined, fixed) if fixed is not None else None))
+    return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
 
-def place_columns(placed: DataFrame, fixed: DataFrame | None = None, *, hot: bool | None = None) -> tuple[DataFrame, DataFrame]:
-    """Cells numbered by cluster, and the column range of each cluster."""
-    header = header_centres(placed, hot=hot)
-    kept = drop_early_cells(placed, header).drop("header")
-    clustered = row_clusters(kept, hot=hot)
-    return clustered, resolve_colspans(cluster_centres(clustered), header, fixed)
 
-
-def named_rows(rows: DataFrame, labels: DataFrame, assigned: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Property and section of each header row, by the section mode of its sheet."""
-    by_line = sections_by_empty_line(rows, assigned, hot=hot).select("sheet_id", "row_id", "sections", F.col("text").alias("property"), F.col("section").alias("_line"))
-    lagged = sections_by_column(rows, labels, hot=hot)
-    texts = labels.select("sheet_id", "section_id", F.col("text").alias("_label"))
-    by_label = lagged.join(texts, ["sheet_id", "section_id"], "left").select("sheet_id", "row_id", "_label")
-    mode = F.col("sections")
-    section = F.when(mode == "empty-line", F.col("_line")).when(mode.isin("first-col", "table-center"), F.col("_label"))
-    return by_line.join(by_label, ROW, "left").select("sheet_id", "row_id", "property", section.alias("section"))
-
-
-def spec_cells(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
+def spec_cells(cells: DataFrame, *, hot: bool = False) -> DataFrame:
     """Long sheet cells: column ranges expanded, values of one property joined, rows numbered.
 
     Rows come in order of first appearance when reading column by column, section by section.
     """
-    covered = cells.withColumn("col_idx", F.explode(F.sequence(F.col("col_from"), F.col("col_to") - 1)))
+    covered = by_sheet(cells, hot).withColumn("col_idx", F.explode(F.sequence(F.col("col_from"), F.col("col_to") - 1)))
     keys = ["sheet_id", "col_idx", "section", "property"]
-    at = F.struct("midy", "frag_id")
     pieces = F.array_sort(F.collect_list(F.struct("midy", "frag_id", "value")))
     joined = F.array_join(F.transform(pieces, lambda p: p["value"]), " ")
-    values = covered.groupBy(*keys).agg(joined.alias("value"), F.min(at).alias("_key_at"))
-    first_of_section = values.groupBy("sheet_id", "col_idx", "section").agg(F.min("_key_at").alias("_section_at"))
-    same = [values[c].eqNullSafe(first_of_section[c]) for c in ("sheet_id", "col_idx", "section")]
-    placed = values.join(first_of_section, same[0] & same[1] & same[2]).select(
-        *[values[c] for c in keys], "value", F.struct(values["col_idx"], "_section_at", "_key_at").alias("_at")
-    )
-    first = placed.groupBy("sheet_id", "section", "property").agg(F.min("_at").alias("_first"))
-    flat = first.select("sheet_id", "section", "property", "_first.col_idx", F.col("_first._section_at").alias("_s"), F.col("_first._key_at").alias("_k"))
-    numbered = scan.run(flat, SHEET, ["col_idx", "_s", "_k"], {"row_idx": scan.position()}, hot=hot).select("sheet_id", "section", "property", "row_idx")
-    match = (placed["sheet_id"] == numbered["sheet_id"]) & placed["section"].eqNullSafe(numbered["section"]) & (placed["property"] == numbered["property"])
-    return placed.join(numbered, match).select(placed["sheet_id"], "row_idx", placed["section"], placed["property"], "col_idx", "value")
+    values = covered.groupBy(*keys).agg(joined.alias("value"), F.min(F.struct("midy", "frag_id")).alias("_key_at"))
+    sectioned = _total(values, ["sheet_id", "col_idx", "section"], {"_section_at": F.min("_key_at")}, hot)
+    at = F.struct("col_idx", "_section_at", "_key_at")
+    first = _total(sectioned, ["sheet_id", "section", "property"], {"_first": F.min(at)}, hot)
+    lead = scan.run(first, SHEET, ["_first", "col_idx"], {"_prev": scan.previous(F.col("_first"))}, hot=hot)
+    new = F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col("_first")), 1).otherwise(0)
+    numbered = scan.run(lead, SHEET, ["_first", "col_idx"], {"_n": scan.running_sum(new)}, hot=hot)
+    return numbered.select("sheet_id", (F.col("_n") - 1).cast("int").alias("row_idx"), "section", "property", "col_idx", "value")
+
+
+def _total(df: DataFrame, keys: list[str], aggs: dict[str, Column], hot: bool) -> DataFrame:
+    """Totals over keys that may be null: a null section is a section of its own."""
+    safe = df.withColumn("_section", F.struct(F.col("section").isNull().alias("none"), F.coalesce("section", F.lit("")).alias("text")))
+    return scan.totals(safe, ["_section" if k == "section" else k for k in keys], aggs, hot=hot).drop("_section")

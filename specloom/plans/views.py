@@ -73,7 +73,7 @@ SELECT sheet_id AS doc_id, 1 AS page,
     ELSE CASE row_idx WHEN 0 THEN concat('page ', sheet_id) WHEN 2 THEN 'note' ELSE section END END AS text,
   CASE WHEN kind < 2 THEN 40.0 + sheet_id % 3 + 2.0 * (row_idx % 2)
     WHEN kind = 4 THEN CASE WHEN row_idx = 0 THEN 40.0 WHEN row_idx = 2 THEN 95.0
-      WHEN sheet_id % 5 = 3 THEN 10.0 WHEN sheet_id % 5 = 4 THEN 175.0 ELSE 40.0 + sheet_id % 3 END
+      WHEN sheet_id % 5 = 3 THEN 10.0 WHEN sheet_id % 5 = 4 THEN 170.0 ELSE 40.0 + sheet_id % 3 END
     WHEN {_OVER_TWO} THEN 150.0 + 60.0 * col_idx
     WHEN {_OVER_ALL} THEN 210.0
     WHEN {_OVER_THREE} OR {_BETWEEN} THEN 120.0 + 60.0 * col_idx
@@ -82,7 +82,7 @@ SELECT sheet_id AS doc_id, 1 AS page,
     ELSE 120.0 + 60.0 * col_idx + 0.5 * (p_partkey % 5) END AS x0,
   CASE WHEN kind < 2 THEN 90.0
     WHEN kind = 4 THEN CASE WHEN row_idx = 0 THEN 90.0 WHEN row_idx = 2 THEN 105.0
-      WHEN sheet_id % 5 = 3 THEN 30.0 WHEN sheet_id % 5 = 4 THEN 235.0 ELSE 90.0 END
+      WHEN sheet_id % 5 = 3 THEN 30.0 WHEN sheet_id % 5 = 4 THEN 230.0 ELSE 90.0 END
     WHEN {_OVER_TWO} THEN 190.0 + 60.0 * col_idx
     WHEN {_OVER_ALL} THEN 250.0
     WHEN {_OVER_THREE} OR {_BETWEEN} THEN 160.0 + 60.0 * col_idx
@@ -147,11 +147,16 @@ VIEWS: dict[str, str] = {
     "v_spec_cell": _CELLS,
     "v_fragment": _FRAGMENTS,
     "v_cfg": (
-        "SELECT doc_id, 1 AS page, 5.79 AS x, 90.63 AS y, 390.04 AS w, 400.49 AS h, "
+        "SELECT doc_id, doc_id AS sheet_id, 1 AS page, 5.79 AS x, 90.63 AS y, 390.04 AS w, 400.49 AS h, "
         "CASE doc_id % 5 WHEN 2 THEN 'none' WHEN 3 THEN 'first-col' WHEN 4 THEN 'table-center' ELSE 'empty-line' END AS sections, "
-        "doc_id % 9 = 2 AS multiline_row_header "
+        "doc_id % 9 = 2 AS multiline_row_header, doc_id % 2 = 1 AND doc_id % 5 = 3 AS multiline_section_header "
         "FROM (SELECT DISTINCT sheet_id AS doc_id FROM {v_part}) AS d"
     ),
+    "v_fixed": "SELECT sheet_id, 'Noise' AS row_text, ARRAY_OF(1, 3) AS spans FROM {v_cfg} WHERE sheet_id % 16 = 3",
+    "v_joiner": "SELECT sheet_id, 'Input Current' AS row_text, '' AS seq FROM {v_cfg} WHERE sheet_id % 2 = 0",
+    "v_added": "SELECT sheet_id, 0 AS fix_id, 'Weight' AS row_text, 'page' AS col_text, 'never' AS text FROM {v_cfg} WHERE sheet_id % 4 = 0 "
+    "UNION ALL SELECT sheet_id, 1, 'Cooling', 'Max ', 'by hand' FROM {v_cfg} WHERE sheet_id % 7 = 5 "
+    "UNION ALL SELECT sheet_id, 2, 'Noise (dB)', 'note', 'quiet' FROM {v_cfg} WHERE sheet_id % 6 = 0",
     "v_html": _html(),
     "v_glyph": (
         "SELECT p_partkey AS line_id, CAST(floor(p_partkey / 4) AS BIGINT) AS doc_id, 1 AS page, seq, "
@@ -213,6 +218,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spark_text(text: str) -> str:
+    text = text.replace("ARRAY_OF(", "array(")
     text = _EACH.sub(r"LATERAL VIEW explode(sequence(\2, \3)) _e AS \1", text)
     return text.replace("date_part('epoch', ts)", "unix_timestamp(ts)")
 
@@ -234,4 +240,5 @@ def ctes(*names: str) -> str:
 
 
 def _duck_text(text: str) -> str:
+    text = text.replace("ARRAY_OF(", "list_value(")
     return _EACH.sub(r", LATERAL (SELECT CAST(unnest(range(\2, \3 + 1)) AS INT) AS \1) AS _e", text)
