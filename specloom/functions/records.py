@@ -138,8 +138,17 @@ def nest(schema: T.StructType, leaf: dict[str, Column], prefix: str = "") -> lis
 
 
 def get_path(root: str, path: str) -> Column:
-    """Read a dotted path; digits index an array; null when a parent is missing."""
-    value = F.col(root)
-    for piece in path.split("."):
+    """Read a dotted path below a column; digits index an array; null when a parent is missing."""
+    return _walk(F.col(root), path.split("."))
+
+
+def get_path_in(path: str) -> Column:
+    """Read a dotted path of the row itself."""
+    first, *rest = path.split(".")
+    return _walk(F.col(first), rest)
+
+
+def _walk(value: Column, pieces: list[str]) -> Column:
+    for piece in pieces:
         value = F.try_element_at(value, F.lit(int(piece) + 1)) if piece.isdigit() else value[piece]
     return value

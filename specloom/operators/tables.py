@@ -55,10 +55,13 @@ def top_to_bottom(sep: str = " ") -> Column:
 # ---- area, added cells ----------------------------------------------------------
 
 
-def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", bounded_by: DataFrame | None = None) -> DataFrame:
     """Join with a table of about one row per sheet: broadcast while its checked size allows,
-    otherwise a shuffle on the key that adaptive execution may split."""
-    if at_most(small, broadcast_rows(big.sparkSession)):
+    otherwise a shuffle on the key that adaptive execution may split.
+
+    `bounded_by` is a cheaper table that has at least as many rows.
+    """
+    if at_most(small if bounded_by is None else bounded_by, broadcast_rows(big.sparkSession)):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
@@ -98,7 +101,7 @@ def find_text(fragments: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     Names that are ambiguous or missing give a null box. Counts combine map-side.
     """
     names = wanted.select("sheet_id", F.col(name).alias("_name")).distinct()
-    pairs = per_sheet(fragments.select("sheet_id", "frag_id", "text", *BOX), names, SHEET)
+    pairs = per_sheet(fragments.select("sheet_id", "frag_id", "text", *BOX), names, SHEET, bounded_by=wanted)
     exact = F.col("text") == F.col("_name")
     box = F.struct("frag_id", *BOX)
     hits = pairs.filter(F.contains("text", "_name")).groupBy("sheet_id", "_name").agg(
@@ -226,7 +229,8 @@ def row_headers(frame: DataFrame, config: DataFrame, *, hot: bool | None = None)
     wrapped = config.filter("multiline_row_header or multiline_section_header")
     if not at_most(wrapped, 0):
         entered = _merge_own(entered, hot)
-    return scan.run(entered.withColumn("midy", midy()), KIND, ["midy", "frag_id", "phantom"], {"line_no": scan.position()}, hot=hot)
+    lean = entered.select("sheet_id", "kind", "frag_id", "text", *BOX, "phantom", "sections", "area_miny", "area_maxy", midy().alias("midy"))
+    return scan.run(lean, KIND, ["midy", "frag_id", "phantom"], {"line_no": scan.position()}, hot=hot)
 
 
 def _merge_own(entered: DataFrame, hot: bool | None) -> DataFrame:
@@ -495,7 +499,7 @@ def merge_cells(cells: DataFrame, joiners: DataFrame | None = None, extra: list[
     merged = cells.groupBy(*ROW, "cluster_id").agg(F.min("frag_id").alias("frag_id"), centre.alias("centre"), pieces.alias("_pieces"), *boxes, *kept)
     sep = F.lit(" ")
     if joiners is not None:
-        merged = per_sheet(merged, single_joiners(joiners), ["sheet_id", "property"], "left")
+        merged = per_sheet(merged, single_joiners(joiners), ["sheet_id", "property"], "left", joiners)
         sep = F.coalesce("_sep", F.lit(" "))
     texts = F.transform("_pieces", lambda p: p["text"])
     joined = F.reduce(F.slice(texts, F.lit(2), F.size(texts)), texts[0], lambda acc, t: F.concat(acc, sep, t))
@@ -508,7 +512,7 @@ def single_joiners(joiners: DataFrame) -> DataFrame:
     return counted.filter("_n = 1").drop("_n")
 
 
-def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None) -> DataFrame:
+def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None, fixes: DataFrame | None = None) -> DataFrame:
     """Column range of each merged cell: fixed by configuration, one per column, one for all, or by
     its centre; a row that does not come out even is dropped.
 
@@ -518,7 +522,7 @@ def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None) -> DataF
     if fixed is None:
         joined = merged.withColumn("spans", F.lit(None).cast("array<int>"))
     else:
-        joined = per_sheet(merged, fixed.select(*ROW, "spans"), ROW, "left")
+        joined = per_sheet(merged, fixed.select(*ROW, "spans"), ROW, "left", fixes)
     carried = [c for c in merged.columns if c not in (*ROW, "header")]
     ranked = scan.run(joined, ROW, ["cluster_id"], {"_k": scan.position()}, hot=False)
     most = F.greatest(F.size("header"), F.coalesce(F.array_size("spans"), F.lit(0)))
@@ -594,7 +598,7 @@ def sheet_cells(
     lined = lined_frame(fragments, config, added=added, hot=hot)
     named = name_rows(settle_rows(lined, hot=hot), modes=section_modes(config), hot=hot)
     merged = place_columns(named, joiners, hot=hot)
-    cells = certain_cells(resolve_colspans(merged, fixed_rows(lined, fixed) if fixed is not None else None))
+    cells = certain_cells(resolve_colspans(merged, fixed_rows(lined, fixed) if fixed is not None else None, fixed))
     return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
 
 

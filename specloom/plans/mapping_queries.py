@@ -113,7 +113,7 @@ def matched_sql(rules=RULES) -> str:
 rule(rule_idx, targets, section_kind, section_pat, row_kind, row_pat, col_kind, col_pat, const, fn) AS (VALUES {_rule_rows(rules)}),
 pair AS (SELECT f.*, r.* FROM filled f JOIN rule r ON r.const IS NULL
   AND {_holds('section_kind', 'section_pat', 'f.section')} AND {_holds('row_kind', 'row_pat', 'f.property')}),
-fit AS (SELECT p.* FROM pair p WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(p.vals) AS v) u
+fit AS (SELECT p.* FROM pair p WHERE NOT EXISTS (SELECT 1 FROM (SELECT coalesce(unnest(p.vals), '') AS v) u
   WHERE NOT ({_holds('p.col_kind', 'p.col_pat', 'u.v')}))),
 one AS (SELECT * FROM fit QUALIFY count(*) OVER (PARTITION BY sheet_id, rule_idx) = 1)"""
 
@@ -122,11 +122,11 @@ def entry_sql(rules=RULES) -> str:
     arrays = ", ".join(_lit(t) for t in R.array_targets(R.DEVICE))
     return matched_sql(rules) + f""",
 cell AS (SELECT *, unnest(range(0, len(vals))) AS col_idx FROM one),
-text AS (SELECT *, vals[col_idx + 1] AS value, CASE fn
+text AS (SELECT *, vals[col_idx + 1] AS value, CASE WHEN vals[col_idx + 1] IS NULL THEN NULL ELSE CASE fn
   WHEN 'assign' THEN list_transform(targets, lambda t: vals[col_idx + 1])
   WHEN 'integers' THEN regexp_extract_all(vals[col_idx + 1], '\\d+')
   WHEN 'numbers' THEN regexp_extract_all(vals[col_idx + 1], '\\d+(?:\\.\\d+)?')
-  ELSE [regexp_extract(vals[col_idx + 1], col_pat, 1)] END AS texts FROM cell),
+  ELSE [regexp_extract(vals[col_idx + 1], col_pat, 1)] END END AS texts FROM cell),
 entry AS (SELECT sheet_id, col_idx, rule_idx, row_idx, value, targets, CASE
   WHEN len(targets) = 1 AND targets[1] IN ({arrays}) THEN [texts]
   WHEN len(texts) = len(targets) THEN list_transform(texts, lambda t: [t]) END AS vals FROM text)"""

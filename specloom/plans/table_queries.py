@@ -276,7 +276,7 @@ def drop_early_cells(spark, sf):
 @query("resolve_colspans", SPANNED + " SELECT sheet_id, row_id, centre, CAST(col_from AS INT) AS col_from, CAST(col_to AS INT) AS col_to FROM ranges JOIN clu_centre USING (sheet_id, row_id, cluster_id)")
 def resolve_colspans(spark, sf):
     p = Pages(spark, sf)
-    ranges = T.resolve_colspans(p.merged(), T.fixed_rows(p.lined(), p.get("v_fixed")))
+    ranges = T.resolve_colspans(p.merged(), T.fixed_rows(p.lined(), p.get("v_fixed")), p.get("v_fixed"))
     return ranges.select("sheet_id", "row_id", "centre", "col_from", "col_to")
 
 

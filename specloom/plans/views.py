@@ -172,7 +172,7 @@ VIEWS: dict[str, str] = {
         "miny - 15.0 * (line_id % 4) AS miny, CASE WHEN ch = 'e' THEN maxx - 6.5 ELSE maxx END AS maxx, maxy - 15.0 * (line_id % 4) AS maxy FROM {v_glyph}"
     ),
     "v_panel": (
-        "SELECT p_partkey AS panel_id, CAST(p_partkey % 25 AS INT) AS request, 10.0 * p_size AS watts, 900 + p_size AS w, 1600 + 2 * p_size AS h, p_retailprice AS price, "
+        "SELECT p_partkey AS panel_id, CAST(p_partkey % 25 AS INT) AS request, CAST(10 * p_size AS DOUBLE) AS watts, 900 + p_size AS w, 1600 + 2 * p_size AS h, p_retailprice AS price, "
         "CASE p_partkey % 5 WHEN 0 THEN concat(900 + p_size, 'x', 1600 + 2 * p_size) "
         "WHEN 1 THEN concat(90 + p_size, '.5cmx', 160 + p_size, 'cm') "
         "WHEN 2 THEN concat(1 + p_size % 2, '.05x', 1 + p_size % 3, '.755m') "
