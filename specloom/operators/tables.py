@@ -11,6 +11,8 @@ input, and then every ordered pass runs over range chunks instead (see `scan`).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ CENTRE_EPS = 2  # a centred label lies within this of the middle of the area
 LINE_EPS = 2  # line gaps within this of the smallest are wraps
 BOUND_EPS = 3  # forward and backward row borders must agree within this
 # Where a table prints its section labels.
-NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER = "none", "empty-line", "first-col", "table-center"
+SECTION_MODES = ("none", "empty-line", "first-col", "table-center")
+NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER = SECTION_MODES
 
 
 def midx() -> Column:
@@ -52,21 +55,38 @@ def top_to_bottom(sep: str = " ") -> Column:
     return F.array_join(F.transform(pieces, lambda p: p["text"]), sep)
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What the extraction settings ask for, from one aggregate over them."""
+
+    rows: int
+    modes: frozenset[str]
+    wrapped: bool
+
+
+def settings_of(config: DataFrame) -> Settings:
+    wrapped = F.bool_or(F.coalesce(F.col("multiline_row_header"), F.lit(False)) | F.coalesce(F.col("multiline_section_header"), F.lit(False)))
+    modes = [F.bool_or(F.col("sections") == m).alias(m) for m in SECTION_MODES]
+    found = config.agg(F.count(F.lit(1)).alias("rows"), wrapped.alias("wrapped"), *modes).first()
+    return Settings(found["rows"], frozenset(m for m in SECTION_MODES if found[m]), bool(found["wrapped"]))
+
+
 # ---- area, added cells ----------------------------------------------------------
 
 
-def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", bounded_by: DataFrame | None = None) -> DataFrame:
+def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", bounded_by: DataFrame | int | None = None) -> DataFrame:
     """Join with a table of about one row per sheet: broadcast while its checked size allows,
     otherwise a shuffle on the key that adaptive execution may split.
 
-    `bounded_by` is a cheaper table that has at least as many rows.
+    `bounded_by` is a cheaper table that has at least as many rows, or a count known already.
     """
-    if at_most(small if bounded_by is None else bounded_by, broadcast_rows(big.sparkSession)):
+    limit = broadcast_rows(big.sparkSession)
+    if bounded_by <= limit if isinstance(bounded_by, int) else at_most(small if bounded_by is None else bounded_by, limit):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
 
-def area_filter(fragments: DataFrame, config: DataFrame) -> DataFrame:
+def area_filter(fragments: DataFrame, config: DataFrame, rows: int | None = None) -> DataFrame:
     """Fragments inside the area of each extraction; area amounts are cut to whole points."""
     x, y, w, h = (F.col(c).cast("int") for c in ("x", "y", "w", "h"))
     area = config.select(
@@ -87,12 +107,16 @@ def area_filter(fragments: DataFrame, config: DataFrame) -> DataFrame:
         & (F.col("area_miny") <= F.col("miny"))
         & (F.col("maxy") <= F.col("area_maxy"))
     )
-    return per_sheet(fragments, area, ["doc_id", "page"]).filter(inside)
+    return per_sheet(fragments, area, ["doc_id", "page"], bounded_by=rows).filter(inside)
 
 
 def by_sheet(frame: DataFrame, hot: bool) -> DataFrame:
-    """The one shuffle of the frame; windows on the sheet and on finer keys reuse it."""
-    return frame if hot else frame.repartition("sheet_id")
+    """The one shuffle of the frame; windows on the sheet and on finer keys reuse it.
+
+    The partition count is the session's, not a coalesced one: what follows is many passes of
+    computation over each partition, so small bytes do not mean little work.
+    """
+    return frame if hot else frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sheet_id")
 
 
 def find_text(fragments: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
@@ -223,11 +247,10 @@ def enter_phantoms(frame: DataFrame) -> DataFrame:
     return frame.select(*rest, F.inline(entries)).withColumn("midy", midy())
 
 
-def row_headers(frame: DataFrame, config: DataFrame, *, hot: bool | None = None) -> DataFrame:
+def row_headers(frame: DataFrame, *, wrapped: bool, hot: bool | None = None) -> DataFrame:
     """Wrapped lines joined, phantom rows entered, lines of each kind numbered."""
     entered = enter_phantoms(frame)
-    wrapped = config.filter("multiline_row_header or multiline_section_header")
-    if not at_most(wrapped, 0):
+    if wrapped:
         entered = _merge_own(entered, hot)
     lean = entered.select("sheet_id", "kind", "frag_id", "text", *BOX, "phantom", "sections", "area_miny", "area_maxy", midy().alias("midy"))
     return scan.run(lean, KIND, ["midy", "frag_id", "phantom"], {"line_no": scan.position()}, hot=hot)
@@ -411,7 +434,7 @@ def certain_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("row_id").isNotNull() & F.col("col_from").isNotNull())
 
 
-def name_rows(frame: DataFrame, *, modes: set[str], hot: bool | None = None) -> DataFrame:
+def name_rows(frame: DataFrame, *, modes: frozenset[str], hot: bool | None = None) -> DataFrame:
     """Put property and section of its row on every cell; only the section modes in use are run."""
     out = frame.withColumns({"label": F.lit(None).cast("string"), "line_label": F.lit(None).cast("string")})
     if modes & {FIRST_COL, TABLE_CENTER}:
@@ -554,26 +577,19 @@ def fixed_rows(frame: DataFrame, fixes: DataFrame) -> DataFrame:
     return hits.filter("row_id is not null")
 
 
-def lined_frame(fragments: DataFrame, config: DataFrame, *, added: DataFrame | None = None, hot: bool = False) -> DataFrame:
+def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *, added: DataFrame | None = None, hot: bool = False) -> DataFrame:
     """Fragments of all areas with their kind, row headers and labels numbered."""
-    inside = area_filter(fragments, config).drop("doc_id", "page")
+    inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
     if added is not None:
         new, _ = add_cell(inside, added)
-        settings = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
-        inside = inside.unionByName(new.join(settings, SHEET))
+        area = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
+        inside = inside.unionByName(new.join(area, SHEET))
     frame = by_sheet(inside, hot)
-    if TABLE_CENTER in section_modes(config):
+    if TABLE_CENTER in settings.modes:
         frame = centre_labels(frame, hot=hot)
     else:
         frame = frame.withColumn("is_label", F.lit(False))
-    return row_headers(header_column(frame, hot=hot).drop("is_label"), config, hot=hot)
-
-
-def section_modes(config: DataFrame) -> set[str]:
-    """Section modes in use: at most the four known values."""
-    known = (NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER)
-    found = config.agg(*[F.bool_or(F.col("sections") == m).alias(m) for m in known]).first()
-    return {m for m in known if found[m]}
+    return row_headers(header_column(frame, hot=hot).drop("is_label"), wrapped=settings.wrapped, hot=hot)
 
 
 def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bool = False) -> DataFrame:
@@ -595,8 +611,9 @@ def sheet_cells(
     """Fragments and extraction settings to cells with section, property, column range and text."""
     if hot is None:
         hot = scan.has_hot_key(fragments, ["doc_id", "page"])
-    lined = lined_frame(fragments, config, added=added, hot=hot)
-    named = name_rows(settle_rows(lined, hot=hot), modes=section_modes(config), hot=hot)
+    settings = settings_of(config)
+    lined = lined_frame(fragments, config, settings, added=added, hot=hot)
+    named = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
     merged = place_columns(named, joiners, hot=hot)
     cells = certain_cells(resolve_colspans(merged, fixed_rows(lined, fixed) if fixed is not None else None, fixed))
     return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))

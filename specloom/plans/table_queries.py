@@ -162,15 +162,16 @@ class Pages:
         self.fragments = self.get("v_fragment")
         self.config = self.get("v_cfg")
         self.hot = scan.has_hot_key(self.fragments, ["doc_id", "page"])
+        self.settings = T.settings_of(self.config)
 
     def inside(self):
-        return T.area_filter(self.fragments, self.config)
+        return T.area_filter(self.fragments, self.config, self.settings.rows)
 
     def labelled(self):
         return T.centre_labels(T.by_sheet(self.inside(), self.hot), hot=self.hot)
 
     def lined(self):
-        return T.lined_frame(self.fragments, self.config, hot=self.hot)
+        return T.lined_frame(self.fragments, self.config, self.settings, hot=self.hot)
 
     def spanned(self):
         return T.span_join(self.lined(), hot=self.hot)
@@ -182,7 +183,7 @@ class Pages:
         return T.settle_rows(self.lined(), hot=self.hot)
 
     def named(self):
-        return T.name_rows(self.settled(), modes=T.section_modes(self.config), hot=self.hot)
+        return T.name_rows(self.settled(), modes=self.settings.modes, hot=self.hot)
 
     def merged(self):
         return T.place_columns(self.named(), self.get("v_joiner"), hot=self.hot)

@@ -55,55 +55,37 @@ _BETWEEN = "sheet_id % 10 = 7 AND row_idx = 6 AND col_idx = 2"
 _WRAPPED = "p_partkey % 6 = 0 AND row_idx = 3"
 _HAS_LABEL = "row_idx IN (1, 4, 6) AND sheet_id % 5 <> 2"
 
+# Everything that does not depend on the kind of fragment, worked out once per cell.
+_CELL_LAYOUT = f"""
+SELECT sheet_id, row_idx, col_idx, slot, property, value, {_WRAPPED_HEAD} AS wrapped_head, {_WRAPPED} AS wrapped, {_BETWEEN} AS between_rows,
+  NOT (({_OVER_TWO} AND col_idx % 2 = 1) OR ({_OVER_ALL} AND col_idx > 0) OR ({_OVER_THREE} AND col_idx % 2 = 0) OR ({_OFF_GRID} AND col_idx IN (0, 3))) AS shown,
+  40.0 + sheet_id % 3 + 2.0 * (row_idx % 2) AS head_x,
+  CASE WHEN {_OVER_TWO} THEN 150.0 + 60.0 * col_idx WHEN {_OVER_ALL} THEN 210.0 WHEN {_OVER_THREE} OR {_BETWEEN} OR {_WRAPPED} THEN 120.0 + 60.0 * col_idx
+    WHEN {_OFF_GRID} THEN 127.0 + 60.0 * col_idx ELSE 120.0 + 60.0 * col_idx + 0.5 * (p_partkey % 5) END AS cell_x,
+  row_idx = 0 OR (row_idx = 2 AND sheet_id % 12 = 6) OR ({_HAS_LABEL}) AS has_extra,
+  CASE WHEN row_idx = 0 THEN 25 WHEN row_idx = 2 OR sheet_id % 5 = 3 THEN slot ELSE {LABEL_SLOT} END AS extra_slot,
+  CASE row_idx WHEN 0 THEN 99 WHEN 2 THEN 80 ELSE 95 END AS extra_tag,
+  CASE row_idx WHEN 0 THEN concat('page ', sheet_id) WHEN 2 THEN 'note' ELSE section END AS extra_text,
+  CASE WHEN row_idx = 0 THEN 40.0 WHEN row_idx = 2 THEN 95.0 WHEN sheet_id % 5 = 3 THEN 10.0 WHEN sheet_id % 5 = 4 THEN 170.0 ELSE 40.0 + sheet_id % 3 END AS extra_x0,
+  CASE WHEN row_idx = 0 THEN 90.0 WHEN row_idx = 2 THEN 105.0 WHEN sheet_id % 5 = 3 THEN 30.0 WHEN sheet_id % 5 = 4 THEN 230.0 ELSE 90.0 END AS extra_x1
+FROM {{v_spec_cell}}
+"""
+
 # kind: 0 and 1 lines of the row header, 2 and 3 lines of the cell, 4 label, note or footer.
 _FRAGMENTS = f"""
-SELECT doc_id, page, CAST(slot * 100 + tag AS INT) AS frag_id, text,
-  CAST(x0 AS DOUBLE) AS minx, CAST(100.0 + 20.0 * slot + y0 AS DOUBLE) AS miny,
-  CAST(x1 AS DOUBLE) AS maxx, CAST(100.0 + 20.0 * slot + y1 AS DOUBLE) AS maxy
+SELECT sheet_id AS doc_id, 1 AS page, CAST(slot * 100 + tag AS INT) AS frag_id, text, x0 AS minx, 100.0 + 20.0 * slot + y0 AS miny, x1 AS maxx, 100.0 + 20.0 * slot + y1 AS maxy
 FROM (
-SELECT sheet_id AS doc_id, 1 AS page,
-  CASE WHEN kind < 4 THEN slot WHEN row_idx = 0 THEN 25 WHEN row_idx = 2 OR sheet_id % 5 = 3 THEN slot ELSE {LABEL_SLOT} END AS slot,
-  CASE kind WHEN 0 THEN 90 WHEN 1 THEN 91 WHEN 2 THEN col_idx * 10 WHEN 3 THEN col_idx * 10 + 1
-    ELSE CASE row_idx WHEN 0 THEN 99 WHEN 2 THEN 80 ELSE 95 END END AS tag,
-  CASE kind
-    WHEN 0 THEN CASE WHEN {_WRAPPED_HEAD} THEN 'Dimen' ELSE property END
-    WHEN 1 THEN 'sions'
-    WHEN 2 THEN CASE WHEN {_WRAPPED} THEN 'approx.' ELSE value END
-    WHEN 3 THEN value
-    ELSE CASE row_idx WHEN 0 THEN concat('page ', sheet_id) WHEN 2 THEN 'note' ELSE section END END AS text,
-  CASE WHEN kind < 2 THEN 40.0 + sheet_id % 3 + 2.0 * (row_idx % 2)
-    WHEN kind = 4 THEN CASE WHEN row_idx = 0 THEN 40.0 WHEN row_idx = 2 THEN 95.0
-      WHEN sheet_id % 5 = 3 THEN 10.0 WHEN sheet_id % 5 = 4 THEN 170.0 ELSE 40.0 + sheet_id % 3 END
-    WHEN {_OVER_TWO} THEN 150.0 + 60.0 * col_idx
-    WHEN {_OVER_ALL} THEN 210.0
-    WHEN {_OVER_THREE} OR {_BETWEEN} THEN 120.0 + 60.0 * col_idx
-    WHEN {_OFF_GRID} THEN 127.0 + 60.0 * col_idx
-    WHEN {_WRAPPED} THEN 118.0 + 60.0 * col_idx + kind
-    ELSE 120.0 + 60.0 * col_idx + 0.5 * (p_partkey % 5) END AS x0,
-  CASE WHEN kind < 2 THEN 90.0
-    WHEN kind = 4 THEN CASE WHEN row_idx = 0 THEN 90.0 WHEN row_idx = 2 THEN 105.0
-      WHEN sheet_id % 5 = 3 THEN 30.0 WHEN sheet_id % 5 = 4 THEN 230.0 ELSE 90.0 END
-    WHEN {_OVER_TWO} THEN 190.0 + 60.0 * col_idx
-    WHEN {_OVER_ALL} THEN 250.0
-    WHEN {_OVER_THREE} OR {_BETWEEN} THEN 160.0 + 60.0 * col_idx
-    WHEN {_OFF_GRID} THEN 167.0 + 60.0 * col_idx
-    WHEN {_WRAPPED} THEN 158.0 + 60.0 * col_idx + kind
-    ELSE 160.0 + 60.0 * col_idx + 0.5 * (p_partkey % 5) END AS x1,
-  CASE WHEN kind < 2 AND {_WRAPPED_HEAD} THEN CASE kind WHEN 0 THEN -4.0 ELSE 4.0 END
-    WHEN kind IN (2, 3) AND {_BETWEEN} THEN 8.0
-    WHEN kind IN (2, 3) AND {_WRAPPED} THEN CASE kind WHEN 2 THEN -6.0 ELSE 4.0 END
-    ELSE 0.0 END AS y0,
-  CASE WHEN kind < 2 AND {_WRAPPED_HEAD} THEN CASE kind WHEN 0 THEN 3.0 ELSE 11.0 END
-    WHEN kind IN (2, 3) AND {_BETWEEN} THEN 18.0
-    WHEN kind IN (2, 3) AND {_WRAPPED} THEN CASE kind WHEN 2 THEN 2.0 ELSE 12.0 END
-    ELSE 10.0 END AS y1
-FROM {{v_spec_cell}} EACH(kind, 0, 4)
-WHERE (kind = 0 AND col_idx = 0)
-  OR (kind = 1 AND col_idx = 0 AND {_WRAPPED_HEAD})
-  OR (kind = 2 AND NOT ({_OVER_TWO} AND col_idx % 2 = 1) AND NOT ({_OVER_ALL} AND col_idx > 0)
-      AND NOT ({_OVER_THREE} AND col_idx % 2 = 0) AND NOT ({_OFF_GRID} AND col_idx IN (0, 3)))
-  OR (kind = 3 AND {_WRAPPED})
-  OR (kind = 4 AND col_idx = 0 AND (row_idx = 0 OR (row_idx = 2 AND sheet_id % 12 = 6) OR ({_HAS_LABEL})))
+SELECT sheet_id,
+  CASE WHEN kind < 4 THEN slot ELSE extra_slot END AS slot,
+  CASE kind WHEN 0 THEN 90 WHEN 1 THEN 91 WHEN 2 THEN col_idx * 10 WHEN 3 THEN col_idx * 10 + 1 ELSE extra_tag END AS tag,
+  CASE kind WHEN 0 THEN CASE WHEN wrapped_head THEN 'Dimen' ELSE property END WHEN 1 THEN 'sions'
+    WHEN 2 THEN CASE WHEN wrapped THEN 'approx.' ELSE value END WHEN 3 THEN value ELSE extra_text END AS text,
+  CASE WHEN kind < 2 THEN head_x WHEN kind = 4 THEN extra_x0 WHEN kind = 3 THEN cell_x + 1.0 ELSE cell_x END AS x0,
+  CASE WHEN kind < 2 THEN 90.0 WHEN kind = 4 THEN extra_x1 WHEN kind = 3 THEN cell_x + 41.0 ELSE cell_x + 40.0 END AS x1,
+  CASE WHEN kind < 2 AND wrapped_head THEN 8.0 * kind - 4.0 WHEN kind = 2 AND between_rows THEN 8.0 WHEN kind IN (2, 3) AND wrapped THEN 10.0 * kind - 26.0 ELSE 0.0 END AS y0,
+  CASE WHEN kind < 2 AND wrapped_head THEN 8.0 * kind + 3.0 WHEN kind = 2 AND between_rows THEN 18.0 WHEN kind IN (2, 3) AND wrapped THEN 10.0 * kind - 18.0 ELSE 10.0 END AS y1
+FROM ({_CELL_LAYOUT}) AS c EACH(kind, 0, 4)
+WHERE (kind = 0 AND col_idx = 0) OR (kind = 1 AND col_idx = 0 AND wrapped_head) OR (kind = 2 AND shown) OR (kind = 3 AND wrapped) OR (kind = 4 AND col_idx = 0 AND has_extra)
 ) AS f
 """
 
@@ -199,6 +181,12 @@ VIEWS: dict[str, str] = {
     "v_points": "SELECT user_id, event_id, CAST(floor(date_part('epoch', ts) / 60) AS BIGINT) AS minute, event_type, value FROM {events}",
 }
 
+# a decimal literal is written as a double, which both engines read the same way
+_DECIMAL = re.compile(r"(?<![\w.'])(\d+\.\d+)(?![\w.'])")
+VIEWS = {name: _DECIMAL.sub(r"\1e0", text) for name, text in VIEWS.items()}
+# views that turn one input row into many
+_MULTIPLIED = ("v_part", "v_glyph")
+
 _NAME = re.compile(r"\{(\w+)\}")
 # EACH(name, first, last) repeats a row for every integer of a range.
 _EACH = re.compile(r"EACH\((\w+), (\d+), (\d+|length\(\w+\))\)")
@@ -214,9 +202,17 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return table(spark, sf_dir, name)
     text = _spark_text(VIEWS[name])
     args = {n: view(spark, sf_dir, n) for n in dict.fromkeys(_NAME.findall(text))}
+    if name in _MULTIPLIED:
+        args = {n: spread(df) for n, df in args.items()}
     return spark.sql(text, **args)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table stored in fewer splits than there are cores is spread before its rows multiply."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _spark_text(text: str) -> str:
     text = text.replace("ARRAY_OF(", "array(")
     text = _EACH.sub(r"LATERAL VIEW explode(sequence(\2, \3)) _e AS \1", text)

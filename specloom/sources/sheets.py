@@ -84,7 +84,7 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table_json(spark: SparkSession, path: str, suffix: str = "*.json") -> DataFrame:
     """Nested block/line/cell files, one document each: doc_id, blocks."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", suffix).text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", suffix).text(path, wholetext=True)
     blocks = F.from_json("value", TABLE_JSON_SCHEMA)
     return files.select(F.col("_metadata.file_path").alias("doc_id"), blocks.alias("blocks"))
 
