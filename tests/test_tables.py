@@ -198,10 +198,10 @@ def page(doc, sections):
         put(model, 60 + 40 * k, 20, 80 + 40 * k, 28)
     put("5 W", 80, 60, 100, 68)  # over the first two columns
     put("7 W", 140, 60, 160, 68)
-    put("9", 100, 100, 120, 105)  # one value for all, wrapped
-    put("kg", 101, 106, 119, 112)
+    put("9", 100, 99.5, 120, 104.5)  # one value for all, wrapped
+    put("kg", 101, 103.5, 119, 110)
     put("x", 60, 140, 80, 148)
-    put("y", 107, 140, 127, 148)  # on no column and between none
+    put("y", 160, 140, 180, 148)  # right of the last column
     put("page 1", 10, 300, 40, 308)
     return out
 
