@@ -94,8 +94,7 @@ def run(
     if hot is None:
         hot = has_hot_key(df, keys, limit)
     if not hot:
-        win = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: _in_window(s, win) for name, s in steps.items()})
+        return df.withColumns({name: _in_window(s, list(keys), list(order)) for name, s in steps.items()})
     return _run_chunked(df, list(keys), list(order), steps, limit)
 
 
@@ -113,9 +112,9 @@ def totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], *, hot:
     return df.join(df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()]), list(keys))
 
 
-def _in_window(step: Step, win) -> Column:
+def _in_window(step: Step, keys: list[str], order: list[str]) -> Column:
+    win = Window.partitionBy(*keys).orderBy(*order)
     upto = win.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = win.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     match step.kind:
         case "sum":
             return F.sum(step.expr).over(upto)
@@ -132,7 +131,10 @@ def _in_window(step: Step, win) -> Column:
         case "last":
             return F.last(step.expr, ignorenulls=True).over(upto)
         case "next":
-            return F.first(step.expr, ignorenulls=True).over(onward)
+            # a frame up to the end of the key is recomputed for every row; the same frame in
+            # reverse order only grows
+            back = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+            return F.last(step.expr, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     raise ValueError(f"unknown step {step.kind}")
 
 
@@ -147,7 +149,7 @@ def _run_chunked(df, keys, order, steps, limit) -> DataFrame:
     values = {f"_v_{name}": s.expr for name, s in steps.items()}
     chunked = range_chunks(df.withColumns(values), keys, order, limit)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    local = {name: _in_window(Step(s.kind, F.col(f"_v_{name}")), inside) for name, s in steps.items()}
+    local = {name: _in_window(Step(s.kind, F.col(f"_v_{name}")), [*keys, CHUNK], order) for name, s in steps.items()}
     rows = chunked.withColumns({f"_l_{name}": expr for name, expr in local.items()})
     rows = rows.withColumns(
         {
@@ -163,7 +165,7 @@ def _run_chunked(df, keys, order, steps, limit) -> DataFrame:
     )
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = across.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *keys,
         CHUNK,
@@ -209,7 +211,7 @@ def _carry(kind: str, state: Column, across, before, after) -> Column:
         case "last":
             return F.last(state["v"], ignorenulls=True).over(before)
         case "next":
-            return F.first(state["v"], ignorenulls=True).over(after)
+            return F.last(state["v"], ignorenulls=True).over(after)
     raise ValueError(f"unknown step {kind}")
 
 
