@@ -1,0 +1,41 @@
+"""Sheets mapped as they arrive: the incremental form of the mapping stage.
+
+A file stream picks up new sheet rows once; each micro-batch is mapped as a whole and its records
+are appended, leaving out those written before (first writer wins).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
+
+from specloom.operators import mapping
+from specloom.operators.mapping import Rule
+
+ROWS = "ruleset string, sheet_id string, row_idx int, section string, property string, vals array<string>"
+
+
+def read_arrivals(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Stream of sheet rows; a sheet must arrive in one file."""
+    return spark.readStream.schema(ROWS).option("maxFilesPerTrigger", files_per_batch).json(path)
+
+
+def map_arrivals(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], out: str, checkpoint: str) -> StreamingQuery:
+    """Append the records of newly arrived sheets to `out`, then stop."""
+    spark = rows.sparkSession
+    written = T.StructType([T.StructField("sheet_id", T.StringType()), T.StructField("file_name", T.StringType())])
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        existing = spark.read.schema(written).option("recursiveFileLookup", True).json(out) if _exists(spark, out) else None
+        fresh = mapping.first_writer(mapping.map_sheets(batch, rulesets), existing)
+        fresh.write.mode("append").option("ignoreNullFields", False).json(out)
+
+    return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import json
+
+from specloom.operators.mapping import Rule
+from specloom.streaming.arrivals import map_arrivals, read_arrivals
+
+
+def write(path, sheet, models):
+    rows = [{"ruleset": "main", "sheet_id": sheet, "row_idx": 0, "section": "", "property": "Model", "vals": models}]
+    path.write_text("\n".join(json.dumps(r) for r in rows))
+
+
+def test_arrivals_are_mapped_once(spark, tmp_path):
+    rules = {"main": [Rule(["model"], row=("exact", "Model"))]}
+    (tmp_path / "in").mkdir()
+    out = str(tmp_path / "out")
+    write(tmp_path / "in" / "a.json", "s", ["A", "B"])
+    for name, models in ((None, None), ("b.json", ["B", "C"])):
+        if name:
+            write(tmp_path / "in" / name, "s", models)
+        query = map_arrivals(read_arrivals(spark, str(tmp_path / "in")), rules, out, str(tmp_path / "state"))
+        query.awaitTermination(120)
+        assert query.exception() is None
+    got = sorted((r["file_name"], r["col_idx"]) for r in spark.read.json(out).collect())
+    assert got == [("A", 0), ("B", 1), ("C", 1)]
