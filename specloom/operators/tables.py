@@ -443,9 +443,16 @@ def name_rows(frame: DataFrame, *, modes: frozenset[str], hot: bool | None = Non
         out = sections_by_empty_line(out.drop("line_label"), hot=hot)
     mode = F.col("sections")
     section = F.when(mode == EMPTY_LINE, F.col("line_label")).when(mode.isin(FIRST_COL, TABLE_CENTER), F.col("label"))
-    header = F.when(is_row(), F.struct(F.col("text").alias("property"), section.alias("section")))
-    named = scan.totals(out.filter("row_id is not null"), ROW, {"_row": F.max(header)}, hot=hot)
-    return named.select("*", F.col("_row.property").alias("property"), F.col("_row.section").alias("section")).drop("_row", "label", "line_label")
+    if "spans" not in out.columns:
+        out = out.withColumn("spans", F.lit(None).cast("array<int>"))
+    header = F.when(is_row(), F.struct(F.col("text").alias("property"), section.alias("section"), F.col("spans")))
+    return _named(out, header, hot).drop("label", "line_label")
+
+
+def _named(frame: DataFrame, header: Column, hot: bool | None) -> DataFrame:
+    placed = frame.filter("row_id is not null").withColumn("_header", header).drop("spans")
+    whole = scan.totals(placed, ROW, {"_row": F.max("_header")}, hot=hot)
+    return whole.select("*", "_row.property", "_row.section", "_row.spans").drop("_row", "_header")
 
 
 # ---- columns ------------------------------------------------------------------------
@@ -535,18 +542,15 @@ def single_joiners(joiners: DataFrame) -> DataFrame:
     return counted.filter("_n = 1").drop("_n")
 
 
-def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None, fixes: DataFrame | None = None) -> DataFrame:
-    """Column range of each merged cell: fixed by configuration, one per column, one for all, or by
-    its centre; a row that does not come out even is dropped.
+def resolve_colspans(merged: DataFrame) -> DataFrame:
+    """Column range of each merged cell: fixed by configuration (`spans` of its row), one per column,
+    one for all, or by its centre; a row that does not come out even is dropped.
 
     A row can use at most as many clusters as there are columns (or fixed spans), so the array per
     row is cut one past that count, which already marks the row as wrong.
     """
-    if fixed is None:
-        joined = merged.withColumn("spans", F.lit(None).cast("array<int>"))
-    else:
-        joined = per_sheet(merged, fixed.select(*ROW, "spans"), ROW, "left", fixes)
-    carried = [c for c in merged.columns if c not in (*ROW, "header")]
+    joined = merged if "spans" in merged.columns else merged.withColumn("spans", F.lit(None).cast("array<int>"))
+    carried = [c for c in merged.columns if c not in (*ROW, "header", "spans")]
     ranked = scan.run(joined, ROW, ["cluster_id"], {"_k": scan.position()}, hot=False)
     most = F.greatest(F.size("header"), F.coalesce(F.array_size("spans"), F.lit(0)))
     rows = ranked.filter(F.col("_k") <= most).groupBy(*ROW).agg(
@@ -569,12 +573,30 @@ def resolve_colspans(merged: DataFrame, fixed: DataFrame | None = None, fixes: D
 # ---- all together ---------------------------------------------------------------------
 
 
-def fixed_rows(frame: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Fixed spans addressed by header text to row ids (unique exact, else unique substring)."""
-    rows = frame.filter(is_row()).withColumn("frag_id", F.col("line_no"))
-    named = find_text(rows, fixes, "row_text")
-    hits = fixes.join(named, ["sheet_id", "row_text"]).select("sheet_id", F.col("row_text_box.frag_id").alias("row_id"), "spans")
-    return hits.filter("row_id is not null")
+def fixed_spans(frame: DataFrame, fixes: DataFrame, *, hot: bool = False) -> DataFrame:
+    """Put fixed spans on the row headers they name: unique exact text, else unique substring.
+
+    Only sheets with a fix gather their header texts. With a hot sheet the names are looked up by
+    join instead.
+    """
+    if hot:
+        frame = stable(frame)
+        named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
+        hits = fixes.join(named, ["sheet_id", "row_text"]).filter("row_text_box.frag_id is not null")
+        at = hits.select("sheet_id", F.lit("row").alias("kind"), F.col("row_text_box.frag_id").alias("line_no"), "spans")
+        return frame.join(at, ["sheet_id", "kind", "line_no"], "left")
+    by_one = fixes.groupBy("sheet_id").agg(F.collect_list(F.struct("row_text", "spans")).alias("_fixes"))
+    joined = per_sheet(frame, by_one, SHEET, "left", fixes)
+    wanted = F.when(is_row() & F.col("_fixes").isNotNull(), F.col("text"))
+    gathered = scan.totals(joined, SHEET, {"_texts": F.collect_list(wanted)}, hot=False)
+
+    def names_this(fix: Column) -> Column:
+        exact = F.size(F.filter("_texts", lambda t: t == fix["row_text"]))
+        similar = F.size(F.filter("_texts", lambda t: F.contains(t, fix["row_text"])))
+        return F.when(exact == 1, F.col("text") == fix["row_text"]).otherwise((similar == 1) & F.contains("text", fix["row_text"]))
+
+    spans = F.try_element_at(F.filter("_fixes", names_this), F.lit(-1))["spans"]
+    return gathered.withColumn("spans", F.when(is_row(), spans)).drop("_fixes", "_texts")
 
 
 def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *, added: DataFrame | None = None, hot: bool = False) -> DataFrame:
@@ -596,7 +618,7 @@ def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bo
     """Cells of named rows merged per column cluster, with the column centres of their sheet."""
     clustered = row_clusters(named.filter(is_cell()), hot=hot)
     kept = drop_early_cells(header_centres(clustered, hot=hot))
-    return merge_cells(kept, joiners, ["section", "header"])
+    return merge_cells(kept, joiners, ["section", "header", "spans"])
 
 
 def sheet_cells(
@@ -613,9 +635,10 @@ def sheet_cells(
         hot = scan.has_hot_key(fragments, ["doc_id", "page"])
     settings = settings_of(config)
     lined = lined_frame(fragments, config, settings, added=added, hot=hot)
+    if fixed is not None:
+        lined = fixed_spans(lined, fixed, hot=hot)
     named = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
-    merged = place_columns(named, joiners, hot=hot)
-    cells = certain_cells(resolve_colspans(merged, fixed_rows(lined, fixed) if fixed is not None else None, fixed))
+    cells = certain_cells(resolve_colspans(place_columns(named, joiners, hot=hot)))
     return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
 
 

@@ -182,11 +182,10 @@ class Pages:
     def settled(self):
         return T.settle_rows(self.lined(), hot=self.hot)
 
-    def named(self):
-        return T.name_rows(self.settled(), modes=self.settings.modes, hot=self.hot)
-
     def merged(self):
-        return T.place_columns(self.named(), self.get("v_joiner"), hot=self.hot)
+        fixed = T.fixed_spans(self.lined(), self.get("v_fixed"), hot=self.hot)
+        named = T.name_rows(T.settle_rows(fixed, hot=self.hot), modes=self.settings.modes, hot=self.hot)
+        return T.place_columns(named, self.get("v_joiner"), hot=self.hot)
 
     def cells(self):
         return T.sheet_cells(self.fragments, self.config, fixed=self.get("v_fixed"), joiners=self.get("v_joiner"), hot=self.hot)
@@ -277,7 +276,7 @@ def drop_early_cells(spark, sf):
 @query("resolve_colspans", SPANNED + " SELECT sheet_id, row_id, centre, CAST(col_from AS INT) AS col_from, CAST(col_to AS INT) AS col_to FROM ranges JOIN clu_centre USING (sheet_id, row_id, cluster_id)")
 def resolve_colspans(spark, sf):
     p = Pages(spark, sf)
-    ranges = T.resolve_colspans(p.merged(), T.fixed_rows(p.lined(), p.get("v_fixed")), p.get("v_fixed"))
+    ranges = T.resolve_colspans(p.merged())
     return ranges.select("sheet_id", "row_id", "centre", "col_from", "col_to")
 
 
