@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from specloom.operators import scan
 from specloom.session import hot_rows, stable
 
+# A run of distinct values longer than this is not folded as an array.
+FOLD_VALUES = 10_000
+
 
 def merge_adjacent(
     df: DataFrame,
@@ -65,7 +68,7 @@ def cluster_anchor(df: DataFrame, keys: Sequence[str], value: str, eps: float, *
     limit = hot_rows(df.sparkSession) if limit is None else limit
     values = df.select(*keys, value).distinct()
     runs = cluster_gap(values, keys, value, [], eps, name="_run", limit=limit)
-    if scan.has_hot_key(runs, [*keys, "_run"], limit):
+    if scan.has_hot_key(runs, [*keys, "_run"], min(limit, FOLD_VALUES)):
         starts = _starts_by_doubling(runs, keys, value, eps, limit)
     else:
         starts = _starts_by_fold(runs, keys, value, eps)

@@ -403,7 +403,8 @@ def _search_rows(frame: DataFrame) -> DataFrame:
     ranged = scan.totals(frame, SHEET, {"_ranges": F.collect_list(one)}, hot=False)
     fits = F.filter("_ranges", lambda r: (r["bound"] <= F.col("miny")) & (F.col("maxy") <= r["bound_stop"]))
     first = F.array_min(F.transform(fits, lambda r: r["line_no"]))
-    return ranged.withColumn("_searched", F.when(F.col("_search") & is_cell(), first)).drop("_ranges")
+    asked = F.col("_search") & is_cell() & (F.col("lo") < F.col("hi"))
+    return ranged.withColumn("_searched", F.when(asked, first)).drop("_ranges")
 
 
 def _search_rows_joined(frame: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # A key with more rows than this is cut into range chunks before a window runs over it.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 200_000
 # A side is broadcast only after a bounded count proved it has at most this many rows.
 BROADCAST_ROWS = 100_000
 
