@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from specloom.llm import bpe
 from specloom.llm.langid import identify, learn
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
 
 __all__ = ["ORACLES", "QUERIES"]
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,3 +31,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = learn(docs.where(~held_out).select("lang", "text"))
     found = docs.select("doc_id", held_out.alias("held_out"), identify(samples, F.col("text")).alias("found"))
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(spark, path, F.col("text")).alias("ids"))
+    both = encoded.select("doc_id", "ids", bpe.decode(spark, path, F.col("ids")).alias("decoded"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.array_join("ids", ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
