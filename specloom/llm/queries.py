@@ -10,6 +10,7 @@ from specloom.llm import bpe
 from specloom.llm.langid import identify, learn
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
+from specloom.llm.tokencount import count_tokens
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -40,3 +41,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = encoded.select("doc_id", "ids", bpe.decode(spark, path, F.col("ids")).alias("decoded"))
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.array_join("ids", ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query("op7_tokens")
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = count_tokens(spark, public_tokenizers.path(TOKENIZER), F.col("text"))
+    counted = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), n.alias("n_tokens"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
