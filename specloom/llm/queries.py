@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specloom.llm import bpe
+from specloom.llm import bpe, htmltext
 from specloom.llm.langid import identify, learn
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
@@ -48,3 +48,10 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = count_tokens(spark, public_tokenizers.path(TOKENIZER), F.col("text"))
     counted = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), n.alias("n_tokens"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query("op1_html")
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = table(spark, sf_dir, "pages").select("page_id", "url", htmltext.block_column(F.col("html")).alias("blocks"))
+    text = cut.select("page_id", "url", htmltext.main_text(F.col("blocks")).alias("text"))
+    return text.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
