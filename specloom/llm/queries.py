@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.llm import bpe, htmltext
+from specloom.llm.ann import Index
 from specloom.llm.langid import identify, learn
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
@@ -55,3 +56,9 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = table(spark, sf_dir, "pages").select("page_id", "url", htmltext.block_column(F.col("html")).alias("blocks"))
     text = cut.select("page_id", "url", htmltext.main_text(F.col("blocks")).alias("text"))
     return text.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op9_ann")
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return Index(vectors, k=20).search(vectors.where("vec_id % 20 = 0"))
