@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from specloom.llm import bpe, htmltext
 from specloom.llm.ann import Index
 from specloom.llm.langid import identify, learn
+from specloom.llm.linededup import dedup_lines
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
 from specloom.llm.tokencount import count_tokens
@@ -62,3 +63,28 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return Index(vectors, k=20).search(vectors.where("vec_id % 20 = 0"))
+
+
+@query(
+    "op5_lines",
+    r"""
+    WITH docs AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+    lines AS (
+      SELECT doc_id, source, i AS pos, trim(ls[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+      FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS i FROM docs)),
+    known AS (SELECT line, min(doc_id) AS first_doc FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5),
+    marked AS (
+      SELECT l.doc_id, l.pos, l.line <> '' AS filled,
+        k.line IS NOT NULL AND NOT (l.doc_id = k.first_doc AND l.pos = min(l.pos) OVER (PARTITION BY l.doc_id, l.line)) AS gone
+      FROM lines l LEFT JOIN known k ON l.line = k.line),
+    kept AS (
+      SELECT d.doc_id, count(*) FILTER (m.filled) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
+        coalesce(string_agg(d.ls[m.pos], chr(10) ORDER BY m.pos) FILTER (NOT m.gone), '') AS kept
+      FROM docs d JOIN marked m ON d.doc_id = m.doc_id GROUP BY d.doc_id)
+    SELECT doc_id, n_lines::INT AS n_lines, n_removed::INT AS n_removed, length(kept)::INT AS kept_chars, sha256(kept) AS kept_sha256 FROM kept
+    """,
+)
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    text = F.coalesce("kept_text", F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_removed", F.char_length(text).alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))

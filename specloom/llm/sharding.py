@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm.joins import without
 from specloom.session import stable
 
 ROUNDS = 6
@@ -118,13 +119,12 @@ def number_rows(rows: DataFrame, name: str = "row_number") -> tuple[DataFrame, i
 def feistel_shards(rows: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """Every row with `row_number`, `shard` (0 .. shards-1) and `slot` (gapless from 0 in its shard).
 
-    Shard sizes differ by at most one row. Columns of the input with these names are refused, as the
-    result would hold them twice.
+    Shard sizes differ by at most one row. Input columns of these names are left out, also from the
+    order that numbers the rows.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    if taken := {"row_number", "shard", "slot"} & {c.lower() for c in rows.columns}:
-        raise ValueError(f"columns {sorted(taken)} are in the way")
+    rows = without(rows, "row_number", "shard", "slot", "_place", "_copies", "_bucket")
     numbered, n = number_rows(rows)
 
     @F.pandas_udf("bigint")

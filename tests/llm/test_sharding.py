@@ -42,5 +42,7 @@ def test_empty_and_clash(spark):
     df = spark.createDataFrame([], "doc_id bigint")
     assert number_rows(df)[1] == 0
     assert feistel_shards(df, 4).count() == 0
+    clash = feistel_shards(spark.createDataFrame([(1, 5), (2, 6)], "doc_id int, SHARD int"), 4).collect()
+    assert sorted((r.doc_id, r.row_number) for r in clash) in ([(1, 0), (2, 1)], [(1, 1), (2, 0)]) and all(r.slot == 0 for r in clash)
     with pytest.raises(ValueError):
-        feistel_shards(spark.createDataFrame([(1,)], "shard int"), 4)
+        feistel_shards(df, 0)
