@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from specloom.llm import bpe, htmltext
 from specloom.llm.ann import Index
+from specloom.llm.decontam import leaks
 from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
 from specloom.llm.registry import ORACLES, QUERIES, query, table
@@ -88,3 +89,35 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     text = F.coalesce("kept_text", F.lit(""))
     return kept.select("doc_id", "n_lines", "n_removed", F.char_length(text).alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op10_decontam",
+    r"""
+    WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+    i AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    ish AS (SELECT item_id, n, p, list_slice(w, p, p + 4) AS s FROM (SELECT item_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS p FROM i)),
+    dsh AS (SELECT doc_id, n, p, list_slice(w, p, p + 4) AS s FROM (SELECT doc_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS p FROM d)),
+    spans AS (
+      SELECT DISTINCT dsh.doc_id, ish.item_id, ish.n, greatest(0, least(dsh.p - ish.p, dsh.n - ish.n)) AS start
+      FROM dsh JOIN ish ON dsh.s = ish.s),
+    win AS (
+      SELECT spans.doc_id, spans.item_id, spans.n, spans.start, dsh.s, count(*) AS c
+      FROM spans JOIN dsh ON spans.doc_id = dsh.doc_id AND dsh.p > spans.start AND dsh.p <= spans.start + spans.n - 4
+      GROUP BY ALL),
+    tot AS (SELECT doc_id, item_id, n, start, sum(c) AS t FROM win GROUP BY ALL),
+    ic AS (SELECT item_id, s, count(*) AS c FROM ish GROUP BY ALL),
+    it AS (SELECT item_id, sum(c) AS t FROM ic GROUP BY ALL),
+    shared AS (
+      SELECT win.doc_id, win.item_id, win.n, win.start, sum(least(win.c, ic.c)) AS x
+      FROM win JOIN ic ON win.item_id = ic.item_id AND win.s = ic.s GROUP BY ALL),
+    found AS (
+      SELECT s.doc_id, s.item_id, s.n, s.start, s.x / (tot.t + it.t - s.x) AS sim
+      FROM shared s JOIN tot ON s.doc_id = tot.doc_id AND s.item_id = tot.item_id AND s.n = tot.n AND s.start = tot.start JOIN it ON s.item_id = it.item_id)
+    SELECT doc_id, item_id, n::INT AS n_words, min(start) FILTER (sim = best)::INT AS start, best AS similarity
+    FROM (SELECT *, max(sim) OVER (PARTITION BY doc_id, item_id) AS best FROM found) WHERE best >= 0.8 GROUP BY doc_id, item_id, n, best
+    """,
+)
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, t).select(i, "text") for t, i in (("documents", "doc_id"), ("benchmark", "item_id")))
+    return leaks(docs, items)
