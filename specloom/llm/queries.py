@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from specloom.llm import bpe, htmltext
 from specloom.llm.ann import Index
 from specloom.llm.decontam import leaks
+from specloom.llm.jaccard import similar_groups
 from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
 from specloom.llm.registry import ORACLES, QUERIES, query, table
@@ -121,3 +122,8 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, t).select(i, "text") for t, i in (("documents", "doc_id"), ("benchmark", "item_id")))
     return leaks(docs, items)
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
