@@ -14,6 +14,7 @@ from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
+from specloom.llm.suffixdedup import dedup_spans
 from specloom.llm.tokencount import count_tokens
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -127,3 +128,12 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard")
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op3_suffix")
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lost = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["begin"])
+    kept = F.coalesce("kept", F.lit("").cast("binary"))
+    out = done.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), lost.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+    return out
