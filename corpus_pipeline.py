@@ -1,8 +1,99 @@
-"""Corpus pipeline and registration of the training-data queries."""
+"""Corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination, tokens.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of
+`documents`; the last returns token ids. `run` writes every stage as Parquet into the shared folder and
+reads it again for the next, so a lost executor costs at most the stage that runs.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from specloom.llm import bpe
+from specloom.llm.decontam import leaks
+from specloom.llm.jaccard import similar_groups
+from specloom.llm.joins import broadcast_if_small
+from specloom.llm.langid import UNKNOWN, identify, learn
+from specloom.llm.linededup import dedup_lines
 from specloom.llm.queries import ORACLES as LLM_ORACLES
 from specloom.llm.queries import QUERIES as LLM_QUERIES
+from specloom.llm.queries import TOKENIZER
+from specloom.llm.registry import table
+from specloom.session import shared_dir, stable
+
+__all__ = ["LLM_ORACLES", "LLM_QUERIES", "ORACLE_SQL", "STAGES", "run"]
+
+# The language model of the first stage and the tokenizer of the last cannot be said in SQL.
+ORACLE_SQL = None
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found: those without text or without a letter go. The model is
+    learned from the labelled documents; a missing label is filled in."""
+    samples = learn(docs.select("lang", "text"))
+    found = docs.withColumn("_found", identify(samples, F.col("text")))
+    kept = found.where(F.col("_found.lang") != UNKNOWN)
+    return kept.select(*[F.coalesce("lang", "_found.lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of many sites stay at their first place only; a document that loses all its lines goes."""
+    done = dedup_lines(docs).where((F.col("n_lines") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    return done.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays, of equal rows one. Documents
+    without words stay, and those without an id that are linked with none that has one."""
+    groups = stable(similar_groups(docs.select("doc_id", "text")))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    lost = groups.where(~first).select("row_key").distinct()
+    again = groups.where(first & F.col("doc_id").isNotNull()).groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    kept = keyed.join(broadcast_if_small(stable(lost)), "row_key", "left_anti")
+    if not again.isEmpty():
+        again = broadcast_if_small(stable(again))
+        one = kept.join(again, "row_key", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(again, "row_key", "left_anti").unionByName(one)
+    return kept.select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    found = leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return docs.join(broadcast_if_small(stable(found.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether they decode to its text."""
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"), bpe.encode(spark, path, F.col("text")).alias("ids"))
+    back = encoded.select("*", bpe.decode(spark, path, F.col("ids")).alias("_back"))
+    return back.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", (F.col("_back") == F.col("text")).alias("round_trip"))
+
+
+STAGES = [
+    ("language_id", language),
+    ("line_dedup", lines),
+    ("jaccard_dedup", near_duplicates),
+    ("decontamination", decontaminate),
+    ("bpe_tokens", tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    top = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        path = f"{top}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
+
 
-__all__ = ["LLM_ORACLES", "LLM_QUERIES"]
+LLM_QUERIES["pipeline"] = run

@@ -285,10 +285,11 @@ def _fitting(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its set of `width`-word shingles
-    (A-Z lowered, words between ASCII blanks), and the smallest id reachable over pairs whose sets have
-    100 * shared >= percent * joint. Rows without words are linked with nothing, equal sets are linked;
-    null ids stay null and give no component its name unless there is no other."""
+    """(doc_id, n_shingles, component_id, row_key) of every row: the size of its set of `width`-word
+    shingles (A-Z lowered, words between ASCII blanks), and the smallest id reachable over pairs whose
+    sets have 100 * shared >= percent * joint; row_key is xxhash64 of id and text. Rows without words are
+    linked with nothing, equal sets are linked; null ids stay null and give no component its name unless
+    there is no other."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("rep"))
     base = source.select("doc_id", "rep", classes(F.col("text"), width).alias("set")).select("doc_id", "rep", "set.n", "set.name")
     base = stable(base)
@@ -331,4 +332,5 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_copies = known.where("copies > 1").select("name", F.col("low").alias("own"))
     named = of_copies.join(of_linked, "name", "full").select("name", F.coalesce("component_id", "own").alias("component_id"))
     out = base.join(broadcast_if_small(stable(named)), "name", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"))
+    component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("rep").alias("row_key"))
