@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from specloom.functions.text import any_of
 
-def _field(name: str, kind: T.DataType, units: str | None = None, about: str | None = None) -> T.StructField:
-    meta = {k: v for k, v in (("units", units), ("description", about)) if v}
-    return T.StructField(name, kind, True, meta)
+
+
+def _field(name: str, kind: T.DataType, units: str | None = None) -> T.StructField:
+    return T.StructField(name, kind, True, {"units": units} if units else {})
 
 
 def _range(kind: T.DataType) -> T.StructType:
@@ -32,15 +33,15 @@ DEVICE = T.StructType(
             "pv_input",
             T.StructType(
                 [
-                    _field("v_nom", _INT, "V", "nominal voltage"),
-                    _field("v_crit", _range(_INT), "V", "allowed voltage range"),
-                    _field("v_mppt", _range(_INT), "V", "tracking voltage range"),
-                    _field("v_start", _range(_INT), "V", "switch-on voltage range"),
-                    _field("w_max", _INT, "W", "highest input power"),
-                    _field("i_nom", T.ArrayType(_DOUBLE), "A", "nominal current per string"),
-                    _field("i_sc", T.ArrayType(_DOUBLE), "A", "short-circuit current per string"),
-                    _field("n_mppt", _INT, "n", "number of trackers"),
-                    _field("n_str", T.ArrayType(_INT), "n", "strings per tracker"),
+                    _field("v_nom", _INT, "V"),
+                    _field("v_crit", _range(_INT), "V"),
+                    _field("v_mppt", _range(_INT), "V"),
+                    _field("v_start", _range(_INT), "V"),
+                    _field("w_max", _INT, "W"),
+                    _field("i_nom", T.ArrayType(_DOUBLE), "A"),
+                    _field("i_sc", T.ArrayType(_DOUBLE), "A"),
+                    _field("n_mppt", _INT, "n"),
+                    _field("n_str", T.ArrayType(_INT), "n"),
                 ]
             ),
         ),
@@ -48,12 +49,12 @@ DEVICE = T.StructType(
             "battery_input",
             T.StructType(
                 [
-                    _field("v_nom", _INT, "V", "nominal battery voltage"),
-                    _field("v_range", _range(_INT), "V", "supported battery voltage"),
-                    _field("i_charge_ac", _DOUBLE, "A", "charge current from the grid"),
-                    _field("i_charge_pv", _DOUBLE, "A", "charge current from the panels"),
-                    _field("i_invert", _DOUBLE, "A", "discharge current"),
-                    _field("w_invert", _INT, "W", "discharge power"),
+                    _field("v_nom", _INT, "V"),
+                    _field("v_range", _range(_INT), "V"),
+                    _field("i_charge_ac", _DOUBLE, "A"),
+                    _field("i_charge_pv", _DOUBLE, "A"),
+                    _field("i_invert", _DOUBLE, "A"),
+                    _field("w_invert", _INT, "W"),
                 ]
             ),
         ),
@@ -108,10 +109,18 @@ def coerce(values: Column, kind: T.DataType) -> Column:
     return coerce_one(F.try_element_at(values, F.lit(1)), kind)
 
 
+# Texts that are whole and decimal numbers.
+WHOLE_RE = r"^[+-]?[0-9]+$"
+DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def coerce_one(text: Column, kind: T.DataType) -> Column:
+    """The text as the type, or null where it is no number of that kind; a cast alone would also take
+    suffixes such as 20d."""
     if isinstance(kind, T.StringType):
         return text
-    return F.btrim(text).try_cast(kind)
+    bare = F.btrim(text)
+    return F.when(bare.rlike(WHOLE_RE if isinstance(kind, T.IntegerType) else DECIMAL_RE), bare.try_cast(kind))
 
 
 def is_bad(values: Column, kind: T.DataType) -> Column:

@@ -64,13 +64,23 @@ def sanitise_group(group: Column) -> Column:
     return F.replace(group, F.lit("/"), F.lit("_"))
 
 
+# A placeholder of a template.
+PLACEHOLDER_RE = r"\{([^{}]*)\}"
+
+
 def fill_template(template: Column, props: Column) -> Column:
-    """Replace each '{name}' with the property of that name."""
-    return F.reduce(
-        F.map_entries(props),
-        template,
-        lambda text, kv: F.replace(text, F.concat(F.lit("{"), kv["key"], F.lit("}")), F.coalesce(kv["value"], F.lit(""))),
-    )
+    """Put the property of its name in place of each '{name}', all in one pass: what a property holds is
+    not looked at again. An unknown name gives nothing; `unknown_names` lists those."""
+    between = F.split(template, PLACEHOLDER_RE, -1)
+    names = F.regexp_extract_all(template, F.lit(PLACEHOLDER_RE), F.lit(1))
+    values = F.transform(names, lambda n: F.coalesce(F.try_element_at(props, n), F.lit("")))
+    return F.array_join(F.flatten(F.zip_with(between, values, lambda t, v: F.array(t, F.coalesce(v, F.lit(""))))), "")
+
+
+def unknown_names(template: Column, props: Column) -> Column:
+    """Placeholders of a template that are no property."""
+    names = F.regexp_extract_all(template, F.lit(PLACEHOLDER_RE), F.lit(1))
+    return F.array_distinct(F.filter(names, lambda n: ~F.map_contains_key(props, n)))
 
 
 def output_path(stem: Column, group: Column, stage: Column, filename: Column, ext: Column) -> Column:
@@ -124,18 +134,6 @@ def size_mm(text: Column) -> Column:
     )
 
 
-def join_ordered(pieces: Column, sep: str | Column = " ") -> Column:
-    """Text of an array of structs sorted by the structs, whose last field is `text`."""
-    texts = F.transform(F.array_sort(pieces), lambda s: s["text"])
-    if isinstance(sep, Column):
-        return F.reduce(
-            texts,
-            F.lit(None).cast("string"),
-            lambda acc, t: F.when(acc.isNull(), t).otherwise(F.concat(acc, sep, t)),
-        )
-    return F.array_join(texts, sep)
-
-
 def any_of(conditions: Iterable[Column]) -> Column:
     out = F.lit(False)
     for c in conditions:

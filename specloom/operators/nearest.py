@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specloom.functions import bbox
 from specloom.operators import scan
 
 PAGE = ["doc_id", "page"]
 BOX = ["minx", "miny", "maxx", "maxy"]
-BANDS = 64  # bands a page is cut into across the search direction
-
-# Per direction: the axis searched along, the axis shared, and whether smaller positions come first.
-_ALONG = {"right": ("x", "y", True), "left": ("x", "y", False), "up": ("y", "x", True), "down": ("y", "x", False)}
+BAND_FRAGMENTS = 4  # a page is cut into bands of about so many fragments, across the search direction
 
 
 def page_boxes(fragments: DataFrame) -> DataFrame:
@@ -24,14 +22,8 @@ def page_boxes(fragments: DataFrame) -> DataFrame:
 
 def search_box(direction: str, grow: float) -> dict[str, Column]:
     """Strip of the page on one side of the anchor, grown by an amount on all sides."""
-    side = {
-        "right": ("a_maxx", "a_miny", "page_maxx", "a_maxy"),
-        "left": ("page_minx", "a_miny", "a_minx", "a_maxy"),
-        "up": ("a_minx", "a_maxy", "a_maxx", "page_maxy"),
-        "down": ("a_minx", "page_miny", "a_maxx", "a_miny"),
-    }[direction]
-    minx, miny, maxx, maxy = (F.col(c) for c in side)
-    return {"s_minx": minx - grow, "s_miny": miny - grow, "s_maxx": maxx + grow, "s_maxy": maxy + grow}
+    sides = bbox.strip({c: F.col(f"a_{c}") for c in BOX}, {c: F.col(f"page_{c}") for c in BOX}, direction)
+    return {f"s_{c}": sides[c] + (grow if c.startswith("max") else -grow) for c in BOX}
 
 
 def _hit(how: str) -> Column:
@@ -58,17 +50,20 @@ def nearest_fragment(
     first. Strip and candidates meet in bands across the strip (an equi join on page and band), and
     only the best candidate per anchor leaves a task. Ties go to the smaller frag_id.
     """
-    axis, across, ascending = _ALONG[direction]
+    axis, sign = bbox.DIRECTIONS[direction]
+    across = "y" if axis == "x" else "x"
     lo, hi = f"min{across}", f"max{across}"
-    spread = pages.withColumn("_h", F.greatest((F.col(f"page_max{across}") - F.col(f"page_min{across}")) / BANDS, F.lit(1.0)))
+    counted = fragments.groupBy(*PAGE).agg(F.ceil(F.count(F.lit(1)) / BAND_FRAGMENTS).alias("_bands"))
+    height = (F.col(f"page_max{across}") - F.col(f"page_min{across}")) / F.col("_bands")
+    spread = pages.join(counted, PAGE).withColumn("_h", F.greatest(height, F.lit(1e-6)))
     band = lambda c: F.floor((c - F.col(f"page_min{across}")) / F.col("_h"))
-    first, last = F.lit(0).cast("long"), F.lit(BANDS - 1).cast("long")
+    first, last = F.lit(0).cast("long"), F.col("_bands") - 1
     clamp = lambda c: F.greatest(F.least(c, last), first)
 
     folded = fragments.filter(F.col("text").rlike(pattern)).groupBy(*PAGE, *BOX).agg(
         F.min(F.struct("frag_id", "text")).alias("_f"), F.count(F.lit(1)).alias("_copies")
     )
-    placed = folded.join(spread.select(*PAGE, "_h", f"page_min{across}"), PAGE)
+    placed = folded.join(spread.select(*PAGE, "_h", "_bands", f"page_min{across}"), PAGE)
     if how == "contains":
         # a contained candidate has its leading edge inside the strip: one band is enough
         entered = placed.withColumn("_band", clamp(band(F.col(lo))))
@@ -81,18 +76,13 @@ def nearest_fragment(
     bands = F.sequence(clamp(band(F.col(f"s_{lo}"))), clamp(band(F.col(f"s_{hi}"))))
     strips = strips.withColumn("_band", F.explode(bands)).select(*PAGE, "anchor_id", "_band", *[f"s_{c}" for c in BOX])
 
-    position = F.col("minx" if axis == "x" else "miny") * (1 if ascending else -1)
+    position = F.col("minx" if axis == "x" else "miny") * sign
     pairs = strips.join(entered, [*PAGE, "_band"]).filter(_hit(how) & met)
     best = F.min(F.struct(position.alias("at"), F.col("_f.frag_id").alias("frag_id"), F.col("_f.text").alias("text")))
     found = pairs.groupBy(*PAGE, "anchor_id").agg(F.sum("_copies").alias("n_found"), best.alias("_b"))
     return found.select(*PAGE, "anchor_id", "n_found", F.col("_b.frag_id").alias("frag_id"), F.col("_b.text").alias("text"))
 
 
-def match_text(text: Column, pattern: str, groups: int) -> Column:
-    """Matched part of a text: the group if the pattern has exactly one, else the whole match."""
-    return F.regexp_extract(text, pattern, 1 if groups == 1 else 0)
-
-
 def first_by_extreme(fragments: DataFrame, side: str, eps: float, *, largest: bool = False, hot: bool | None = None) -> DataFrame:
     """Fragments less than eps from the outermost one of a page, numbered along the other axis."""
     edge = F.max(side) if largest else F.min(side)

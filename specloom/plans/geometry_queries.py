@@ -37,7 +37,7 @@ def bbox_scalars(spark, sf):
     g4 = B.grow(b, F.lit(1.0), F.lit(2.0), F.lit(3.0), F.lit(4.0))
     u = B.union(b, B.box(F.lit(100.0), F.lit(150.0), F.lit(110.0), F.lit(220.0)))
     right, left, up, down = (B.beside(b, page, d) for d in ("right", "left", "up", "down"))
-    span = B.span(b["miny"], b["maxy"], "y")
+    span = B.only(b, "y")
     return _boxed(spark, sf).select(
         "doc_id",
         "frag_id",
@@ -88,7 +88,7 @@ def _nearest_sql(strip: str, hit: str, order: str, pattern: str) -> str:
     return (
         FRAG
         + f""", pg AS (SELECT doc_id, page, min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM v_fragment GROUP BY 1, 2),
-a AS (SELECT f.doc_id, f.page, f.frag_id AS anchor_id, {strip} FROM v_fragment f JOIN pg ON pg.doc_id = f.doc_id AND pg.page = f.page WHERE f.frag_id % 100 = 90),
+a AS (SELECT f.doc_id, f.page, f.frag_id AS anchor_id, {strip} FROM v_fragment f JOIN pg ON pg.doc_id = f.doc_id AND pg.page = f.page),
 hit AS (SELECT a.doc_id, a.page, a.anchor_id, c.frag_id, c.text, {order} AS pos FROM a JOIN v_fragment c ON c.doc_id = a.doc_id AND c.page = a.page AND {hit} AND regexp_matches(c.text, '{pattern}'))
 SELECT doc_id, page, anchor_id, count(*) AS n_found, arg_min(frag_id, [pos, frag_id]) AS frag_id, arg_min(text, [pos, frag_id]) AS text FROM hit GROUP BY 1, 2, 3"""
     )
@@ -100,7 +100,7 @@ _TOUCH = "greatest(a.sx0, c.minx) < least(a.sx1, c.maxx) AND greatest(a.sy0, c.m
 
 def _nearest(spark, sf, direction, **options):
     f = view(spark, sf, "v_fragment")
-    anchors = f.filter("frag_id % 100 = 90").select("doc_id", "page", F.col("frag_id").alias("anchor_id"), *[F.col(c).alias(f"a_{c}") for c in T.BOX])
+    anchors = f.select("doc_id", "page", F.col("frag_id").alias("anchor_id"), *[F.col(c).alias(f"a_{c}") for c in T.BOX])
     return nearest.nearest_fragment(anchors, f, direction, pages=nearest.page_boxes(f), **options)
 
 
@@ -109,7 +109,7 @@ def _nearest(spark, sf, direction, **options):
     _nearest_sql("f.maxx - 7 AS sx0, f.miny - 7 AS sy0, pg.x1 + 7 AS sx1, f.maxy + 7 AS sy1", _IN, "c.minx", "."),
 )
 def nearest_fragment(spark, sf):
-    """First fragment to the right of each row header."""
+    """First fragment to the right of each fragment."""
     return _nearest(spark, sf, "right", grow=7.0, pattern=".")
 
 
@@ -131,15 +131,16 @@ def first_by_extreme(spark, sf):
     return nearest.first_by_extreme(view(spark, sf, "v_fragment"), "minx", 10).select("doc_id", "page", "frag_id", "text", "position")
 
 
-_SEQ = FRAG + """, s AS (SELECT doc_id, page, miny, CAST(frag_id AS INT) AS seq_id FROM v_fragment WHERE frag_id % 100 = 90),
+_SEQ = FRAG + """, s AS (SELECT doc_id, page, miny, CAST(frag_id AS INT) AS seq_id FROM (SELECT *, min(minx) OVER (PARTITION BY doc_id, page) AS edge FROM v_fragment) WHERE abs(minx - edge) < 10),
 d AS (SELECT f.doc_id, f.page, f.frag_id, s.seq_id, abs(s.miny - f.miny) AS dist FROM v_fragment f JOIN s ON s.doc_id = f.doc_id AND s.page = f.page)
 SELECT doc_id, page, CAST(frag_id AS BIGINT) AS frag_id, CASE WHEN min(dist) < 10 THEN arg_min(seq_id, [dist, CAST(seq_id AS DOUBLE)]) END AS seq_id FROM d GROUP BY 1, 2, 3"""
 
 
 @query("match_sequence", _SEQ)
 def match_sequence(spark, sf):
+    """Nearest line of the outermost column for each fragment."""
     f = view(spark, sf, "v_fragment")
-    heads = f.filter("frag_id % 100 = 90").select("doc_id", "page", "miny", F.col("frag_id").alias("seq_id"))
+    heads = nearest.first_by_extreme(f, "minx", 10).select("doc_id", "page", "miny", F.col("frag_id").alias("seq_id"))
     return nearest.nearest_in_sequence(f, heads, ["doc_id", "page"], "miny", 10)
 
 
