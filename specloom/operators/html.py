@@ -12,8 +12,9 @@ NO_SECTION = "none"  # fixed value: section of rows above the first section row
 
 
 def chain_tables(rows: DataFrame) -> DataFrame:
-    """Rows of all tables of a page one after another; row 0 is the header of the first table."""
-    return scan.run(rows, PAGE, ["table_idx", "row_idx"], {"seq": scan.position()}, hot=False)
+    """Rows of all tables of a page one after another, without the first table's first row, its header."""
+    body = rows.filter((F.col("table_idx") > 0) | (F.col("row_idx") > 0))
+    return scan.run(body, PAGE, ["table_idx", "row_idx"], {"seq": scan.position()}, hot=False)
 
 
 def _total(cells: Column) -> Column:

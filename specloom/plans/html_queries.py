@@ -10,7 +10,7 @@ from specloom.plans.registry import query
 from specloom.plans.views import SHEET_COLUMNS, ctes, view
 from specloom.sources import html as source
 
-_TAGLESS = "trim(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&amp;', '&'))"
+_TAGLESS = "trim(replace(replace(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&#8211;', '–'), '&deg;', '°'), '&amp;', '&'))"
 CELLS = (
     ctes("v_html")
     + f""",
@@ -28,7 +28,7 @@ def src_html_tables(spark, sf):
     return source.table_cells(view(spark, sf, "v_html"))
 
 
-@query("chain_tables", CELLS + " SELECT page_id, table_idx, row_idx, CAST(row_number() OVER (PARTITION BY page_id ORDER BY table_idx, row_idx) - 1 AS INT) AS seq FROM (SELECT DISTINCT page_id, table_idx, row_idx FROM cell)")
+@query("chain_tables", CELLS + " SELECT page_id, table_idx, row_idx, CAST(row_number() OVER (PARTITION BY page_id ORDER BY table_idx, row_idx) - 1 AS INT) AS seq FROM (SELECT DISTINCT page_id, table_idx, row_idx FROM cell WHERE table_idx > 0 OR row_idx > 0)")
 def chain_tables(spark, sf):
     rows = source.table_rows(view(spark, sf, "v_html"))
     return H.chain_tables(rows).select("page_id", "table_idx", "row_idx", "seq")

@@ -102,7 +102,7 @@ def _html() -> str:
     line = (
         "CASE "
         "WHEN row_idx = 4 AND sheet_id % 3 = 0 THEN concat('<TR><td>', property, '</td><td colspan=\"2\"> ', c0, '</td><td colspan=2>', c2, ' </td></TR>') "
-        "WHEN row_idx = 5 THEN concat('<tr><td>', property, '</td><td>', c0, ' &amp; ', c1, '</td></tr>') "
+        "WHEN row_idx = 5 THEN concat('<tr><td>', property, '</td><td>', c0, ' &amp;&#8211;&deg; ', c1, '</td></tr>') "
         "WHEN row_idx = 6 AND sheet_id % 6 = 1 THEN concat('<tr><td>', property, '</td><td>', c0, '</td><td>', c1, '</td></tr>') "
         "WHEN row_idx = 7 THEN concat('<tr><th>skip</th><td>', property, '</td>', '<td class=\"x\" colspan=\"3\"><b>', c1, '</b></td><td>', c3, '</td></tr>') "
         f"ELSE concat('<tr class=\"r\"><td>', property, '</td>', {plain}, '</tr>') END"
@@ -135,7 +135,7 @@ VIEWS: dict[str, str] = {
         "doc_id % 9 = 2 AS multiline_row_header, doc_id % 2 = 1 AND doc_id % 5 = 3 AS multiline_section_header "
         "FROM (SELECT DISTINCT sheet_id AS doc_id FROM {v_part}) AS d"
     ),
-    "v_fixed": "SELECT sheet_id, 'Noise' AS row_text, ARRAY_OF(1, 3) AS spans FROM {v_cfg} WHERE sheet_id % 16 = 3",
+    "v_fixed": "SELECT sheet_id, fix_id, CASE fix_id WHEN 0 THEN 'Noise (dB)' WHEN 1 THEN 'Noise' ELSE 'Nothing' END AS row_text, CASE WHEN fix_id = 1 THEN ARRAY_OF(1, 3) ELSE ARRAY_OF(2, 2) END AS spans FROM {v_cfg} EACH(fix_id, 0, 2) WHERE sheet_id % 16 = 3",
     "v_joiner": "SELECT sheet_id, 'Input Current' AS row_text, '' AS seq FROM {v_cfg} WHERE sheet_id % 2 = 0",
     "v_added": "SELECT sheet_id, 0 AS fix_id, 'Weight' AS row_text, 'page' AS col_text, 'never' AS text FROM {v_cfg} WHERE sheet_id % 4 = 0 "
     "UNION ALL SELECT sheet_id, 1, 'Cooling', 'Max ', 'by hand' FROM {v_cfg} WHERE sheet_id % 7 = 5 "

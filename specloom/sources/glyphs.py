@@ -41,11 +41,6 @@ def glyph_runs(glyphs: DataFrame, *, hot: bool | None = None) -> DataFrame:
     return scan.ordered_text(lettered.withColumn("text", text), [*LINE, "run_id"], order, "text", "", _boxes(), hot=hot)
 
 
-def flip_pages(fragments: DataFrame, page_maxy: Column) -> DataFrame:
-    """Bottom-up page coordinates to top-down ones."""
-    return fragments.withColumns({"miny": page_maxy - F.col("maxy"), "maxy": page_maxy - F.col("miny")})
-
-
 def loose_lines(glyphs: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Words from glyphs that belong to no line: glyphs are grouped to lines by height (a new line
     where the gap is above 2), then to words from left to right (a new word where the gap is above 5).

@@ -17,18 +17,21 @@ def sheet_schema(columns: int) -> T.StructType:
 
 
 def widest(spark: SparkSession, path: str) -> int:
-    """Largest number of value columns of any sheet: one aggregate over the header lines."""
+    """Largest number of value columns of any sheet, from the first line of each file."""
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-    count = F.max(F.size(F.split("value", ",")) - 2)
-    return lines.filter(F.col("value").startswith(HEADER)).agg(count.alias("n")).first()["n"] or 0
+    heads = lines.filter(F.col("value").startswith(HEADER)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
+    )
+    first = heads.groupBy("file").agg(F.min_by("value", F.struct("block", "at")).alias("head"))
+    return first.agg(F.max(F.size(F.split("head", ",")) - 2).alias("n")).first()["n"] or 0
 
 
-def read_sheets(spark: SparkSession, path: str, columns: int | None = None, *, multi_line: bool = False) -> DataFrame:
+def read_sheets(spark: SparkSession, path: str, columns: int | None = None, *, multi_line: bool = True) -> DataFrame:
     """Every sheet under a folder, one file each: sheet_id, row_idx, section, property, col:0...
 
-    Columns are read by position, so files with fewer columns are padded with null. Without line
-    breaks inside fields (the default) a large file is split between tasks: rows are numbered inside
-    each split and the splits are put in order by their start in the file.
+    Columns are read by position, so files with fewer columns are padded with null. Fields may hold
+    line breaks, so a file is read by one task; where none does, `multi_line=False` splits a large file
+    between tasks: rows are numbered inside each split, the splits put in order by their start.
     """
     columns = widest(spark, path) if columns is None else columns
     reader = spark.read.schema(sheet_schema(columns)).option("header", True).option("recursiveFileLookup", True)
@@ -51,7 +54,10 @@ def write_sheets(wide: DataFrame, path: str, by: list[str]) -> None:
 
 
 def column_json(cells: DataFrame) -> DataFrame:
-    """One record per model column: {idx, props: {section: {property: value}}}."""
+    """One record per model column: {idx, props: {section: {property: value}}}. Of a repeated property
+    the last row counts, the largest value where rows have no number."""
+    last = F.max_by("value", "row_idx") if "row_idx" in cells.columns else F.max("value")
+    cells = cells.groupBy("sheet_id", "col_idx", "section", "property").agg(last.alias("value"))
     by_section = cells.groupBy("sheet_id", "col_idx", F.coalesce("section", F.lit("")).alias("section")).agg(
         F.map_from_entries(F.collect_list(F.struct("property", "value"))).alias("attrs")
     )
