@@ -11,7 +11,7 @@ from specloom.operators import scan
 from specloom.session import hot_rows, stable
 
 # A run of distinct values longer than this is not folded as an array.
-FOLD_VALUES = 10_000
+FOLD_VALUES = 1_000
 
 
 def merge_adjacent(
@@ -51,12 +51,6 @@ def cluster_equal(df: DataFrame, keys: Sequence[str], value: str, order: Sequenc
     return merge_adjacent(df, keys, order, {value: F.col(value)}, lambda prev: F.col(value).eqNullSafe(prev[value]), **options)
 
 
-def first_anchored(df: DataFrame, keys: Sequence[str], value: str, eps: float, *, name: str = "in_first", hot: bool | None = None) -> DataFrame:
-    """Members of the first cluster whose gap is measured to its first value: no fold needed."""
-    low = scan.totals(df, keys, {"_low": F.min(value)}, hot=hot)
-    return low.withColumn(name, F.col(value) - F.col("_low") <= eps).drop("_low")
-
-
 def cluster_anchor(df: DataFrame, keys: Sequence[str], value: str, eps: float, *, limit: int | None = None) -> DataFrame:
     """A new cluster starts where the gap to the *first* value of the cluster is above eps.
 
@@ -96,10 +90,16 @@ def _starts_by_doubling(runs: DataFrame, keys: list[str], value: str, eps: float
     """Every value points to the first value more than eps above it; the clusters' first values are
     those reached from the first value of the run. Jumps are doubled until nothing new is reached."""
     run_keys = [*keys, "_run"]
-    node = runs.select(*run_keys, F.col(value).alias("_pos"), F.lit(1).alias("_kind"), F.col(value).alias("_from"))
-    ask = node.select(*run_keys, (F.col("_pos") + eps).alias("_pos"), F.lit(2).alias("_kind"), "_from")
-    found = F.when(F.col("_kind") == 1, F.col("_from"))
-    both = scan.run(node.unionByName(ask), run_keys, ["_pos", "_kind", "_from"], {"_to": scan.next_known(found)}, limit=limit)
+    around = {"_p1": scan.previous(F.col(value)), "_n1": scan.following(F.col(value))}
+    near = scan.run(runs, run_keys, [value], around, limit=limit)
+    node = near.select(*run_keys, F.col(value).alias("_pos"), F.lit(1).alias("_kind"), F.col(value).alias("_from"), "_p1", "_n1")
+    ask = node.select(*run_keys, (F.col("_pos") + eps).alias("_pos"), F.lit(2).alias("_kind"), "_from", "_p1", "_n1")
+    at = F.when(F.col("_kind") == 1, F.struct("_p1", "_from", "_n1"))
+    both = scan.run(node.unionByName(ask), run_keys, ["_pos", "_kind", "_from"], {"_lo": scan.last_known(at), "_hi": scan.next_known(at)}, limit=limit)
+    # The sum above is rounded; whether a value is far enough is decided by the difference, as in the
+    # fold, among the values on either side of it.
+    beside = F.array("_lo._p1", "_lo._from", "_hi._from", "_hi._n1")
+    both = both.withColumn("_to", F.get(F.filter(beside, lambda v: v - F.col("_from") > eps), F.lit(0)))
     jump = stable(both.filter("_kind = 2 and _to is not null").select(*run_keys, "_from", "_to"))
     reached = stable(runs.groupBy(*run_keys).agg(F.min(value).alias("_at")))
     known = reached.count()

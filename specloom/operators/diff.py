@@ -18,17 +18,6 @@ def diff_cells(old: DataFrame, new: DataFrame, keys: Sequence[str], value: str =
     return differing.select(*keys, F.col("_a.v").alias("old_value"), F.col("_b.v").alias("new_value"), status.alias("status"))
 
 
-def diff_sheets(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Per sheet: number of cells on each side and whether both sides agree."""
-    keys = ["sheet_id", "row_idx", "col_idx"]
-    changes = diff_cells(old, new, keys).groupBy("sheet_id").agg(F.count(F.lit(1)).alias("n_changes"))
-    sides = old.select("sheet_id", F.lit(1).alias("o"), F.lit(0).alias("n"))
-    sides = sides.unionByName(new.select("sheet_id", F.lit(0).alias("o"), F.lit(1).alias("n")))
-    sizes = sides.groupBy("sheet_id").agg(F.sum("o").alias("n_old"), F.sum("n").alias("n_new"))
-    same = F.coalesce("n_changes", F.lit(0)) == 0
-    return sizes.join(changes, "sheet_id", "left").select("sheet_id", "n_old", "n_new", same.alias("same"))
-
-
 def key_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys found only in A, only in B, or in both, in one aggregation."""
     a = left.select(*keys, F.lit(1).alias("a"), F.lit(0).alias("b"))

@@ -18,12 +18,6 @@ def split_bad(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")
 
 
-def stop_on_bad(df: DataFrame, reason: Column) -> DataFrame:
-    """Strict mode: the first row with a reason stops the job."""
-    checked = F.when(reason.isNotNull(), F.raise_error(reason).cast("boolean")).otherwise(F.lit(True))
-    return df.filter(checked)
-
-
 def stage_list(manifest: DataFrame, infos: str = "infos") -> DataFrame:
     """A stage given as a list of option maps becomes one row per entry, in order."""
     return manifest.select("*", F.posexplode(infos).alias("seq", "opts")).drop(infos)
@@ -89,5 +83,6 @@ def stage_state(artefacts: DataFrame, manifests: DataFrame, source: str, target:
 
 
 def stale_stage(artefacts: DataFrame, manifests: DataFrame, source: str, target: str, *, force: bool = False) -> DataFrame:
+    """Groups whose target is older than its source or manifest; with `force` all that have a source."""
     state = stage_state(artefacts, manifests, source, target)
     return state.filter("state <> 'error'" if force else "state = 'run'")

@@ -17,6 +17,8 @@ from specloom.operators.joins import lookup_join
 
 KINDS = ("exact", "includes", "regex")
 PRESENCE = -1
+# Up to so many rules become predicates of the plan.
+LITERAL_RULES = 200
 FUNCTIONS = ("assign", "integers", "numbers", "regex_groups")
 
 _TEXT = pa.string()
@@ -86,27 +88,78 @@ def _holds(kind: str, pat: str, value: str) -> Column:
     return F.col(kind).isNull() | X.matches(F.col(kind), F.col(pat), F.col(value))
 
 
+def _matched(matcher: tuple[str, str] | None, value: Column) -> Column:
+    """One matcher as a literal predicate, so a pattern is compiled once for a task."""
+    if matcher is None:
+        return F.lit(True)
+    kind, pattern = matcher
+    return {"exact": X.match_exact, "includes": X.match_includes, "regex": X.match_regex}[kind](value, pattern)
+
+
+def _literal(rule: Rule | None, idx: int) -> tuple[Column, Column]:
+    """Condition of a rule on a sheet row, and its fields; no rule stands for the presence marker."""
+    if rule is None:
+        rule = Rule([])
+    if rule.const or idx == PRESENCE:
+        holds = F.col("row_idx") == 0
+    else:
+        columns = F.lit(True) if rule.col is None else F.forall("vals", lambda v: _matched(rule.col, F.coalesce(v, F.lit(""))))
+        holds = _matched(rule.section, F.col("section")) & _matched(rule.row, F.col("property")) & columns
+    groups = re.compile(rule.col[1]).groups if rule.fn == "regex_groups" else 0
+    fields = {
+        "rule_idx": F.lit(idx),
+        "targets": F.array(*[F.lit(t) for t in rule.targets]).cast("array<string>"),
+        "col_pat": F.lit(rule.col[1] if rule.col else None).cast("string"),
+        "const": F.lit(rule.const or None).cast("string"),
+        "fn": F.lit(rule.fn),
+        "n_groups": F.lit(groups),
+    }
+    return holds, F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
+def match_literal(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE) -> DataFrame:
+    """Every (sheet row, rule) pair that matches, without a join: each rule is a literal predicate of
+    the plan, and the rules a row fits are exploded from it."""
+    hits = []
+    for name, rules in rulesets.items():
+        for idx, rule in [(PRESENCE, None), *enumerate(rules)]:
+            if rule is not None:
+                check_rule(rule, schema)
+            holds, fields = _literal(rule, idx)
+            hits.append(F.when((F.col("ruleset") == name) & holds, fields))
+    return rows.select("*", F.inline(F.array_compact(F.array(*hits))))
+
+
 def match_rows(rows: DataFrame, rules: DataFrame, n_rules: int | None = None) -> DataFrame:
-    """Every (sheet row, rule) pair that matches.
+    """The same by join, for rule tables too large for a plan.
 
-    Equi join on the ruleset with the matchers as residual condition. A constant (and the
-    presence marker) belongs to the sheet as a whole, so it pairs with row 0 only.
+    Rules for one exact property meet its rows by an equi join on ruleset and property, the others all
+    rows of their ruleset, with the matchers as residual condition. A constant (and the presence
+    marker) belongs to the sheet as a whole, so it pairs with row 0 only.
     """
     whole = F.col("const").isNotNull() | (F.col("rule_idx") == PRESENCE)
     columns_ok = F.col("col_kind").isNull() | F.forall(
         "vals", lambda v: X.matches(F.col("col_kind"), F.col("col_pat"), F.coalesce(v, F.lit("")))
     )
     fits = _holds("section_kind", "section_pat", "section") & _holds("row_kind", "row_pat", "property") & columns_ok
+    one = ~whole & (F.col("row_kind") == "exact")
+    named = rules.filter(F.coalesce(one, F.lit(False))).withColumn("_property", F.col("row_pat"))
+    others = rules.filter(~F.coalesce(one, F.lit(False)))
+    by_name = lookup_join(rows.withColumn("_property", F.col("property")), named, ["ruleset", "_property"], fits, small_rows=n_rules).drop("_property")
     condition = F.when(whole, F.col("row_idx") == 0).otherwise(fits)
-    return lookup_join(rows, rules, ["ruleset"], condition, small_rows=n_rules)
+    return by_name.unionByName(lookup_join(rows, others, ["ruleset"], condition, small_rows=n_rules))
 
 
-def single_matches(rows: DataFrame, rules: DataFrame, keep: Sequence[str] = (), n_rules: int | None = None) -> DataFrame:
+def single_matches(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], keep: Sequence[str] = (), schema: T.StructType = R.DEVICE, literal_rules: int = LITERAL_RULES) -> DataFrame:
     """Rules that match exactly one row of a sheet, with that row's values.
 
     One aggregate row per (sheet, rule) leaves each task, however many rows a sheet has.
     """
-    paired = match_rows(rows, rules, n_rules)
+    n_rules = sum(len(r) + 1 for r in rulesets.values())
+    if n_rules <= literal_rules:
+        paired = match_literal(rows, rulesets, schema)
+    else:
+        paired = match_rows(rows, rule_table(rows.sparkSession, rulesets, schema), n_rules)
     rule_cols = ["targets", "col_pat", "const", "fn", "n_groups"]
     found = paired.groupBy("sheet_id", "rule_idx").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -223,9 +276,7 @@ def nested_records(leaves: DataFrame, schema: T.StructType = R.DEVICE) -> DataFr
 
 def map_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
     """Sheet rows (ruleset, sheet_id, row_idx, section, property, vals) to device records."""
-    rules = rule_table(rows.sparkSession, rulesets, schema)
-    n_rules = sum(len(r) + 1 for r in rulesets.values())
-    filled = fill(cell_entries(single_matches(rows, rules, n_rules=n_rules), schema), rulesets)
+    filled = fill(cell_entries(single_matches(rows, rulesets, schema=schema), schema), rulesets)
     return nested_records(typed_leaves(filled, schema, strict=strict), schema)
 
 

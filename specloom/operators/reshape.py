@@ -67,17 +67,15 @@ def wide_to_long(wide: DataFrame, columns: int) -> DataFrame:
 def sheet_rows(wide: DataFrame, columns: int, *, hot: bool | None = None) -> DataFrame:
     """Stored wide sheets to mapping rows: sections repeated, values of a row as one array.
 
-    Row 0 is filled for every model (extraction defines columns by it), so its length is the
-    number of models; every row gets an array of that length. One pass over the ordered sheet.
+    A sheet has as many models as its widest row has columns, as its stored header would say; every
+    row gets an array of that length, null where a cell is blank.
     """
     names = [F.col(f"`{n}`") for n in column_names(columns)]
     filled = F.transform(F.array(*names), lambda v, i: F.when(v.isNotNull(), i + 1).otherwise(0))
-    width = F.when(F.col("row_idx") == 0, F.array_max(filled))
-    steps = {
-        "_section": scan.last_known(F.nullif(F.col("section"), F.lit(""))),
-        "_width": scan.last_known(width),
-    }
-    rows = scan.run(wide, SHEET, ["row_idx"], steps, hot=hot)
+    if hot is None:
+        hot = scan.has_hot_key(wide, SHEET)
+    counted = scan.totals(wide.withColumn("_filled", F.array_max(filled)), SHEET, {"_width": F.max("_filled")}, hot=hot).drop("_filled")
+    rows = scan.run(counted, SHEET, ["row_idx"], {"_section": scan.last_known(F.nullif(F.col("section"), F.lit("")))}, hot=hot)
     keep = [F.col(f"`{c}`") for c in wide.columns if not c.startswith("col:") and c != "section"]
     section = F.coalesce("_section", F.lit("")).alias("section")
     vals = F.slice(F.array(*names), F.lit(1), F.coalesce("_width", F.lit(0))).alias("vals")
@@ -91,12 +89,8 @@ def expand_columns(cells: DataFrame) -> DataFrame:
 
 
 def concat_attributes(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Values of one (column, section, property) joined by a space from top to bottom."""
+    """Values of one (column, section, property) joined by a space from top to bottom; empty values
+    add nothing, and a key with none but empty ones keeps an empty text."""
     keys = ["sheet_id", "col_idx", "section", "property"]
-    return scan.ordered_text(cells, keys, ["midy", "frag_id"], "value", " ", hot=hot)
-
-
-def chain_tables(rows: DataFrame) -> DataFrame:
-    """Rows of all tables of a page one after another; the first table's first row is its header."""
-    body = rows.filter((F.col("table_idx") > 0) | (F.col("row_idx") > 0))
-    return scan.run(body, ["page_id"], ["table_idx", "row_idx"], {"seq": scan.position()})
+    filled = cells.withColumn("value", F.nullif("value", F.lit("")))
+    return scan.ordered_text(filled, keys, ["midy", "frag_id"], "value", " ", hot=hot)

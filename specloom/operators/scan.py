@@ -242,7 +242,7 @@ def ordered_text(
     hot: bool | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Concatenate `text` in `order` inside `keys`.
+    """Concatenate `text` in `order` inside `keys`; null texts are left out.
 
     `aggs` may add associative aggregates (min, max) whose input columns carry the output names.
     A hot key is first concatenated range by range, so no task ever holds its rows.
@@ -254,10 +254,10 @@ def ordered_text(
 
     def gather(rows: DataFrame, by: list[str], at: list[str]) -> DataFrame:
         pieces = F.array_sort(F.collect_list(F.struct(*at, F.col(text).alias("_text"))))
-        joined = F.array_join(F.transform(pieces, lambda p: p["_text"]), sep)
+        texts = F.transform(pieces, lambda p: p["_text"])
+        # null while nothing is there to join, so a later join leaves it out
+        joined = F.when(F.exists(texts, lambda t: t.isNotNull()), F.array_join(texts, sep))
         return rows.groupBy(*by).agg(joined.alias(text), *[a.alias(n) for n, a in aggs.items()])
 
-    if not hot:
-        return gather(df, list(keys), list(order))
-    pieces = gather(range_chunks(df, keys, order, limit), [*keys, CHUNK], list(order))
-    return gather(pieces, list(keys), [CHUNK])
+    pieces = gather(range_chunks(df, keys, order, limit), [*keys, CHUNK], list(order)) if hot else df
+    return gather(pieces, list(keys), [CHUNK] if hot else list(order)).fillna("", [text])

@@ -389,7 +389,7 @@ def bound_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
     found = scan.run(placed, SHEET, ["_pos", "_prio", "kind", "line_no"], {"_h": scan.last_known(holder)}, hot=hot)
     direct = F.when(F.col("maxy") <= F.col("_h.bound_stop"), F.col("_h.line_no"))
     out = found.withColumn("_direct", direct)
-    searched = _search_rows_joined(out) if hot else _search_rows(out)
+    searched = _search_rows(out)
     settled = F.when(F.col("_search"), F.col("_searched")).otherwise(F.col("_direct"))
     accepted = F.when(settled.between(F.col("lo"), F.col("hi")), settled)
     return searched.withColumn("settled", F.when(is_cell() & (F.col("lo") < F.col("hi")), accepted)).drop(
@@ -398,19 +398,11 @@ def bound_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
 
 
 def _search_rows(frame: DataFrame) -> DataFrame:
-    """First containing row, from the row ranges of the sheet; only built where it is needed."""
-    one = F.when(F.col("_search") & _range_known(), F.struct("line_no", "bound", "bound_stop"))
-    ranged = scan.totals(frame, SHEET, {"_ranges": F.collect_list(one)}, hot=False)
-    fits = F.filter("_ranges", lambda r: (r["bound"] <= F.col("miny")) & (F.col("maxy") <= r["bound_stop"]))
-    first = F.array_min(F.transform(fits, lambda r: r["line_no"]))
-    asked = F.col("_search") & is_cell() & (F.col("lo") < F.col("hi"))
-    return ranged.withColumn("_searched", F.when(asked, first)).drop("_ranges")
-
-
-def _search_rows_joined(frame: DataFrame) -> DataFrame:
-    """The same for sheets of any size: rows are entered into bands about one row high, so the
-    range join becomes an equi join on (sheet, band)."""
+    """First containing row of each cell that asks: rows are entered into bands about one row high, so
+    the range join becomes an equi join on (sheet, band)."""
     frame = stable(frame)
+    if frame.filter("_search").isEmpty():
+        return frame.withColumn("_searched", F.lit(None).cast("int"))
     ranges = frame.filter(F.col("_search") & _range_known() & (F.col("bound") <= F.col("bound_stop"))).select("sheet_id", "line_no", "bound", "bound_stop")
     height = F.greatest((F.max("bound_stop") - F.min("bound")) / F.count(F.lit(1)), F.lit(1.0))
     high = ranges.groupBy("sheet_id").agg(height.alias("_high"))
@@ -547,14 +539,14 @@ def resolve_colspans(merged: DataFrame) -> DataFrame:
     """Column range of each merged cell: fixed by configuration (`spans` of its row), one per column,
     one for all, or by its centre; a row that does not come out even is dropped.
 
-    A row can use at most as many clusters as there are columns (or fixed spans), so the array per
-    row is cut one past that count, which already marks the row as wrong.
+    A row can use at most as many clusters as there are columns (or fixed spans); rows with more are
+    left out by their count, before their cells are gathered.
     """
     joined = merged if "spans" in merged.columns else merged.withColumn("spans", F.lit(None).cast("array<int>"))
     carried = [c for c in merged.columns if c not in (*ROW, "header", "spans")]
-    ranked = scan.run(joined, ROW, ["cluster_id"], {"_k": scan.position()}, hot=False)
     most = F.greatest(F.size("header"), F.coalesce(F.array_size("spans"), F.lit(0)))
-    rows = ranked.filter(F.col("_k") <= most).groupBy(*ROW).agg(
+    counted = scan.totals(joined, ROW, {"_clusters": F.count(F.lit(1))}, hot=False)
+    rows = counted.filter(F.col("_clusters") <= most).drop("_clusters").groupBy(*ROW).agg(
         F.array_sort(F.collect_list(F.struct(*carried))).alias("_cells"), F.first("header").alias("header"), F.first("spans").alias("spans")
     )
     k, n = F.size("_cells"), F.size("header")
@@ -574,33 +566,28 @@ def resolve_colspans(merged: DataFrame) -> DataFrame:
 # ---- all together ---------------------------------------------------------------------
 
 
-def fixed_spans(frame: DataFrame, fixes: DataFrame, *, hot: bool = False) -> DataFrame:
+def fixed_spans(frame: DataFrame, fixes: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Put fixed spans on the row headers they name: unique exact text, else unique substring.
 
-    Only sheets with a fix gather their header texts. With a hot sheet the names are looked up by
-    join instead.
+    fixes: sheet_id, row_text, spans and, where several may name one row, fix_id: the last counts. The
+    names are looked up by join, so no row carries the texts of its sheet.
     """
-    if hot:
-        frame = stable(frame)
-        named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
-        hits = fixes.join(named, ["sheet_id", "row_text"]).filter("row_text_box.frag_id is not null")
-        at = hits.select("sheet_id", F.lit("row").alias("kind"), F.col("row_text_box.frag_id").alias("line_no"), "spans")
-        return frame.join(at, ["sheet_id", "kind", "line_no"], "left")
-    by_one = fixes.groupBy("sheet_id").agg(F.collect_list(F.struct("row_text", "spans")).alias("_fixes"))
-    joined = per_sheet(frame, by_one, SHEET, "left", fixes)
-    wanted = F.when(is_row() & F.col("_fixes").isNotNull(), F.col("text"))
-    gathered = scan.totals(joined, SHEET, {"_texts": F.collect_list(wanted)}, hot=False)
-
-    def names_this(fix: Column) -> Column:
-        exact = F.size(F.filter("_texts", lambda t: t == fix["row_text"]))
-        similar = F.size(F.filter("_texts", lambda t: F.contains(t, fix["row_text"])))
-        return F.when(exact == 1, F.col("text") == fix["row_text"]).otherwise((similar == 1) & F.contains("text", fix["row_text"]))
-
-    spans = F.try_element_at(F.filter("_fixes", names_this), F.lit(-1))["spans"]
-    return gathered.withColumn("spans", F.when(is_row(), spans)).drop("_fixes", "_texts")
-
-
-def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *, added: DataFrame | None = None, hot: bool = False) -> DataFrame:
+    frame = stable(frame)
+    order = F.struct(*[c for c in ("fix_id", "row_text", "spans") if c in fixes.columns])
+    named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
+    hits = fixes.join(named.filter("row_text_box is not null"), ["sheet_id", "row_text"])
+    at = hits.groupBy("sheet_id", F.lit("row").alias("kind"), F.col("row_text_box.frag_id").alias("line_no")).agg(F.max_by("spans", order).alias("spans"))
+    return per_sheet(frame, at, ["sheet_id", "kind", "line_no"], "left", bounded_by=fixes)
+
+
+def unresolved_fixes(frame: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Fixes whose text names no row of their sheet, or several: the fix with its reason."""
+    named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
+    marked = fixes.join(named.withColumn("_known", F.lit(True)), ["sheet_id", "row_text"], "left").filter("row_text_box is null")
+    return marked.withColumn("reason", F.when(F.col("_known"), "ambiguous name").otherwise("unknown name")).drop("row_text_box", "_known")
+
+
+def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *, added: DataFrame | None = None, hot: bool) -> DataFrame:
     """Fragments of all areas with their kind, row headers and labels numbered."""
     inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
     if added is not None:
@@ -615,7 +602,7 @@ def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *,
     return row_headers(header_column(frame, hot=hot).drop("is_label"), wrapped=settings.wrapped, hot=hot)
 
 
-def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bool = False) -> DataFrame:
+def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bool) -> DataFrame:
     """Cells of named rows merged per column cluster, with the column centres of their sheet."""
     clustered = row_clusters(named.filter(is_cell()), hot=hot)
     kept = drop_early_cells(header_centres(clustered, hot=hot))
@@ -643,11 +630,13 @@ def sheet_cells(
     return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
 
 
-def spec_cells(cells: DataFrame, *, hot: bool = False) -> DataFrame:
+def spec_cells(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
     """Long sheet cells: column ranges expanded, values of one property joined, rows numbered.
 
     Rows come in order of first appearance when reading column by column, section by section.
     """
+    if hot is None:
+        hot = scan.has_hot_key(cells, SHEET)
     covered = by_sheet(cells, hot).withColumn("col_idx", F.explode(F.sequence(F.col("col_from"), F.col("col_to") - 1)))
     keys = ["sheet_id", "col_idx", "section", "property"]
     pieces = F.array_sort(F.collect_list(F.struct("midy", "frag_id", "value")))

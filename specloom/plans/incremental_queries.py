@@ -160,21 +160,29 @@ def stale_by_source(spark, sf):
     return inc.stale_by_source(view(spark, sf, "v_artefact"), "download", "extract")
 
 
-@query(
-    "stale_stage",
-    ART + """, manifest AS (SELECT DISTINCT concat('stem', c_custkey % 97) AS stem, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST((c_custkey % 97) * 20 AS INT)) AS manifest_time FROM customer),
+_STATE = ART + """, manifest AS (SELECT DISTINCT concat('stem', c_custkey % 97) AS stem, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST((c_custkey % 97) * 20 AS INT)) AS manifest_time FROM customer),
 ins AS (SELECT stem, grp, max(mtime) AS newest_in FROM v_artefact WHERE stage = 'extract' GROUP BY ALL),
-outs AS (SELECT stem, grp, min(mtime) AS oldest_out FROM v_artefact WHERE stage = 'map' GROUP BY ALL)
-SELECT stem, grp, newest_in, oldest_out, manifest_time, CASE WHEN newest_in IS NULL THEN 'error'
+outs AS (SELECT stem, grp, min(mtime) AS oldest_out FROM v_artefact WHERE stage = 'map' GROUP BY ALL),
+state AS (SELECT stem, grp, newest_in, oldest_out, manifest_time, CASE WHEN newest_in IS NULL THEN 'error'
   WHEN greatest(newest_in, manifest_time) < oldest_out THEN 'skip' ELSE 'run' END AS state
 FROM (SELECT coalesce(i.stem, o.stem) AS stem, coalesce(i.grp, o.grp) AS grp, newest_in, oldest_out FROM ins i FULL JOIN outs o ON i.stem = o.stem AND i.grp = o.grp)
-LEFT JOIN manifest USING (stem)""",
-)
-def stale_stage(spark, sf):
+LEFT JOIN manifest USING (stem))"""
+
+
+def _manifests(spark, sf):
     time = F.timestamp_add("DAY", ((F.col("c_custkey") % 97) * 20).cast("int"), F.expr("TIMESTAMP '1995-01-01 00:00:00'"))
     stem = F.concat(F.lit("stem"), (F.col("c_custkey") % 97).cast("string"))
-    manifests = view(spark, sf, "customer").select(stem.alias("stem"), time.alias("manifest_time")).distinct()
-    return inc.stage_state(view(spark, sf, "v_artefact"), manifests, "extract", "map")
+    return view(spark, sf, "customer").select(stem.alias("stem"), time.alias("manifest_time")).distinct()
+
+
+@query("stale_stage", _STATE + " SELECT * FROM state")
+def stale_stage(spark, sf):
+    return inc.stage_state(view(spark, sf, "v_artefact"), _manifests(spark, sf), "extract", "map")
+
+
+@query("stale_stage_due", _STATE + " SELECT * FROM state WHERE state = 'run'")
+def stale_stage_due(spark, sf):
+    return inc.stale_stage(view(spark, sf, "v_artefact"), _manifests(spark, sf), "extract", "map")
 
 
 @query(

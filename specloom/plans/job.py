@@ -30,6 +30,7 @@ def device_records(
     """
     if stale is not None:
         config = config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi")
+        fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi")
     hot = scan.has_hot_key(fragments, ["doc_id", "page"])
     cells = T.spec_cells(T.sheet_cells(fragments, config, fixed=fixed, joiners=joiners, added=added, hot=hot), hot=hot)
     if columns is None:

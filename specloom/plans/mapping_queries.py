@@ -44,23 +44,23 @@ def flat(path: str) -> str:
 
 def wide_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Stored form: one row per property, repeated sections blanked."""
-    cells = view(spark, sf, "v_spec_cell")
-    return reshape.blank_sections(reshape.long_to_wide(cells, SHEET_COLUMNS), hot=has_hot_sheet(spark, sf))
+    return _wide(spark, sf)[0]
 
 
-def has_hot_sheet(spark: SparkSession, sf: str) -> bool:
-    """Asked of the cells, before any shuffle."""
-    return scan.has_hot_key(view(spark, sf, "v_spec_cell"), reshape.SHEET)
+def _wide(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
+    """The stored form, and whether a sheet is hot: asked once, of the cells, before any shuffle."""
+    cells = view(spark, sf, "v_spec_cell")
+    hot = scan.has_hot_key(cells, reshape.SHEET)
+    return reshape.blank_sections(reshape.long_to_wide(cells, SHEET_COLUMNS), hot=hot), hot
 
 
 def sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reshape.sheet_rows(wide_sheets(spark, sf), SHEET_COLUMNS, hot=has_hot_sheet(spark, sf))
-    return rows.withColumn("ruleset", F.lit("main"))
+    wide, hot = _wide(spark, sf)
+    return reshape.sheet_rows(wide, SHEET_COLUMNS, hot=hot).withColumn("ruleset", F.lit("main"))
 
 
 def entries(spark: SparkSession, sf: str, rules=RULES) -> DataFrame:
-    table = mapping.rule_table(spark, {"main": rules})
-    return mapping.cell_entries(mapping.single_matches(sheet_rows(spark, sf), table, n_rules=len(rules) + 1))
+    return mapping.cell_entries(mapping.single_matches(sheet_rows(spark, sf), {"main": rules}))
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,7 +223,7 @@ def reshape_long(spark, sf):
 @query("rule_row_join", matched_sql() + " SELECT sheet_id, rule_idx, row_idx, property FROM one JOIN filled USING (sheet_id, row_idx, property)")
 def rule_row_join(spark, sf):
     rows = sheet_rows(spark, sf)
-    found = mapping.single_matches(rows, mapping.rule_table(spark, {"main": RULES}), keep=["property"], n_rules=len(RULES) + 1)
+    found = mapping.single_matches(rows, {"main": RULES}, keep=["property"])
     return found.filter(F.col("const").isNull() & (F.col("rule_idx") >= 0)).select("sheet_id", "rule_idx", "row_idx", "property")
 
 

@@ -116,7 +116,8 @@ SPANNED = (
     CLUSTERED
     + """,
 nk AS (SELECT sheet_id, row_id, count(*) AS nk FROM clu_centre GROUP BY 1, 2),
-fix AS (SELECT f.sheet_id, min(r.row_id) AS row_id, any_value(spans) AS spans FROM v_fixed f JOIN rws r ON r.sheet_id = f.sheet_id AND contains(r.text, f.row_text) GROUP BY f.sheet_id, f.row_text HAVING count(*) = 1),
+fix_one AS (SELECT f.sheet_id, f.fix_id, min(r.row_id) AS row_id, any_value(spans) AS spans FROM v_fixed f JOIN rws r ON r.sheet_id = f.sheet_id AND contains(r.text, f.row_text) GROUP BY f.sheet_id, f.fix_id HAVING count(*) = 1),
+fix AS (SELECT sheet_id, row_id, arg_max(spans, fix_id) AS spans FROM fix_one GROUP BY sheet_id, row_id),
 half AS (SELECT sheet_id, 2 * k AS m, centre - 5 AS lo, centre + 5 AS hi FROM hc UNION ALL SELECT a.sheet_id, 2 * a.k + 1, a.centre + 5, b.centre - 5 FROM hc a JOIN hc b ON b.sheet_id = a.sheet_id AND b.k = a.k + 1),
 walk AS (SELECT nk.sheet_id, nk.row_id, -1 AS k, 0 AS col_from, 0 AS next_col FROM nk JOIN ncol USING (sheet_id) LEFT JOIN fix USING (sheet_id, row_id) WHERE spans IS NULL AND nk.nk <> ncol.n AND nk.nk > 1
   UNION ALL SELECT w.sheet_id, w.row_id, c.cluster_id, w.next_col, h.m - w.next_col + 1 FROM walk w JOIN clu_centre c ON c.sheet_id = w.sheet_id AND c.row_id = w.row_id AND c.cluster_id = w.k + 1
