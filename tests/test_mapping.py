@@ -68,8 +68,9 @@ def test_single_and_ordered_paths_agree(spark):
         Rule(["pv_input.n_mppt"], row=("exact", "Rated Voltage")),
         Rule(["tags"], row=("exact", "Weight"), fn="integers"),
     ]
-    table = mapping.rule_table(spark, {"main": rules})
-    entries = mapping.cell_entries(mapping.single_matches(rows(spark, *SHEET), table))
+    by_plan, by_join = (mapping.single_matches(rows(spark, *SHEET), {"main": rules}, literal_rules=n) for n in (200, 0))
+    assert sorted(map(str, by_plan.collect())) == sorted(map(str, by_join.collect()))
+    entries = mapping.cell_entries(by_plan)
     targets = sorted({t for r in rules for t in r.targets})
     a, b = mapping.fill_single(entries, targets), mapping.fill_ordered(entries, targets)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
@@ -83,8 +84,7 @@ def test_unfilled_model_is_kept(spark):
 def test_bad_values(spark):
     rules = [Rule(["model"], row=("exact", "Model")), Rule(["general_data.weigth"], row=("exact", "Weight"))]
     both = rows(spark, *SHEET).unionByName(rows(spark, ("", "Model", ["Z"]), ("", "Weight", ["3.5"]), sheet="t"))
-    table = mapping.rule_table(spark, {"main": rules})
-    filled = mapping.fill(mapping.cell_entries(mapping.single_matches(both, table)), {"main": rules})
+    filled = mapping.fill(mapping.cell_entries(mapping.single_matches(both, {"main": rules})), {"main": rules})
     assert sorted(r["raw"] for r in mapping.quarantine(filled).collect()) == ["20 kg", "21.5 kg", "22 kg"]
     assert [r["sheet_id"] for r in mapping.typed_leaves(filled, strict=True).collect()] == ["t"]
     assert mapping.typed_leaves(filled).count() == 4
@@ -220,3 +220,55 @@ def test_records_keep_field_names():
     names = R.DEVICE["general_data"].dataType.names
     assert names == ["size", "weigth", "noice"]
     assert R.DEVICE["battery_input"].dataType["i_invert"].metadata["units"] == "A"
+
+
+def test_a_sheet_is_as_wide_as_its_widest_row(spark):
+    wide = [("a", 0, "", "Model", "M", None), ("a", 1, "S", "Power", "5 W", "7 W"), ("b", 0, None, "Model", None, None), ("b", 1, "", "Power", "3 W", None)]
+    df = spark.createDataFrame(wide, "sheet_id string, row_idx int, section string, property string, `col:0` string, `col:1` string")
+    for hot in (False, True):
+        got = {(r["sheet_id"], r["row_idx"]): (r["section"], r["vals"]) for r in reshape.sheet_rows(df, 2, hot=hot).collect()}
+        assert got == {("a", 0): ("", ["M", None]), ("a", 1): ("S", ["5 W", "7 W"]), ("b", 0): ("", [None]), ("b", 1): ("", ["3 W"])}
+
+
+def test_only_numbers_become_numbers(spark):
+    texts = ["20", "20d", "20f", " 7 ", "1.5", "1e3", "NaN", "-2", "0x1", ".5", "5.", "", "1_0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    types = R.leaf_types(R.DEVICE)
+    got = df.select(R.coerce_one(F.col("t"), types["general_data.weigth"]).alias("d"), R.coerce_one(F.col("t"), types["pv_input.v_nom"]).alias("i")).collect()
+    assert [r["d"] for r in got] == [20.0, None, None, 7.0, 1.5, 1000.0, None, -2.0, None, 0.5, 5.0, None, None]
+    assert [r["i"] for r in got] == [20, None, None, 7, None, None, None, -2, None, None, None, None, None]
+
+
+def test_template_is_filled_in_one_pass(spark):
+    df = spark.createDataFrame([("{a}-{b}", {"a": "{b}", "b": "Z"}), ("x{c}{a}", {"a": "1"}), ("{", {}), ("", {"a": "1"})], "t string, p map<string,string>")
+    got = df.select(X.fill_template(F.col("t"), F.col("p")), X.unknown_names(F.col("t"), F.col("p"))).collect()
+    assert [tuple(r) for r in got] == [("{b}-Z", []), ("x1", ["c"]), ("{", []), ("", [])]
+
+
+def test_blank_values_add_nothing(spark):
+    cells = [("s", 0, "x", "p", 1.0, 1, ""), ("s", 0, "x", "p", 2.0, 2, "v"), ("s", 0, "x", "p", 3.0, 3, "w"), ("s", 0, "x", "q", 1.0, 1, "")]
+    df = spark.createDataFrame(cells, "sheet_id string, col_idx int, section string, property string, midy double, frag_id int, value string")
+    for hot in (False, True):
+        assert {r["property"]: r["value"] for r in reshape.concat_attributes(df, hot=hot).collect()} == {"p": "v w", "q": ""}
+
+
+def test_the_last_of_a_repeated_property_counts(spark):
+    df = spark.createDataFrame([("s", 0, 0, "x", "p", "old"), ("s", 0, 3, "x", "p", "new"), ("s", 0, 1, None, "q", "z")], "sheet_id string, col_idx int, row_idx int, section string, property string, value string")
+    assert [r["props"] for r in sheets.column_json(df).collect()] == [{"x": {"p": "new"}, "": {"q": "z"}}]
+
+
+def test_fields_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('section,property,col:0\nS,"A\nB",1\nsection,property,x\n')
+    got = sheets.read_sheets(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [(r["section"], r["property"], r["col:0"]) for r in got] == [("S", "A\nB", "1"), ("section", "property", "x")]
+
+
+def test_html_references_and_nested_tables(spark):
+    page = (
+        "<table><tr><td>a&#8211;b</td><td>&deg;&plusmn;&nbsp;&#x41;&#39;&apos;&amp;lt;&unknown;&#0;</td></tr>"
+        "<tr><td>x<TABLE id=2><tr><td>in</td></tr></TABLE>y</td></tr><tr><td colspan='2'>after</td></tr></table><table><tr><td>last"
+    )
+    got = html.table_cells(spark.createDataFrame([(1, page)], "page_id int, html string")).orderBy("table_idx", "row_idx", "cell_idx").collect()
+    assert [(r["table_idx"], r["row_idx"], r["text"], r["colspan"]) for r in got] == [
+        (0, 0, "a\u2013b", 1), (0, 0, "\u00b0\u00b1\u00a0A''&lt;&unknown;&#0;", 1), (0, 1, "xiny", 1), (0, 2, "after", 2), (1, 0, "in", 1), (2, 0, "last", 1),
+    ]

@@ -78,6 +78,17 @@ def test_anchored_clusters(spark, limit):
         assert all(got[(k, i)] == want[v] for k, i, v in data if k == key)
 
 
+@pytest.mark.parametrize("limit", [None, 2])
+def test_anchored_clusters_of_fractions(spark, limit):
+    """A sum and a difference of doubles round differently; both paths go by the difference."""
+    rnd = random.Random(3)
+    data = {"a": [0.3, 0.35, 0.4, 0.45, 0.5], "b": sorted({round(rnd.randrange(60) / 20, 2) for _ in range(40)}), "c": [rnd.random() for _ in range(40)]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
+    got = {(r["k"], r["v"]): r["cluster_id"] for r in clusters.cluster_anchor(df, ["k"], "v", 0.1, limit=limit).collect()}
+    for k, vs in data.items():
+        assert {v: got[(k, v)] for v in vs} == anchored(vs, 0.1)
+
+
 def test_gap_clusters_of_a_hot_key(spark):
     df = skewed(spark)
     plain = clusters.cluster_gap(df, ["k"], "v", ["o"], 1, hot=False)

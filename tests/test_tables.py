@@ -1,7 +1,8 @@
-"""Reconstruction against a step-by-step walk over hand-made and random pages."""
+"""Reconstruction against its definition, tried out over all rows and ranges of random pages, and by hand."""
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -16,74 +17,74 @@ CONFIG = (
 )
 
 
-# ---- plain walk -----------------------------------------------------------------
+# ---- by definition ------------------------------------------------------------------
 
 
 def mid(f):
     return (f["miny"] + f["maxy"]) / 2
 
 
-def midx(f):
-    return (f["minx"] + f["maxx"]) / 2
+def expected_row(cell, heads, top, bottom, borders):
+    """The only row whose height range holds the cell; of several the first row between borders."""
+    held = held_by(cell, heads, top, bottom)
+    if len(held) == 1:
+        return held[0]
+    inside = [i for i in range(len(heads)) if borders(i) and borders(i + 1) and borders(i) <= cell["miny"] and cell["maxy"] <= borders(i + 1)]
+    return inside[0] if inside and inside[0] in held else None
 
 
-def walk_rows(heads, cells, top, bottom):
-    """Row of each cell: ranges, disputes, borders, one after another."""
+def held_by(cell, heads, top, bottom):
+    """All rows whose range, from the middle above to the middle below, contains the cell."""
+    edges = [top, top, *[mid(h) for h in heads[1:]], bottom]
+    return [i for i in range(len(heads)) if edges[i] <= cell["miny"] and cell["maxy"] <= (edges[i + 2] if i + 1 < len(heads) else bottom)]
+
+
+def borders_of(heads, cells, top, bottom):
+    """Border i lies above row i. Between two rows that no cell disputes it is half way; else it mirrors
+    the nearest such border on either side across the middles in between."""
     n = len(heads)
-    spans = [(mid(heads[i - 1]) if i > 1 else top, mid(heads[i + 1]) if i + 1 < n else bottom) for i in range(n)]
-    cand = {c["frag_id"]: [i for i, (a, b) in enumerate(spans) if a <= c["miny"] and c["maxy"] <= b] for c in cells}
-    disputed = {i for ids in cand.values() if len(ids) != 1 for i in ids}
-    bounds = [None] * (n + 1)
-    for i in range(1, n):
-        if i - 1 not in disputed and i not in disputed:
-            bounds[i] = (mid(heads[i - 1]) + mid(heads[i])) / 2
-    if bounds[1] is not None:
-        bounds[0] = 2 * mid(heads[0]) - bounds[1]
-    if bounds[n - 1] is not None:
-        bounds[n] = 2 * mid(heads[n - 1]) - bounds[n - 1]
-    down, up = list(bounds), list(bounds)
-    for i in range(1, n + 1):
-        if down[i] is None and down[i - 1] is not None:
-            down[i] = 2 * mid(heads[i - 1]) - down[i - 1]
-    for i in range(n - 1, -1, -1):
-        if up[i] is None and up[i + 1] is not None:
-            up[i] = 2 * mid(heads[i]) - up[i + 1]
-    for i in range(n + 1):
-        if bounds[i] is None:
-            both = [b for b in (down[i], up[i]) if b is not None]
-            if len(both) == 2 and abs(both[0] - both[1]) < 3:
-                bounds[i] = sum(both) / 2
-            elif len(both) == 1:
-                bounds[i] = both[0]
-    rows = {}
-    for c in cells:
-        ids = cand[c["frag_id"]]
-        if len(ids) == 1:
-            rows[c["frag_id"]] = ids[0]
-            continue
-        hits = [i for i in range(n) if bounds[i] and bounds[i + 1] and bounds[i] <= c["miny"] and c["maxy"] <= bounds[i + 1]]
-        rows[c["frag_id"]] = hits[0] if hits and hits[0] in ids else None
-    return rows
-
-
-def walk_spans(centres, header):
-    """Column ranges of one row, cell by cell."""
-    n, f, out = len(header), 0, []
-    if len(centres) == n:
-        return [(i, i + 1) for i in range(n)]
-    if len(centres) == 1:
-        return [(0, n)]
-    for c in centres:
-        for m in range(2 * f, 2 * n - 1):
-            if m % 2 == 0 and header[m // 2] - 5 <= c <= header[m // 2] + 5:
-                break
-            if m % 2 == 1 and header[m // 2] + 5 <= c <= header[m // 2 + 1] - 5:
-                break
-        else:
+    disputed = set().union(*(held_by(c, heads, top, bottom) for c in cells if len(held_by(c, heads, top, bottom)) > 1), set())
+    known = {i: (mid(heads[i - 1]) + mid(heads[i])) / 2 for i in range(1, n) if not disputed & {i - 1, i}}
+
+    def mirrored(j, i):
+        low, high = min(i, j), max(i, j)
+        turn = lambda t: (-1) ** (abs(i - t) - (t < i))
+        return (-1) ** (high - low) * known[j] + 2 * sum(turn(t) * mid(heads[t]) for t in range(low, high))
+
+    def border(i):
+        if i in known:
+            return known[i]
+        sides = [mirrored(pick(js), i) for pick, js in ((max, [j for j in known if j < i]), (min, [j for j in known if j > i])) if js]
+        if len(sides) == 2 and abs(sides[0] - sides[1]) >= 3:
             return None
-        out.append((f, m - f + 1))
-        f = m - f + 1
-    return out if f == n else None
+        return sum(sides) / len(sides) if sides else None
+
+    return border
+
+
+def compositions(n, k):
+    """All ways to cut n columns into k runs, as borders 0 .. n."""
+    return ((0, *cut, n) for cut in itertools.combinations(range(1, n), k - 1))
+
+
+def slots(centre, header):
+    """Half steps of the header that a centre may stand on: 2 i at column i, 2 i + 1 between i and i + 1."""
+    on = [2 * i for i, h in enumerate(header) if abs(centre - h) <= 5]
+    between = [2 * i + 1 for i, (a, b) in enumerate(itertools.pairwise(header)) if a + 5 <= centre <= b - 5]
+    return set(on + between)
+
+
+def expected_ranges(centres, header):
+    """The cut of the columns in which every cell stands in the middle of its run; one that stands on two
+    half steps takes the lower of those its run can reach."""
+    n = len(header)
+    if len(centres) in (1, n):
+        return [(0, n)] if len(centres) == 1 and n > 1 else [(i, i + 1) for i in range(n)]
+    for cut in compositions(n, len(centres)):
+        runs = list(itertools.pairwise(cut))
+        if all(a + b - 1 == min((m for m in slots(c, header) if m >= 2 * a), default=None) for (a, b), c in zip(runs, centres, strict=True)):
+            return runs
+    return None
 
 
 # ---- random pages ---------------------------------------------------------------------
@@ -111,7 +112,7 @@ def frames(spark, pages):
 
 
 @pytest.mark.parametrize("hot", [False, True])
-def test_rows_follow_the_walk(spark, hot):
+def test_rows_by_definition(spark, hot):
     rnd = random.Random(11)
     pages = [random_page(rnd, f"d{i}") for i in range(5 if hot else 60)]
     fragments, config = frames(spark, pages)
@@ -124,15 +125,17 @@ def test_rows_follow_the_walk(spark, hot):
         spark.conf.unset("specloom.hotRows")
     open_cells = settled = 0
     for doc, rows, cells in pages:
-        want = walk_rows(sorted(rows, key=mid), cells, 0.0, 400.0)
+        heads = sorted(rows, key=mid)
+        border = borders_of(heads, cells, 0.0, 400.0)
         for c in cells:
-            assert got[(doc, c["frag_id"])] == want[c["frag_id"]], (doc, c)
-            open_cells += want[c["frag_id"]] is None
-            settled += want[c["frag_id"]] is not None
+            want = expected_row(c, heads, 0.0, 400.0, border)
+            assert got[(doc, c["frag_id"])] == want, (doc, c)
+            open_cells += want is None
+            settled += want is not None
     assert open_cells and settled
 
 
-def test_spans_follow_the_walk(spark):
+def test_spans_by_search(spark):
     rnd = random.Random(7)
     cases = []
     for i in range(300):
@@ -148,7 +151,7 @@ def test_spans_follow_the_walk(spark):
         got.setdefault(r["sheet_id"], []).append((r["centre"], r["col_from"], r["col_to"]))
     resolved = 0
     for i, header, centres in cases:
-        want = walk_spans(centres, header)
+        want = expected_ranges(centres, header)
         have = [(a, b) for _, a, b in sorted(got.get(f"s{i}", []))]
         assert have == (want or []), (header, centres)
         resolved += want is not None
@@ -164,11 +167,14 @@ def test_lagged_sections(spark, seed):
         labels = sorted(rnd.sample(range(0, 200), rnd.randint(0, 6)))
         data += [(f"s{s}", "row", i, f"r{i}", float(y)) for i, y in enumerate(rows)]
         data += [(f"s{s}", "section", i, f"t{i}", float(y)) for i, y in enumerate(labels)]
-        k = 0
-        for i, y in enumerate(rows):
-            if k < len(labels) and y >= labels[k] - 2:
-                k += 1
-            want[(f"s{s}", i)] = f"t{k - 1}" if k else None
+        # a label begins at the first row beside or below it that no earlier label has begun at
+        begins, free = [], 0
+        for y in labels:
+            begins.append(next((i for i in range(free, len(rows)) if rows[i] >= y - 2), len(rows)))
+            free = begins[-1] + 1
+        for i in range(len(rows)):
+            past = [f"t{k}" for k, at in enumerate(begins) if at <= i]
+            want[(f"s{s}", i)] = past[-1] if past else None
     frame = spark.createDataFrame(data, "sheet_id string, kind string, line_no int, text string, midy double")
     got = {(r["sheet_id"], r["line_no"]): r["label"] for r in T.sections_by_column(frame, hot=False).filter("kind = 'row'").collect()}
     assert got == want
@@ -223,9 +229,14 @@ def test_hand_made_page(spark, sections):
 def test_fixed_spans_rescue_a_row(spark):
     fragments = spark.createDataFrame(page("d", "none"), FRAGMENT)
     config = spark.createDataFrame([("s", "d", 1, 0.0, 10.0, 202.0, 200.0, "none", False, False)], CONFIG)
-    fixed = spark.createDataFrame([("s", "Not", [1, 2])], "sheet_id string, row_text string, spans array<int>")
-    cells = T.sheet_cells(fragments, config, fixed=fixed).filter("property = 'Note'")
-    assert sorted((r["value"], r["col_from"], r["col_to"]) for r in cells.collect()) == [("x", 0, 1), ("y", 1, 3)]
+    rows = [("s", 0, "Note", [2, 1]), ("s", 1, "Not", [1, 2]), ("s", 2, "Nothing", [3]), ("s", 3, "e", [3])]
+    fixed = spark.createDataFrame(rows, "sheet_id string, fix_id int, row_text string, spans array<int>")
+    for hot in (False, True):
+        cells = T.sheet_cells(fragments, config, fixed=fixed, hot=hot).filter("property = 'Note'")
+        # two fixes name the row: the last counts, and the row stays one
+        assert sorted((r["value"], r["col_from"], r["col_to"]) for r in cells.collect()) == [("x", 0, 1), ("y", 1, 3)]
+    lost = T.unresolved_fixes(T.lined_frame(fragments, config, T.settings_of(config), hot=False), fixed)
+    assert sorted((r["row_text"], r["reason"]) for r in lost.collect()) == [("Nothing", "unknown name"), ("e", "ambiguous name")]
 
 
 def test_added_cell_enters_the_table(spark):
