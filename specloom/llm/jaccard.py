@@ -5,9 +5,12 @@ similarity differ in at most k features. The feature domain is cut into n > k pa
 on n - k parts at least, and signatures stand for subsets of parts. With small k these are all subsets of
 n - k parts. With larger k they are single parts, and a set needs only the first of them: n parts of which
 all but k agree share one among the first k + 1 in any common order, and the order puts parts with many
-features first, so that empty and common ones are left out. So all similar pairs share a signature. Pairs
-that do are verified on their whole sets: first one for each set, then, across the components those links
-give, all that remain.
+features first, so that empty and common ones are left out. So all similar pairs share a signature.
+
+Sets that share a signature are compared block by block on a parity sketch, whose distance is never more
+than that of the sets: what is too far apart in the sketch is too far apart. Of the rest, first a spanning
+tree of the nearest is verified on the whole sets, which joins groups of near copies by few pairs; then,
+across the components these links give, every pair that the sketch leaves open.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ SPREAD = 2.0
 SMALL_SPREAD = 1.6
 # (parts, subset size) for k = 0, 1, ...: up to the last k all subsets of parts are enumerated.
 FULL = [(1, 1), (3, 2), (4, 2), (6, 3), (7, 3), (8, 3), *((k + 2, 2) for k in range(6, 13))]
+# Bits of the parity sketch, and sets of one signature that are compared in one block.
+SKETCH_BITS = 512
+BLOCK_SETS = 1024
 # Bytes of text hashed at a time; bounds the memory of a task.
 BLOCK = 1 << 18
 
@@ -204,14 +210,25 @@ def _class_of(shingles: np.ndarray) -> int:
     return int(mix(mix(shingles).sum(dtype=np.uint64, keepdims=True) + np.uint64(shingles.size)).astype(np.int64)[0])
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """Parity of the number of features in each of SKETCH_BITS cells. A feature that only one of two
+    sets has changes one bit, so their sketches differ in no more bits than the sets in features."""
+    cells = (mix(shingles + _GOLD) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=SKETCH_BITS) & 1).tobytes()
+
+
 def classes(texts, width: int = WIDTH):
-    """Column struct<n, name> of a text column: size and name of its shingle set."""
+    """Column struct<n, name, sketch> of a text column: size, name and sketch of its shingle set."""
 
-    @F.arrow_udf("struct<n:bigint,name:bigint>")
+    @F.arrow_udf("struct<n:bigint,name:bigint,sketch:binary>")
     def named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sets = list(shingle_sets(batch.to_pylist(), width))
-            yield pa.StructArray.from_arrays([pa.array([s.size for s in sets], pa.int64()), pa.array([_class_of(s) if s.size else None for s in sets], pa.int64())], ["n", "name"])
+            sizes, names, sketches = [], [], []
+            for s in shingle_sets(batch.to_pylist(), width):
+                sizes.append(s.size)
+                names.append(_class_of(s) if s.size else None)
+                sketches.append(sketch_of(s) if s.size else None)
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary())], ["n", "name", "sketch"])
 
     return named(texts)
 
@@ -276,12 +293,87 @@ def _verified(pairs: DataFrame, known: DataFrame, keyed: DataFrame, percent: int
     return stable(dealt.mapInArrow(compare, "a bigint, b bigint").distinct())
 
 
-def _fitting(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes alone allow the similarity."""
-    sizes = known.select("name", "n")
-    left = pairs.join(broadcast_if_small(sizes), "name")
-    right = sizes.select(F.col("name").alias("pivot"), F.col("n").alias("m"))
-    return left.join(broadcast_if_small(right), "pivot").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("name", "pivot")
+def _open_pairs(sizes: np.ndarray, sketches: np.ndarray, percent: int) -> np.ndarray:
+    """Sketch distances of all pairs of a block, with a large number where the sketches or the sizes
+    rule the similarity out."""
+    bits = np.zeros((len(sizes), len(sizes)), dtype=np.int64)
+    for word in sketches.T:
+        bits += np.bitwise_count(word[:, None] ^ word[None, :])
+    most = (100 - percent) * (sizes[:, None] + sizes[None, :]) // (100 + percent)
+    near = 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
+    return np.where((bits <= most) & near, bits, _FAR)
+
+
+_FAR = 1 << 40
+
+
+def _spanning(distance: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a minimum spanning forest; pairs at _FAR are no edges, ties go to the smaller index."""
+    n = len(distance)
+    best, origin = np.full(n, _FAR), np.full(n, -1)
+    waiting = np.ones(n, dtype=bool)
+    edges = []
+    for _ in range(n):
+        i = int(np.where(waiting, best, _FAR + 1).argmin())
+        waiting[i] = False
+        if origin[i] >= 0:
+            edges.append((i, int(origin[i])))
+        closer = waiting & (distance[i] < best)
+        best[closer], origin[closer] = distance[i][closer], i
+    return edges
+
+
+def _block_pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
+    """(name, pivot) pairs of sets that share a signature and that sizes and sketches leave open, from
+    (signature, rows, name, label, n, sketch): a spanning forest of each block, or all of two labels.
+
+    A signature of more than BLOCK_SETS sets is cut into blocks, and each pair of blocks meets in one
+    place, so no task holds more than two blocks whatever the signature.
+    """
+    cut = F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK_SETS)).cast("int")
+    placed = members.withColumn("cut", cut).withColumn("own", F.pmod(F.xxhash64("name"), F.col("cut")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    keyed = spread.select("signature", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "label", "n", "sketch")
+    dealt = keyed.repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j", "name")
+
+    def settle(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        names = [r[4] for r in rows]
+        distance = _open_pairs(np.array([r[6] for r in rows]), np.frombuffer(b"".join(r[7] for r in rows), dtype=np.uint64).reshape(len(rows), -1), percent)
+        np.fill_diagonal(distance, _FAR)
+        if tree:
+            edges = _spanning(distance)
+        else:
+            labels, own = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
+            apart = (labels[:, None] != labels[None, :]) & np.triu(np.ones(distance.shape, dtype=bool))
+            if rows[0][1] != rows[0][2]:
+                apart &= own[:, None] != own[None, :]
+            edges = zip(*np.nonzero(apart & (distance < _FAR)), strict=True)
+        for a, b in edges:
+            if names[a] != names[b]:
+                yield min(names[a], names[b]), max(names[a], names[b])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        found: set[tuple[int, int]] = set()
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and row[:3] != held[0][:3]:
+                    found.update(settle(held))
+                    held = []
+                held.append(row)
+            if len(found) > 100_000:
+                yield _pair_rows(found)
+                found = set()
+        if held:
+            found.update(settle(held))
+        yield _pair_rows(found)
+
+    return dealt.mapInArrow(compare, "name bigint, pivot bigint").distinct()
+
+
+def _pair_rows(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["name", "pivot"])
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -291,36 +383,27 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked with nothing, equal sets are linked; null ids stay null and give no component its name unless
     there is no other."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("rep"))
-    base = source.select("doc_id", "rep", classes(F.col("text"), width).alias("set")).select("doc_id", "rep", "set.n", "set.name")
+    base = source.select("doc_id", "rep", classes(F.col("text"), width).alias("set")).select("doc_id", "rep", "set.n", "set.name", "set.sketch")
     base = stable(base)
-    known = base.where("n > 0").groupBy("name").agg(F.min("rep").alias("rep"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    known = base.where("n > 0").groupBy("name").agg(F.min("rep").alias("rep"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"))
     known = stable(known)
+    base = base.select("doc_id", "rep", "n", "name")
     keyed = source.select("rep", "text")
 
     group = Window.partitionBy("signature")
-    # Another pivot for each signature: names in an order that the signature shuffles.
-    order = F.col("name").bitwiseXOR(F.col("signature"))
-    met = signature_rows(source, "text", percent, width).select("signature", "name", F.min(order).over(group).alias("first"), F.max(order).over(group).alias("last"))
-    met = stable(met.where("first <> last").select("signature", "name", F.col("first").bitwiseXOR(F.col("signature")).alias("pivot")).distinct())
-
-    star = met.where("name <> pivot").groupBy("name", "pivot").agg(F.count(F.lit(1)).alias("times"))
-    star = stable(_fitting(star, known, percent).join(star, ["name", "pivot"]))
-    best = star.groupBy("name").agg(F.max(F.struct("times", "pivot")).alias("best")).select("name", "best.pivot")
-    links = _verified(best, known, keyed, percent, width)
+    met = signature_rows(source, "text", percent, width).select("signature", "name", F.min("name").over(group).alias("first"), F.max("name").over(group).alias("last"), F.count(F.lit(1)).over(group).alias("rows"))
+    met = stable(met.where("first <> last").select("signature", "name", "rows").distinct())
+    members = met.join(broadcast_if_small(stable(known.select("name", "n", "sketch").join(met.select("name").distinct(), "name", "left_semi")), bytes_each=SKETCH_BITS // 8), "name")
+
+    tree = stable(_block_pairs(members.withColumn("label", F.lit(0).cast("bigint")), percent, True))
+    links = _verified(tree, known, keyed, percent, width)
     labels = connected_components(links)
 
     # What is left: pairs that share a signature and are in no common component so far.
-    label = F.coalesce("label", "name")
-    placed = met.select("signature", "name").join(broadcast_if_small(labels.withColumnRenamed("node", "name")), "name", "left").select("signature", "name", label.alias("label"))
-    counts = placed.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
-    main = counts.groupBy("signature").agg(F.max(F.struct("members", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
-    mixed = stable(placed.join(main.where("labels > 1").select("signature", F.col("most.label").alias("main")), "signature"))
-    # The largest component of a signature has no pairs within itself, so only the others look around.
-    a = mixed.where("label <> main").select("signature", F.col("name").alias("x"), F.col("label").alias("lx"))
-    b = mixed.select("signature", F.col("name").alias("y"), F.col("label").alias("ly"))
-    crossing = a.join(b, "signature").where("lx <> ly").select(F.least("x", "y").alias("name"), F.greatest("x", "y").alias("pivot")).distinct()
-    checked = best.select(F.least("name", "pivot").alias("name"), F.greatest("name", "pivot").alias("pivot"))
-    rest = stable(_fitting(crossing.join(checked, ["name", "pivot"], "left_anti"), known, percent))
+    placed = members.join(broadcast_if_small(labels.withColumnRenamed("node", "name")), "name", "left").withColumn("label", F.coalesce("label", "name"))
+    mixed = placed.groupBy("signature").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("signature")
+    rest = _block_pairs(placed.join(mixed, "signature", "left_semi"), percent, False).join(tree, ["name", "pivot"], "left_anti")
+    rest = stable(rest)
     if not rest.isEmpty():
         more = _verified(rest, known, keyed, percent, width)
         if not more.isEmpty():

@@ -10,14 +10,15 @@ BROADCAST_BYTES = 48 << 20
 CELL_BYTES = 16
 
 
-def broadcast_if_small(df: DataFrame, *arrays: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame marked for broadcast if its cells, counting those of the named arrays, take at most
-    `limit` bytes; else as it is, for a shuffled join. Callers pass frames that are cheap to read twice."""
+def broadcast_if_small(df: DataFrame, *arrays: str, bytes_each: int = 0, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame marked for broadcast if its cells, counting those of the named arrays, and `bytes_each`
+    more a row take at most `limit` bytes; else as it is, for a shuffled join. Callers pass frames that
+    are cheap to read twice."""
     cells = F.lit(len(df.columns))
     for a in arrays:
         cells = cells + F.coalesce(F.size(a), F.lit(0))
-    size = df.agg(F.sum(cells).alias("cells")).first().cells or 0
-    return F.broadcast(df) if size * CELL_BYTES <= limit else df
+    size = df.agg(F.sum(cells * CELL_BYTES + bytes_each).alias("bytes")).first().bytes or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def row_key(*columns: Column) -> list[Column]:

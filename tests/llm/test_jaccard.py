@@ -116,7 +116,27 @@ def test_similar_sets_share_a_signature(percent):
         assert set(signatures(a, bands).tolist()) & set(signatures(b, bands).tolist())
 
 
-def test_groups_against_all_pairs(spark):
+def test_sketch_is_a_lower_bound():
+    rng = np.random.default_rng(8)
+    for size in (1, 5, 40, 300, 3000):
+        for lost in (0, 1, size // 5, size):
+            a = rng.integers(0, 2**63, size=size).astype(np.uint64)
+            b = np.concatenate([a[lost:], rng.integers(0, 2**63, size=lost + 2).astype(np.uint64)])
+            x, y = (np.unpackbits(np.frombuffer(jaccard.sketch_of(s), dtype=np.uint8)) for s in (a, b))
+            assert (x != y).sum() <= np.setxor1d(a, b).size
+
+
+def test_spanning_forest():
+    far = jaccard._FAR
+    d = np.full((5, 5), far)
+    for i, j, w in [(0, 1, 3), (1, 2, 1), (0, 2, 2), (3, 4, 7)]:
+        d[i, j] = d[j, i] = w
+    assert sorted(tuple(sorted(e)) for e in jaccard._spanning(d)) == [(0, 2), (1, 2), (3, 4)]
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_groups_against_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
     texts = varied(4, 70)
     rows = [(1000 + 7 * i % 911, t) for i, t in enumerate(texts)] + [(5, None), (6, ""), (7, " \n"), (8, "solo"), (9, "Solo"), (None, "solo"), (None, "none other")]
     rows += [rows[0]] * 30 + [(10, "a b c d e f " * 3000), (11, "a b c d e f " * 3001)]
@@ -127,14 +147,16 @@ def test_groups_against_all_pairs(spark):
     assert tuple(similar_groups(df.where("text is null")).first())[:3] == (5, 0, 5)
 
 
-def test_hot_near_copies(spark):
+@pytest.mark.parametrize("block", [1024, 50])
+def test_hot_near_copies(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
     rng = random.Random(6)
     words = [f"v{i}" for i in range(500)]
     base = rng.choices(words, k=120)
     rows = []
     for i in range(300):
         copy = list(base)
-        for _ in range(rng.randrange(4)):
+        for _ in range(rng.randrange(9)):
             copy[rng.randrange(120)] = rng.choice(words)
         rows.append((i, " ".join(copy)))
     got = sorted(tuple(r)[:3] for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect())
