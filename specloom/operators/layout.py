@@ -66,13 +66,22 @@ def best_orientation(fits: DataFrame) -> DataFrame:
     return fits.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
 
 
-def total_per_panel(best: DataFrame) -> DataFrame:
-    """Pieces over all areas of the request, and the list of counts per area size."""
-    counts = F.sort_array(F.collect_list(F.struct("aw", "ah", "n_areas", "nx", "ny")))
-    return best.groupBy("request", "w", "h", "n_panels").agg(
-        F.sum(F.col("nx").cast("long") * F.col("ny") * F.col("n_areas")).alias("pieces"),
-        counts.alias("area_counts"),
+def total_per_panel(best: DataFrame, panels: DataFrame, areas: DataFrame) -> DataFrame:
+    """For each panel the pieces over all areas of its request, and the counts of each area in order of
+    its id; 0 and none where the request has no area.
+
+    panels: panel_id, request, w, h; areas: area_id, request, w, h. Counts are gathered once for each
+    panel size: as many as the request has areas.
+    """
+    sized = areas.select("request", F.col("w").alias("aw"), F.col("h").alias("ah"), "area_id")
+    each = best.join(sized, ["request", "aw", "ah"])
+    totals = each.groupBy("request", "w", "h").agg(
+        F.sum(F.col("nx").cast("long") * F.col("ny")).alias("pieces"),
+        F.sort_array(F.collect_list(F.struct("area_id", "nx", "ny"))).alias("area_counts"),
     )
+    none = F.array().cast(totals.schema["area_counts"].dataType)
+    named = panels.join(totals, ["request", "w", "h"], "left")
+    return named.withColumns({"pieces": F.coalesce("pieces", F.lit(0).cast("long")), "area_counts": F.coalesce("area_counts", none)})
 
 
 def price_metrics(prices: DataFrame) -> DataFrame:

@@ -187,9 +187,9 @@ def stale_stage_due(spark, sf):
 
 @query(
     "unconfigured_artefacts",
-    ART + ", a AS (SELECT DISTINCT stem, grp FROM v_artefact WHERE stage = 'download'), j AS (SELECT DISTINCT stem, grp FROM v_job WHERE c_nationkey <> 4)"
-    " SELECT stem, grp, 'no_config' AS side FROM a ANTI JOIN j USING (stem, grp) UNION ALL SELECT stem, grp, 'no_artefact' FROM j ANTI JOIN a USING (stem, grp)",
+    ART + ", a AS (SELECT DISTINCT stem, grp, filename FROM v_artefact WHERE stage = 'download'), j AS (SELECT DISTINCT stem, grp, filename FROM v_job)"
+    " SELECT stem, grp, filename, 'no_config' AS side FROM a ANTI JOIN j USING (stem, grp, filename) UNION ALL SELECT stem, grp, filename, 'no_artefact' FROM j ANTI JOIN a USING (stem, grp, filename)",
 )
 def unconfigured_artefacts(spark, sf):
     artefacts = view(spark, sf, "v_artefact").filter("stage = 'download'")
-    return diff.unconfigured(artefacts, view(spark, sf, "v_job").filter("c_nationkey <> 4"), ["stem", "grp"])
+    return diff.unconfigured(artefacts, view(spark, sf, "v_job"), ["stem", "grp", "filename"])

@@ -37,14 +37,20 @@ best AS (SELECT * FROM fits QUALIFY row_number() OVER (PARTITION BY request, w,
 _KEYS = "request, w, h, n_panels, aw, ah, n_areas"
 
 
+def panels(spark, sf):
+    return view(spark, sf, "v_panel").select("panel_id", "request", F.inline(F.array(X.size_mm(F.col("size_text")))))
+
+
+def areas(spark, sf):
+    return view(spark, sf, "v_area").select("area_id", "request", F.inline(F.array(X.size_mm(F.col("area_text")))))
+
+
 def panel_sizes(spark, sf):
-    panels = view(spark, sf, "v_panel").select("panel_id", "request", F.inline(F.array(X.size_mm(F.col("size_text")))))
-    return layout.distinct_sizes(panels, "n_panels")
+    return layout.distinct_sizes(panels(spark, sf), "n_panels")
 
 
 def area_sizes(spark, sf):
-    areas = view(spark, sf, "v_area").select("area_id", "request", F.inline(F.array(X.size_mm(F.col("area_text")))))
-    return layout.distinct_sizes(areas, "n_areas")
+    return layout.distinct_sizes(areas(spark, sf), "n_areas")
 
 
 def fits(spark, sf):
@@ -93,13 +99,13 @@ def best_orientation(spark, sf):
 
 @query(
     "total_per_panel",
-    SIZES + " SELECT request, w, h, n_panels, sum(nx * ny * n_areas)::BIGINT AS pieces,"
-    " string_agg(concat(aw, 'x', ah, ':', nx, '*', ny), ' ' ORDER BY aw, ah) AS area_counts FROM best GROUP BY request, w, h, n_panels",
+    SIZES + " SELECT p.panel_id, p.request, coalesce(sum(nx * ny), 0)::BIGINT AS pieces, coalesce(string_agg(concat(area_id, ':', nx, '*', ny), ' ' ORDER BY area_id), '') AS area_counts"
+    " FROM panel_mm p LEFT JOIN (SELECT b.*, area_id FROM best b JOIN area_mm a ON a.request = b.request AND a.w = aw AND a.h = ah) f ON f.request = p.request AND f.w = p.w AND f.h = p.h GROUP BY ALL",
 )
 def total_per_panel(spark, sf):
-    totals = layout.total_per_panel(layout.best_orientation(fits(spark, sf)))
-    one = lambda c: F.concat(c["aw"], F.lit("x"), c["ah"], F.lit(":"), c["nx"], F.lit("*"), c["ny"])
-    return totals.withColumn("area_counts", F.array_join(F.transform("area_counts", one), " "))
+    totals = layout.total_per_panel(layout.best_orientation(fits(spark, sf)), panels(spark, sf), areas(spark, sf))
+    one = lambda c: F.concat(c["area_id"], F.lit(":"), c["nx"], F.lit("*"), c["ny"])
+    return totals.select("panel_id", "request", "pieces", F.array_join(F.transform("area_counts", one), " ").alias("area_counts"))
 
 
 @query(

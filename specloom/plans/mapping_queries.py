@@ -188,14 +188,6 @@ def section_ffill(spark, sf):
     return reshape.fill_sections(wide_sheets(spark, sf)).select("sheet_id", "row_idx", "section", "property")
 
 
-@query("sink_spec_csv", WIDE + " SELECT sheet_id, row_idx, section, property, c0, c1, c2, c3 FROM wide")
-def sink_spec_csv(spark, sf):
-    names = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(reshape.column_names(SHEET_COLUMNS))]
-    cells = view(spark, sf, "v_spec_cell")
-    wide = reshape.blank_sections(reshape.long_to_wide(cells, SHEET_COLUMNS))
-    return wide.select("sheet_id", "row_idx", "section", "property", *names)
-
-
 @query(
     "reshape_wide",
     ctes("v_spec_cell")
@@ -421,21 +413,6 @@ def path_safe_name(spark, sf):
     return models.select("sheet_id", "col_idx", F.col("value").alias("model"), X.path_safe(model, F.col("col_idx")).alias("file_name"))
 
 
-@query(
-    "sink_device_json",
-    fold_sql() + f", typed AS (SELECT sheet_id, CAST(col_idx AS INT) AS col_idx, {TYPED} FROM folded),"
-    " named AS (SELECT *, trim(replace(model, '/', '_'), '.') AS file_name FROM typed),"
-    " first AS (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY sheet_id, file_name ORDER BY col_idx) = 1)"
-    " SELECT sheet_id, col_idx, file_name, model, pv_input__w_max AS w_max FROM first WHERE sheet_id % 4 <> 1 OR col_idx % 2 <> 0",
-)
-def sink_device_json(spark, sf):
-    """Records to write: the first per file name, minus those written before."""
-    written = view(spark, sf, "v_spec_cell").filter("row_idx = 0 and sheet_id % 4 = 1 and col_idx % 2 = 0")
-    existing = written.select("sheet_id", X.path_safe(F.col("value"), F.col("col_idx")).alias("file_name"))
-    fresh = mapping.first_writer(records(spark, sf), existing)
-    return fresh.select("sheet_id", "col_idx", "file_name", "model", F.col("pv_input.w_max").alias("w_max"))
-
-
 _EDITED = """, other AS (SELECT sheet_id, row_idx, col_idx, CASE WHEN row_idx = 2 AND col_idx = 1 THEN concat(value, '*') ELSE value END AS value
  FROM v_spec_cell WHERE NOT (row_idx = 4 AND col_idx = 3) UNION ALL SELECT sheet_id, 99, col_idx, 'extra' FROM v_spec_cell WHERE row_idx = 0 AND col_idx = 0)"""
 
