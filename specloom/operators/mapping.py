@@ -274,12 +274,20 @@ def nested_records(leaves: DataFrame, schema: T.StructType = R.DEVICE) -> DataFr
     return leaves.select("sheet_id", "col_idx", *R.nest(schema, leaf))
 
 
-def map_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
-    """Sheet rows (ruleset, sheet_id, row_idx, section, property, vals) to device records."""
-    filled = fill(cell_entries(single_matches(rows, rulesets, schema=schema), schema), rulesets)
+def fill_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE) -> DataFrame:
+    """Sheet rows (ruleset, sheet_id, row_idx, section, property, vals) to the texts of each leaf."""
+    return fill(cell_entries(single_matches(rows, rulesets, schema=schema), schema), rulesets)
+
+
+def typed_records(filled: DataFrame, schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
     return nested_records(typed_leaves(filled, schema, strict=strict), schema)
 
 
+def map_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
+    """Sheet rows to device records."""
+    return typed_records(fill_sheets(rows, rulesets, schema), schema, strict=strict)
+
+
 def first_writer(records: DataFrame, existing: DataFrame | None = None, keys: Sequence[str] = ("sheet_id", "file_name")) -> DataFrame:
     """Records still to be written: the first model per file name, none that exist already."""
     named = records.withColumn("file_name", X.path_safe(F.col("model"), F.col("col_idx")))

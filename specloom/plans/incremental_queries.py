@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from specloom.functions import text as X
-from specloom.operators import diff
+from specloom.operators import diff, settings
 from specloom.operators import incremental as inc
 from specloom.plans.registry import query
 from specloom.plans.views import ctes, view
@@ -75,6 +75,19 @@ def quarantine_manifest(spark, sf):
     return bad.select("grp", "seq", "reason")
 
 
+@query(
+    "quarantine_settings",
+    _MERGED + """, opt AS (SELECT j.c_custkey, j.seq, max(value) FILTER (key = 'source') AS source, max(value) FILTER (key = 'area') AS area, max(value) FILTER (key = 'page') AS page
+  FROM job j LEFT JOIN merged m ON m.c_custkey = j.c_custkey AND m.seq = j.seq GROUP BY ALL)
+SELECT concat('grp', c_custkey) AS grp, CAST(seq AS INT) AS seq, CASE WHEN source IS NULL THEN 'no source' WHEN area IS NULL THEN 'no area' ELSE 'page is no number from 1' END AS reason
+FROM opt WHERE source IS NULL OR area IS NULL OR CAST(coalesce(page, '1') AS INT) < 1""",
+)
+def quarantine_settings(spark, sf):
+    """Jobs whose merged options do not say where to read."""
+    merged = inc.inherit_defaults(inc.stage_list(manifest(spark, sf)), defaults(spark, sf))
+    return settings.settings_tables(merged, ["grp", "seq"]).rejects
+
+
 _FILTER = "stem IN ('stem3', 'stem7') OR (segment = 'BUILDING' AND balance > 5000)"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,20 @@ from specloom.operators import tables as T
 from specloom.operators.mapping import Rule
 
 
-def device_records(
+@dataclass(frozen=True)
+class Outcome:
+    """Device records, and the texts that did not fit their field (sheet_id, col_idx, path, raw)."""
+
+    records: DataFrame
+    quarantine: DataFrame
+
+
+def device_records(fragments: DataFrame, config: DataFrame, rulesets: dict[str, Sequence[Rule]], **options) -> DataFrame:
+    """The records alone."""
+    return device_outcome(fragments, config, rulesets, **options).records
+
+
+def device_outcome(
     fragments: DataFrame,
     config: DataFrame,
     rulesets: dict[str, Sequence[Rule]],
@@ -23,7 +37,7 @@ def device_records(
     added: DataFrame | None = None,
     columns: int | None = None,
     strict: bool = False,
-) -> DataFrame:
+) -> Outcome:
     """Device records of all sheets at once.
 
     stale: sheet_id of the work to do (all when absent). config may carry `ruleset`.
@@ -41,4 +55,5 @@ def device_records(
         rows = T.per_sheet(rows, config.select("sheet_id", "ruleset"), ["sheet_id"])
     else:
         rows = rows.withColumn("ruleset", F.lit(next(iter(rulesets))))
-    return mapping.map_sheets(rows, rulesets, strict=strict)
+    filled = mapping.fill_sheets(rows, rulesets)
+    return Outcome(mapping.typed_records(filled, strict=strict), mapping.quarantine(filled))
