@@ -64,7 +64,7 @@ def settings_tables(jobs: DataFrame, keys: list[str]) -> SettingsTables:
         .when(~four, "area is not four numbers")
         .when(F.coalesce(F.col("page") < 1, F.lit(True)), "page is no number from 1")
         .when(~F.col("sections").isin(*SECTION_MODES), "unknown kind of sections")
-        .when(F.col("_fix").isNotNull() & F.col("fix").isNull(), "fix cannot be read")
+        .when(F.col("_fix").isNotNull() & F.get_json_object("_fix", "$").isNull(), "fix cannot be read")
     )
     good, rejects = split_bad(read, reason)
     sides = [F.get("area", F.lit(i)).alias(n) for i, n in enumerate("xywh")]
