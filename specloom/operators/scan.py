@@ -74,6 +74,14 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     return (counts.agg(F.max("n").alias("most")).first()["most"] or 0) > limit
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """The keys above the limit as a small table, or None: at most one key for every `limit` rows."""
+    if not has_hot_key(df, keys, limit):
+        return None
+    limit = hot_rows(df.sparkSession) if limit is None else limit
+    return stable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(*keys))
+
+
 def run(
     df: DataFrame,
     keys: Sequence[str],

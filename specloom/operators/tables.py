@@ -609,6 +609,16 @@ def place_columns(named: DataFrame, joiners: DataFrame | None = None, *, hot: bo
     return merge_cells(kept, joiners, ["section", "header", "spans"])
 
 
+def split_hot(fragments: DataFrame, config: DataFrame) -> list[tuple[DataFrame, DataFrame, bool]]:
+    """Fragments and settings of ordinary pages, and apart from them those of pages too large for one
+    task, each with whether it is the latter. Asked once, of the input."""
+    page = ["doc_id", "page"]
+    hot = scan.hot_keys(fragments, page)
+    if hot is None:
+        return [(fragments, config, False)]
+    return [(*(per_sheet(df, hot, page, how) for df in (fragments, config)), how == "left_semi") for how in ("left_anti", "left_semi")]
+
+
 def sheet_cells(
     fragments: DataFrame,
     config: DataFrame,
@@ -620,7 +630,8 @@ def sheet_cells(
 ) -> DataFrame:
     """Fragments and extraction settings to cells with section, property, column range and text."""
     if hot is None:
-        hot = scan.has_hot_key(fragments, ["doc_id", "page"])
+        parts = [sheet_cells(f, c, fixed=fixed, joiners=joiners, added=added, hot=h) for f, c, h in split_hot(fragments, config)]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     settings = settings_of(config)
     lined = lined_frame(fragments, config, settings, added=added, hot=hot)
     if fixed is not None:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specloom.operators import mapping, reshape, scan
+from specloom.operators import mapping, reshape
 from specloom.operators import tables as T
 from specloom.operators.mapping import Rule
 
@@ -45,12 +46,12 @@ def device_outcome(
     if stale is not None:
         config = config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi")
         fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi")
-    hot = scan.has_hot_key(fragments, ["doc_id", "page"])
-    cells = T.spec_cells(T.sheet_cells(fragments, config, fixed=fixed, joiners=joiners, added=added, hot=hot), hot=hot)
+    parts = []
+    for some, settings, hot in T.split_hot(fragments, config):
+        parts.append((T.spec_cells(T.sheet_cells(some, settings, fixed=fixed, joiners=joiners, added=added, hot=hot), hot=hot), hot))
     if columns is None:
-        columns = reshape.column_count(cells)
-    wide = reshape.long_to_wide(cells, columns)
-    rows = reshape.sheet_rows(wide, columns, hot=hot)
+        columns = max(reshape.column_count(cells) for cells, _ in parts)
+    rows = reduce(DataFrame.unionByName, [reshape.sheet_rows(reshape.long_to_wide(cells, columns), columns, hot=hot) for cells, hot in parts])
     if "ruleset" in config.columns:
         rows = T.per_sheet(rows, config.select("sheet_id", "ruleset"), ["sheet_id"])
     else:

@@ -254,3 +254,17 @@ def test_wrapped_headers_merge(spark):
     df = spark.createDataFrame(lines, "sheet_id string, frag_id int, text string, minx double, miny double, maxx double, maxy double")
     got = sorted((r["miny"], r["text"], r["maxy"]) for r in T.merge_multiline(df).collect())
     assert got == [(0.0, "Max power", 17.0), (30.0, "Weight", 38.0), (50.0, "Size", 58.0)]
+
+
+def test_only_the_hot_page_takes_the_chunked_path(spark):
+    pages = [page("small", "none"), page("large", "empty-line") + [("large", 1, 100 + i, f"n{i}", 0.5 * i, 320.0, 0.5 * i + 1, 330.0) for i in range(60)]]
+    fragments = spark.createDataFrame([f for p in pages for f in p], FRAGMENT)
+    config = spark.createDataFrame([(d, d, 1, 0.7, 10.2, 202.9, 200.0, m, False, False) for d, m in (("small", "none"), ("large", "empty-line"))], CONFIG)
+    plain = sorted(map(str, T.sheet_cells(fragments, config, hot=False).collect()))
+    spark.conf.set("specloom.hotRows", "40")
+    try:
+        parts = T.split_hot(fragments, config)
+        assert [(sorted({r["doc_id"] for r in f.collect()}), [r["sheet_id"] for r in c.collect()], hot) for f, c, hot in parts] == [(["small"], ["small"], False), (["large"], ["large"], True)]
+        assert sorted(map(str, T.sheet_cells(fragments, config).collect())) == plain
+    finally:
+        spark.conf.unset("specloom.hotRows")
