@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from specloom.session import stable
 
 # The tree is fitted on at most so many rows and has at most so many leaves.
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 20_000
 MAX_LEAVES = 4096
 LEAF_ROWS = 256
 BRANCHES = 8
@@ -29,6 +29,8 @@ TARGET_RECALL = 0.96
 # A block joins at most about so many vectors with so many queries.
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 2_000
+# A task walks the tree for about so many queries.
+WALK_QUERIES = 250
 # Scores are summed anew in a fixed order; what a matrix product may differ from that.
 SLACK = 1e-9
 
@@ -241,8 +243,10 @@ class Index:
 
         asked = usable_like(queries, tree.centers.shape[1]).distinct()
         # The queries of a block go to several groups too; its vectors are repeated over them.
-        groups = max(1, -(-asked.count() // BLOCK_QUERIES))
-        asked = asked.withColumn("share", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(groups)).cast("int"))
+        n = asked.count()
+        groups = max(1, -(-n // BLOCK_QUERIES))
+        # The walk is far dearer than its rows are large, so partitions go by rows.
+        asked = asked.repartition(max(1, n // WALK_QUERIES), "vec_id").withColumn("share", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(groups)).cast("int"))
         plan = asked.mapInPandas(walk, "block int, share int, vec_id bigint, embedding array<double>, leaves array<int>")
         places = list(zip(range(tree.leaves), first.tolist(), cut.tolist(), strict=True))
         sizes = self.rows.sparkSession.createDataFrame(places, "leaf int, first int, cut int")
