@@ -537,18 +537,30 @@ def single_joiners(joiners: DataFrame) -> DataFrame:
 
 def resolve_colspans(merged: DataFrame) -> DataFrame:
     """Column range of each merged cell: fixed by configuration (`spans` of its row), one per column,
-    one for all, or by its centre; a row that does not come out even is dropped.
+    one for all, or by its centre; a row that does not come out even is left out (see `uneven_rows`)."""
+    solved = _ranged_rows(merged).filter("_ranges is not null")
+    pairs = F.arrays_zip(F.col("_cells").alias("c"), F.col("_ranges").alias("r"))
+    return solved.select(*ROW, F.explode(pairs).alias("_p")).select(*ROW, "_p.c.*", "_p.r.*")
+
+
+def uneven_rows(merged: DataFrame) -> DataFrame:
+    """Rows that `resolve_colspans` leaves out, with the reason."""
+    reason = F.when(F.col("spans").isNotNull(), "fixed spans do not fit the cells").otherwise("cells do not fit the columns")
+    return _ranged_rows(merged).filter("_ranges is null").select(*ROW, reason.alias("reason"))
+
 
-    A row can use at most as many clusters as there are columns (or fixed spans); rows with more are
-    left out by their count, before their cells are gathered.
+def _ranged_rows(merged: DataFrame) -> DataFrame:
+    """Every row with its cells and their column ranges, null where they do not come out even.
+
+    A row can use at most as many clusters as there are columns (or fixed spans); of rows with more the
+    cells are counted and not gathered.
     """
     joined = merged if "spans" in merged.columns else merged.withColumn("spans", F.lit(None).cast("array<int>"))
     carried = [c for c in merged.columns if c not in (*ROW, "header", "spans")]
     most = F.greatest(F.size("header"), F.coalesce(F.array_size("spans"), F.lit(0)))
     counted = scan.totals(joined, ROW, {"_clusters": F.count(F.lit(1))}, hot=False)
-    rows = counted.filter(F.col("_clusters") <= most).drop("_clusters").groupBy(*ROW).agg(
-        F.array_sort(F.collect_list(F.struct(*carried))).alias("_cells"), F.first("header").alias("header"), F.first("spans").alias("spans")
-    )
+    cell = F.when(F.col("_clusters") <= most, F.struct(*carried))
+    rows = counted.groupBy(*ROW).agg(F.array_sort(F.collect_list(cell)).alias("_cells"), F.first("header").alias("header"), F.first("spans").alias("spans"))
     k, n = F.size("_cells"), F.size("header")
     own = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("col_from"), (i + 1).alias("col_to")))
     whole = F.array(F.struct(F.lit(0).alias("col_from"), n.alias("col_to")))
@@ -558,9 +570,7 @@ def resolve_colspans(merged: DataFrame) -> DataFrame:
         .when(k == 1, whole)
         .otherwise(_spans_by_centre(F.transform("_cells", lambda c: c["centre"]), F.col("header")))
     )
-    solved = rows.withColumn("_ranges", ranges).filter("_ranges is not null")
-    pairs = F.arrays_zip(F.col("_cells").alias("c"), F.col("_ranges").alias("r"))
-    return solved.select(*ROW, F.explode(pairs).alias("_p")).select(*ROW, "_p.c.*", "_p.r.*")
+    return rows.withColumn("_ranges", F.when(k > 0, ranges))
 
 
 # ---- all together ---------------------------------------------------------------------

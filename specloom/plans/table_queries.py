@@ -281,6 +281,22 @@ def resolve_colspans(spark, sf):
     return ranges.select("sheet_id", "row_id", "centre", "col_from", "col_to")
 
 
+@query(
+    "quarantine_spans",
+    SPANNED + " SELECT nk.sheet_id, nk.row_id, CASE WHEN spans IS NULL THEN 'cells do not fit the columns' ELSE 'fixed spans do not fit the cells' END AS reason"
+    " FROM nk LEFT JOIN fix USING (sheet_id, row_id) ANTI JOIN ranges r ON r.sheet_id = nk.sheet_id AND r.row_id = nk.row_id",
+)
+def quarantine_spans(spark, sf):
+    return T.uneven_rows(Pages(spark, sf).merged())
+
+
+@query("quarantine_fixes", HEAD + """ SELECT f.sheet_id, f.fix_id, f.row_text, CASE WHEN count(r.row_id) = 0 THEN 'unknown name' ELSE 'ambiguous name' END AS reason
+ FROM v_fixed f LEFT JOIN rws r ON r.sheet_id = f.sheet_id AND contains(r.text, f.row_text) GROUP BY ALL HAVING count(r.row_id) <> 1""")
+def quarantine_fixes(spark, sf):
+    p = Pages(spark, sf)
+    return T.unresolved_fixes(p.lined(), p.get("v_fixed")).select("sheet_id", "fix_id", "row_text", "reason")
+
+
 @query("merge_fragments", SHEETS + " SELECT sheet_id, row_id, frag_id, value, midy FROM joined_cell")
 def merge_fragments(spark, sf):
     merged = Pages(spark, sf).merged()
