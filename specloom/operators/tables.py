@@ -32,6 +32,7 @@ SECTION_EPS = 2  # a section may lie this far below its first row
 CENTRE_EPS = 2  # a centred label lies within this of the middle of the area
 LINE_EPS = 2  # line gaps within this of the smallest are wraps
 BOUND_EPS = 3  # forward and backward row borders must agree within this
+HALF_THOUSANDTHS = 2000  # units of a point in which row borders are summed
 # Where a table prints its section labels.
 SECTION_MODES = ("none", "empty-line", "first-col", "table-center")
 NO_SECTIONS, EMPTY_LINE, FIRST_COL, TABLE_CENTER = SECTION_MODES
@@ -347,23 +348,25 @@ def solve_bounds(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
 
     The border between two undisputed rows is the midpoint of their middles. Unknown borders are
     mirrored across the middles, b_i = 2 m_(i-1) - b_(i-1); with c_i = (-1)^i b_i that is a prefix
-    sum, so c_i - S_i stays the same from a known border on, in both directions.
+    sum, so c_i - S_i stays the same from a known border on, in both directions. Sums run over whole
+    half thousandths of a point, so they do not depend on the order in which chunks add them.
     """
-    near = scan.run(frame, KIND, ["line_no"], {"_m0": scan.previous(F.col("midy")), "_d0": scan.previous(F.col("disputed"))}, hot=hot)
-    known = F.when(is_row() & ~F.col("_d0") & ~F.col("disputed"), (F.col("_m0") + F.col("midy")) / 2)
-    sign = F.when(F.col("line_no") % 2 == 0, 1.0).otherwise(-1.0)
-    summed = scan.run(near.withColumn("_b", known), KIND, ["line_no"], {"_S": scan.running_sum(F.coalesce(2 * sign * F.col("_m0"), F.lit(0.0)))}, hot=hot)
+    middle = F.round(F.col("midy") * 1000).cast("long") * 2
+    near = scan.run(frame.withColumn("_m", middle), KIND, ["line_no"], {"_m0": scan.previous(F.col("_m")), "_d0": scan.previous(F.col("disputed"))}, hot=hot)
+    known = F.when(is_row() & ~F.col("_d0") & ~F.col("disputed"), ((F.col("_m0") + F.col("_m")) / 2).cast("long"))
+    sign = F.when(F.col("line_no") % 2 == 0, 1).otherwise(-1)
+    summed = scan.run(near.withColumn("_b", known), KIND, ["line_no"], {"_S": scan.running_sum(F.coalesce(2 * sign * F.col("_m0"), F.lit(0).cast("long")))}, hot=hot)
     const = sign * F.col("_b") - F.col("_S")
     both = scan.run(summed, KIND, ["line_no"], {"_fwd": scan.last_known(const), "_rev": scan.next_known(const)}, hot=hot)
     fwd, rev = sign * (F.col("_fwd") + F.col("_S")), sign * (F.col("_rev") + F.col("_S"))
-    agreed = F.when(F.abs(fwd - rev) < BOUND_EPS, (fwd + rev) / 2)
+    agreed = F.when(F.abs(fwd - rev) < BOUND_EPS * HALF_THOUSANDTHS, (fwd + rev) / 2)
     value = F.coalesce("_b", F.when(F.col("_fwd").isNull(), rev).when(F.col("_rev").isNull(), fwd).otherwise(agreed))
-    solved = both.withColumn("bound", F.when(is_row(), value))
+    solved = both.withColumn("bound", F.when(is_row(), value / HALF_THOUSANDTHS))
     after = scan.run(solved, KIND, ["line_no"], {"_next": scan.following(F.struct(F.col("bound").alias("b")))}, hot=hot)
     # border below the last row: mirrored on from the last known one
-    last = -sign * (F.col("_fwd") + F.col("_S") - 2 * sign * F.col("midy"))
+    last = -sign * (F.col("_fwd") + F.col("_S") - 2 * sign * F.col("_m")) / HALF_THOUSANDTHS
     stop = F.when(F.col("_next").isNotNull(), F.col("_next.b")).otherwise(last)
-    return after.withColumn("bound_stop", F.when(is_row(), stop)).drop("_m0", "_d0", "_b", "_S", "_fwd", "_rev", "_next")
+    return after.withColumn("bound_stop", F.when(is_row(), stop)).drop("_m", "_m0", "_d0", "_b", "_S", "_fwd", "_rev", "_next")
 
 
 def _range_known() -> Column:
