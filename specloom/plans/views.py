@@ -8,7 +8,6 @@ row is left out: every view grows with its table.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -204,19 +203,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = _spark_text(VIEWS[name])
     args = {n: view(spark, sf_dir, n) for n in dict.fromkeys(_NAME.findall(text))}
     if name in _MULTIPLIED:
-        args = {n: spread(spark, sf_dir, n, df) for n, df in args.items()}
+        args = {n: spread(spark, n, df) for n, df in args.items()}
     return spark.sql(text, **args)
 
 
-def spread(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """A table stored in fewer splits than there are cores is spread before its rows multiply."""
+def spread(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """A table stored in fewer files than there are cores is spread before its rows multiply."""
     cores = spark.sparkContext.defaultParallelism
-    return df if name not in TABLES or _splits(spark, sf_dir, name) >= cores else df.repartition(cores)
-
-
-@lru_cache(maxsize=64)
-def _splits(spark: SparkSession, sf_dir: str, name: str) -> int:
-    return table(spark, sf_dir, name).rdd.getNumPartitions()
+    return df if name not in TABLES or len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def _spark_text(text: str) -> str:
