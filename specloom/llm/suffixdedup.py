@@ -106,8 +106,36 @@ class Anchors:
 _ANCHOR = "t1 bigint, t2 bigint, rep bigint, place bigint, low bigint, high bigint, gram bigint, context bigint, copies bigint"
 
 
+def _settled(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the anchor rows of a batch (columns as in _ANCHOR) one for each context, with the number of its
+    copies, and what is settled already: the covered spans of contexts with several, as rows of no copies.
+    """
+    order = np.lexsort((rows[4], rows[2], rows[7], rows[6]))
+    rows = rows[:, order]
+    first = np.append(True, (rows[6:8, 1:] != rows[6:8, :-1]).any(axis=0)) if order.size else np.zeros(0, dtype=bool)
+    begin = np.flatnonzero(first)
+    copies = np.add.reduceat(rows[8], begin) if begin.size else begin
+    often = np.repeat(copies > 1, np.diff(np.append(begin, order.size)))
+    spans = rows[:, often]
+    spans = spans[:, np.lexsort((spans[4], spans[1], spans[0]))]
+    # Spans of one text that touch become one; no text has a span that begins below the one before.
+    text = np.cumsum(np.append(True, (spans[:2, 1:] != spans[:2, :-1]).any(axis=0))) if spans.shape[1] else np.zeros(0, dtype=np.int64)
+    reach = text * (1 << 40) + spans[5] + length
+    far = np.maximum.accumulate(reach) if reach.size else reach
+    new = np.append(True, (text * (1 << 40) + spans[4])[1:] > far[:-1]) if reach.size else np.zeros(0, dtype=bool)
+    at = np.flatnonzero(new)
+    merged = spans[:, at]
+    if at.size:
+        merged[5] = np.maximum.reduceat(far, at) - text[at] * (1 << 40) - length
+        merged[6], merged[8] = merged[0] ^ merged[4], 0
+    witnesses = rows[:, begin]
+    witnesses[8] = copies
+    return witnesses, merged
+
+
 def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
-    """Anchors of all texts of (t1, t2, rep, text); equal texts of one batch come once, with their number."""
+    """Anchors of all texts of (t1, t2, rep, text), combined batch by batch: one row for each context,
+    however often it occurs there, and rows without copies and context for the spans of those repeated."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
@@ -117,7 +145,6 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
             for i, (t1, t2, rep) in enumerate(names):
                 seen.setdefault((t1, t2), [i, rep, 0])[2] += 1
             found: list[np.ndarray] = []
-            held = 0
             texts = batch.column(3)
             for (t1, t2), (i, rep, copies) in seen.items():
                 text = texts[i].as_py()
@@ -126,15 +153,15 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
                 rows = anchors.of(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8))
                 n = rows.shape[1]
                 found.append(np.vstack([np.full((1, n), t1), np.full((1, n), t2), np.full((1, n), rep), rows, np.full((1, n), copies)]))
-                held += n
-                if held > 200_000:
-                    yield _batch(found)
-                    found, held = [], 0
-            yield _batch(found)
+            if found:
+                witnesses, spans = _settled(np.concatenate(found, axis=1), length)
+                yield rows_of(witnesses, np.zeros(witnesses.shape[1], dtype=bool))
+                yield rows_of(spans, np.ones(spans.shape[1], dtype=bool))
 
-    def _batch(found: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(found, axis=1) if found else np.zeros((9, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], [c.split()[0] for c in _ANCHOR.split(", ")])
+    def rows_of(rows: np.ndarray, bare: np.ndarray) -> pa.RecordBatch:
+        names = [c.split()[0] for c in _ANCHOR.split(", ")]
+        columns = [pa.array(r, pa.int64(), mask=bare) if n == "context" else pa.array(r, pa.int64()) for n, r in zip(names, rows, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     return keyed.select("t1", "t2", "rep", "text").mapInArrow(scan, _ANCHOR)
 
@@ -314,7 +341,8 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, hot_contexts: int = H
     inner = inner.withColumn("lead", (F.col("witness.rep") == F.col("rep")) & (F.col("witness.low") == F.col("low")))
     both = inner.withColumn("all", F.sum("copies").over(by_gram)).withColumn("lo", F.min("context").over(by_gram)).withColumn("hi", F.max("context").over(by_gram))
     both = both.withColumn("kinds", F.sum(F.col("lead").cast("int")).over(by_gram))
-    shared = stable(both.where("all > 1").select("t1", "t2", "rep", "place", "low", "high", "gram", (F.col("times") > 1).alias("whole"), ((F.col("lo") != F.col("hi")) & F.col("lead")).alias("sort"), "kinds"))
+    done = F.col("copies") == 0
+    shared = stable(both.where((F.col("all") > 1) | done).select("t1", "t2", "rep", "place", "low", "high", "gram", ((F.col("times") > 1) | done).alias("whole"), (~done & (F.col("lo") != F.col("hi")) & F.col("lead")).alias("sort"), F.when(done, 0).otherwise(F.col("kinds")).alias("kinds")))
 
     asked = shared.where("sort").groupBy("rep").agg(F.collect_set(F.struct("gram", "place", "low", "high", "kinds")).alias("places"))
     sent = keyed.join(broadcast_if_small(stable(asked), "places"), "rep").select("t1", "t2", F.col("text").cast("binary").alias("raw"), F.explode("places").alias("p"))
