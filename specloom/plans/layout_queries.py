@@ -99,7 +99,7 @@ def best_orientation(spark, sf):
 
 @query(
     "total_per_panel",
-    SIZES + " SELECT p.panel_id, p.request, coalesce(sum(nx * ny), 0)::BIGINT AS pieces, coalesce(string_agg(concat(area_id, ':', nx, '*', ny), ' ' ORDER BY area_id), '') AS area_counts"
+    SIZES + " SELECT p.panel_id, p.request, coalesce(sum(nx * ny), 0)::BIGINT AS pieces, coalesce(string_agg(concat(area_id, ':', nx, '*', ny), ' ' ORDER BY area_id) FILTER (area_id IS NOT NULL), '') AS area_counts"
     " FROM panel_mm p LEFT JOIN (SELECT b.*, area_id FROM best b JOIN area_mm a ON a.request = b.request AND a.w = aw AND a.h = ah) f ON f.request = p.request AND f.w = p.w AND f.h = p.h GROUP BY ALL",
 )
 def total_per_panel(spark, sf):
