@@ -18,12 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
+
 # The learned sample: so many different texts of each language, so many characters of each of them,
 # and so many characters of all languages together.
 DOCS_PER_LANG = 64
 CHARS_PER_DOC = 800
 CHARS_IN_ALL = 160_000
 MAX_LANGS = 256
+SALTS = 64
 SYMBOLS = 62
 LANE = 256
 # Characters parsed at a time; bounds the memory of a task.
@@ -186,8 +189,11 @@ def learn(labelled: DataFrame) -> dict[str, list[str]]:
     hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
     distinct = hashed.groupBy("lang", "h").agg(F.lit(1).alias("one"))
     langs = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang")
-    first = Window.partitionBy("lang").orderBy("h")
-    drawn = distinct.join(F.broadcast(langs), "lang").withColumn("r", F.row_number().over(first)).where(F.col("r") <= DOCS_PER_LANG).select("lang", "h")
+    # The first hashes of each of SALTS parts of a language, then those of the language.
+    part = F.pmod(F.xxhash64("h"), F.lit(SALTS))
+    drawn = distinct.join(F.broadcast(langs), "lang").select("lang", "h")
+    for keys in (["lang", part], ["lang"]):
+        drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("r") <= DOCS_PER_LANG).select("lang", "h")
     texts = hashed.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.left("text", F.lit(CHARS_PER_DOC))).alias("text"))
     out: dict[str, list[str]] = {}
     for r in texts.orderBy("lang", "h").collect():
@@ -198,12 +204,13 @@ def learn(labelled: DataFrame) -> dict[str, list[str]]:
 def identify(samples: dict[str, list[str]], text: Column) -> Column:
     """Struct (lang, score) of a text column; `und` and 0 where it is null, has no letter, or nothing
     was learned."""
+    text_batches()
     packed = json.dumps(samples, sort_keys=True)
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def lang_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = _parser(packed)
-        for batch in batches:
+        for batch in trimmed(batches):
             langs, scores = parser.predict(batch.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
