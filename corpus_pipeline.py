@@ -72,9 +72,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"), bpe.encode(spark, path, F.col("text")).alias("ids"))
-    back = encoded.select("*", bpe.decode(spark, path, F.col("ids")).alias("_back"))
-    return back.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", (F.col("_back") == F.col("text")).alias("round_trip"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    both = docs.select("doc_id", "lang", "source", text, bpe.encode_decode(spark, path, F.col("text")).alias("_both"))
+    ids = F.col("_both.ids")
+    return both.select("doc_id", "lang", "source", F.size(ids).alias("n_tokens"), ids.alias("ids"), (F.col("_both.decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES = [

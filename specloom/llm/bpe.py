@@ -20,10 +20,14 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
+
 # Characters of text that are split into words at a time; bounds the memory of a task.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
+# Rows of a batch that are worked on, and sent on, at a time.
+ROWS = 500
 # Words whose ids a worker remembers; beyond it the memory starts afresh.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 
 # The pattern of byte-level pre-tokenization, with {L} letters, {N} numbers, {S} white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
@@ -267,44 +271,74 @@ def read_tokenizer(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def _parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Batches of ROWS rows at most, so that results are sent on as they are made."""
+    for batch in trimmed(batches):
+        for at in range(0, max(1, len(batch)), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(session, path: str, text: Column) -> Column:
     """array<int> of the token ids of a text column; null and empty texts give an empty array."""
+    text_batches()
     tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(tokenizer.value)
-        for batch in batches:
-            ids, counts = encoder.encode(batch.to_pylist())
+        for part in _parts(batches):
+            ids, counts = encoder.encode(part.to_pylist())
             offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
             yield pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
 
     return ids_of(text)
 
 
+def _texts(vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+    """Texts of runs of ids, so many runs at a time that their ids stay within a block."""
+    ends = np.cumsum(sizes)
+    texts: list[str] = []
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK // 2, side="right")))
+        low = int(ends[at] - sizes[at])
+        raw, lengths = vocabulary.decode_bytes(ids[low : int(ends[to - 1])])
+        data, total = raw.tobytes(), np.append(0, np.cumsum(lengths))
+        bounds = total[np.append(ends[at:to] - sizes[at:to], ends[to - 1]) - low]
+        texts += [data[a:b].decode("utf-8", "replace") for a, b in pairwise(bounds.tolist())]
+        at = to
+    return texts
+
+
 def decode(session, path: str, ids: Column) -> Column:
     """Text of an array<int> column of token ids, special tokens included. Unknown and null ids give
     nothing, bytes that are no UTF-8 the replacement character, null an empty text."""
+    text_batches()
     tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
 
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = vocabulary_of(tokenizer.value)
-        for batch in batches:
+        for batch in _parts(batches):
             sizes = np.array(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
             flat = batch.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            texts: list[str] = []
-            at = 0
-            while at < len(sizes):
-                # So many rows that their ids stay within a block, one at least.
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK // 2, side="right")))
-                low = int(ends[at] - sizes[at])
-                raw, lengths = vocabulary.decode_bytes(flat[low : int(ends[to - 1])])
-                data, total = raw.tobytes(), np.append(0, np.cumsum(lengths))
-                bounds = total[np.append(ends[at:to] - sizes[at:to], ends[to - 1]) - low]
-                texts += [data[a:b].decode("utf-8", "replace") for a, b in pairwise(bounds.tolist())]
-                at = to
-            yield pa.array(texts, pa.string())
+            yield pa.array(_texts(vocabulary, flat, sizes), pa.string())
 
     return text_of(ids)
+
+
+def encode_decode(session, path: str, text: Column) -> Column:
+    """struct<ids: array<int>, decoded: string>: `encode`, and `decode` of its ids, in one Python worker
+    instead of two for each task."""
+    text_batches()
+    tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(tokenizer.value)
+        for part in _parts(batches):
+            ids, counts = encoder.encode(part.to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(ids, pa.int32()))
+            yield pa.StructArray.from_arrays([lists, pa.array(_texts(encoder.vocabulary, ids, counts), pa.string())], ["ids", "decoded"])
+
+    return both(text)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
+
 FEATURES = ("words", "links", "prev_words", "prev_links", "next_words", "next_links", "zone")
 
 # Elements whose source is no text at all.
@@ -238,10 +240,11 @@ _FIELDS = [("text", pa.string()), ("words", pa.int32()), ("linked", pa.int32()),
 
 def block_column(page: Column) -> Column:
     """Flat blocks of an HTML column; null and empty pages have none."""
+    text_batches()
 
     @F.arrow_udf(_BLOCK)
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in trimmed(batches):
             found = [blocks(p) if p else [] for p in batch.to_pylist()]
             columns = list(zip(*(b for page in found for b in page), strict=True)) or [()] * len(_FIELDS)
             values = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS, strict=True)], [n for n, _ in _FIELDS])

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
 from specloom.llm.components import connected_components
 from specloom.llm.joins import broadcast_if_small
 from specloom.session import stable
@@ -222,7 +223,7 @@ def classes(texts, width: int = WIDTH):
 
     @F.arrow_udf("struct<n:bigint,name:bigint,sketch:binary>")
     def named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in trimmed(batches):
             sizes, names, sketches = [], [], []
             for s in shingle_sets(batch.to_pylist(), width):
                 sizes.append(s.size)
@@ -234,13 +235,15 @@ def classes(texts, width: int = WIDTH):
 
 
 def signature_rows(docs: DataFrame, text: str, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(signature, name) of all shingle sets; equal sets of one batch give them once."""
+    """(signature, name) of all shingle sets; equal sets of one task give them once, as far as it remembers."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch in batches:
-            done: set[int] = set()
+        done: set[int] = set()
+        for batch in trimmed(batches):
             names, found, held = [], [], 0
+            if len(done) > 100_000:
+                done.clear()
             for s in shingle_sets(batch.column(0).to_pylist(), width):
                 if s.size and (name := _class_of(s)) not in done:
                     done.add(name)
@@ -274,7 +277,7 @@ def _verified(pairs: DataFrame, known: DataFrame, keyed: DataFrame, percent: int
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, whole = None, np.zeros(0, dtype=np.uint64)
-        for batch in batches:
+        for batch in trimmed(batches):
             a, b = [], []
             columns = [batch.column(i).to_pylist() for i in range(3)]
             for p, other, member, s in zip(*columns, shingle_sets(batch.column(3).to_pylist(), width), strict=True):
@@ -355,7 +358,7 @@ def _block_pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         found: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in trimmed(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[:3] != held[0][:3]:
                     found.update(settle(held))
@@ -382,6 +385,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets have 100 * shared >= percent * joint; row_key is xxhash64 of id and text. Rows without words are
     linked with nothing, equal sets are linked; null ids stay null and give no component its name unless
     there is no other."""
+    text_batches()
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("rep"))
     base = source.select("doc_id", "rep", classes(F.col("text"), width).alias("set")).select("doc_id", "rep", "set.n", "set.name", "set.sketch")
     base = stable(base)

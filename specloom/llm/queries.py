@@ -42,8 +42,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(spark, path, F.col("text")).alias("ids"))
-    both = encoded.select("doc_id", "ids", bpe.decode(spark, path, F.col("ids")).alias("decoded"))
+    both = table(spark, sf_dir, "documents").select("doc_id", bpe.encode_decode(spark, path, F.col("text")).alias("both")).select("doc_id", "both.*")
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.array_join("ids", ",")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 

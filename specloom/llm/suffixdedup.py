@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
 from specloom.llm.jaccard import mix
 from specloom.llm.joins import broadcast_if_small, row_key, without
 from specloom.session import stable
@@ -30,6 +31,8 @@ SHALLOW = 64
 # Bytes hashed at a time, and starts sorted at a time; they bound the memory of a task.
 BLOCK = 1 << 18
 SORT_STARTS = 400_000
+# Anchors of a task that are combined before they are sent on.
+COMBINED = 300_000
 # Groups of more different contexts are settled start by start, by hash aggregation.
 HOT_CONTEXTS = 20_000
 
@@ -134,17 +137,18 @@ def _settled(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
-    """Anchors of all texts of (t1, t2, rep, text), combined batch by batch: one row for each context,
+    """Anchors of all texts of (t1, t2, rep, text), combined within a task: one row for each context,
     however often it occurs there, and rows without copies and context for the spans of those repeated."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
-        for batch in batches:
+        found: list[np.ndarray] = []
+        held = 0
+        for batch in trimmed(batches):
             names = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
             seen: dict[tuple[int, int], list] = {}
             for i, (t1, t2, rep) in enumerate(names):
                 seen.setdefault((t1, t2), [i, rep, 0])[2] += 1
-            found: list[np.ndarray] = []
             texts = batch.column(3)
             for (t1, t2), (i, rep, copies) in seen.items():
                 text = texts[i].as_py()
@@ -153,10 +157,17 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
                 rows = anchors.of(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8))
                 n = rows.shape[1]
                 found.append(np.vstack([np.full((1, n), t1), np.full((1, n), t2), np.full((1, n), rep), rows, np.full((1, n), copies)]))
-            if found:
-                witnesses, spans = _settled(np.concatenate(found, axis=1), length)
-                yield rows_of(witnesses, np.zeros(witnesses.shape[1], dtype=bool))
-                yield rows_of(spans, np.ones(spans.shape[1], dtype=bool))
+                held += n
+            if held > COMBINED:
+                yield from settled(found)
+                found, held = [], 0
+        yield from settled(found)
+
+    def settled(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if found:
+            witnesses, spans = _settled(np.concatenate(found, axis=1), length)
+            yield rows_of(witnesses, np.zeros(witnesses.shape[1], dtype=bool))
+            yield rows_of(spans, np.ones(spans.shape[1], dtype=bool))
 
     def rows_of(rows: np.ndarray, bare: np.ndarray) -> pa.RecordBatch:
         names = [c.split()[0] for c in _ANCHOR.split(", ")]
@@ -309,7 +320,7 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
-        for batch in batches:
+        for batch in trimmed(batches):
             for row in zip(*(batch.column(i).to_pylist() for i in range(len(names))), strict=True):
                 if held >= SORT_STARTS and row[0] != rows[-1][0]:
                     yield settle(rows)
@@ -382,6 +393,7 @@ def dedup_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, hot_c
     every copy goes. Null texts have no spans and stay null; input columns of these names are replaced."""
     if length < 16:
         raise ValueError("length must be at least 16")
+    text_batches()
     docs = without(docs, "spans", "kept", "t1", "t2", "rep")
     names = [f"`{c}`" for c in docs.columns]
     texts = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*[F.col(n) for n in names]).alias("rep")).select(*[c.alias(n) for c, n in zip(row_key(F.col("text")), ("t1", "t2"), strict=True)], "rep", "text")

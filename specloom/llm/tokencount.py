@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from specloom.llm.batches import text_batches, trimmed
 from specloom.llm.bpe import BLOCK, KNOWN_WORDS, SPECIAL_MARK, Encoder, Vocabulary, read_tokenizer, split_words, vocabulary_of
 
 # Token pairs whose compatibility a worker remembers.
@@ -230,12 +231,13 @@ def _counter(tokenizer: str) -> PrefixCounts:
 
 def count_tokens(session, path: str, text: Column) -> Column:
     """bigint token count of a text column; null and empty texts count 0."""
+    text_batches()
     tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
 
     @F.arrow_udf("bigint")
     def total(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _counter(tokenizer.value)
-        for batch in batches:
+        for batch in trimmed(batches):
             yield pa.array(counter.totals(batch.to_pylist()), pa.int64())
 
     return total(text)
@@ -243,12 +245,13 @@ def count_tokens(session, path: str, text: Column) -> Column:
 
 def prefix_counts(session, path: str, text: Column) -> Column:
     """array<int>: element i is the token count of the first i characters; null for a null text."""
+    text_batches()
     tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
 
     @F.arrow_udf("array<int>")
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _counter(tokenizer.value)
-        for batch in batches:
+        for batch in trimmed(batches):
             yield pa.array([None if t is None else counter.at_prefixes(t) for t in batch.to_pylist()], pa.list_(pa.int32()))
 
     return counts(text)
@@ -258,12 +261,13 @@ def fit_budget(session, path: str, text: Column, budget: int) -> Column:
     """int: length of the longest prefix of at most `budget` tokens; null for a null text."""
     if budget < 0:
         raise ValueError("budget must not be negative")
+    text_batches()
     tokenizer = session.sparkContext.broadcast(read_tokenizer(path))
 
     @F.arrow_udf("int")
     def fitting(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _counter(tokenizer.value)
-        for batch in batches:
+        for batch in trimmed(batches):
             yield pa.array([None if t is None else counter.fitting(t, budget) for t in batch.to_pylist()], pa.int32())
 
     return fitting(text)

@@ -62,8 +62,9 @@ def test_blocks_and_forgetting_do_not_change_ids(encoder, monkeypatch):
 def test_columns(spark, library):
     texts = [*odd_texts()[:60], None, None, "x " * 300_000]
     df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "i int, text string, ids int")
-    both = df.select("i", "text", bpe.encode(spark, PATH, F.col("text")).alias("e")).withColumn("back", bpe.decode(spark, PATH, F.col("e")))
+    both = df.select("i", "text", bpe.encode(spark, PATH, F.col("text")).alias("e"), bpe.encode_decode(spark, PATH, F.col("text")).alias("b")).withColumn("back", bpe.decode(spark, PATH, F.col("e")))
     for r in both.collect():
+        assert (r.b.ids, r.b.decoded) == (r.e, r.back)
         want = library.encode(r.text or "", add_special_tokens=False).ids
         assert r.e == want
         assert r.back == library.decode(want, skip_special_tokens=False) == (r.text or "")
