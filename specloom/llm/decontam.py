@@ -69,16 +69,34 @@ def blocks_of(fingerprint: Column, radius: int = RADIUS) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND((1 << (b - a)) - 1).alias("value")) for i, (a, b) in enumerate(runs)])
 
 
+def _item_key(words: Column) -> list[Column]:
+    """Key of an item's text, whatever its ids."""
+    return [k.alias(name) for k, name in zip(row_key(words), ("t1", "t2"), strict=True)]
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, n_words, start, similarity): for each document and item the most similar
     item-sized window, the earliest of several, where the similarity is at least `similarity`.
 
     Similarity is weighted Jaccard: shared over joint shingles, each as often as it occurs. An item of
     less than five words is one shingle; a document shorter than an item is one window. Items and
-    documents without words have no leak, rows without an id neither; equal rows count once.
+    documents without words have no leak, rows without an id neither; equal rows count once. Different
+    texts of one id are compared each for itself, and the best window of all of them is given.
     """
+    named = items.where(F.col(item_id).isNotNull())
+    owners = named.select(F.col(item_id).alias("item_id"), *_item_key(words_of(F.col(text)))).distinct()
+    found = passages(docs.where(F.col(doc_id).isNotNull()), named, doc_id, text, similarity, radius)
+    owned = found.join(broadcast_if_small(owners), ["t1", "t2"])
+    best = owned.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_words", (-F.col("best.back")).cast("int").alias("start"), F.col("best.similarity").alias("similarity"))
+
+
+def passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """(k1, k2, doc_id, t1, t2, n_words, start, similarity): the windows of `leaks` before the best is
+    taken, for each document row, keyed by `row_key` of id and text, and each different text of the
+    items, keyed by its words; ids may be null."""
     wide = F.col("words")
-    source = items.select(F.col(item_id).alias("item_id"), words_of(F.col(text)).alias("words")).where(F.col("item_id").isNotNull()).withColumn("n", F.size("words")).where("n > 0")
+    source = items.select(words_of(F.col(text)).alias("words")).select(*_item_key(wide), "words", F.size("words").alias("n")).where("n > 0")
     source = stable(source.distinct())
     lengths = source.agg(F.min(F.when(F.col("n") >= SHINGLE, F.col("n"))).alias("least"), F.collect_set(F.when(F.col("n") < SHINGLE, F.col("n"))).alias("short")).first()
     widths = {w: 1 for w in lengths.short}  # at most four
@@ -87,12 +105,11 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
 
     def item_shingles(width: int) -> DataFrame:
         own = source.where(F.col("n") == width if width < SHINGLE else F.col("n") >= SHINGLE)
-        return own.select("item_id", "n", F.lit(width).alias("width"), F.inline(_shingles(wide, width)))
+        return own.select("t1", "t2", "n", F.lit(width).alias("width"), F.inline(_shingles(wide, width)))
 
-    base = docs.select(*row_key(F.col(doc_id), F.col(text)), F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words")).where(F.col("doc_id").isNotNull())
-    empty = docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, n_words int, start int, similarity double")
+    base = docs.select(*row_key(F.col(doc_id), F.col(text)), F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words"))
     if not widths:
-        return empty
+        return docs.sparkSession.createDataFrame([], f"k1 bigint, k2 bigint, doc_id {docs.schema[doc_id].dataType.simpleString()}, t1 bigint, t2 bigint, n_words int, start int, similarity double")
     of_items = item_shingles(min(widths))
     for width in sorted(widths)[1:]:
         of_items = of_items.unionByName(item_shingles(width))
@@ -112,32 +129,31 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     held = base.join(broadcast_if_small(stable(spans_of), "spans"), ["k1", "k2"])
     cut = held.select("k1", "k2", "doc_id", "words", F.explode("spans").alias("w")).select("k1", "k2", "doc_id", "w.*", F.slice("words", F.col("w.start") + 1, F.col("w.n")).alias("words"))
 
-    keys = ["doc_id", "k1", "k2", "n", "start"]
+    keys = ["k1", "k2", "n", "start"]
+    item = ["t1", "t2"]
     parts = []
     for width in widths:
         own = cut.where(F.col("width") == width)
         # A window that the end of its document cuts below five words is one shingle of what it has.
-        parts.append(own.select(*keys, F.inline(_shingles(wide, width))))
+        parts.append(own.select(*keys, "doc_id", F.inline(_shingles(wide, width))))
     of_windows = parts[0]
     for p in parts[1:]:
         of_windows = of_windows.unionByName(p)
     # Equal rows give equal windows; their shingles count once.
-    of_windows = stable(of_windows.select(*keys, "pos", "hash").distinct())
+    of_windows = stable(of_windows.select(*keys, "doc_id", "pos", "hash").distinct())
 
     window_prints = simhash(of_windows, *keys)
-    item_prints = simhash(of_items, "item_id", "n")
+    item_prints = simhash(of_items, *item, "n")
     left = window_prints.select(*keys, "print", F.inline(blocks_of(F.col("print"), radius)))
-    right = item_prints.select("item_id", "n", F.col("print").alias("item_print"), F.inline(blocks_of(F.col("print"), radius)))
+    right = item_prints.select(*item, "n", F.col("print").alias("item_print"), F.inline(blocks_of(F.col("print"), radius)))
     near = left.join(broadcast_if_small(right), ["n", "block", "value"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    pairs = near.select(*keys, "item_id").distinct()
+    pairs = near.select(*keys, *item).distinct()
 
     counted = of_windows.groupBy(*keys, "hash").agg(F.count(F.lit(1)).alias("times"))
-    totals = of_windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    item_counts = of_items.groupBy("item_id", "hash").agg(F.count(F.lit(1)).alias("item_times"))
-    item_totals = of_items.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_total"))
-    shared = pairs.join(counted, keys).join(broadcast_if_small(item_counts), ["item_id", "hash"]).groupBy(*keys, "item_id").agg(F.sum(F.least("times", "item_times")).alias("shared"))
-    judged = shared.join(totals, keys).join(broadcast_if_small(item_totals), "item_id")
+    totals = of_windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), F.first("doc_id").alias("doc_id"))
+    item_counts = of_items.groupBy(*item, "hash").agg(F.count(F.lit(1)).alias("item_times"))
+    item_totals = of_items.groupBy(*item).agg(F.count(F.lit(1)).alias("item_total"))
+    shared = pairs.join(counted, keys).join(broadcast_if_small(item_counts), [*item, "hash"]).groupBy(*keys, *item).agg(F.sum(F.least("times", "item_times")).alias("shared"))
+    judged = shared.join(totals, keys).join(broadcast_if_small(item_totals), item)
     share = F.col("shared") / (F.col("total") + F.col("item_total") - F.col("shared"))
-    found = judged.select("doc_id", "item_id", F.col("n").alias("n_words"), "start", share.alias("similarity")).where(F.col("similarity") >= similarity)
-    best = found.groupBy("doc_id", "item_id", "n_words").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-    return best.select("doc_id", "item_id", "n_words", (-F.col("best.back")).cast("int").alias("start"), F.col("best.similarity").alias("similarity"))
+    return judged.select("k1", "k2", "doc_id", *item, F.col("n").alias("n_words"), "start", share.alias("similarity")).where(F.col("similarity") >= similarity)

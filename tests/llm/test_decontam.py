@@ -107,5 +107,16 @@ def test_empty_tables(spark):
     assert [r[0] for r in spark.createDataFrame([("",), (" \n",), (None,), (" A  b\x0bC d ",)], "t string").select(words_of(F.col("t"))).collect()] == [[], [], [], ["a", "b", "c d"]]
 
 
+def test_one_id_on_different_texts(spark):
+    rng = random.Random(12)
+    texts = [rng.choices(VOCABULARY, k=k) for k in (30, 60, 9, 30)]
+    docs = [(d, " ".join(rng.choices(VOCABULARY, k=20) + own + rng.choices(VOCABULARY, k=20))) for d, own in enumerate(texts)] + [(9, " ".join(texts[2] + texts[1]))]
+    items = [(7, " ".join(w)) for w in texts[:3]] + [(8, " ".join(w)) for w in texts[2:]] + [(7, " ".join(texts[0]))]
+    found = leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    # The earliest of several best windows; text 2 belongs to both ids.
+    want = [(0, 7, 30, 20, 1.0), (1, 7, 60, 20, 1.0), (2, 7, 9, 20, 1.0), (2, 8, 9, 20, 1.0), (3, 8, 30, 20, 1.0), (9, 7, 9, 0, 1.0), (9, 8, 9, 0, 1.0)]
+    assert sorted(tuple(r) for r in found.select("doc_id", "item_id", "n_words", "start", "similarity").collect()) == want
+
+
 def test_query(spark):
     assert_oracle(spark, "op10_decontam", QUERIES)
