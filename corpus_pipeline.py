@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.llm import bpe
-from specloom.llm.decontam import leaks
-from specloom.llm.jaccard import similar_groups
-from specloom.llm.joins import broadcast_if_small
+from specloom.llm.decontam import passages
+from specloom.llm.jaccard import linked_rows
+from specloom.llm.joins import broadcast_if_small, row_key
 from specloom.llm.langid import UNKNOWN, identify, learn
 from specloom.llm.linededup import dedup_lines
 from specloom.llm.queries import ORACLES as LLM_ORACLES
@@ -48,12 +48,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays, of equal rows one. Documents
-    without words stay, and those without an id that are linked with none that has one."""
-    groups = stable(similar_groups(docs.select("doc_id", "text")))
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    lost = groups.where(~first).select("row_key").distinct()
-    again = groups.where(first & F.col("doc_id").isNotNull()).groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+    """Of each group of linked documents the one with the smallest id stays, of several with that id or
+    of a group without ids the one with the smallest key, of equal rows one. Documents without words stay."""
+    groups = stable(linked_rows(docs.select("doc_id", "text")))
+    lowest = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = groups.where(lowest)
+    tied = first.groupBy("label").agg(F.min("row_key").alias("stays"), F.max("row_key").alias("last")).where("stays <> last").select("label", "stays")
+    ties = first.join(broadcast_if_small(stable(tied)), "label").where("row_key <> stays")
+    lost = groups.where(~lowest).select("row_key").unionByName(ties.select("row_key")).distinct()
+    again = first.where("doc_id is not null or label is not null").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
     keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
     kept = keyed.join(broadcast_if_small(stable(lost)), "row_key", "left_anti")
     if not again.isEmpty():
@@ -64,9 +67,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    found = leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return docs.join(broadcast_if_small(stable(found.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a passage of the benchmark go, whether document and passage have an id or not."""
+    found = passages(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+    keyed = docs.select("*", *row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(broadcast_if_small(stable(found.select("k1", "k2").distinct())), ["k1", "k2"], "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

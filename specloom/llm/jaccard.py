@@ -385,6 +385,12 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets have 100 * shared >= percent * joint; row_key is xxhash64 of id and text. Rows without words are
     linked with nothing, equal sets are linked; null ids stay null and give no component its name unless
     there is no other."""
+    return linked_rows(docs, doc_id, text, percent, width).drop("label")
+
+
+def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """The rows of `similar_groups` with `label`, which is the same for linked rows only, whatever their
+    ids, and null without words."""
     text_batches()
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("rep"))
     base = source.select("doc_id", "rep", classes(F.col("text"), width).alias("set")).select("doc_id", "rep", "set.n", "set.name", "set.sketch")
@@ -415,9 +421,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     linked = labels.join(known.select(F.col("name").alias("node"), "low"), "node")
     lowest = linked.groupBy("label").agg(F.min("low").alias("component_id"))
-    of_linked = linked.join(lowest, "label").select(F.col("node").alias("name"), "component_id")
+    of_linked = linked.join(lowest, "label").select(F.col("node").alias("name"), "component_id", "label")
     of_copies = known.where("copies > 1").select("name", F.col("low").alias("own"))
-    named = of_copies.join(of_linked, "name", "full").select("name", F.coalesce("component_id", "own").alias("component_id"))
+    named = of_copies.join(of_linked, "name", "full").select("name", F.coalesce("component_id", "own").alias("component_id"), "label")
     out = base.join(broadcast_if_small(stable(named)), "name", "left")
     component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("rep").alias("row_key"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("rep").alias("row_key"), F.coalesce("label", "name").alias("label"))

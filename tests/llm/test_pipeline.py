@@ -56,3 +56,19 @@ def test_stage_columns_and_odd_rows(spark):
     assert kept["jaccard_dedup"] == sorted([1, *range(10, 17), 40], key=str)
     assert kept["decontamination"] == kept["bpe_tokens"] == kept["jaccard_dedup"]
     assert seen.select(F.min("lang")).first()[0] == "en"
+
+
+def test_rows_without_an_id_or_with_a_repeated_one(spark, tmp_path):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    near = [(None, text(1)), (None, text(1) + " more"), (None, text(2)), (None, text(2)), (None, text(2) + " more"), (5, text(3)), (5, text(3) + " more"), (5, text(3)), (6, text(3))]
+    rows = near + [(None, text(4)), (5, text(5)), (None, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    got = [(r.doc_id, r.text and r.text.split("x")[0]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    want = [(None, "w1"), (None, "w2"), (5, "w3"), (None, "w4"), (5, "w5"), (None, None), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+    spark.createDataFrame([(None, text(6)), (1, text(7)), (1, text(8))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "before " + text(7)), (3, text(6)), (3, text(9)), (4, text(8)), (None, text(9)), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, text(9)), (None, text(9)), (None, None)], key=str)
