@@ -4,12 +4,14 @@ A window of a document is proposed where one of its five-word shingles lines up
 of an item; sampled positions suffice, as a window that is similar enough shares more shingles than the
 positions between two samples. The SimHash of each window meets those of the items of its size in
 `RADIUS + 1` blocks of bits, of which two fingerprints within the radius share one at least. What is
-within the radius is verified by exact weighted-shingle similarity. Everything is DataFrame functions.
+within the radius is verified by exact weighted-shingle similarity. Windows whose weight lies on few
+shingles have unsteady fingerprints: they meet the items by their shingles instead and are verified
+likewise. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specloom.llm.joins import broadcast_if_small, row_key
@@ -19,6 +21,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # Two sets of similarity 0.8 differ in 9.7 of 64 bits on average, with a deviation of 2.9.
 RADIUS = 20
+# A window counts as made of few shingles below this many, each weighed by its share of the window.
+FEW = 16
 BITS = 64
 BLANK = " \t\n\r\x0b\x0c"
 
@@ -147,12 +151,21 @@ def passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     left = window_prints.select(*keys, "print", F.inline(blocks_of(F.col("print"), radius)))
     right = item_prints.select(*item, "n", F.col("print").alias("item_print"), F.inline(blocks_of(F.col("print"), radius)))
     near = left.join(broadcast_if_small(right), ["n", "block", "value"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    pairs = near.select(*keys, *item).distinct()
 
     counted = of_windows.groupBy(*keys, "hash").agg(F.count(F.lit(1)).alias("times"))
     totals = of_windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), F.first("doc_id").alias("doc_id"))
     item_counts = of_items.groupBy(*item, "hash").agg(F.count(F.lit(1)).alias("item_times"))
     item_totals = of_items.groupBy(*item).agg(F.count(F.lit(1)).alias("item_total"))
+    # Sum of the times squared over the sum of their squares: the number of shingles if all occur equally often.
+    few = counted.groupBy(*keys).agg(F.sum("times").alias("all"), F.sum(F.col("times") * F.col("times")).alias("squares")).where(F.col("all") * F.col("all") < FEW * F.col("squares"))
+    sized = of_items.select("n", "hash", *item).distinct()
+    known_by = sized.groupBy("n", "hash").agg(F.count(F.lit(1)).alias("items"))
+    ranked = counted.join(few.select(*keys, "all"), keys).join(broadcast_if_small(known_by), ["n", "hash"], "left")
+    # A similar item holds more of the window than all but its rarest 1 - similarity, so one of these is shared.
+    rarer = Window.partitionBy(*keys).orderBy(F.coalesce("items", F.lit(0)), "hash").rowsBetween(Window.unboundedPreceding, -1)
+    rare = ranked.withColumn("rarer", F.coalesce(F.sum("times").over(rarer), F.lit(0))).where(F.col("rarer") <= (1 - similarity) * F.col("all") + 1e-9)
+    plain = rare.where("items > 0").join(broadcast_if_small(sized), ["n", "hash"])
+    pairs = near.select(*keys, *item).unionByName(plain.select(*keys, *item)).distinct()
     shared = pairs.join(counted, keys).join(broadcast_if_small(item_counts), [*item, "hash"]).groupBy(*keys, *item).agg(F.sum(F.least("times", "item_times")).alias("shared"))
     judged = shared.join(totals, keys).join(broadcast_if_small(item_totals), item)
     share = F.col("shared") / (F.col("total") + F.col("item_total") - F.col("shared"))

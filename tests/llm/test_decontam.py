@@ -118,5 +118,15 @@ def test_one_id_on_different_texts(spark):
     assert sorted(tuple(r) for r in found.select("doc_id", "item_id", "n_words", "start", "similarity").collect()) == want
 
 
+def test_few_shingles_need_no_fingerprint(spark):
+    rng = random.Random(13)
+    pairs = [(f"a{i}", f"b{i}") for i in range(40)]
+    items = [(i, " ".join((p * 8)[:15])) for i, p in enumerate(pairs)] + [(100 + i, " ".join(rng.choices(VOCABULARY, k=9))) for i in range(40)]
+    # 10 of 11 shingles of two different ones, and 4 of 5.
+    docs = [(i, " ".join(w.split()[:-1])) for i, w in items]
+    found = leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), radius=4)
+    assert sorted((r.doc_id, r.item_id, round(r.similarity, 6)) for r in found.collect()) == [(i, i, round(10 / 11, 6) if i < 100 else 0.8) for i, _ in items]
+
+
 def test_query(spark):
     assert_oracle(spark, "op10_decontam", QUERIES)
