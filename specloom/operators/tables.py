@@ -632,6 +632,17 @@ def split_hot(fragments: DataFrame, config: DataFrame) -> list[tuple[DataFrame,
     return [(*(per_sheet(df, hot, page, how) for df in (fragments, config)), how == "left_semi") for how in ("left_anti", "left_semi")]
 
 
+@dataclass(frozen=True)
+class Sheets:
+    """Cells of sheets, and what did not get into them: added cells and fixed spans whose names were not
+    found (None where none were given), and rows whose cells do not fit the columns."""
+
+    cells: DataFrame
+    unplaced: DataFrame | None
+    unresolved: DataFrame | None
+    uneven: DataFrame
+
+
 def sheet_cells(
     fragments: DataFrame,
     config: DataFrame,
@@ -645,13 +656,34 @@ def sheet_cells(
     if hot is None:
         parts = [sheet_cells(f, c, fixed=fixed, joiners=joiners, added=added, hot=h) for f, c, h in split_hot(fragments, config)]
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return sheet_outcome(fragments, config, fixed=fixed, joiners=joiners, added=added, hot=hot).cells
+
+
+def sheet_outcome(
+    fragments: DataFrame,
+    config: DataFrame,
+    *,
+    fixed: DataFrame | None = None,
+    joiners: DataFrame | None = None,
+    added: DataFrame | None = None,
+    hot: bool,
+) -> Sheets:
+    """`sheet_cells` with its rejects, of the sheets in config only."""
     settings = settings_of(config)
+    ours = config.select("sheet_id").distinct()
+    unplaced = unresolved = None
+    if added is not None:
+        inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
+        unplaced = add_cell(inside, added.join(ours, "sheet_id", "left_semi"))[1]
     lined = lined_frame(fragments, config, settings, added=added, hot=hot)
     if fixed is not None:
+        unresolved = unresolved_fixes(lined, fixed.join(ours, "sheet_id", "left_semi"))
         lined = fixed_spans(lined, fixed, hot=hot)
     named = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
-    cells = certain_cells(resolve_colspans(place_columns(named, joiners, hot=hot)))
-    return cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
+    placed = place_columns(named, joiners, hot=hot)
+    cells = certain_cells(resolve_colspans(placed))
+    out = cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
+    return Sheets(out, unplaced, unresolved, uneven_rows(placed))
 
 
 def spec_cells(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:

@@ -16,10 +16,17 @@ from specloom.operators.mapping import Rule
 
 @dataclass(frozen=True)
 class Outcome:
-    """Device records, and the texts that did not fit their field (sheet_id, col_idx, path, raw)."""
+    """Device records, and the texts that did not fit their field (sheet_id, col_idx, path, raw).
+
+    unplaced, unresolved: added cells and fixed spans whose names were not found, None where none were
+    given; uneven: sheet_id, row_id and reason of the rows left out as their cells do not fit the columns.
+    """
 
     records: DataFrame
     quarantine: DataFrame
+    unplaced: DataFrame | None
+    unresolved: DataFrame | None
+    uneven: DataFrame
 
 
 def device_records(fragments: DataFrame, config: DataFrame, rulesets: dict[str, Sequence[Rule]], **options) -> DataFrame:
@@ -46,9 +53,10 @@ def device_outcome(
     if stale is not None:
         config = config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi")
         fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi")
-    parts = []
+    made, parts = [], []
     for some, settings, hot in T.split_hot(fragments, config):
-        parts.append((T.spec_cells(T.sheet_cells(some, settings, fixed=fixed, joiners=joiners, added=added, hot=hot), hot=hot), hot))
+        made.append(T.sheet_outcome(some, settings, fixed=fixed, joiners=joiners, added=added, hot=hot))
+        parts.append((T.spec_cells(made[-1].cells, hot=hot), hot))
     if columns is None:
         columns = max(reshape.column_count(cells) for cells, _ in parts)
     rows = reduce(DataFrame.unionByName, [reshape.sheet_rows(reshape.long_to_wide(cells, columns), columns, hot=hot) for cells, hot in parts])
@@ -57,4 +65,6 @@ def device_outcome(
     else:
         rows = rows.withColumn("ruleset", F.lit(next(iter(rulesets))))
     filled = mapping.fill_sheets(rows, rulesets)
-    return Outcome(mapping.typed_records(filled, strict=strict), mapping.quarantine(filled))
+    both = lambda frames: None if frames[0] is None else reduce(DataFrame.unionByName, frames)
+    rejects = [both([getattr(m, kind) for m in made]) for kind in ("unplaced", "unresolved", "uneven")]
+    return Outcome(mapping.typed_records(filled, strict=strict), mapping.quarantine(filled), *rejects)

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom.operators import tables as T
+from specloom.operators.mapping import Rule
+from specloom.plans.job import device_outcome
 
 FRAGMENT = "doc_id string, page int, frag_id int, text string, minx double, miny double, maxx double, maxy double"
 CONFIG = (
@@ -249,6 +251,22 @@ def test_added_cell_enters_the_table(spark):
     assert [r["row_text"] for r in lost.collect()] == ["Nope"]
 
 
+def test_the_job_returns_what_it_left_out(spark):
+    fragments = spark.createDataFrame(page("d", "none"), FRAGMENT)
+    config = spark.createDataFrame([(s, "d", 1, 0.0, 10.0, 202.0, 200.0, "none", False, False) for s in "st"], CONFIG)
+    added = spark.createDataFrame([("s", 0, "Model", "A/", "made"), ("s", 1, "Nope", "B", "lost"), ("t", 0, "Nope", "B", "not due")], "sheet_id string, fix_id int, row_text string, col_text string, text string")
+    fixed = spark.createDataFrame([("s", 2, "Nothing", [3]), ("t", 0, "Nothing", [3])], "sheet_id string, fix_id int, row_text string, spans array<int>")
+    stale = config.select("sheet_id").where("sheet_id = 's'")
+    rules = {"main": [Rule(["model"], row=("includes", "Model"))]}
+    done = device_outcome(fragments, config, rules, stale=stale, fixed=fixed, added=added)
+    assert [(r["sheet_id"], r["fix_id"], r["row_text"], r["text"]) for r in done.unplaced.collect()] == [("s", 1, "Nope", "lost")]
+    assert [(r["sheet_id"], r["fix_id"], r["reason"]) for r in done.unresolved.collect()] == [("s", 2, "unknown name")]
+    assert [(r["sheet_id"], r["reason"]) for r in done.uneven.collect()] == [("s", "cells do not fit the columns")]
+    assert {r["sheet_id"] for r in done.records.select("sheet_id").collect()} == {"s"}
+    none = device_outcome(fragments, config, rules)
+    assert none.unplaced is None and none.unresolved is None
+
+
 def test_wrapped_headers_merge(spark):
     lines = [("s", 0, "Max", 10.0, 0.0, 20.0, 8.0), ("s", 1, "power", 10.0, 9.0, 20.0, 17.0), ("s", 2, "Weight", 10.0, 30.0, 20.0, 38.0), ("s", 3, "Size", 10.0, 50.0, 22.0, 58.0)]
     df = spark.createDataFrame(lines, "sheet_id string, frag_id int, text string, minx double, miny double, maxx double, maxy double")
