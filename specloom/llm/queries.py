@@ -12,6 +12,7 @@ from specloom.llm.decontam import leaks
 from specloom.llm.jaccard import similar_groups
 from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
+from specloom.llm.periodicruns import periodic_runs
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
 from specloom.llm.suffixdedup import dedup_spans
@@ -136,3 +137,29 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = F.coalesce("kept", F.lit("").cast("binary"))
     out = done.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), lost.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
     return out
+
+
+@query("op12_periodic")
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The documents that the contract names repeat their words from the a-th on with period p.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = docs.select("doc_id", "text", F.when(F.col("h") % 10 == 0, words).alias("words"), F.expr("h div 10").alias("g")).withColumn("n", F.size("words"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.expr("int(g % n)"))).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    again = F.expr("array_join(transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % p)]), ' ')")
+    runs = cut.select("doc_id", periodic_runs(F.when(F.col("n") > 0, again).otherwise(F.col("text"))).alias("found")).select("doc_id", "found.*")
+    # Runs come by start, then period, so of equally long ones the first is the one asked for.
+    longest = F.aggregate("runs", F.expr("cast(null as struct<start:bigint,length:bigint,period:bigint>)"), lambda a, r: F.when(a.isNull() | (r["length"] > a["length"]), r).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n", "")
+    lines = F.concat(lines, F.when(F.size("runs") > 0, "\n").otherwise(""))
+    out = runs.withColumn("best", longest)
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
