@@ -13,10 +13,12 @@ from specloom.llm.jaccard import similar_groups
 from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
 from specloom.llm.periodicruns import periodic_runs
+from specloom.llm.prefixtrie import number_turns, prefix_trie
 from specloom.llm.registry import ORACLES, QUERIES, query, table
 from specloom.llm.sharding import feistel_shards
 from specloom.llm.suffixdedup import dedup_spans
 from specloom.llm.tokencount import count_tokens
+from specloom.session import stable
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -163,3 +165,61 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_trie",
+    """
+    WITH t AS (
+      SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    c AS (
+      SELECT conv_id, xor(4294967295::BIGINT, list_reduce(
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda a, x: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda b, y: xor(b >> 1, (b & 1) * 3988292384::BIGINT), xor(a, x)),
+        4294967295::BIGINT)) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+    rebuilt AS (
+      SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.pos < c.h
+      UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+    seq AS (
+      SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.own, r.pos) FILTER (r.pos IS NOT NULL), []) AS turns
+      FROM c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+    steps AS (
+      SELECT conv_id, len(turns) AS size, d, turns[1:d] AS prefix, coalesce(strlen(turns[d].text), 0) AS bytes
+      FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM seq)),
+    node AS (
+      SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS own, max(size) = d AS leaf,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends, count(*) FILTER (size = d) AS n_ends
+      FROM steps GROUP BY d, prefix),
+    below AS (SELECT DISTINCT a.d, a.prefix, b.d AS bd, b.prefix AS bp FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND a.d <= b.d)
+    SELECT any_value(node.conv_id) AS conv_id, node.d AS depth, any_value(above.conv_id) AS parent_conv_id, any_value(node.n_convs) AS n_convs,
+      count(*) FILTER (sub.d = node.d + 1) AS n_children, count(*) FILTER (sub.leaf) AS n_leaves, sum(sub.own)::BIGINT AS saved_tokens,
+      any_value(node.n_ends) AS n_ends, any_value(node.ends) AS ends_sha256
+    FROM node JOIN below ON below.d = node.d AND below.prefix = node.prefix JOIN node sub ON sub.d = below.bd AND sub.prefix = below.bp
+    LEFT JOIN node above ON above.d = node.d - 1 AND above.prefix = node.prefix[1:node.d - 1]
+    GROUP BY node.d, node.prefix
+    """,
+)
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
+def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contract's conversations, as `prefix_trie` takes them: turns and members. Conversation c begins
+    with the first h turns of c - c % 5 (the remainder of a negative c is not positive, as in SQL) and goes
+    on with its own after the first h."""
+    turns = stable(number_turns(rows))
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    base = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    found = sizes.select("conv_id", "n", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), h.alias("h")).join(base, "base", "left")
+    members = stable(found.select("conv_id", "base", "h", F.least("h", F.coalesce("base_n", F.lit(0))).cast("bigint").alias("head"), "n"))
+    # A base lends at most eight turns, to five conversations or to nine around zero.
+    lent = turns.where("conv_id % 5 = 0 and pos < 8").withColumn("to", F.explode(F.expr("sequence(-4L, 4L)")))
+    lent = lent.withColumn("to", F.expr("try_add(conv_id, to)")).where("to - to % 5 = conv_id")
+    few = members.select("conv_id", "h", "head")
+    heads = lent.withColumnRenamed("conv_id", "base").join(few.withColumnRenamed("conv_id", "to"), "to").where("pos < head").select(F.col("to").alias("conv_id"), "pos", "t1", "t2", "size")
+    own = turns.join(few, "conv_id").where("pos >= h").select("conv_id", (F.col("head") + F.col("pos") - F.col("h")).alias("pos"), "t1", "t2", "size")
+    total = F.col("head") + F.greatest(F.col("n") - F.col("h"), F.lit(0).cast("bigint"))
+    return heads.unionByName(own), members.select("conv_id", total.alias("turns_in_all"))

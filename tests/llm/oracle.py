@@ -6,7 +6,7 @@ import duckdb
 
 from specloom.llm.queries import ORACLES
 
-TABLES = ["documents", "benchmark", "pages", "embeddings"]
+TABLES = ["documents", "benchmark", "pages", "embeddings", "conversations"]
 
 
 def assert_oracle(spark, name, queries, sf="/root/testdata/sf0.01"):
