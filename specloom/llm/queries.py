@@ -12,6 +12,7 @@ from specloom.llm.decontam import leaks
 from specloom.llm.jaccard import similar_groups
 from specloom.llm.langid import identify, learn
 from specloom.llm.linededup import dedup_lines
+from specloom.llm.minhash import near_groups, next_fingerprints
 from specloom.llm.periodicruns import periodic_runs
 from specloom.llm.prefixtrie import number_turns, prefix_trie
 from specloom.llm.registry import ORACLES, QUERIES, query, table
@@ -223,3 +224,13 @@ def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = turns.join(few, "conv_id").where("pos >= h").select("conv_id", (F.col("head") + F.col("pos") - F.col("h")).alias("pos"), "t1", "t2", "size")
     total = F.col("head") + F.greatest(F.col("n") - F.col("h"), F.lit(0).cast("bigint"))
     return heads.unionByName(own), members.select("conv_id", total.alias("turns_in_all"))
+
+
+@query("op13_minhash")
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return next_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("minhash_groups")
+def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
