@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 
 from specloom.functions import records as R
 from specloom.functions import text as X
+from specloom.operators import rule_index
 from specloom.operators.joins import lookup_join
+from specloom.session import stable
 
 KINDS = ("exact", "includes", "regex")
 PRESENCE = -1
@@ -130,24 +133,33 @@ def match_literal(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema:
     return rows.select("*", F.inline(F.array_compact(F.array(*hits))))
 
 
-def match_rows(rows: DataFrame, rules: DataFrame, n_rules: int | None = None) -> DataFrame:
+def match_rows(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """The same by join, for rule tables too large for a plan.
 
-    Rules for one exact property meet its rows by an equi join on ruleset and property, the others all
-    rows of their ruleset, with the matchers as residual condition. A constant (and the presence
-    marker) belongs to the sheet as a whole, so it pairs with row 0 only.
+    A rule meets the rows whose property or section it names, or whose text holds the rarest piece of a
+    literal that its matcher needs (see `rule_index`); all matchers follow as residual condition. Rules
+    without such a text meet all rows of their ruleset. A constant (and the presence marker) belongs to
+    the sheet as a whole, so it pairs with row 0 only.
     """
     whole = F.col("const").isNotNull() | (F.col("rule_idx") == PRESENCE)
     columns_ok = F.col("col_kind").isNull() | F.forall(
         "vals", lambda v: X.matches(F.col("col_kind"), F.col("col_pat"), F.coalesce(v, F.lit("")))
     )
     fits = _holds("section_kind", "section_pat", "section") & _holds("row_kind", "row_pat", "property") & columns_ok
-    one = ~whole & (F.col("row_kind") == "exact")
-    named = rules.filter(F.coalesce(one, F.lit(False))).withColumn("_property", F.col("row_pat"))
-    others = rules.filter(~F.coalesce(one, F.lit(False)))
-    by_name = lookup_join(rows.withColumn("_property", F.col("property")), named, ["ruleset", "_property"], fits, small_rows=n_rules).drop("_property")
-    condition = F.when(whole, F.col("row_idx") == 0).otherwise(fits)
-    return by_name.unionByName(lookup_join(rows, others, ["ruleset"], condition, small_rows=n_rules))
+    marked = stable(rule_index.anchored(rules).withColumn("_whole", whole))
+    named = ~F.col("_whole") & F.col("anchor").isNotNull()
+    sizes = marked.agg(F.count_if("_whole").alias("whole"), F.count_if(named).alias("named"), F.count(F.lit(1)).alias("all")).first()
+    anchor = ["anchor_field", "anchor_how", "anchor"]
+    parts = []
+    if sizes["named"]:
+        parts.append(rule_index.anchored_rows(rows, marked.filter(named).drop("_whole"), fits))
+    if sizes["whole"]:
+        parts.append(lookup_join(rows.filter("row_idx = 0"), marked.filter("_whole").drop("_whole", *anchor), ["ruleset"], small_rows=sizes["whole"]))
+    rest = sizes["all"] - sizes["named"] - sizes["whole"]
+    if rest or not parts:
+        others = marked.filter(~F.col("_whole") & ~named).drop("_whole", *anchor)
+        parts.append(lookup_join(rows, others, ["ruleset"], fits, small_rows=rest))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def single_matches(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], keep: Sequence[str] = (), schema: T.StructType = R.DEVICE, literal_rules: int = LITERAL_RULES) -> DataFrame:
@@ -159,7 +171,7 @@ def single_matches(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], keep: S
     if n_rules <= literal_rules:
         paired = match_literal(rows, rulesets, schema)
     else:
-        paired = match_rows(rows, rule_table(rows.sparkSession, rulesets, schema), n_rules)
+        paired = match_rows(rows, rule_table(rows.sparkSession, rulesets, schema))
     rule_cols = ["targets", "col_pat", "const", "fn", "n_groups"]
     found = paired.groupBy("sheet_id", "rule_idx").agg(
         F.count(F.lit(1)).alias("_n"),

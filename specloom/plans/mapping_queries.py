@@ -219,6 +219,33 @@ def rule_row_join(spark, sf):
     return found.filter(F.col("const").isNull() & (F.col("rule_idx") >= 0)).select("sheet_id", "rule_idx", "row_idx", "property")
 
 
+_MANY_ROWS = "SELECT 'many' AS ruleset, c_custkey AS sheet_id, 0 AS row_idx, c_mktsegment AS section, concat(c_name, ' (', c_nationkey, ')') AS property, CAST(c_acctbal AS {text}) AS value FROM {customer}"
+# One rule for each supplier: a substring that one row has, one that some have, a pattern with a literal, a
+# named section with a pattern without one, and a pattern without a literal alone.
+_MANY_RULES = """SELECT 'many' AS ruleset, s_suppkey AS rule_idx,
+ CASE WHEN k = 3 THEN 'exact' END AS section_kind, CASE WHEN k = 3 THEN CASE s_nationkey % 3 WHEN 0 THEN 'MACHINERY' WHEN 1 THEN 'BUILDING' ELSE 'None' END END AS section_pat,
+ CASE WHEN k < 2 THEN 'includes' ELSE 'regex' END AS row_kind,
+ CASE k WHEN 0 THEN concat('MER#', lpad(concat(s_suppkey * 7), 9, '0')) WHEN 1 THEN concat(lpad(concat(s_suppkey), 3, '0'), ' (')
+  WHEN 2 THEN concat('^Customer#0+', s_suppkey, '[0-9] [(]', s_suppkey % 25, '[)]$') WHEN 3 THEN '2[0-4].$' ELSE concat('[13579] [(]', s_suppkey % 25, '[)]') END AS row_pat
+FROM (SELECT *, CASE WHEN s_suppkey % 16 = 4 THEN 4 ELSE s_suppkey % 4 END AS k FROM {supplier}) AS s"""
+
+
+@query(
+    "rule_row_index",
+    f"WITH r AS ({_MANY_ROWS.format(text='VARCHAR', customer='customer')}), m AS ({_MANY_RULES.format(supplier='supplier')})"
+    " SELECT sheet_id, rule_idx FROM r JOIN m ON (section_kind IS NULL OR section = section_pat)"
+    " AND CASE row_kind WHEN 'includes' THEN contains(lower(property), lower(row_pat)) ELSE regexp_matches(property, row_pat) END",
+)
+def rule_row_index(spark, sf):
+    """As many rules as there are suppliers on as many rows as there are customers, by the literal index."""
+    rows = spark.sql(_MANY_ROWS.replace("{text}", "STRING"), customer=view(spark, sf, "customer"))
+    rows = rows.withColumn("vals", F.array("value")).drop("value")
+    rules = spark.sql(_MANY_RULES, supplier=view(spark, sf, "supplier"))
+    unused = {n: F.lit(None).cast("string") for n in ("col_kind", "col_pat", "const")}
+    rules = rules.withColumns(unused).withColumns({"targets": F.array().cast("array<string>"), "fn": F.lit("assign"), "n_groups": F.lit(0)})
+    return mapping.match_rows(rows, rules).select("sheet_id", "rule_idx")
+
+
 def _match_query(kind: str, condition: str):
     return ctes("v_spec_cell") + f" SELECT sheet_id, row_idx, col_idx, value FROM v_spec_cell WHERE {condition}"
 
