@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from specloom.operators.incremental import split_bad
 from specloom.operators.tables import SECTION_MODES
+from specloom.session import stable
 
 # Form of the "fix" and "area" options.
 FIX = (
@@ -66,7 +67,8 @@ def settings_tables(jobs: DataFrame, keys: list[str]) -> SettingsTables:
         .when(~F.col("sections").isin(*SECTION_MODES), "unknown kind of sections")
         .when(F.col("_fix").isNotNull() & F.get_json_object("_fix", "$").isNull(), "fix cannot be read")
     )
-    good, rejects = split_bad(read, reason)
+    # Read and judged once; all tables come from what is written here.
+    good, rejects = split_bad(stable(read.withColumn("reason", reason)), F.col("reason"))
     sides = [F.get("area", F.lit(i)).alias(n) for i, n in enumerate("xywh")]
     config = good.select("sheet_id", *keys, "doc_id", "page", *sides, "sections", "multiline_row_header", "multiline_section_header")
 

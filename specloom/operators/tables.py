@@ -12,12 +12,14 @@ input, and then every ordered pass runs over range chunks instead (see `scan`).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specloom.operators import scan
 from specloom.operators.joins import at_most
+from specloom.operators.name_index import find_names
 from specloom.session import broadcast_rows, stable
 
 SHEET = ["sheet_id"]
@@ -120,32 +122,30 @@ def by_sheet(frame: DataFrame, hot: bool) -> DataFrame:
     return frame if hot else frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sheet_id")
 
 
-def find_text(fragments: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+def find_text(fragments: DataFrame, names: DataFrame) -> DataFrame:
     """The one fragment of the sheet with a text: unique exact match, else unique substring match.
 
-    Names that are ambiguous or missing give a null box. Counts combine map-side.
+    names: sheet_id, name. Names that are ambiguous have a null `box`, those that occur nowhere no row.
     """
-    names = wanted.select("sheet_id", F.col(name).alias("_name")).distinct()
-    pairs = per_sheet(fragments.select("sheet_id", "frag_id", "text", *BOX), names, SHEET, bounded_by=wanted)
-    exact = F.col("text") == F.col("_name")
-    box = F.struct("frag_id", *BOX)
-    hits = pairs.filter(F.contains("text", "_name")).groupBy("sheet_id", "_name").agg(
-        F.count_if(exact).alias("_exact"),
-        F.count(F.lit(1)).alias("_any"),
-        F.min(F.when(exact, box)).alias("_box_exact"),
-        F.min(box).alias("_box_any"),
-    )
-    picked = F.when(F.col("_exact") == 1, F.col("_box_exact")).when(F.col("_any") == 1, F.col("_box_any"))
-    return hits.select("sheet_id", F.col("_name").alias(name), picked.alias(f"{name}_box"))
+    hits = find_names(fragments.select("sheet_id", "frag_id", "text", *BOX), names, BOX)
+    return hits.select("sheet_id", "name", F.when((F.col("n_exact") == 1) | (F.col("n_any") == 1), F.col("box")).alias("box"))
+
+
+def locate_added(fragments: DataFrame, fixes: DataFrame) -> DataFrame:
+    """fixes (sheet_id, fix_id, row_text, col_text, text) with the boxes of the fragments that they name.
+    Both names of all fixes are looked up at once, and the result is written once."""
+    names = fixes.select("sheet_id", F.explode(F.array("row_text", "col_text")).alias("name"))
+    named = stable(find_text(fragments, names).filter("box is not null"))
+    boxes = [named.select("sheet_id", F.col("name").alias(c), F.col("box").alias(f"{c}_box")) for c in ("row_text", "col_text")]
+    return fixes.join(boxes[0], ["sheet_id", "row_text"], "left").join(boxes[1], ["sheet_id", "col_text"], "left")
 
 
 def add_cell(fragments: DataFrame, fixes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cells at the crossing of two named fragments, and the fixes whose names were not found.
+    """Cells at the crossing of two named fragments, and the fixes whose names were not found."""
+    return split_added(locate_added(fragments, fixes))
 
-    fixes: sheet_id, fix_id, row_text, col_text, text.
-    """
-    rows, cols = find_text(fragments, fixes, "row_text"), find_text(fragments, fixes, "col_text")
-    placed = fixes.join(rows, ["sheet_id", "row_text"], "left").join(cols, ["sheet_id", "col_text"], "left")
+
+def split_added(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = F.col("row_text_box").isNotNull() & F.col("col_text_box").isNotNull()
     cells = placed.filter(found).select(
         "sheet_id",
@@ -579,34 +579,49 @@ def _ranged_rows(merged: DataFrame) -> DataFrame:
 # ---- all together ---------------------------------------------------------------------
 
 
-def fixed_spans(frame: DataFrame, fixes: DataFrame, *, hot: bool | None = None) -> DataFrame:
+def find_rows(fragments: DataFrame, config: DataFrame, settings: Settings, fixes: DataFrame, *, added: DataFrame | None = None, hot: bool) -> DataFrame:
+    """Which row headers the fixes (sheet_id, row_text) name: line number, null if several; no row if none.
+
+    Only the sheets that have fixes are numbered for it, and the result, at most one row for each name, is
+    written once.
+    """
+    sheets = fixes.select("sheet_id").distinct()
+    lined = lined_frame(fragments, config.join(sheets, "sheet_id", "left_semi"), settings, added=added, hot=hot)
+    return stable(rows_named(lined, fixes))
+
+
+def rows_named(lined: DataFrame, fixes: DataFrame) -> DataFrame:
+    """(sheet_id, row_text, line_no) of the names of the fixes that occur among the row headers."""
+    rows = lined.filter(is_row()).withColumn("frag_id", F.col("line_no"))
+    found = find_text(rows, fixes.select("sheet_id", F.col("row_text").alias("name")))
+    return found.select("sheet_id", F.col("name").alias("row_text"), F.col("box.frag_id").alias("line_no"))
+
+
+def fixed_spans(frame: DataFrame, fixes: DataFrame, named: DataFrame, rows: int | None = None) -> DataFrame:
     """Put fixed spans on the row headers they name: unique exact text, else unique substring.
 
-    fixes: sheet_id, row_text, spans and, where several may name one row, fix_id: the last counts. The
-    names are looked up by join, so no row carries the texts of its sheet.
+    fixes: sheet_id, row_text, spans and, where several may name one row, fix_id: the last counts. `named`
+    says which row headers they name (see `find_rows`), `rows` how many fixes there are.
     """
-    frame = stable(frame)
     order = F.struct(*[c for c in ("fix_id", "row_text", "spans") if c in fixes.columns])
-    named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
-    hits = fixes.join(named.filter("row_text_box is not null"), ["sheet_id", "row_text"])
-    at = hits.groupBy("sheet_id", F.lit("row").alias("kind"), F.col("row_text_box.frag_id").alias("line_no")).agg(F.max_by("spans", order).alias("spans"))
-    return per_sheet(frame, at, ["sheet_id", "kind", "line_no"], "left", bounded_by=fixes)
+    hits = fixes.join(named.filter("line_no is not null"), ["sheet_id", "row_text"])
+    at = hits.groupBy("sheet_id", F.lit("row").alias("kind"), "line_no").agg(F.max_by("spans", order).alias("spans"))
+    return per_sheet(frame, at, ["sheet_id", "kind", "line_no"], "left", bounded_by=fixes if rows is None else rows)
 
 
-def unresolved_fixes(frame: DataFrame, fixes: DataFrame) -> DataFrame:
+def unresolved_fixes(fixes: DataFrame, named: DataFrame) -> DataFrame:
     """Fixes whose text names no row of their sheet, or several: the fix with its reason."""
-    named = find_text(frame.filter(is_row()).withColumn("frag_id", F.col("line_no")), fixes, "row_text")
-    marked = fixes.join(named.withColumn("_known", F.lit(True)), ["sheet_id", "row_text"], "left").filter("row_text_box is null")
-    return marked.withColumn("reason", F.when(F.col("_known"), "ambiguous name").otherwise("unknown name")).drop("row_text_box", "_known")
+    marked = fixes.join(named.withColumn("_known", F.lit(True)), ["sheet_id", "row_text"], "left").filter("line_no is null")
+    return marked.withColumn("reason", F.when(F.col("_known"), "ambiguous name").otherwise("unknown name")).drop("line_no", "_known")
 
 
 def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *, added: DataFrame | None = None, hot: bool) -> DataFrame:
-    """Fragments of all areas with their kind, row headers and labels numbered."""
+    """Fragments of all areas with their kind, row headers and labels numbered; `added` are more of them
+    (sheet_id, frag_id, text and box)."""
     inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
     if added is not None:
-        new, _ = add_cell(inside, added)
         area = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
-        inside = inside.unionByName(new.join(area, SHEET))
+        inside = inside.unionByName(added.join(area, SHEET))
     frame = by_sheet(inside, hot)
     if TABLE_CENTER in settings.modes:
         frame = centre_labels(frame, hot=hot)
@@ -632,15 +647,22 @@ def split_hot(fragments: DataFrame, config: DataFrame) -> list[tuple[DataFrame,
     return [(*(per_sheet(df, hot, page, how) for df in (fragments, config)), how == "left_semi") for how in ("left_anti", "left_semi")]
 
 
-@dataclass(frozen=True)
 class Sheets:
-    """Cells of sheets, and what did not get into them: added cells and fixed spans whose names were not
-    found (None where none were given), and rows whose cells do not fit the columns."""
+    """Cells of sheets, and what did not get into them, planned when asked for: added cells and fixed spans
+    whose names were not found (None where none were given), and rows whose cells do not fit the columns."""
+
+    def __init__(self, cells: DataFrame, placed: DataFrame, unplaced: DataFrame | None, fixes: tuple[DataFrame, DataFrame] | None):
+        self.cells = cells
+        self.unplaced = unplaced
+        self._placed, self._fixes = placed, fixes
+
+    @cached_property
+    def unresolved(self) -> DataFrame | None:
+        return None if self._fixes is None else unresolved_fixes(*self._fixes)
 
-    cells: DataFrame
-    unplaced: DataFrame | None
-    unresolved: DataFrame | None
-    uneven: DataFrame
+    @cached_property
+    def uneven(self) -> DataFrame:
+        return uneven_rows(self._placed)
 
 
 def sheet_cells(
@@ -671,19 +693,26 @@ def sheet_outcome(
     """`sheet_cells` with its rejects, of the sheets in config only."""
     settings = settings_of(config)
     ours = config.select("sheet_id").distinct()
-    unplaced = unresolved = None
+    unplaced = new = named = None
     if added is not None:
-        inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
-        unplaced = add_cell(inside, added.join(ours, "sheet_id", "left_semi"))[1]
-    lined = lined_frame(fragments, config, settings, added=added, hot=hot)
+        added = stable(added.join(ours, "sheet_id", "left_semi"))
+        if not added.isEmpty():
+            sheets = config.join(added.select("sheet_id").distinct(), "sheet_id", "left_semi")
+            inside = area_filter(fragments, sheets, settings.rows).drop("doc_id", "page")
+            new, unplaced = split_added(stable(locate_added(inside, added)))
+        else:
+            unplaced = added
+    lined = lined_frame(fragments, config, settings, added=new, hot=hot)
     if fixed is not None:
-        unresolved = unresolved_fixes(lined, fixed.join(ours, "sheet_id", "left_semi"))
-        lined = fixed_spans(lined, fixed, hot=hot)
-    named = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
-    placed = place_columns(named, joiners, hot=hot)
+        fixed = stable(fixed.join(ours, "sheet_id", "left_semi"))
+        n = fixed.count()
+        named = find_rows(fragments, config, settings, fixed, added=new, hot=hot)
+        lined = fixed_spans(lined, fixed, named, n)
+    rows = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
+    placed = place_columns(rows, joiners, hot=hot)
     cells = certain_cells(resolve_colspans(placed))
     out = cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
-    return Sheets(out, unplaced, unresolved, uneven_rows(placed))
+    return Sheets(out, placed, unplaced, None if fixed is None else (fixed, named))
 
 
 def spec_cells(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:

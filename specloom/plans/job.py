@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,21 +11,43 @@ from pyspark.sql import functions as F
 from specloom.operators import mapping, reshape
 from specloom.operators import tables as T
 from specloom.operators.mapping import Rule
+from specloom.session import stable
 
 
-@dataclass(frozen=True)
 class Outcome:
-    """Device records, and the texts that did not fit their field (sheet_id, col_idx, path, raw).
+    """Device records, and what is left out, planned when asked for.
 
-    unplaced, unresolved: added cells and fixed spans whose names were not found, None where none were
-    given; uneven: sheet_id, row_id and reason of the rows left out as their cells do not fit the columns.
+    quarantine: texts that did not fit their field (sheet_id, col_idx, path, raw). unplaced, unresolved:
+    added cells and fixed spans whose names were not found, None where none were given; uneven: sheet_id,
+    row_id and reason of the rows left out as their cells do not fit the columns.
     """
 
-    records: DataFrame
-    quarantine: DataFrame
-    unplaced: DataFrame | None
-    unresolved: DataFrame | None
-    uneven: DataFrame
+    def __init__(self, filled: DataFrame, sheets: list[T.Sheets], *, strict: bool):
+        self._filled, self._sheets, self._strict = filled, sheets, strict
+
+    def _both(self, kind: str) -> DataFrame | None:
+        frames = [getattr(s, kind) for s in self._sheets]
+        return None if frames[0] is None else reduce(DataFrame.unionByName, frames)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return mapping.typed_records(self._filled, strict=self._strict)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return mapping.quarantine(self._filled)
+
+    @cached_property
+    def unplaced(self) -> DataFrame | None:
+        return self._both("unplaced")
+
+    @cached_property
+    def unresolved(self) -> DataFrame | None:
+        return self._both("unresolved")
+
+    @cached_property
+    def uneven(self) -> DataFrame:
+        return self._both("uneven")
 
 
 def device_records(fragments: DataFrame, config: DataFrame, rulesets: dict[str, Sequence[Rule]], **options) -> DataFrame:
@@ -51,8 +72,8 @@ def device_outcome(
     stale: sheet_id of the work to do (all when absent). config may carry `ruleset`.
     """
     if stale is not None:
-        config = config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi")
-        fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi")
+        config = stable(config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi"))
+        fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi", bounded_by=config)
     made, parts = [], []
     for some, settings, hot in T.split_hot(fragments, config):
         made.append(T.sheet_outcome(some, settings, fixed=fixed, joiners=joiners, added=added, hot=hot))
@@ -64,7 +85,4 @@ def device_outcome(
         rows = T.per_sheet(rows, config.select("sheet_id", "ruleset"), ["sheet_id"])
     else:
         rows = rows.withColumn("ruleset", F.lit(next(iter(rulesets))))
-    filled = mapping.fill_sheets(rows, rulesets)
-    both = lambda frames: None if frames[0] is None else reduce(DataFrame.unionByName, frames)
-    rejects = [both([getattr(m, kind) for m in made]) for kind in ("unplaced", "unresolved", "uneven")]
-    return Outcome(mapping.typed_records(filled, strict=strict), mapping.quarantine(filled), *rejects)
+    return Outcome(mapping.fill_sheets(rows, rulesets), made, strict=strict)

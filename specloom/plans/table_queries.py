@@ -174,6 +174,9 @@ class Pages:
     def lined(self):
         return T.lined_frame(self.fragments, self.config, self.settings, hot=self.hot)
 
+    def named(self):
+        return T.find_rows(self.fragments, self.config, self.settings, self.get("v_fixed"), hot=self.hot)
+
     def spanned(self):
         return T.span_join(self.lined(), hot=self.hot)
 
@@ -184,7 +187,7 @@ class Pages:
         return T.settle_rows(self.lined(), hot=self.hot)
 
     def merged(self):
-        fixed = T.fixed_spans(self.lined(), self.get("v_fixed"), hot=self.hot)
+        fixed = T.fixed_spans(self.lined(), self.get("v_fixed"), self.named())
         named = T.name_rows(T.settle_rows(fixed, hot=self.hot), modes=self.settings.modes, hot=self.hot)
         return T.place_columns(named, self.get("v_joiner"), hot=self.hot)
 
@@ -294,7 +297,7 @@ def quarantine_spans(spark, sf):
  FROM v_fixed f LEFT JOIN rws r ON r.sheet_id = f.sheet_id AND contains(r.text, f.row_text) GROUP BY ALL HAVING count(r.row_id) <> 1""")
 def quarantine_fixes(spark, sf):
     p = Pages(spark, sf)
-    return T.unresolved_fixes(p.lined(), p.get("v_fixed")).select("sheet_id", "fix_id", "row_text", "reason")
+    return T.unresolved_fixes(p.get("v_fixed"), p.named()).select("sheet_id", "fix_id", "row_text", "reason")
 
 
 @query("merge_fragments", SHEETS + " SELECT sheet_id, row_id, frag_id, value, midy FROM joined_cell")

@@ -237,7 +237,7 @@ def test_fixed_spans_rescue_a_row(spark):
         cells = T.sheet_cells(fragments, config, fixed=fixed, hot=hot).filter("property = 'Note'")
         # two fixes name the row: the last counts, and the row stays one
         assert sorted((r["value"], r["col_from"], r["col_to"]) for r in cells.collect()) == [("x", 0, 1), ("y", 1, 3)]
-    lost = T.unresolved_fixes(T.lined_frame(fragments, config, T.settings_of(config), hot=False), fixed)
+    lost = T.unresolved_fixes(fixed, T.find_rows(fragments, config, T.settings_of(config), fixed, hot=False))
     assert sorted((r["row_text"], r["reason"]) for r in lost.collect()) == [("Nothing", "unknown name"), ("e", "ambiguous name")]
 
 
