@@ -188,11 +188,12 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, per
     k1, k2 = row_key(F.col("text"))
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), k1.alias("k1"), k2.alias("k2"), "text")
     signed = keyed.select("k1", "k2", "doc_id", signature_column(F.col("text"), width, permutations).alias("signature"))
+    # Numbers are given to what is already written, so every later reading gives the same ones.
     texts = stable(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
-    name = F.struct("k1", "k2").alias("text_id")
+    texts = texts.withColumn("text_id", F.monotonically_increasing_id())
     size = 2 * BAND_ROWS
     band = F.expr(f"transform(sequence(0, {permutations // BAND_ROWS - 1}), i -> xxhash64(i, substring(signature, i * {size} + 1, {size})))")
-    bands = texts.where("signature is not null").select(name, F.explode(band).alias("band"))
+    bands = texts.where("signature is not null").select("text_id", F.explode(band).alias("band"))
     often = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     shared = stable(bands.join(often, "band"))
 
@@ -204,7 +205,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, per
             now = shared.join(labels.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn("label", F.coalesce("label", "text_id"))
             open_ = now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
             now = stable(now.join(open_, "band"))
-        leaders = now.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "band", "text_id").alias("rank"), "text_id", *(["label"] if labels is not None else []))).alias("leader"))
+        leaders = now.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), F.col("band"), F.col("text_id")).alias("rank"), "text_id", *(["label"] if labels is not None else []))).alias("leader"))
         met = now.join(leaders, "band").where("text_id <> leader.text_id" if labels is None else "label <> leader.label")
         # Each pair once, whichever of the two leads.
         pairs = met.select(F.least("text_id", "leader.text_id").alias("a"), F.greatest("text_id", "leader.text_id").alias("b")).distinct()
@@ -215,24 +216,23 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, per
         labels = connected_components(links)
         turn += 1
 
-    rows = keyed.select("doc_id", name)
+    rows = keyed.select("doc_id", "k1", "k2")
     if links is None:
-        lowest = texts.select(name, F.col("doc_id").alias("class_id"))
-        return rows.join(lowest, "text_id").select("doc_id", "class_id", F.lit(0).cast("bigint").alias("n_links"))
+        alone = texts.select("k1", "k2", F.col("doc_id").alias("class_id"))
+        return rows.join(alone, ["k1", "k2"]).select("doc_id", "class_id", F.lit(0).cast("bigint").alias("n_links"))
     counts = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count(F.lit(1)).alias("n_links"))
-    known = texts.select(name, "doc_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left").join(counts, "text_id", "left")
+    known = texts.select("k1", "k2", "text_id", "doc_id").join(labels.withColumnRenamed("node", "text_id"), "text_id", "left").join(counts, "text_id", "left")
     known = known.withColumn("label", F.coalesce("label", "text_id"))
     lowest = known.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = known.join(lowest, "label").select("text_id", "class_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
-    return rows.join(named, "text_id").select("doc_id", "class_id", "n_links")
+    named = known.join(lowest, "label").select("k1", "k2", "class_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
+    return rows.join(named, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
 
 
 def _verified(keyed: DataFrame, texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of text ids whose texts are similar; one row of each text is read."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct().select("text_id.*")
-    one = broadcast_if_small(stable(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", F.col("doc_id").alias("lowest"))))
-    known = keyed.join(one, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("lowest"))).dropDuplicates(["k1", "k2"])
-    known = known.select(F.struct("k1", "k2").alias("text_id"), "text")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
+    one = broadcast_if_small(stable(texts.join(wanted, "text_id").select("k1", "k2", "text_id", F.col("doc_id").alias("lowest"))))
+    known = keyed.join(one, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("lowest"))).dropDuplicates(["text_id"])
     left = known.select(F.col("text_id").alias("a"), F.col("text").alias("left"))
     right = known.select(F.col("text_id").alias("b"), F.col("text").alias("right"))
     met = pairs.join(left, "a").join(right, "b")
