@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import records as R
 from specloom.functions import text as X
-from specloom.operators import diff, mapping, reshape, scan
+from specloom.operators import diff, diff_json, mapping, reshape, scan
 from specloom.operators.mapping import Rule
 from specloom.plans.registry import query
 from specloom.plans.views import SHEET_COLUMNS, ctes, view
@@ -492,3 +492,36 @@ def concat_attributes(spark, sf):
         F.col("p_name").alias("value"),
     )
     return reshape.concat_attributes(cells)
+
+
+# The same parts before and after: a key gone, a key new, a number that became a text, another length, an
+# object that became an array, another value, and parts that one side lacks.
+_DOC_TEXT = """concat('{{"name":"', p_name, '"', CASE WHEN {new} AND p_partkey % 5 = 0 THEN '' ELSE concat(',"brand":"', p_brand, '"') END,
+ ',"size":', CASE WHEN {new} AND p_partkey % 4 = 1 THEN concat('"', p_size, '"') ELSE concat(p_size) END,
+ ',"dims":[', p_size, ',{{"w":', p_size * 2, '.5}}', CASE WHEN {new} AND p_partkey % 6 = 2 THEN ',null' ELSE '' END, ']',
+ ',"in":', CASE WHEN {new} AND p_partkey % 7 = 3 THEN '[{{"v":1}}]' ELSE concat('{{"v":', p_size % 9 + CASE WHEN {new} AND p_partkey % 3 = 1 THEN 1 ELSE 0 END, CASE WHEN {new} AND p_partkey % 8 = 5 THEN ',"a b":{{"x":true}}' ELSE '' END, '}}') END, '}}')"""
+_DOCS = {side: f"SELECT p_partkey, {_DOC_TEXT.format(new=new)} AS json FROM PART WHERE p_partkey % 11 <> {gone}" for side, new, gone in (("a", "false", 4), ("b", "true", 9))}
+
+
+def _tree_sql(side: str) -> str:
+    kind = "CASE WHEN type IS NULL THEN 'null' WHEN type = 'VARCHAR' THEN 'string' WHEN type LIKE '%BIGINT' THEN 'int' WHEN type = 'DOUBLE' THEN 'float' ELSE lower(type) END"
+    return f"""{side} AS (SELECT d.p_partkey, t.fullkey AS path, CASE WHEN t.fullkey <> '$' THEN t.path END AS parent, {kind} AS kind,
+ CASE WHEN t.type = 'ARRAY' THEN json_array_length(t.value) END AS length, CASE WHEN t.type = 'VARCHAR' THEN t.value ->> '$' ELSE CAST(t.atom AS VARCHAR) END AS value
+ FROM ({_DOCS[side].replace('PART', 'part')}) d, json_tree(d.json) t)"""
+
+
+@query(
+    "spec_diff_nested",
+    f"WITH {_tree_sql('a')}, {_tree_sql('b')},"
+    " m AS (SELECT coalesce(a.p_partkey, b.p_partkey) AS p_partkey, coalesce(a.path, b.path) AS path, coalesce(a.parent, b.parent) AS parent, a.kind AS ak, b.kind AS bk, a.length AS al, b.length AS bl, a.value AS av, b.value AS bv"
+    " FROM a FULL JOIN b ON a.p_partkey = b.p_partkey AND a.path = b.path),"
+    " s AS (SELECT *, CASE WHEN ak IS NULL THEN 'only_new' WHEN bk IS NULL THEN 'only_old' WHEN ak <> bk THEN 'type' WHEN ak = 'array' AND al <> bl THEN 'length' WHEN ak NOT IN ('array', 'object') AND av IS DISTINCT FROM bv THEN 'value' END AS status FROM m)"
+    " SELECT p_partkey, path, status, CASE WHEN status = 'length' THEN CAST(al AS VARCHAR) WHEN status = 'value' THEN av ELSE ak END AS old_value, CASE WHEN status = 'length' THEN CAST(bl AS VARCHAR) WHEN status = 'value' THEN bv ELSE bk END AS new_value"
+    " FROM s WHERE status IS NOT NULL AND (status NOT LIKE 'only%' OR parent IS NULL OR EXISTS (SELECT 1 FROM m o WHERE o.p_partkey = s.p_partkey AND o.path = s.parent AND o.ak = 'object' AND o.bk = 'object'))",
+)
+def spec_diff_nested(spark, sf):
+    """Differences of nested documents by path: types, lengths, keys of one side, values."""
+    part = view(spark, sf, "part")
+    text = {s: t.replace("{", "{{").replace("}", "}}").replace("PART", "{part}") for s, t in _DOCS.items()}
+    old, new = (spark.sql(text[s], part=part) for s in "ab")
+    return diff_json.diff_json(old, new, ["p_partkey"])
