@@ -12,6 +12,7 @@ from specloom.operators import mapping, reshape
 from specloom.operators import tables as T
 from specloom.operators.mapping import Rule
 from specloom.session import stable
+from specloom.sources.store import Store
 
 
 class Outcome:
@@ -86,3 +87,18 @@ def device_outcome(
     else:
         rows = rows.withColumn("ruleset", F.lit(next(iter(rulesets))))
     return Outcome(mapping.fill_sheets(rows, rulesets), made, strict=strict)
+
+
+def publish_devices(store: Store, fragments: DataFrame, config: DataFrame, rulesets: dict[str, Sequence[Rule]], inputs: DataFrame, **options) -> int:
+    """One repeatable run of the whole job into a store of device records named by sheet_id and file_name.
+
+    inputs: sheet_id and input_time, the newest change of what a sheet is made from. Sheets that were done
+    after that are left alone, the others are made again; a record that is there already stays as it is.
+    The number of records published.
+    """
+
+    def make(due: DataFrame) -> DataFrame:
+        records = device_records(fragments, config, rulesets, stale=due, **options)
+        return mapping.first_writer(records).select(*store.schema.names)
+
+    return store.run(inputs, make)
