@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from specloom.functions import records as R
 from specloom.functions import text as X
-from specloom.operators import rule_index
+from specloom.operators import guard, rule_index
 from specloom.operators.joins import lookup_join
 from specloom.session import stable
 
@@ -269,10 +269,25 @@ def quarantine(filled: DataFrame, schema: T.StructType = R.DEVICE) -> DataFrame:
     return rows.select("sheet_id", "col_idx", "_q.path", "_q.raw")
 
 
-def typed_leaves(filled: DataFrame, schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
-    """Texts to typed leaves; a bad one becomes null, or with strict drops its whole sheet."""
+def stop_on_bad(filled: DataFrame, schema: T.StructType = R.DEVICE) -> DataFrame:
+    """The texts as they are; the first that does not fit its leaf fails the job, named in the error."""
+    types = R.leaf_types(schema)
+    at = F.concat(F.lit("sheet "), F.col("sheet_id").cast("string"), F.lit(", column "), F.col("col_idx").cast("string"))
+    found = [F.when(R.is_bad(F.col(f"`{t}`"), types[t]), F.concat(at, F.lit(f", {t}: "), F.array_join(F.col(f"`{t}`"), "|"))) for t in mapped_targets(filled, schema)]
+    return guard.stop_on(filled, F.coalesce(*found)) if found else filled
+
+
+def typed_leaves(filled: DataFrame, schema: T.StructType = R.DEVICE, *, strict: bool = False, on_error: str | None = None) -> DataFrame:
+    """Texts to typed leaves. What happens on a bad one says `on_error`: `quarantine` makes it null, `drop`
+    (also strict=True) drops its whole sheet, `stop` fails the job."""
+    on_error = on_error or (guard.DROP if strict else guard.QUARANTINE)
+    if on_error not in guard.ON_ERROR:
+        raise ValueError(f"on_error must be one of {guard.ON_ERROR}")
     types = R.leaf_types(schema)
     targets = mapped_targets(filled, schema)
+    strict = on_error == guard.DROP
+    if on_error == guard.STOP:
+        filled = stop_on_bad(filled, schema)
     if strict:
         bad = X.any_of(F.coalesce(R.is_bad(F.col(f"`{t}`"), types[t]), F.lit(False)) for t in targets)
         rejected = filled.filter(bad).select("sheet_id").distinct()
@@ -291,8 +306,8 @@ def fill_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.
     return fill(cell_entries(single_matches(rows, rulesets, schema=schema), schema), rulesets)
 
 
-def typed_records(filled: DataFrame, schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:
-    return nested_records(typed_leaves(filled, schema, strict=strict), schema)
+def typed_records(filled: DataFrame, schema: T.StructType = R.DEVICE, *, strict: bool = False, on_error: str | None = None) -> DataFrame:
+    return nested_records(typed_leaves(filled, schema, strict=strict, on_error=on_error), schema)
 
 
 def map_sheets(rows: DataFrame, rulesets: dict[str, Sequence[Rule]], schema: T.StructType = R.DEVICE, *, strict: bool = False) -> DataFrame:

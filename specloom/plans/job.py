@@ -8,7 +8,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specloom.operators import mapping, reshape
+from specloom.operators import guard, mapping, reshape
 from specloom.operators import tables as T
 from specloom.operators.mapping import Rule
 from specloom.session import stable
@@ -23,8 +23,8 @@ class Outcome:
     row_id and reason of the rows left out as their cells do not fit the columns.
     """
 
-    def __init__(self, filled: DataFrame, sheets: list[T.Sheets], *, strict: bool):
-        self._filled, self._sheets, self._strict = filled, sheets, strict
+    def __init__(self, filled: DataFrame, sheets: list[T.Sheets], on_error: str):
+        self._filled, self._sheets, self._on_error = filled, sheets, on_error
 
     def _both(self, kind: str) -> DataFrame | None:
         frames = [getattr(s, kind) for s in self._sheets]
@@ -32,7 +32,16 @@ class Outcome:
 
     @cached_property
     def records(self) -> DataFrame:
-        return mapping.typed_records(self._filled, strict=self._strict)
+        records = mapping.typed_records(self._filled, on_error=self._on_error)
+        if self._on_error != guard.STOP:
+            return records
+        told = {"unplaced": ("added cell", "row_text"), "unresolved": ("fixed span", "row_text"), "uneven": ("row", "reason")}
+        for kind, (what, column) in told.items():
+            rejects = getattr(self, kind)
+            if rejects is not None:
+                message = F.concat_ws(" ", F.lit("sheet"), F.col("sheet_id").cast("string"), F.lit(f"{what}:"), column)
+                records = guard.stop_on_rejects(records, rejects, message)
+        return records
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -67,10 +76,13 @@ def device_outcome(
     added: DataFrame | None = None,
     columns: int | None = None,
     strict: bool = False,
+    on_error: str | None = None,
 ) -> Outcome:
     """Device records of all sheets at once.
 
-    stale: sheet_id of the work to do (all when absent). config may carry `ruleset`.
+    stale: sheet_id of the work to do (all when absent). config may carry `ruleset`. on_error: a bad value
+    is set aside (`quarantine`), loses its sheet (`drop`, also strict=True), or, like a name that is not
+    found and a row that does not fit, fails every job that reads the records (`stop`).
     """
     if stale is not None:
         config = stable(config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi"))
@@ -86,7 +98,7 @@ def device_outcome(
         rows = T.per_sheet(rows, config.select("sheet_id", "ruleset"), ["sheet_id"])
     else:
         rows = rows.withColumn("ruleset", F.lit(next(iter(rulesets))))
-    return Outcome(mapping.fill_sheets(rows, rulesets), made, strict=strict)
+    return Outcome(mapping.fill_sheets(rows, rulesets), made, on_error or (guard.DROP if strict else guard.QUARANTINE))
 
 
 def publish_devices(store: Store, fragments: DataFrame, config: DataFrame, rulesets: dict[str, Sequence[Rule]], inputs: DataFrame, **options) -> int:

@@ -378,6 +378,21 @@ def coerce_strict(spark, sf):
     return leaves.select("sheet_id", "col_idx", *[_typed_column(t) for t in TARGETS])
 
 
+@query(
+    "quarantine_stop",
+    fold_sql()
+    + f", typed AS (SELECT sheet_id, CAST(col_idx AS INT) AS col_idx, {TYPED}, general_data__noice[1] AS raw_noise FROM folded),"
+    " bad AS (SELECT DISTINCT sheet_id FROM typed WHERE raw_noise IS NOT NULL AND general_data__noice IS NULL)"
+    " SELECT * EXCLUDE (raw_noise) FROM typed ANTI JOIN bad USING (sheet_id)",
+)
+def quarantine_stop(spark, sf):
+    """The run that a bad value would stop, over the sheets that have none: all of their records."""
+    texts = filled(spark, sf)
+    clean = texts.join(mapping.quarantine(texts).select("sheet_id").distinct(), "sheet_id", "left_anti")
+    leaves = mapping.typed_leaves(clean, on_error="stop")
+    return leaves.select("sheet_id", "col_idx", *[_typed_column(t) for t in TARGETS])
+
+
 @query(
     "quarantine_errors",
     fold_sql() + " SELECT sheet_id, CAST(col_idx AS INT) AS col_idx, 'general_data.noice' AS path, general_data__noice[1] AS raw FROM folded"
