@@ -16,10 +16,10 @@ QUARANTINE, DROP, STOP = ON_ERROR = ("quarantine", "drop", "stop")
 def stop_on(df: DataFrame, reason: Column) -> DataFrame:
     """The frame as it is; reading a row with a reason fails the job with it.
 
-    The condition counts as non-deterministic, so it is neither pruned with unused columns nor moved
-    across other filters.
+    The number of the partition, which is never negative, keeps the optimizer from moving the condition below a join or
+    filter that has taken bad rows away.
     """
-    passed = F.when(reason.isNotNull(), F.raise_error(reason).cast("boolean")).otherwise(F.lit(True))
+    passed = F.when(reason.isNotNull() & (F.spark_partition_id() > -1), F.raise_error(reason).cast("boolean")).otherwise(F.lit(True))
     return df.filter(passed)
 
 

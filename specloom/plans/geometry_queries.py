@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from specloom.functions import bbox as B
-from specloom.operators import clusters, edges, nearest, scan
+from specloom.operators import clusters, edges, find, nearest, scan
 from specloom.operators import tables as T
 from specloom.plans.registry import query
 from specloom.plans.table_queries import CLUSTERED, Pages
@@ -255,3 +255,33 @@ SELECT user_id, event_id, minute, cluster_id FROM walk""",
 def cluster_anchor(spark, sf):
     points = view(spark, sf, "v_points").select("user_id", "event_id", "minute")
     return clusters.cluster_anchor(points, ["user_id"], "minute", _EPS)
+
+
+_FIND = """SELECT doc_id, 1 AS page, CAST(doc_id % 7 AS INT) AS find_id,
+ CASE WHEN doc_id % 5 <> 0 THEN 100e0 END AS q_minx, CASE WHEN doc_id % 5 <> 0 THEN 100e0 + 10 * (doc_id % 9) END AS q_miny,
+ CASE WHEN doc_id % 5 <> 0 THEN 260e0 + doc_id % 50 END AS q_maxx, CASE WHEN doc_id % 5 <> 0 THEN 300e0 - doc_id % 60 END AS q_maxy FROM {v_cfg}"""
+
+
+def _find_sql(inside: str, order: str, value: str) -> str:
+    return (
+        ctes("v_cfg", "v_fragment")
+        + f", q AS ({_FIND.replace('{v_cfg}', 'v_cfg')}) SELECT q.doc_id, CAST(q.page AS INT) AS page, q.find_id, CAST(row_number() OVER (PARTITION BY q.doc_id, q.page, q.find_id ORDER BY {order}, f.frag_id) - 1 AS INT) AS match_no, f.frag_id, {value}"
+        f" FROM q JOIN v_fragment f ON f.doc_id = q.doc_id AND f.page = q.page AND (q_minx IS NULL OR ({inside})) AND regexp_matches(f.text, '([0-9]+)')"
+    )
+
+
+def _found(spark, sf, **options):
+    requests = spark.sql(_FIND, v_cfg=view(spark, sf, "v_cfg"))
+    return find.find(requests, view(spark, sf, "v_fragment"), pattern="([0-9]+)", **options)
+
+
+@query("find_inside", _find_sql("q_minx <= f.minx AND f.maxx <= q_maxx AND q_miny <= f.miny AND f.maxy <= q_maxy", "-f.minx", "regexp_extract(f.text, '([0-9]+)', 1) AS value"))
+def find_inside(spark, sf):
+    """All numbers in a box of each page, or on all of it, from the right."""
+    return _found(spark, sf, ret="match", sort="left")
+
+
+@query("find_touching", _find_sql("greatest(q_minx, f.minx) < least(q_maxx, f.maxx) AND greatest(q_miny, f.miny) < least(q_maxy, f.maxy)", "0", "f.text AS value, f.minx, f.miny, f.maxx, f.maxy"))
+def find_touching(spark, sf):
+    """All texts with a number that touch a box, in their order on the page, with their boxes."""
+    return _found(spark, sf, ret="textline", how="intersects")

@@ -60,3 +60,9 @@ def test_rejects_without_rows_let_the_records_pass(spark):
     assert guard.stop_on_rejects(records, none, F.col("reason")).count() == 5
     with pytest.raises(Exception, match="rejected"):
         guard.stop_on_rejects(records, spark.createDataFrame([(None,)], "reason string"), F.col("reason")).count()
+
+
+def test_rows_that_were_taken_away_stop_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, "bad")], "id int, reason string")
+    gone = df.where("reason is not null").select("id")
+    assert [r.id for r in guard.stop_on(df.join(gone, "id", "left_anti"), F.col("reason")).collect()] == [1]
