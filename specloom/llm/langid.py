@@ -214,4 +214,5 @@ def identify(samples: dict[str, list[str]], text: Column) -> Column:
             langs, scores = parser.predict(batch.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
-    return lang_of(text)
+    # A filter on the result would otherwise run it once more, in a worker of its own.
+    return lang_of.asNondeterministic()(text)
