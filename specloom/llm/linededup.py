@@ -58,7 +58,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sit
     """All rows and columns, with `kept_text`, `n_lines` and `n_removed` (lines that are not blank, and
     those of them removed). A boilerplate line stays in the document of the smallest id that holds it,
     at its first place there; equal rows are treated alike. Null texts stay null, blank lines and the
-    white space of kept lines stay. Input columns of the three names are replaced."""
+    white space of kept lines stay. Rows without an id are one document as far as this goes: a boilerplate
+    line that only they hold stays in all of them, at its first place in each. Input columns of the three
+    names are replaced, k1 and k2 are left out, others may have any name."""
     docs = without(docs, "kept_text", "n_lines", "n_removed", "k1", "k2")
     lines = line_rows(docs, doc_id, text, site)
     known = stable(boilerplate(lines, min_sites))
@@ -67,19 +69,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sit
     places = hits.groupBy("k1", "k2", "h1", "h2").agg(F.sort_array(F.collect_set("pos")).alias("at"), F.min("doc").alias("doc"), F.min("first_doc").alias("first_doc"))
     spare = F.when(F.col("doc").eqNullSafe(F.col("first_doc")), F.slice("at", 2, F.greatest(F.size("at") - 1, F.lit(0)))).otherwise(F.col("at"))
     removed = places.select("k1", "k2", F.explode(spare).alias("pos")).groupBy("k1", "k2").agg(F.sort_array(F.collect_list("pos")).alias("removed"))
-    keyed = docs.select("*", *row_key(F.col(doc_id), F.col(text)))
+    # The input row is one struct until the end, so no name of it meets a working name.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(F.col(doc_id), F.col(text)))
     both = keyed.join(broadcast_if_small(stable(removed), "removed"), ["k1", "k2"], "left")
     # The lines between one removed place and the next, joined as slices, so a long text costs its length.
     r, n = F.col("removed"), F.size("removed")
-    whole = _lines(F.col(text))
+    own = F.col("row")[text]
 
     def between(i: Column) -> Column:
         start = F.when(i == 0, F.lit(0)).otherwise(F.get(r, i - 1) + 1)
         end = F.when(i == n, F.size("lines")).otherwise(F.get(r, i))
         return F.slice(F.col("lines"), start + 1, end - start)
 
-    both = both.withColumn("lines", whole)
-    kept = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), between)), "\n"))
+    both = both.withColumn("lines", _lines(own))
+    kept = F.when(F.col("removed").isNull(), own).otherwise(F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), between)), "\n"))
     counted = F.size(F.filter("lines", lambda x: _trimmed(x) != ""))
-    out = both.select(*[F.col(f"`{c}`") for c in docs.columns], kept.alias("kept_text"), counted.alias("n_lines"), F.coalesce(n, F.lit(0)).alias("n_removed"))
-    return out
+    out = both.select("row", kept.alias("kept_text"), counted.alias("n_lines"), F.coalesce(n, F.lit(0)).alias("n_removed"))
+    return out.select("row.*", "kept_text", "n_lines", "n_removed")

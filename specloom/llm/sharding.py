@@ -96,24 +96,25 @@ def number_rows(rows: DataFrame, name: str = "row_number") -> tuple[DataFrame, i
     makes up a third of the input is one row here; nulls are values like others. An empty frame gives
     an empty frame.
     """
-    keys = rows.columns
-    cols = [F.col(f"`{c}`") for c in keys]
-    groups = stable(rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies")))
+    # The input row is one struct until the end, so no name of it meets a working name.
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    groups = stable(rows.select(row).groupBy("row").agg(F.count(F.lit(1)).alias("_copies")))
     total, distinct, most = groups.agg(F.sum("_copies"), F.count(F.lit(1)), F.max("_copies")).first()
     buckets = max(1, min(MAX_BUCKETS, -(-distinct // BUCKET_ROWS)))
-    groups = groups.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)))
+    groups = groups.withColumn("_bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
     # At most MAX_BUCKETS rows pass the window without a key, and they are what is broadcast.
     sizes = groups.groupBy("_bucket").agg(F.sum("_copies").alias("_n"))
     starts = sizes.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     placed = groups.withColumn("_before", F.sum("_copies").over(inside) - F.col("_copies")).join(F.broadcast(starts), "_bucket")
     first = F.col("_start") + F.col("_before")
-    chunks = placed.select(*cols, first.alias("_first"), "_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {COPIES}"))).alias("_chunk"))
+    chunks = placed.select("row", first.alias("_first"), "_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {COPIES}"))).alias("_chunk"))
     if (most or 0) > SPREAD_COPIES:
         chunks = chunks.repartition("_first", "_chunk")
     low = F.col("_chunk") * COPIES
     numbers = F.sequence(F.col("_first") + low, F.col("_first") + F.least(low + COPIES, F.col("_copies")) - 1)
-    return chunks.select(*cols, F.explode(numbers).alias(name)), int(total or 0)
+    numbered = chunks.select("row", F.explode(numbers).alias("_number"))
+    return numbered.select("row.*", F.col("_number").alias(name)), int(total or 0)
 
 
 def feistel_shards(rows: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
@@ -124,12 +125,12 @@ def feistel_shards(rows: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    rows = without(rows, "row_number", "shard", "slot", "_place", "_copies", "_bucket")
-    numbered, n = number_rows(rows)
+    rows = without(rows, "row_number", "shard", "slot")
+    numbered, n = number_rows(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")))
 
     @F.pandas_udf("bigint")
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(Feistel(n, seed).forward(numbers.to_numpy()))
 
     at = numbered.withColumn("_place", place("row_number"))
-    return at.select("*", F.pmod("_place", F.lit(shards)).cast("int").alias("shard"), F.expr(f"_place div {shards}").alias("slot")).drop("_place")
+    return at.select("row.*", "row_number", F.pmod("_place", F.lit(shards)).cast("int").alias("shard"), F.expr(f"_place div {shards}").alias("slot"))

@@ -72,3 +72,11 @@ def test_clashing_columns_and_empty(spark):
 
 def test_query(spark):
     assert_oracle(spark, "op5_lines", QUERIES)
+
+
+def test_any_column_name_passes(spark):
+    names = ["lines", "removed", "row", "at", "pos", "doc", "first_doc", "h1", "h2", "site", "sketch", "sites", "n", "r"]
+    df = spark.createDataFrame([(i, "same line\nown %d" % i, "s%d" % i, *[f"{n}{i}" for n in names]) for i in range(6)], ["doc_id", "text", "source", *names])
+    got = dedup_lines(df).collect()
+    assert len(got) == 6 and sorted(r.n_removed for r in got) == [0, 1, 1, 1, 1, 1]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)

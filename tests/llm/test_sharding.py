@@ -46,3 +46,13 @@ def test_empty_and_clash(spark):
     assert sorted((r.doc_id, r.row_number) for r in clash) in ([(1, 0), (2, 1)], [(1, 1), (2, 0)]) and all(r.slot == 0 for r in clash)
     with pytest.raises(ValueError):
         feistel_shards(df, 0)
+
+
+def test_any_column_name_passes(spark):
+    names = ["_copies", "_bucket", "_n", "_start", "_before", "_first", "_chunk", "_place", "_number", "row", "copies"]
+    df = spark.createDataFrame([(i, *[i * 10 + k for k in range(len(names))]) for i in [0, 1, 2, 2, 2, 3]], ["doc_id", *names])
+    got = feistel_shards(df, 3).collect()
+    assert sorted(r.row_number for r in got) == list(range(6))
+    assert sorted(tuple(r)[: len(names) + 1] for r in got) == sorted(map(tuple, df.collect()))
+    numbered, n = number_rows(df, "_first_number")
+    assert n == 6 and sorted(r._first_number for r in numbered.collect()) == list(range(6))
