@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.llm import bpe
@@ -31,13 +31,18 @@ __all__ = ["LLM_ORACLES", "LLM_QUERIES", "ORACLE_SQL", "STAGES", "run"]
 ORACLE_SQL = None
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """The input row as one struct, so that no column of it meets a working name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found: those without text or without a letter go. The model is
     learned from the labelled documents; a missing label is filled in."""
     samples = learn(docs.select("lang", "text"))
-    found = docs.withColumn("_found", identify(samples, F.col("text")))
-    kept = found.where(F.col("_found.lang") != UNKNOWN)
-    return kept.select(*[F.coalesce("lang", "_found.lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    found = docs.select(whole_row(docs), identify(samples, F.col("text")).alias("found")).where(F.col("found.lang") != UNKNOWN)
+    own = lambda c: F.col("row")[c]
+    return found.select(*[(F.coalesce(own(c), "found.lang") if c == "lang" else own(c)).alias(c) for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,29 +53,33 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays, of several with that id or
-    of a group without ids the one with the smallest key, of equal rows one. Documents without words stay."""
+    """Of each group of linked documents the one with the smallest id stays, of several with that id or of a
+    group without ids the one with the smallest key, of rows equal in id and text the one whose other
+    columns come first. Documents without words stay."""
     groups = stable(linked_rows(docs.select("doc_id", "text")))
     lowest = F.col("doc_id").eqNullSafe(F.col("component_id"))
     first = groups.where(lowest)
     tied = first.groupBy("label").agg(F.min("row_key").alias("stays"), F.max("row_key").alias("last")).where("stays <> last").select("label", "stays")
     ties = first.join(broadcast_if_small(stable(tied)), "label").where("row_key <> stays")
-    lost = groups.where(~lowest).select("row_key").unionByName(ties.select("row_key")).distinct()
-    again = first.where("doc_id is not null or label is not null").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    kept = keyed.join(broadcast_if_small(stable(lost)), "row_key", "left_anti")
+    # A row goes by its hash and its id, so two rows of one hash and different ids are not mixed up.
+    key = ["row_key", "id", "no_id"]
+    named = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    lost = groups.where(~lowest).select("row_key", *named).unionByName(ties.select("row_key", *named)).distinct()
+    again = first.where("doc_id is not null or label is not null").groupBy("row_key", *named).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    keyed = docs.select(whole_row(docs), F.xxhash64("doc_id", "text").alias("row_key"), *named)
+    kept = keyed.join(broadcast_if_small(stable(lost)), key, "left_anti")
     if not again.isEmpty():
         again = broadcast_if_small(stable(again))
-        one = kept.join(again, "row_key", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = kept.join(again, "row_key", "left_anti").unionByName(one)
-    return kept.select(*docs.columns)
+        one = kept.join(again, key, "left_semi").groupBy(*key).agg(F.min("row").alias("row"))
+        kept = kept.join(again, key, "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go, whether document and passage have an id or not."""
     found = passages(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
-    keyed = docs.select("*", *row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(broadcast_if_small(stable(found.select("k1", "k2").distinct())), ["k1", "k2"], "left_anti").select(*docs.columns)
+    keyed = docs.select(whole_row(docs), *row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(broadcast_if_small(stable(found.select("k1", "k2").distinct())), ["k1", "k2"], "left_anti").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
