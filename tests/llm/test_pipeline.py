@@ -72,3 +72,15 @@ def test_rows_without_an_id_or_with_a_repeated_one(spark, tmp_path):
     docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
     kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, text(9)), (None, text(9)), (None, None)], key=str)
+
+
+def test_any_column_name_and_the_survivor(spark):
+    text = "one two three four five six seven eight nine ten " * 3
+    names = ["_found", "found", "row", "row_key", "id", "no_id", "k1", "k2", "label"]
+    rows = [(5, text, "en", "b", 1, *[f"x{n}" for n in names]), (5, text, "en", "a", 1, *[f"y{n}" for n in names]), (6, text + "end", None, "c", 1, *names), (None, "alone here", "en", "d", 1, *names)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    for stage in (corpus_pipeline.language, corpus_pipeline.near_duplicates, corpus_pipeline.decontaminate):
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    got = {r.doc_id: r for r in docs.collect()}
+    assert set(got) == {5, None} and got[5].source == "a" and got[5].row_key == "yrow_key" and got[None].id == "id"
