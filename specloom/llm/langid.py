@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from specloom.llm.batches import text_batches, trimmed
 
-# The learned sample: so many different texts of each language, so many characters of each of them,
-# and so many characters of all languages together.
+# The learned sample is bounded in rows: whole texts of at most CHARS_PER_DOC characters, at most
+# DOCS_PER_LANG different ones of each language, and no further one after CHARS_PER_LANG characters. A
+# language that has only longer texts is learned from its shortest.
 DOCS_PER_LANG = 64
-CHARS_PER_DOC = 800
-CHARS_IN_ALL = 160_000
-MAX_LANGS = 256
+CHARS_PER_DOC = 10_000
+CHARS_PER_LANG = 40_000
 SALTS = 64
+# The commonest letters of all samples get a symbol of their own, the others share one.
 SYMBOLS = 62
 LANE = 256
 # Characters parsed at a time; bounds the memory of a task.
@@ -80,16 +81,15 @@ class Parser:
         self.classes = np.where(self.letter, np.uint8(self.width - 1), np.uint8(0)).astype(np.uint8)
         for i, c in enumerate(common):
             self.classes[ord(c)] = i + 1
-        each = CHARS_IN_ALL // max(1, len(self.langs))
-        self.tables = [self._table(samples[x], each) for x in self.langs]
+        self.tables = [self._table(samples[x]) for x in self.langs]
 
-    def _table(self, texts: list[str], most: int) -> np.ndarray:
+    def _table(self, texts: list[str]) -> np.ndarray:
         """Flat next-state table; entries are state * width, and a negative one ends a phrase. The last
         state follows a symbol that the sample lacks: a phrase of its own."""
         codes: list[int] = []
         for t in texts:
             codes += [*self.fold(t)[0].tolist(), 0]
-        nexts = automaton(codes[:most])
+        nexts = automaton(codes)
         table = np.empty((len(nexts) + 1, self.width), dtype=np.int32)
         start = np.full(self.width, len(nexts) * self.width, dtype=np.int32)
         for c, to in nexts[0].items():
@@ -182,19 +182,23 @@ def _parser(samples: str) -> Parser:
 
 
 def learn(labelled: DataFrame) -> dict[str, list[str]]:
-    """A bounded sample of a frame (lang, text): at most DOCS_PER_LANG different texts of a language,
-    CHARS_PER_DOC characters of each, MAX_LANGS languages. Rows with a null are left out. Texts are
-    drawn by their hash, so copies of one text count once."""
+    """A bounded sample of the rows of a frame (lang, text), see the constants above. Rows with a null are
+    left out. Texts are drawn by their hash, so copies of one text count once; every language is learned,
+    at about 20 MB of tables for each in a worker."""
     rows = labelled.select(F.col("lang").alias("lang"), F.col("text").alias("text")).where("lang is not null and text is not null")
     hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
-    distinct = hashed.groupBy("lang", "h").agg(F.lit(1).alias("one"))
-    langs = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).select("lang")
-    # The first hashes of each of SALTS parts of a language, then those of the language.
+    size = F.min(F.char_length("text")).alias("size")
+    distinct = hashed.groupBy("lang", "h").agg(size)
+    # Short texts first, by hash, then long ones by length: of each of SALTS parts of a language, then of it.
+    over = F.greatest(F.col("size") - CHARS_PER_DOC, F.lit(0))
     part = F.pmod(F.xxhash64("h"), F.lit(SALTS))
-    drawn = distinct.join(F.broadcast(langs), "lang").select("lang", "h")
+    drawn = distinct
     for keys in (["lang", part], ["lang"]):
-        drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("r") <= DOCS_PER_LANG).select("lang", "h")
-    texts = hashed.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.left("text", F.lit(CHARS_PER_DOC))).alias("text"))
+        order = Window.partitionBy(*keys).orderBy(over, "h")
+        drawn = drawn.withColumn("r", F.row_number().over(order)).where(F.col("r") <= DOCS_PER_LANG)
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("r")) - F.col("size")
+    kept = drawn.withColumn("before", before).where((F.col("r") == 1) | ((F.col("before") < CHARS_PER_LANG) & (F.col("size") <= CHARS_PER_DOC))).select("lang", "h")
+    texts = hashed.join(F.broadcast(kept), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     for r in texts.orderBy("lang", "h").collect():
         out.setdefault(r.lang, []).append(r.text)

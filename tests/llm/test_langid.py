@@ -96,3 +96,15 @@ def test_held_out_accuracy(spark):
     rows = got.join(docs, "doc_id").where("held_out").collect()
     assert len(rows) > 200
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_sample_holds_whole_texts_of_every_language(spark):
+    rng = random.Random(3)
+    rows = [("aa", "long " * 3000), ("aa", "short one"), ("bb", "x" * 30_000), ("bb", "y" * 20_000)]
+    rows += [("cc", " ".join(str(rng.random()) for _ in range(300))) for _ in range(40)] * 2
+    rows += [(f"lang{i}", f"text number {i}") for i in range(300)]
+    got = learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert got["aa"] == ["short one"] and got["bb"] == ["y" * 20_000] and len(got) == 303
+    known = {t for _, t in rows}
+    assert all(t in known for texts in got.values() for t in texts)
+    assert len(set(got["cc"])) == len(got["cc"]) and langid.CHARS_PER_LANG <= sum(map(len, got["cc"])) < langid.CHARS_PER_LANG + langid.CHARS_PER_DOC
