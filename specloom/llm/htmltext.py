@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,46 +47,87 @@ _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _COMMENT_END = re.compile(r"--!?>")
 
 
-def _zone_of(tag: str, attributes: str, around: int) -> int:
-    """1 inside an article, -1 inside clutter, -2 inside clutter that holds no article, 0 elsewhere."""
+# What class, id and role of an element say.
+_STRICT_NAME, _CLUTTER_NAME, _CONTENT_NAME = 1, 2, 4
+
+
+def _marks(attributes: str) -> int:
     names: set[str] = set()
-    if attributes:
-        for m in _NAMES.finditer(attributes):
-            for word in (m[1] or m[2] or m[3] or "").lower().split():
-                names.add(word)
-                parts = re.split(r"[-_]+", word)
-                if parts[0] not in ("has", "with", "no", "without", "is"):
-                    names.update(parts)
+    for m in _NAMES.finditer(attributes):
+        for word in (m[1] or m[2] or m[3] or "").lower().split():
+            names.add(word)
+            parts = re.split(r"[-_]+", word)
+            if parts[0] not in ("has", "with", "no", "without", "is"):
+                names.update(parts)
+    return _STRICT_NAME * bool(names & STRICT) + _CLUTTER_NAME * bool(names & CLUTTER_NAMES) + _CONTENT_NAME * bool(names & CONTENT_NAMES)
+
+
+def _zone_of(tag: str, marks: int, most: bool, around: int) -> int:
+    """1 inside an article, -1 inside clutter, -2 inside clutter that holds no article, 0 elsewhere. An
+    element that holds most of the page is no clutter for its name's sake: it is a wrapper."""
     if around == -2:
         return -2
-    if tag in ("nav", "footer", "aside", "form", "menu", "dialog") or names & STRICT:
-        return -2 if names & STRICT or tag != "aside" else -1
+    if marks & _STRICT_NAME:
+        return -2
+    if tag in ("nav", "footer", "aside", "menu", "dialog") or (tag == "form" and not most):
+        return -2 if tag != "aside" else -1
     if tag in CONTENT:
         return 1
     if tag == "header":
         return around if around == 1 else -1
-    if tag not in ("body", "html") and names & CLUTTER_NAMES:
+    if tag not in ("body", "html") and marks & _CLUTTER_NAME and not most:
         return -1
-    if around == 0 and names & CONTENT_NAMES:
+    if around == 0 and marks & _CONTENT_NAME:
         return 1
     return around
 
 
+class _Elements:
+    """Elements that can have a zone, each after the one that holds it; number 0 is the page."""
+
+    def __init__(self) -> None:
+        self.above, self.tag, self.marks = [0], [""], [0]
+        self.words, self.blocks = [0], [0]
+
+    def open(self, above: int, tag: str, attributes: str) -> int:
+        self.above.append(above)
+        self.tag.append(tag)
+        self.marks.append(_marks(attributes) if attributes else 0)
+        self.words.append(0)
+        self.blocks.append(0)
+        return len(self.tag) - 1
+
+    def zones(self) -> list[int]:
+        words, blocks = self.words, self.blocks
+        for e in range(len(words) - 1, 0, -1):
+            words[self.above[e]] += words[e]
+            blocks[self.above[e]] += blocks[e]
+        out = [0] * len(words)
+        for e in range(1, len(words)):
+            most = blocks[e] > 1 and 2 * words[e] > words[0]
+            out[e] = _zone_of(self.tag[e], self.marks[e], most, out[self.above[e]])
+        return out
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """Flat blocks of a page as (text, words, words inside links, zone), in page order. Character
     references are decoded, white space is one blank, empty blocks are left out; a tag that the end of
     the page cuts is dropped."""
     out: list[tuple[str, int, int, int]] = []
-    stack: list[tuple[str, int]] = []
-    zone, links, mute = 0, 0, ""
+    elements = _Elements()
+    stack: list[int] = []
+    opened: Counter[str] = Counter()
+    inside, links, mute = 0, 0, ""
     parts: list[tuple[str, bool]] = []
 
     def close() -> None:
         text = " ".join("".join(t for t, _ in parts).split())
         if text:
             n = text.count(" ") + 1
-            linked = len(" ".join(t for t, inside in parts if inside).split())
-            out.append((text, n, min(n, linked), max(zone, -1)))
+            linked = len(" ".join(t for t, in_link in parts if in_link).split())
+            out.append((text, n, min(n, linked), inside))
+            elements.words[inside] += n
+            elements.blocks[inside] += 1
         parts.clear()
 
     at, size = 0, len(page)
@@ -142,16 +184,20 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
         if tag not in SHORT:
             if not closing:
                 links = 0
-                stack.append((tag, zone))
-                zone = _zone_of(tag, attributes, zone)
-            elif any(t == tag for t, _ in stack):
+                stack.append(inside)
+                opened[tag] += 1
+                inside = elements.open(inside, tag, attributes)
+            elif opened[tag]:
                 links = 0
                 while True:
-                    top, zone = stack.pop()
+                    top = elements.tag[inside]
+                    opened[top] -= 1
+                    inside = stack.pop()
                     if top == tag:
                         break
     close()
-    return out
+    zones = elements.zones()
+    return [(text, n, linked, max(zones[e], -1)) for text, n, linked, e in out]
 
 
 # Blocks labelled by hand (1: main text): words, link density; the same of the block before and of
@@ -169,7 +215,7 @@ LABELLED = [
     (200, 0.0, 80, 0.0, 25, 0.0, 1, 1), (35, 0.2, 40, 0.0, 50, 0.1, 1, 1), (20, 0.4, 60, 0.0, 70, 0.0, 1, 1),
     (12, 0.6, 50, 0.0, 40, 0.0, 1, 1), (150, 0.0, 9, 0.0, 0, 0.0, 1, 1), (7, 0.0, 150, 0.0, 22, 0.0, 1, 1),
     (3, 0.0, 0, 0.0, 0, 0.0, 1, 1), (400, 0.0, 1, 1.0, 16, 0.0, 1, 1), (5, 0.0, 1, 1.0, 2, 0.0, 1, 1),
-    (4, 1.0, 70, 0.0, 4, 1.0, 1, 0), (3, 1.0, 4, 1.0, 3, 1.0, 1, 0), (6, 0.95, 3, 1.0, 0, 0.0, 1, 0),
+    (4, 1.0, 70, 0.0, 4, 1.0, 1, 1), (3, 1.0, 4, 1.0, 3, 1.0, 1, 1), (6, 0.95, 3, 1.0, 0, 0.0, 1, 1),
     (40, 0.0, 8, 0.0, 60, 0.0, 0, 1), (60, 0.1, 40, 0.0, 30, 0.0, 0, 1), (25, 0.0, 60, 0.0, 45, 0.0, 0, 1),
     (90, 0.0, 0, 0.0, 0, 0.0, 0, 1), (50, 0.2, 2, 1.0, 40, 0.0, 0, 1), (9, 0.0, 3, 1.0, 50, 0.0, 0, 1),
     (8, 0.0, 45, 0.0, 55, 0.0, 0, 1), (5, 0.0, 60, 0.0, 70, 0.0, 0, 1), (30, 0.0, 55, 0.0, 4, 1.0, 0, 1),
@@ -180,9 +226,9 @@ LABELLED = [
     (7, 0.0, 2, 1.0, 0, 0.0, 0, 0), (4, 0.0, 6, 0.0, 2, 1.0, 0, 0), (10, 0.5, 8, 0.6, 0, 0.0, 0, 0),
     (5, 1.0, 0, 0.0, 80, 0.0, -1, 0), (15, 0.0, 2, 1.0, 90, 0.0, -1, 0), (60, 0.0, 1, 1.0, 70, 0.0, -1, 0), (30, 0.0, 30, 0.0, 35, 0.0, -1, 0),
     (22, 0.1, 40, 0.0, 45, 0.0, -1, 0), (2, 0.0, 60, 0.0, 50, 0.0, -1, 0), (8, 0.2, 0, 0.0, 25, 0.0, -1, 0), (90, 0.0, 90, 0.0, 90, 0.0, -1, 0),
-    (3, 1.0, 2, 1.0, 60, 0.0, 0, 0), (2, 1.0, 40, 0.0, 50, 0.0, 0, 0), (8, 0.9, 60, 0.0, 70, 0.0, 0, 0), (16, 0.8, 3, 1.0, 40, 0.0, 0, 0),
-    (3, 0.0, 2, 1.0, 4, 0.0, 0, 0), (6, 0.0, 0, 0.0, 0, 0.0, 0, 0), (4, 0.0, 80, 0.0, 3, 0.0, 0, 0), (35, 0.0, 0, 0.0, 0, 0.0, 0, 1),
-    (5, 1.0, 60, 0.0, 45, 0.0, 1, 0), (3, 1.0, 5, 1.0, 50, 0.0, 1, 0), (9, 0.7, 40, 0.0, 60, 0.0, 1, 1), (25, 0.8, 10, 0.0, 6, 0.0, 1, 1),
+    (3, 1.0, 2, 1.0, 60, 0.0, 0, 0), (2, 1.0, 40, 0.0, 50, 0.0, 0, 1), (8, 0.9, 60, 0.0, 70, 0.0, 0, 1), (4, 1.0, 35, 0.0, 80, 0.0, 0, 1), (16, 0.8, 3, 1.0, 40, 0.0, 0, 0),
+    (3, 0.0, 2, 1.0, 4, 0.0, 0, 0), (6, 0.0, 0, 0.0, 0, 0.0, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1), (11, 0.0, 0, 0.0, 0, 0.0, 0, 1), (3, 1.0, 0, 0.0, 0, 0.0, 0, 0), (4, 0.0, 80, 0.0, 3, 0.0, 0, 0), (35, 0.0, 0, 0.0, 0, 0.0, 0, 1),
+    (5, 1.0, 60, 0.0, 45, 0.0, 1, 1), (3, 1.0, 5, 1.0, 50, 0.0, 1, 1), (9, 0.7, 40, 0.0, 60, 0.0, 1, 1), (25, 0.8, 10, 0.0, 6, 0.0, 1, 1),
     (6, 0.3, 2, 1.0, 3, 0.0, 1, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 1), (2, 0.0, 0, 0.0, 1, 1.0, 1, 1), (30, 0.0, 4, 1.0, 2, 1.0, 1, 1),
 ]
 

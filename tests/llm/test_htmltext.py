@@ -85,3 +85,49 @@ def test_query_against_the_source(spark):
         assert (r.url, r.text, r.n_chars) == (page.url, want, len(want))
         assert r.text == plain(tree, page.html)
     assert htmltext.fitted() == tree
+
+
+LONG = ["The river runs past the old mill and under three stone bridges before it reaches the sea " * 2, "People who live along its banks say that the water was clear until the factory came in " * 2]
+
+
+def kept(page):
+    return plain(fitted(), page)
+
+
+def test_wrappers_with_names_of_clutter_keep_their_text():
+    body = "".join(f"<p>{t}</p>" for t in LONG * 2)
+    want = " ".join(" ".join(t.split()) for t in LONG * 2)
+    for wrapper in ("div class='page-with-sidebar'", "div id='wrapper' class='header-fixed'", "div class='layout search-enabled'", "form action='/'"):
+        tag = wrapper.split()[0]
+        page = f"<body><ul><li><a href='/'>Home</a><li><a href='/b'>Blog</a></ul><{wrapper}>{body}<div class='sidebar'><p>Follow us</p></div></{tag}><footer>Imprint 2024</footer></body>"
+        assert kept(page) == want
+
+
+def test_links_inside_an_article_stay():
+    page = f"<nav><a>Menu</a></nav><article><h2><a href='x'>A linked heading</a></h2><p>{LONG[0]}</p><ul><li><a>first source</a><li><a>second source</a></ul><div class='ad'>Buy now</div></article>"
+    assert kept(page) == " ".join(f"A linked heading {LONG[0]} first source second source".split())
+
+
+def test_pages_without_article():
+    """Hand-labelled: menus, teasers and footers around text that no element marks."""
+    menu = "".join(f"<div><a href='/{w}'>{w}</a></div>" for w in ("Home", "News", "Sports", "Weather"))
+    one, two = LONG
+    pages = [
+        ("<p>A short notice from the village.</p>", "A short notice from the village."),
+        (f"{menu}<p>{one}</p><p>{two}</p><p>Copyright 2024</p>", f"{one} {two}"),
+        (f"{menu}<div><p>{one}</p><h3><a href='#'>What came next</a></h3><p>{two}</p></div>", f"{one} What came next {two}"),
+        (f"<table><tr><td>{menu}</td><td><p>{one}</p><p>{two}</p></td></tr></table>", f"{one} {two}"),
+        (f"<div class='comments'><p>{one}</p><p>{two}</p><p>{one}</p></div><p>{two}</p>", two),
+        (menu, ""),
+    ]
+    for page, want in pages:
+        assert kept(page) == " ".join(want.split())
+
+
+def test_unmatched_closing_tags_take_linear_time():
+    import time
+
+    page = "<div>" * 20_000 + "</section>" * 100_000 + "x"
+    start = time.perf_counter()
+    assert blocks(page) == [("x", 1, 0, 0)]
+    assert time.perf_counter() - start < 5
