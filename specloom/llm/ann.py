@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm.joins import broadcast_if_small
 from specloom.session import stable
 
 # The tree is fitted on at most so many rows and has at most so many leaves.
@@ -119,15 +121,34 @@ def fit(sample: np.ndarray, leaves: int, seed: int = 7) -> Tree:
     return tree
 
 
-def usable(vectors: DataFrame) -> DataFrame:
+def well_formed(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the rows that take part: id not null, embedding neither null nor zero nor
-    with a null, infinite or NaN component, of the commonest dimension (the smallest of several)."""
+    with a null, infinite or NaN component."""
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~bad & F.exists(x, lambda v: v != 0))
-    size = rows.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    return rows.where(F.size("embedding") == (size[0].d if size else 0))
+    return rows.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~bad & F.exists(x, lambda v: v != 0))
+
+
+def dimensions(rows: DataFrame) -> list[int]:
+    """Dimensions of well-formed vectors, the commonest first, then the smallest."""
+    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d")
+    return [r.d for r in sizes.collect()]
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """The well-formed vectors of the commonest dimension, the smallest of several."""
+    rows = well_formed(vectors)
+    return rows.where(F.size("embedding") == (dimensions(rows) or [0])[0])
+
+
+def search_each(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
+    """`Index.search` where vectors may differ in dimension: each dimension is an index of its own, and a
+    query meets the vectors of its dimension. There are as many indexes as dimensions."""
+    rows, asked = well_formed(vectors), well_formed(queries)
+    of = lambda df, d: df.where(F.size("embedding") == d)
+    parts = [Index(of(rows, d), k).search(of(asked, d)) for d in dimensions(rows)]
+    return reduce(DataFrame.unionByName, parts) if parts else Index(rows, k).search(asked)
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -230,7 +251,7 @@ class Index:
 
         def walk(frames):
             for frame in frames:
-                for q, x, share in zip(frame.vec_id, _matrix(frame.embedding), frame.share, strict=True):
+                for q, x in zip(frame.vec_id, _matrix(frame.embedding), strict=True):
                     seen: dict[int, list[int]] = {}
                     rows = 0
                     for i, leaf in enumerate(tree.visit(x)):
@@ -239,20 +260,21 @@ class Index:
                         rows += int(counts[leaf])
                         for block in range(int(first[leaf]), int(first[leaf] + cut[leaf])):
                             seen.setdefault(block, []).append(leaf)
-                    yield pd.DataFrame({"block": list(seen), "share": share, "vec_id": q, "embedding": [x] * len(seen), "leaves": list(seen.values())})
+                    yield pd.DataFrame({"block": list(seen), "vec_id": q, "embedding": [x] * len(seen), "leaves": list(seen.values())})
 
         asked = usable_like(queries, tree.centers.shape[1]).distinct()
-        # The queries of a block go to several groups too; its vectors are repeated over them.
-        n = asked.count()
-        groups = max(1, -(-n // BLOCK_QUERIES))
         # The walk is far dearer than its rows are large, so partitions go by rows.
-        asked = asked.repartition(max(1, n // WALK_QUERIES), "vec_id").withColumn("share", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(groups)).cast("int"))
-        plan = asked.mapInPandas(walk, "block int, share int, vec_id bigint, embedding array<double>, leaves array<int>")
+        asked = asked.repartition(max(1, asked.count() // WALK_QUERIES), "vec_id")
+        plan = stable(asked.mapInPandas(walk, "block int, vec_id bigint, embedding array<double>, leaves array<int>"))
+        # The queries of a block go to as many groups as their number needs, and only over those its vectors
+        # are repeated; a block that no query visits goes nowhere.
+        asks = stable(plan.groupBy("block").agg(F.expr(f"int((count(1) + {BLOCK_QUERIES - 1}) div {BLOCK_QUERIES})").alias("shares")))
+        plan = plan.join(asks, "block").withColumn("share", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shares")).cast("int")).drop("shares")
         places = list(zip(range(tree.leaves), first.tolist(), cut.tolist(), strict=True))
         sizes = self.rows.sparkSession.createDataFrame(places, "leaf int, first int, cut int")
         block = F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("cut")).cast("int")
         dealt = self.rows.join(F.broadcast(sizes), "leaf").select(block.alias("block"), "leaf", "vec_id", "embedding")
-        dealt = dealt.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        dealt = dealt.join(broadcast_if_small(asks), "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.llm import bpe, htmltext
-from specloom.llm.ann import Index
+from specloom.llm.ann import search_each
 from specloom.llm.decontam import leaks
 from specloom.llm.jaccard import similar_groups
 from specloom.llm.langid import identify, learn
@@ -68,7 +68,7 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ann")
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return Index(vectors, k=20).search(vectors.where("vec_id % 20 = 0"))
+    return search_each(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
 @query(

@@ -98,3 +98,20 @@ def test_repeated_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = results(Index(df, k=5).search(df.where("vec_id = 0")))
     assert [v for v, _ in got[0]] == [1, 1, 2]
+
+
+def test_each_dimension_is_searched_for_itself(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 7)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8 if i % 3 else 5).tolist()) for i in range(300)] + [(900, [1.0]), (901, None), (902, [0.0] * 8), (903, [float("nan")] * 8)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search_each(df, df.where("vec_id % 10 = 0"), k=4).collect())
+    want = []
+    for q, x in rows:
+        if q % 10 or x is None:
+            continue
+        others = [(-float(np.dot(x, y)), v) for v, y in rows if y is not None and len(y) == len(x) and v != q and any(y) and not np.isnan(y).any()]
+        want += [(q, n + 1, v, round(-s, 9)) for n, (s, v) in enumerate(sorted(others)[:4])]
+    near = {(q, v) for q, _, v, _ in want}
+    assert len({(q, v) for q, _, v, _ in got} & near) >= 0.9 * len(near) and not any(q == 900 for q, *_ in got)
+    assert ann.search_each(df.where("false"), df, 4).collect() == []
