@@ -73,11 +73,13 @@ def total_per_panel(best: DataFrame, panels: DataFrame, areas: DataFrame) -> Dat
     panels: panel_id, request, w, h; areas: area_id, request, w, h. Counts are gathered once for each
     panel size: as many as the request has areas.
     """
-    sized = areas.select("request", F.col("w").alias("aw"), F.col("h").alias("ah"), "area_id")
+    # Areas of one size go together: their ids are joined to the distinct sizes once.
+    sized = areas.groupBy("request", F.col("w").alias("aw"), F.col("h").alias("ah")).agg(F.collect_list("area_id").alias("ids"))
     each = best.join(sized, ["request", "aw", "ah"])
+    counted = F.transform("ids", lambda a: F.struct(a.alias("area_id"), F.col("nx").alias("nx"), F.col("ny").alias("ny")))
     totals = each.groupBy("request", "w", "h").agg(
-        F.sum(F.col("nx").cast("long") * F.col("ny")).alias("pieces"),
-        F.sort_array(F.collect_list(F.struct("area_id", "nx", "ny"))).alias("area_counts"),
+        F.sum(F.col("nx").cast("long") * F.col("ny") * F.size("ids")).alias("pieces"),
+        F.sort_array(F.flatten(F.collect_list(counted))).alias("area_counts"),
     )
     none = F.array().cast(totals.schema["area_counts"].dataType)
     named = panels.join(totals, ["request", "w", "h"], "left")

@@ -9,6 +9,7 @@ from specloom.operators import table_json
 from specloom.plans.registry import query
 from specloom.plans.views import SHEET_COLUMNS, ctes, view
 from specloom.sources import html as source
+from specloom.sources import nested
 
 _TAGLESS = "trim(replace(replace(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&#8211;', '–'), '&deg;', '°'), '&amp;', '&'))"
 CELLS = (
@@ -87,3 +88,24 @@ SELECT d.sheet_id AS doc_id, s.prefix, coalesce((SELECT string_agg(regexp_extrac
 def table_json_match(spark, sf):
     found = table_json.match_tables(raw_tables(spark, sf), table_json.spec_table(spark, {"main": SPEC}))
     return found.withColumn("vals", F.array_join("vals", "|"))
+
+
+_PIECE = "concat('<tr><td>', p_name, '</td><td><TABLE><tr><td>', p_brand, '<td colspan=\"2\">', p_size, '</td></tr></TABLE></td></tr>')"
+_NESTED = "SELECT sheet_id AS page_id, concat('<html><table>', " + ", ".join(f"coalesce(max(CASE WHEN col_idx = {i} THEN {_PIECE} END), '')" for i in range(SHEET_COLUMNS)) + ", '</table></html>') AS html FROM {v_part} GROUP BY sheet_id"
+
+
+@query(
+    "html_nested",
+    ctes("v_part")
+    + """, p AS (SELECT sheet_id AS page_id, CAST(row_number() OVER (PARTITION BY sheet_id ORDER BY col_idx) - 1 AS INT) AS k, p_name, p_brand, CAST(p_size AS VARCHAR) AS size FROM v_part),
+cell AS (
+  SELECT page_id, 0 AS table_idx, 2 * k AS row_idx, 0 AS cell_idx, p_name AS text, 1 AS colspan FROM p
+  UNION ALL SELECT page_id, 0, 2 * k, 1, concat(p_brand, size), 1 FROM p
+  UNION ALL SELECT page_id, 0, 2 * k, 2, p_brand, 1 FROM p UNION ALL SELECT page_id, 0, 2 * k, 3, size, 2 FROM p
+  UNION ALL SELECT page_id, 0, 2 * k + 1, 0, p_brand, 1 FROM p UNION ALL SELECT page_id, 0, 2 * k + 1, 1, size, 2 FROM p
+  UNION ALL SELECT page_id, k + 1, 0, 0, p_brand, 1 FROM p UNION ALL SELECT page_id, k + 1, 0, 1, size, 2 FROM p)
+SELECT * FROM cell""",
+)
+def html_nested(spark, sf):
+    """A table whose rows hold tables: their rows and cells under every table and row around them."""
+    return nested.nested_cells(spark.sql(_NESTED, v_part=view(spark, sf, "v_part")))

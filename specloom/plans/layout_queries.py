@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from specloom.functions import text as X
-from specloom.operators import layout
+from specloom.operators import layout, mapping, setups
+from specloom.plans.mapping_queries import TYPED, filled, fold_sql
 from specloom.plans.registry import query
 from specloom.plans.views import ctes, view
 
@@ -114,3 +115,39 @@ def total_per_panel(spark, sf):
 )
 def price_metrics(spark, sf):
     return layout.price_metrics(view(spark, sf, "v_panel")).select("panel_id", "price_per_watt", "watt_per_sqm")
+
+
+_DEVICES = f""", typed AS (SELECT CAST(sheet_id * 4 + col_idx AS BIGINT) AS device_id, {TYPED} FROM folded),
+device AS (SELECT device_id, CAST(pv_input__v_mppt__min AS DOUBLE) AS v_min, CAST(pv_input__v_mppt__max AS DOUBLE) AS v_max,
+  list_sum(list_transform(string_split(nullif(pv_input__i_sc, ''), '|'), lambda v: CAST(v AS DOUBLE))) AS i_max FROM typed)"""
+_SETUP_SQL = (
+    fold_sql()
+    + _DEVICES
+    + ",\n"
+    + SIZES.removeprefix("WITH ")
+    + """, total AS (SELECT p.panel_id, p.request, coalesce(sum(nx * ny * n_areas), 0)::BIGINT AS pieces FROM panel_mm p LEFT JOIN best b ON b.request = p.request AND b.w = p.w AND b.h = p.h GROUP BY ALL),
+own AS (SELECT t.panel_id, t.pieces, 30.0::DOUBLE + v.w % 12 AS volts, v.watts / (30.0::DOUBLE + v.w % 12) AS amps FROM total t JOIN v_panel v USING (panel_id)),
+kind AS (SELECT DISTINCT pieces, volts, amps FROM own WHERE pieces > 0),
+wired AS (SELECT *, pieces // series AS parallel FROM (SELECT *, unnest(range(1, pieces + 1)) AS series FROM kind) WHERE pieces % series = 0),
+class AS (SELECT v_min, v_max, i_max, count(*) AS n_devices, min(device_id) AS device_id FROM device WHERE i_max IS NOT NULL GROUP BY ALL),
+met AS (SELECT * FROM wired JOIN class ON series * volts BETWEEN v_min AND v_max AND parallel * amps <= i_max
+  QUALIFY row_number() OVER (PARTITION BY pieces, volts, amps, v_min, v_max, i_max ORDER BY series DESC) = 1),
+pick AS (SELECT *, sum(n_devices) OVER (PARTITION BY pieces, volts, amps)::BIGINT AS n FROM met QUALIFY row_number() OVER (PARTITION BY pieces, volts, amps ORDER BY parallel, v_max, i_max, v_min) = 1)
+SELECT o.panel_id, coalesce(p.n, 0) AS n_devices, p.device_id, p.series, p.parallel FROM own o LEFT JOIN pick p ON p.pieces = o.pieces AND p.volts = o.volts AND p.amps = o.amps"""
+)
+
+
+@query("device_setups", _SETUP_SQL)
+def device_setups(spark, sf):
+    """Panel counts of each roof wired as equal strings to the devices whose typed ranges take them."""
+    totals = layout.total_per_panel(layout.best_orientation(fits(spark, sf)), panels(spark, sf), areas(spark, sf))
+    volts = F.lit(30.0) + F.col("w") % 12
+    own = view(spark, sf, "v_panel").select("panel_id", volts.alias("volts"), (F.col("watts") / volts).alias("amps"))
+    typed = mapping.typed_leaves(filled(spark, sf))
+    devices = typed.select(
+        (F.col("sheet_id") * 4 + F.col("col_idx")).alias("device_id"),
+        F.col("`pv_input.v_mppt.min`").cast("double").alias("v_min"),
+        F.col("`pv_input.v_mppt.max`").cast("double").alias("v_max"),
+        F.aggregate(F.when(F.size("`pv_input.i_sc`") > 0, F.col("`pv_input.i_sc`")), F.lit(0.0), lambda a, v: a + v).alias("i_max"),
+    )
+    return setups.best_setups(totals.select("panel_id", "pieces").join(own, "panel_id"), devices)

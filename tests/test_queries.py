@@ -35,6 +35,16 @@ LIGHT = [
     "resolve_colspans",
     "spec_sheets",
     "spec_end_to_end",
+    "rule_row_index",
+    "spec_diff_nested",
+    "sink_repeatable",
+    "quarantine_stop",
+    "find_inside",
+    "find_touching",
+    "html_nested",
+    "add_cell",
+    "quarantine_fixes",
+    "device_setups",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables are not here")
