@@ -66,21 +66,26 @@ def best_orientation(fits: DataFrame) -> DataFrame:
     return fits.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
 
 
-def total_per_panel(best: DataFrame, panels: DataFrame, areas: DataFrame) -> DataFrame:
-    """For each panel the pieces over all areas of its request, and the counts of each area in order of
-    its id; 0 and none where the request has no area.
+def total_per_size(best: DataFrame, areas: DataFrame) -> DataFrame:
+    """(request, w, h, pieces, area_counts) of each panel size: the pieces over all areas of its request and
+    the counts of each area in order of its id, as many as the request has areas.
 
-    panels: panel_id, request, w, h; areas: area_id, request, w, h. Counts are gathered once for each
-    panel size: as many as the request has areas.
+    areas: area_id, request, w, h.
     """
     # Areas of one size go together: their ids are joined to the distinct sizes once.
     sized = areas.groupBy("request", F.col("w").alias("aw"), F.col("h").alias("ah")).agg(F.collect_list("area_id").alias("ids"))
     each = best.join(sized, ["request", "aw", "ah"])
     counted = F.transform("ids", lambda a: F.struct(a.alias("area_id"), F.col("nx").alias("nx"), F.col("ny").alias("ny")))
-    totals = each.groupBy("request", "w", "h").agg(
+    return each.groupBy("request", "w", "h").agg(
         F.sum(F.col("nx").cast("long") * F.col("ny") * F.size("ids")).alias("pieces"),
         F.sort_array(F.flatten(F.collect_list(counted))).alias("area_counts"),
     )
+
+
+def total_per_panel(best: DataFrame, panels: DataFrame, areas: DataFrame) -> DataFrame:
+    """The totals of its size for each panel (panel_id, request, w, h); 0 and none where the request has no
+    area."""
+    totals = total_per_size(best, areas)
     none = F.array().cast(totals.schema["area_counts"].dataType)
     named = panels.join(totals, ["request", "w", "h"], "left")
     return named.withColumns({"pieces": F.coalesce("pieces", F.lit(0).cast("long")), "area_counts": F.coalesce("area_counts", none)})

@@ -104,9 +104,12 @@ def best_orientation(spark, sf):
     " FROM panel_mm p LEFT JOIN (SELECT b.*, area_id FROM best b JOIN area_mm a ON a.request = b.request AND a.w = aw AND a.h = ah) f ON f.request = p.request AND f.w = p.w AND f.h = p.h GROUP BY ALL",
 )
 def total_per_panel(spark, sf):
-    totals = layout.total_per_panel(layout.best_orientation(fits(spark, sf)), panels(spark, sf), areas(spark, sf))
+    """The counts are written out once for each panel size, not for each panel."""
+    totals = layout.total_per_size(layout.best_orientation(fits(spark, sf)), areas(spark, sf))
     one = lambda c: F.concat(c["area_id"], F.lit(":"), c["nx"], F.lit("*"), c["ny"])
-    return totals.select("panel_id", "request", "pieces", F.array_join(F.transform("area_counts", one), " ").alias("area_counts"))
+    shown = totals.withColumn("area_counts", F.array_join(F.transform("area_counts", one), " "))
+    named = panels(spark, sf).join(shown, ["request", "w", "h"], "left")
+    return named.select("panel_id", "request", F.coalesce("pieces", F.lit(0).cast("long")).alias("pieces"), F.coalesce("area_counts", F.lit("")).alias("area_counts"))
 
 
 @query(
