@@ -266,39 +266,40 @@ def _ends(ends: DataFrame) -> DataFrame:
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, convs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out: list[list] = [[], [], [], []]
-            for i, c in zip(ids, convs, strict=True):
-                if out[0] and out[0][-1] == i and out[4 - 1][-1][0] < PIECE:
-                    out[3][-1][0] += len(str(c)) + 1
-                    out[3][-1][1].append(str(c))
-                    out[2][-1] += 1
-                else:
-                    out[0].append(i)
-                    out[1].append(c)
-                    out[2].append(1)
-                    out[3].append([len(str(c)), [str(c)]])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array([",".join(x[1]) for x in out[3]], pa.string())], ["id", "first", "n", "ids"])
+            ids, firsts, texts, size = [], [], [], 0
+            for i, c in zip(batch.column(0).to_pylist(), map(str, batch.column(1).to_pylist()), strict=True):
+                if not ids or ids[-1] != i or size >= PIECE:
+                    ids.append(i)
+                    firsts.append(int(c))
+                    texts.append([])
+                    size = 0
+                texts[-1].append(c)
+                size += len(c) + 1
+            columns = [pa.array(ids, batch.schema.field(0).type), pa.array(firsts, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([",".join(t) for t in texts], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "first", "n", "ids"])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, count, state = None, 0, None
-        kind = None
+        id_type, now, count, state = None, None, 0, None
+        names = ["id", "n_ends", "ends_sha256"]
+
+        def rows(done: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True)) or [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_type, pa.int64(), pa.string()), strict=True)], names)
+
         for batch in batches:
-            kind = batch.schema.field(0).type
-            out: list[list] = [[], [], []]
+            id_type, done = batch.schema.field(0).type, []
             for i, n, ids in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "ids")), strict=True):
                 if i != now:
                     if state is not None:
-                        for column, value in zip(out, (now, count, state.hexdigest()), strict=True):
-                            column.append(value)
+                        done.append((now, count, state.hexdigest()))
                     now, count, state = i, 0, hashlib.sha256()
                 else:
                     state.update(b",")
                 count += n
                 state.update(ids.encode())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], kind), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], ["id", "n_ends", "ends_sha256"])
+            yield rows(done)
         if state is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([count], pa.int64()), pa.array([state.hexdigest()], pa.string())], ["id", "n_ends", "ends_sha256"])
+            yield rows([(now, count, state.hexdigest())])
 
     order = ["id", "conv_id"]
     pieces = ends.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(join, f"{kind}, first bigint, n bigint, ids string")
