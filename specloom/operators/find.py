@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import text as X
 from specloom.operators import scan
+from specloom.operators.joins import shuffled
 from specloom.operators.nearest import BOX, PAGE
 
 CELL_FRAGMENTS = 4
@@ -64,8 +65,8 @@ def find(requests: DataFrame, fragments: DataFrame, *, pattern: str = ".*", ret:
     matching = fragments.where(F.col("text").rlike(pattern)).select(*PAGE, "frag_id", "text", *BOX)
     grid = _grid(fragments)
     asked = requests.select(*PAGE, "find_id", *[f"q_{c}" for c in BOX])
-    boxed = asked.where("q_minx is not null").join(grid, PAGE)
-    placed = matching.join(grid, PAGE)
+    boxed = asked.where("q_minx is not null").join(shuffled(grid), PAGE)
+    placed = matching.join(shuffled(grid), PAGE)
     over = lambda axis, lo, hi: F.explode(F.sequence(_cell(axis, lo), _cell(axis, hi)))
     # A box that ends before it begins holds nothing.
     boxed = boxed.where("q_minx <= q_maxx and q_miny <= q_maxy")
@@ -81,9 +82,9 @@ def find(requests: DataFrame, fragments: DataFrame, *, pattern: str = ".*", ret:
         first = lambda axis, g, lo: F.col(g) == F.greatest(_cell(axis, lo), _cell(axis, f"q_{lo}"))
         once = first("x", "_gx", "minx") & first("y", "_gy", "miny")
     cells = cells.select(*PAGE, "find_id", "_gx", "_gy", *[f"q_{c}" for c in BOX])
-    met = cells.join(entered, [*PAGE, "_gx", "_gy"]).where(_inside(how) & once)
+    met = cells.join(shuffled(entered), [*PAGE, "_gx", "_gy"]).where(_inside(how) & once)
     kept = ["find_id", "frag_id", "text", *BOX]
-    whole = asked.where("q_minx is null").select(*PAGE, "find_id").join(matching, PAGE)
+    whole = asked.where("q_minx is null").select(*PAGE, "find_id").join(shuffled(matching), PAGE)
     hits = met.select(*PAGE, *kept).unionByName(whole.select(*PAGE, *kept))
 
     side, sign = SORTS[sort] if sort else (None, 1)

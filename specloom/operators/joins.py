@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,12 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.count() <= rows
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that may be as large as the data, so that it is never broadcast on an estimate: for
+    files of repeated values, and for rows that were multiplied, Spark's estimate is far too low."""
+    return df.hint("merge")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -36,18 +42,18 @@ def lookup_join(
     on = list(on)
     limit = broadcast_rows(big.sparkSession) if limit is None else limit
     if small_rows <= limit if small_rows is not None else at_most(small, limit):
-        return _equi(big, F.broadcast(small), on, condition, how)
+        return _equi(big, small, on, condition, how, F.broadcast)
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(big)]), F.lit(SALTS)))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return _equi(spread, repeated, [*on, "_salt"], condition, how).drop("_salt")
+    return _equi(spread, repeated, [*on, "_salt"], condition, how, shuffled).drop("_salt")
 
 
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
 
 
-def _equi(left: DataFrame, right: DataFrame, on: list[str], condition: Column | None, how: str) -> DataFrame:
-    right = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in on else c) for c in right.columns])
+def _equi(left: DataFrame, right: DataFrame, on: list[str], condition: Column | None, how: str, sent: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    right = sent(right.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in on else c) for c in right.columns]))
     cond = F.col(on[0]) == F.col(f"_r_{on[0]}")
     for c in on[1:]:
         cond = cond & (F.col(c) == F.col(f"_r_{c}"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import bbox
 from specloom.operators import scan
+from specloom.operators.joins import shuffled
 
 PAGE = ["doc_id", "page"]
 BOX = ["minx", "miny", "maxx", "maxy"]
@@ -55,7 +56,7 @@ def nearest_fragment(
     lo, hi = f"min{across}", f"max{across}"
     counted = fragments.groupBy(*PAGE).agg(F.ceil(F.count(F.lit(1)) / BAND_FRAGMENTS).alias("_bands"))
     height = (F.col(f"page_max{across}") - F.col(f"page_min{across}")) / F.col("_bands")
-    spread = pages.join(counted, PAGE).withColumn("_h", F.greatest(height, F.lit(1e-6)))
+    spread = pages.join(shuffled(counted), PAGE).withColumn("_h", F.greatest(height, F.lit(1e-6)))
     band = lambda c: F.floor((c - F.col(f"page_min{across}")) / F.col("_h"))
     first, last = F.lit(0).cast("long"), F.col("_bands") - 1
     clamp = lambda c: F.greatest(F.least(c, last), first)
@@ -63,7 +64,7 @@ def nearest_fragment(
     folded = fragments.filter(F.col("text").rlike(pattern)).groupBy(*PAGE, *BOX).agg(
         F.min(F.struct("frag_id", "text")).alias("_f"), F.count(F.lit(1)).alias("_copies")
     )
-    placed = folded.join(spread.select(*PAGE, "_h", "_bands", f"page_min{across}"), PAGE)
+    placed = folded.join(shuffled(spread.select(*PAGE, "_h", "_bands", f"page_min{across}")), PAGE)
     if how == "contains":
         # a contained candidate has its leading edge inside the strip: one band is enough
         entered = placed.withColumn("_band", clamp(band(F.col(lo))))
@@ -72,12 +73,12 @@ def nearest_fragment(
         entered = placed.withColumn("_band", F.explode(F.sequence(clamp(band(F.col(lo))), clamp(band(F.col(hi))))))
         # count a pair only in the first band both share
         met = F.col("_band") == F.greatest(clamp(band(F.col(lo))), clamp(band(F.col(f"s_{lo}"))))
-    strips = anchors.join(spread, PAGE).withColumns(search_box(direction, grow))
+    strips = anchors.join(shuffled(spread), PAGE).withColumns(search_box(direction, grow))
     bands = F.sequence(clamp(band(F.col(f"s_{lo}"))), clamp(band(F.col(f"s_{hi}"))))
     strips = strips.withColumn("_band", F.explode(bands)).select(*PAGE, "anchor_id", "_band", *[f"s_{c}" for c in BOX])
 
     position = F.col("minx" if axis == "x" else "miny") * sign
-    pairs = strips.join(entered, [*PAGE, "_band"]).filter(_hit(how) & met)
+    pairs = strips.join(shuffled(entered), [*PAGE, "_band"]).filter(_hit(how) & met)
     best = F.min(F.struct(position.alias("at"), F.col("_f.frag_id").alias("frag_id"), F.col("_f.text").alias("text")))
     found = pairs.groupBy(*PAGE, "anchor_id").agg(F.sum("_copies").alias("n_found"), best.alias("_b"))
     return found.select(*PAGE, "anchor_id", "n_found", F.col("_b.frag_id").alias("frag_id"), F.col("_b.text").alias("text"))
