@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.operators.joins import lookup_join
+from specloom.operators.joins import lookup_join, shuffled
 
 # Fixed value: a download older than this is fetched again.
 MAX_AGE_DAYS = 84
@@ -54,7 +54,7 @@ def stale_by_age(items: DataFrame, artefacts: DataFrame, now: Column, *, force:
     have = artefacts.filter("stage = 'download'").groupBy(*GROUP, "filename").agg(F.max("mtime").alias("mtime"))
     oldest = now - F.expr(f"INTERVAL {MAX_AGE_DAYS} DAYS")
     stale = F.lit(True) if force else F.col("mtime").isNull() | (F.col("mtime") < oldest)
-    return items.join(have, [*GROUP, "filename"], "left").filter(stale)
+    return items.join(shuffled(have), [*GROUP, "filename"], "left").filter(stale)
 
 
 def stale_by_source(artefacts: DataFrame, source: str, target: str, *, force: bool = False) -> DataFrame:

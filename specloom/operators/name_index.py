@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.operators.joins import lookup_join
+from specloom.operators.joins import lookup_join, shuffled
 from specloom.session import stable
 
 # Characters of a piece; shorter names are entered as they are.
@@ -48,7 +48,7 @@ def find_names(fragments: DataFrame, names: DataFrame, keep: list[str]) -> DataF
     found = stable(lookup_join(entries, asked.select("sheet_id", "piece").distinct(), ["sheet_id", "piece"], how="left_semi"))
 
     often = found.groupBy("sheet_id", "piece").agg(F.count(F.lit(1)).alias("n"), F.min("box").alias("box"))
-    counted = asked.join(often, ["sheet_id", "piece"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counted = asked.join(shuffled(often), ["sheet_id", "piece"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     whole = F.startswith("piece", F.lit(_WHOLE))
     rarest = F.min(F.when(~whole, F.struct("n", "piece")))
     each = counted.groupBy("sheet_id", "name").agg(F.max(F.when(whole, F.col("n"))).alias("n_exact"), F.max(F.when(whole, F.col("box"))).alias("exact"), rarest.alias("low"))
@@ -57,5 +57,5 @@ def find_names(fragments: DataFrame, names: DataFrame, keep: list[str]) -> DataF
     open_ = each.where("n_exact <> 1 and low.n > 0").select("sheet_id", "name", "low.piece")
     holds = F.contains("text", F.col("name"))
     hits = lookup_join(found, open_, ["sheet_id", "piece"], holds).groupBy("sheet_id", "name").agg(F.count(F.lit(1)).alias("n_any"), F.min("box").alias("any"))
-    done = each.join(hits, ["sheet_id", "name"], "left").where("n_exact > 0 or n_any > 0")
+    done = each.join(shuffled(hits), ["sheet_id", "name"], "left").where("n_exact > 0 or n_any > 0")
     return done.select("sheet_id", "name", "n_exact", "n_any", F.when(F.col("n_exact") == 1, F.col("exact")).otherwise(F.col("any")).alias("box"))

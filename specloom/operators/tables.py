@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specloom.operators import scan
-from specloom.operators.joins import at_most
+from specloom.operators.joins import at_most, shuffled
 from specloom.operators.name_index import find_names
 from specloom.session import broadcast_rows, stable
 
@@ -65,13 +65,15 @@ class Settings:
     rows: int
     modes: frozenset[str]
     wrapped: bool
+    # About how many fragments the sheets have; tasks are cut by it.
+    fragments: int = 0
 
 
-def settings_of(config: DataFrame) -> Settings:
+def settings_of(config: DataFrame, fragments: int = 0) -> Settings:
     wrapped = F.bool_or(F.coalesce(F.col("multiline_row_header"), F.lit(False)) | F.coalesce(F.col("multiline_section_header"), F.lit(False)))
     modes = [F.bool_or(F.col("sections") == m).alias(m) for m in SECTION_MODES]
     found = config.agg(F.count(F.lit(1)).alias("rows"), wrapped.alias("wrapped"), *modes).first()
-    return Settings(found["rows"], frozenset(m for m in SECTION_MODES if found[m]), bool(found["wrapped"]))
+    return Settings(found["rows"], frozenset(m for m in SECTION_MODES if found[m]), bool(found["wrapped"]), fragments)
 
 
 # ---- area, added cells ----------------------------------------------------------
@@ -84,9 +86,8 @@ def per_sheet(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner
     `bounded_by` is a cheaper table that has at least as many rows, or a count known already.
     """
     limit = broadcast_rows(big.sparkSession)
-    if bounded_by <= limit if isinstance(bounded_by, int) else at_most(small if bounded_by is None else bounded_by, limit):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    few = bounded_by <= limit if isinstance(bounded_by, int) else at_most(small if bounded_by is None else bounded_by, limit)
+    return big.join(F.broadcast(small) if few else shuffled(small), on, how)
 
 
 def area_filter(fragments: DataFrame, config: DataFrame, rows: int | None = None) -> DataFrame:
@@ -113,13 +114,10 @@ def area_filter(fragments: DataFrame, config: DataFrame, rows: int | None = None
     return per_sheet(fragments, area, ["doc_id", "page"], bounded_by=rows).filter(inside)
 
 
-def by_sheet(frame: DataFrame, hot: bool) -> DataFrame:
-    """The one shuffle of the frame; windows on the sheet and on finer keys reuse it.
-
-    The partition count is the session's, not a coalesced one: what follows is many passes of
-    computation over each partition, so small bytes do not mean little work.
-    """
-    return frame if hot else frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sheet_id")
+def by_sheet(frame: DataFrame, hot: bool, rows: int = 0) -> DataFrame:
+    """The one shuffle of the frame; windows on the sheet and on finer keys reuse it. `rows` is about how
+    many rows it has: what follows is many passes over each partition, so their number grows with it."""
+    return frame if hot else scan.dealt(frame, SHEET, rows)
 
 
 def find_text(fragments: DataFrame, names: DataFrame) -> DataFrame:
@@ -137,7 +135,7 @@ def locate_added(fragments: DataFrame, fixes: DataFrame) -> DataFrame:
     names = fixes.select("sheet_id", F.explode(F.array("row_text", "col_text")).alias("name"))
     named = stable(find_text(fragments, names).filter("box is not null"))
     boxes = [named.select("sheet_id", F.col("name").alias(c), F.col("box").alias(f"{c}_box")) for c in ("row_text", "col_text")]
-    return fixes.join(boxes[0], ["sheet_id", "row_text"], "left").join(boxes[1], ["sheet_id", "col_text"], "left")
+    return fixes.join(shuffled(boxes[0]), ["sheet_id", "row_text"], "left").join(shuffled(boxes[1]), ["sheet_id", "col_text"], "left")
 
 
 def add_cell(fragments: DataFrame, fixes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -392,7 +390,7 @@ def bound_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
     found = scan.run(placed, SHEET, ["_pos", "_prio", "kind", "line_no"], {"_h": scan.last_known(holder)}, hot=hot)
     direct = F.when(F.col("maxy") <= F.col("_h.bound_stop"), F.col("_h.line_no"))
     out = found.withColumn("_direct", direct)
-    searched = _search_rows(out)
+    searched = _search_rows(out, bool(hot))
     settled = F.when(F.col("_search"), F.col("_searched")).otherwise(F.col("_direct"))
     accepted = F.when(settled.between(F.col("lo"), F.col("hi")), settled)
     return searched.withColumn("settled", F.when(is_cell() & (F.col("lo") < F.col("hi")), accepted)).drop(
@@ -400,22 +398,23 @@ def bound_join(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
     )
 
 
-def _search_rows(frame: DataFrame) -> DataFrame:
+def _search_rows(frame: DataFrame, hot: bool) -> DataFrame:
     """First containing row of each cell that asks: rows are entered into bands about one row high, so
     the range join becomes an equi join on (sheet, band)."""
     frame = stable(frame)
-    if frame.filter("_search").isEmpty():
+    found = frame.agg(F.count(F.lit(1)).alias("rows"), F.bool_or("_search").alias("search")).first()
+    if not found["search"]:
         return frame.withColumn("_searched", F.lit(None).cast("int"))
     ranges = frame.filter(F.col("_search") & _range_known() & (F.col("bound") <= F.col("bound_stop"))).select("sheet_id", "line_no", "bound", "bound_stop")
     height = F.greatest((F.max("bound_stop") - F.min("bound")) / F.count(F.lit(1)), F.lit(1.0))
     high = ranges.groupBy("sheet_id").agg(height.alias("_high"))
     band = lambda c: F.floor(F.col(c) / F.col("_high"))
-    entered = ranges.join(high, SHEET).select("sheet_id", "line_no", "bound", "bound_stop", F.explode(F.sequence(band("bound"), band("bound_stop"))).alias("_band"))
+    entered = ranges.join(shuffled(high), SHEET).select("sheet_id", "line_no", "bound", "bound_stop", F.explode(F.sequence(band("bound"), band("bound_stop"))).alias("_band"))
     cells = frame.filter(F.col("_search") & is_cell() & (F.col("lo") < F.col("hi"))).select("sheet_id", "frag_id", "miny", "maxy")
-    pairs = cells.join(high, SHEET).withColumn("_band", band("miny")).join(entered.withColumnRenamed("line_no", "_row"), ["sheet_id", "_band"])
+    pairs = cells.join(shuffled(high), SHEET).withColumn("_band", band("miny")).join(shuffled(entered.withColumnRenamed("line_no", "_row")), ["sheet_id", "_band"])
     inside = pairs.filter("bound <= miny and maxy <= bound_stop")
     first = inside.groupBy("sheet_id", "frag_id").agg(F.min("_row").alias("_searched")).withColumn("kind", F.lit("cell"))
-    return frame.join(first, ["sheet_id", "frag_id", "kind"], "left")
+    return by_sheet(frame.join(shuffled(first), ["sheet_id", "frag_id", "kind"], "left"), hot, found["rows"])
 
 
 def settle_rows(frame: DataFrame, *, hot: bool | None = None) -> DataFrame:
@@ -586,7 +585,7 @@ def find_rows(fragments: DataFrame, config: DataFrame, settings: Settings, fixes
     written once.
     """
     sheets = fixes.select("sheet_id").distinct()
-    lined = lined_frame(fragments, config.join(sheets, "sheet_id", "left_semi"), settings, added=added, hot=hot)
+    lined = lined_frame(fragments, config.join(shuffled(sheets), "sheet_id", "left_semi"), settings, added=added, hot=hot)
     return stable(rows_named(lined, fixes))
 
 
@@ -604,14 +603,14 @@ def fixed_spans(frame: DataFrame, fixes: DataFrame, named: DataFrame, rows: int
     says which row headers they name (see `find_rows`), `rows` how many fixes there are.
     """
     order = F.struct(*[c for c in ("fix_id", "row_text", "spans") if c in fixes.columns])
-    hits = fixes.join(named.filter("line_no is not null"), ["sheet_id", "row_text"])
+    hits = fixes.join(shuffled(named.filter("line_no is not null")), ["sheet_id", "row_text"])
     at = hits.groupBy("sheet_id", F.lit("row").alias("kind"), "line_no").agg(F.max_by("spans", order).alias("spans"))
     return per_sheet(frame, at, ["sheet_id", "kind", "line_no"], "left", bounded_by=fixes if rows is None else rows)
 
 
 def unresolved_fixes(fixes: DataFrame, named: DataFrame) -> DataFrame:
     """Fixes whose text names no row of their sheet, or several: the fix with its reason."""
-    marked = fixes.join(named.withColumn("_known", F.lit(True)), ["sheet_id", "row_text"], "left").filter("line_no is null")
+    marked = fixes.join(shuffled(named.withColumn("_known", F.lit(True))), ["sheet_id", "row_text"], "left").filter("line_no is null")
     return marked.withColumn("reason", F.when(F.col("_known"), "ambiguous name").otherwise("unknown name")).drop("line_no", "_known")
 
 
@@ -621,8 +620,8 @@ def lined_frame(fragments: DataFrame, config: DataFrame, settings: Settings, *,
     inside = area_filter(fragments, config, settings.rows).drop("doc_id", "page")
     if added is not None:
         area = inside.drop("frag_id", "text", *BOX).dropDuplicates(["sheet_id"])
-        inside = inside.unionByName(added.join(area, SHEET))
-    frame = by_sheet(inside, hot)
+        inside = inside.unionByName(added.join(shuffled(area), SHEET))
+    frame = by_sheet(inside, hot, settings.fragments)
     if TABLE_CENTER in settings.modes:
         frame = centre_labels(frame, hot=hot)
     else:
@@ -651,8 +650,9 @@ class Sheets:
     """Cells of sheets, and what did not get into them, planned when asked for: added cells and fixed spans
     whose names were not found (None where none were given), and rows whose cells do not fit the columns."""
 
-    def __init__(self, cells: DataFrame, placed: DataFrame, unplaced: DataFrame | None, fixes: tuple[DataFrame, DataFrame] | None):
+    def __init__(self, cells: DataFrame, placed: DataFrame, unplaced: DataFrame | None, fixes: tuple[DataFrame, DataFrame] | None, fragments: int = 0):
         self.cells = cells
+        self.fragments = fragments
         self.unplaced = unplaced
         self._placed, self._fixes = placed, fixes
 
@@ -673,12 +673,13 @@ def sheet_cells(
     joiners: DataFrame | None = None,
     added: DataFrame | None = None,
     hot: bool | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fragments and extraction settings to cells with section, property, column range and text."""
     if hot is None:
         parts = [sheet_cells(f, c, fixed=fixed, joiners=joiners, added=added, hot=h) for f, c, h in split_hot(fragments, config)]
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return sheet_outcome(fragments, config, fixed=fixed, joiners=joiners, added=added, hot=hot).cells
+    return sheet_outcome(fragments, config, fixed=fixed, joiners=joiners, added=added, hot=hot, rows=rows).cells
 
 
 def sheet_outcome(
@@ -689,40 +690,43 @@ def sheet_outcome(
     joiners: DataFrame | None = None,
     added: DataFrame | None = None,
     hot: bool,
+    rows: int | None = None,
 ) -> Sheets:
-    """`sheet_cells` with its rejects, of the sheets in config only."""
-    settings = settings_of(config)
+    """`sheet_cells` with its rejects, of the sheets in config only. `rows` is the number of fragments, where
+    it is known without counting."""
+    settings = settings_of(config, fragments.count() if rows is None else rows)
     ours = config.select("sheet_id").distinct()
     unplaced = new = named = None
     if added is not None:
-        added = stable(added.join(ours, "sheet_id", "left_semi"))
+        added = stable(added.join(shuffled(ours), "sheet_id", "left_semi"))
         if not added.isEmpty():
-            sheets = config.join(added.select("sheet_id").distinct(), "sheet_id", "left_semi")
+            sheets = config.join(shuffled(added.select("sheet_id").distinct()), "sheet_id", "left_semi")
             inside = area_filter(fragments, sheets, settings.rows).drop("doc_id", "page")
             new, unplaced = split_added(stable(locate_added(inside, added)))
         else:
             unplaced = added
     lined = lined_frame(fragments, config, settings, added=new, hot=hot)
     if fixed is not None:
-        fixed = stable(fixed.join(ours, "sheet_id", "left_semi"))
+        fixed = stable(fixed.join(shuffled(ours), "sheet_id", "left_semi"))
         n = fixed.count()
         named = find_rows(fragments, config, settings, fixed, added=new, hot=hot)
-        lined = fixed_spans(lined, fixed, named, n)
-    rows = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
-    placed = place_columns(rows, joiners, hot=hot)
+        lined = by_sheet(fixed_spans(lined, fixed, named, n), hot, settings.fragments)
+    headed = name_rows(settle_rows(lined, hot=hot), modes=settings.modes, hot=hot)
+    placed = place_columns(headed, joiners, hot=hot)
     cells = certain_cells(resolve_colspans(placed))
     out = cells.select("sheet_id", "row_id", "section", "property", "col_from", "col_to", midy().alias("midy"), "frag_id", F.col("text").alias("value"))
-    return Sheets(out, placed, unplaced, None if fixed is None else (fixed, named))
+    return Sheets(out, placed, unplaced, None if fixed is None else (fixed, named), settings.fragments)
 
 
-def spec_cells(cells: DataFrame, *, hot: bool | None = None) -> DataFrame:
-    """Long sheet cells: column ranges expanded, values of one property joined, rows numbered.
+def spec_cells(cells: DataFrame, *, hot: bool | None = None, rows: int = 0) -> DataFrame:
+    """Long sheet cells: column ranges expanded, values of one property joined, rows numbered. `rows` is about
+    how many cells there are.
 
     Rows come in order of first appearance when reading column by column, section by section.
     """
     if hot is None:
         hot = scan.has_hot_key(cells, SHEET)
-    covered = by_sheet(cells, hot).withColumn("col_idx", F.explode(F.sequence(F.col("col_from"), F.col("col_to") - 1)))
+    covered = by_sheet(cells, hot, rows).withColumn("col_idx", F.explode(F.sequence(F.col("col_from"), F.col("col_to") - 1)))
     keys = ["sheet_id", "col_idx", "section", "property"]
     pieces = F.array_sort(F.collect_list(F.struct("midy", "frag_id", "value")))
     joined = F.array_join(F.transform(pieces, lambda p: p["value"]), " ")

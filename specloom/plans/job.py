@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from specloom.operators import guard, mapping, reshape
 from specloom.operators import tables as T
+from specloom.operators.joins import shuffled
 from specloom.operators.mapping import Rule
 from specloom.session import stable
 from specloom.sources.store import Store
@@ -85,12 +86,12 @@ def device_outcome(
     found and a row that does not fit, fails every job that reads the records (`stop`).
     """
     if stale is not None:
-        config = stable(config.join(stale.select("sheet_id").distinct(), "sheet_id", "left_semi"))
+        config = stable(config.join(shuffled(stale.select("sheet_id").distinct()), "sheet_id", "left_semi"))
         fragments = T.per_sheet(fragments, config.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_semi", bounded_by=config)
     made, parts = [], []
     for some, settings, hot in T.split_hot(fragments, config):
         made.append(T.sheet_outcome(some, settings, fixed=fixed, joiners=joiners, added=added, hot=hot))
-        parts.append((T.spec_cells(made[-1].cells, hot=hot), hot))
+        parts.append((T.spec_cells(made[-1].cells, hot=hot, rows=made[-1].fragments), hot))
     if columns is None:
         columns = max(reshape.column_count(cells) for cells, _ in parts)
     rows = reduce(DataFrame.unionByName, [reshape.sheet_rows(reshape.long_to_wide(cells, columns), columns, hot=hot) for cells, hot in parts])

@@ -163,13 +163,13 @@ class Pages:
         self.fragments = self.get("v_fragment")
         self.config = self.get("v_cfg")
         self.hot = scan.has_hot_key(self.fragments, ["doc_id", "page"])
-        self.settings = T.settings_of(self.config)
+        self.settings = T.settings_of(self.config, self.fragments.count())
 
     def inside(self):
         return T.area_filter(self.fragments, self.config, self.settings.rows)
 
     def labelled(self):
-        return T.centre_labels(T.by_sheet(self.inside(), self.hot), hot=self.hot)
+        return T.centre_labels(T.by_sheet(self.inside(), self.hot, self.settings.fragments), hot=self.hot)
 
     def lined(self):
         return T.lined_frame(self.fragments, self.config, self.settings, hot=self.hot)
@@ -187,12 +187,12 @@ class Pages:
         return T.settle_rows(self.lined(), hot=self.hot)
 
     def merged(self):
-        fixed = T.fixed_spans(self.lined(), self.get("v_fixed"), self.named())
+        fixed = T.by_sheet(T.fixed_spans(self.lined(), self.get("v_fixed"), self.named()), self.hot, self.settings.fragments)
         named = T.name_rows(T.settle_rows(fixed, hot=self.hot), modes=self.settings.modes, hot=self.hot)
         return T.place_columns(named, self.get("v_joiner"), hot=self.hot)
 
     def cells(self):
-        return T.sheet_cells(self.fragments, self.config, fixed=self.get("v_fixed"), joiners=self.get("v_joiner"), hot=self.hot)
+        return T.sheet_cells(self.fragments, self.config, fixed=self.get("v_fixed"), joiners=self.get("v_joiner"), hot=self.hot, rows=self.settings.fragments)
 
 
 # ---- queries ------------------------------------------------------------------------
@@ -337,7 +337,7 @@ def colspan_expand(spark, sf):
 def spec_sheets(spark, sf):
     """Fragments to long sheet cells: the whole extraction stage."""
     p = Pages(spark, sf)
-    return T.spec_cells(p.cells(), hot=p.hot)
+    return T.spec_cells(p.cells(), hot=p.hot, rows=p.settings.fragments)
 
 
 @query(
