@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specloom.operators import scan
+from specloom.operators.joins import shuffled
 from specloom.session import stable
 from specloom.sources.html import COLSPAN_RE, plain_text
 
@@ -21,22 +22,22 @@ TOKEN_RE = r"(?is)</?(?:table|tr|td|th)\b[^>]*>"
 _PAGE = ["page_id"]
 
 
-def _tokens(pages: DataFrame) -> DataFrame:
+def _tokens(pages: DataFrame, rows: int) -> DataFrame:
     """(page_id, i, tag, closing, raw, start, stop): the tags of a page in order, with the places of the
     tag's first character and of the one after its last, from 0."""
     cut = pages.select("page_id", F.regexp_extract_all("html", F.lit(TOKEN_RE), F.lit(0)).alias("tags"), F.split("html", TOKEN_RE, -1).alias("pieces"))
     each = cut.select("page_id", "pieces", F.posexplode("tags").alias("i", "raw"))
-    each = each.select("page_id", "i", "raw", F.char_length(F.get("pieces", F.col("i"))).alias("before"))
+    each = scan.dealt(each.select("page_id", "i", "raw", F.char_length(F.get("pieces", F.col("i"))).alias("before")), _PAGE, rows)
     placed = scan.run(each, _PAGE, ["i"], {"stop": scan.running_sum(F.col("before") + F.char_length("raw"))}, hot=False)
     name = F.lower(F.regexp_extract("raw", r"^</?([A-Za-z]+)", 1))
     return placed.select("page_id", "i", name.alias("tag"), F.startswith("raw", F.lit("</")).alias("closing"), "raw", (F.col("stop") - F.char_length("raw")).alias("start"), "stop")
 
 
-def _placed(pages: DataFrame) -> DataFrame:
+def _placed(pages: DataFrame, rows: int) -> DataFrame:
     """The tags with `level` (tables open around their content), `tbl` (number of the innermost of them),
     `row` (the open row of that table, null outside) and, for rows and cells, `end`. Each table appears
     once more, as `probe`, in the place it takes in the table around it."""
-    tokens = _tokens(pages)
+    tokens = _tokens(pages, rows)
     table = F.col("tag") == "table"
     step = F.when(table & ~F.col("closing"), 1).when(table, -1).otherwise(0)
     summed = scan.run(tokens, _PAGE, ["i"], {"_open": scan.running_sum(step)}, hot=False)
@@ -46,7 +47,7 @@ def _placed(pages: DataFrame) -> DataFrame:
     level = depth + F.when(table & F.col("closing"), 1).otherwise(0)
     leveled = lowest.withColumn("level", level).drop("_open", "_low").withColumn("probe", F.lit(False))
     probes = leveled.where(table & ~F.col("closing")).withColumns({"level": F.col("level") - 1, "probe": F.lit(True)})
-    every = leveled.unionByName(probes).where("level > 0")
+    every = scan.dealt(leveled.unionByName(probes).where("level > 0"), _PAGE, rows)
 
     opened = F.when(table & ~F.col("closing") & ~F.col("probe"), F.col("i"))
     own = scan.run(every, ["page_id", "level"], ["i", "probe"], {"tbl": scan.last_known(opened)}, hot=False)
@@ -70,7 +71,7 @@ def _chain(start: DataFrame, around: DataFrame) -> DataFrame:
     while True:
         level = stable(level)
         levels.append(level)
-        above = level.drop("row").join(around, ["page_id", "tbl"]).withColumns({"tbl": F.col("outer"), "row": F.col("outer_row"), "up": F.col("up") + 1}).drop("outer", "outer_row")
+        above = level.drop("row").join(shuffled(around), ["page_id", "tbl"]).withColumns({"tbl": F.col("outer"), "row": F.col("outer_row"), "up": F.col("up") + 1}).drop("outer", "outer_row")
         if above.isEmpty():
             return reduce(DataFrame.unionByName, levels)
         level = above.select(*level.columns)
@@ -85,15 +86,16 @@ def nested_cells(pages: DataFrame) -> DataFrame:
     ends. Cells outside rows and rows outside tables are left out, as are heading cells.
     """
     held = pages.where(F.contains(F.lower("html"), F.lit("<table"))).select("page_id", "html")
-    placed = stable(_placed(held))
+    rows = held.agg(F.sum(F.regexp_count("html", F.lit(TOKEN_RE))).alias("n")).first()["n"] or 0
+    placed = stable(_placed(held, rows))
     own = placed.where("not probe and not closing")
     tables = own.where("tag = 'table'").select("page_id", F.col("i").alias("tbl"))
     numbered = scan.run(tables, _PAGE, ["tbl"], {"table_idx": scan.position()}, hot=False)
     around = placed.where("probe").select("page_id", F.col("i").alias("tbl"), F.col("tbl").alias("outer"), F.col("row").alias("outer_row"))
 
-    rows = own.where("tag = 'tr'").select("page_id", F.col("i").alias("tr"), "tbl", "row")
-    under = _chain(rows, around).select("page_id", "tbl", "tr")
-    under = scan.run(under, ["page_id", "tbl"], ["tr"], {"row_idx": scan.position()}, hot=False).join(numbered, ["page_id", "tbl"])
+    lines = own.where("tag = 'tr'").select("page_id", F.col("i").alias("tr"), "tbl", "row")
+    under = _chain(lines, around).select("page_id", "tbl", "tr")
+    under = scan.run(under, ["page_id", "tbl"], ["tr"], {"row_idx": scan.position()}, hot=False).join(shuffled(numbered), ["page_id", "tbl"])
 
     cells = own.where("tag = 'td'")
     inside = _chain(cells.select("page_id", F.col("i").alias("td"), "tbl", "row"), around).where("row is not null").select("page_id", F.col("row").alias("tr"), "td")
@@ -101,6 +103,6 @@ def nested_cells(pages: DataFrame) -> DataFrame:
 
     span = F.coalesce(F.regexp_extract("raw", COLSPAN_RE, 1).try_cast("int"), F.lit(1))
     length = F.coalesce("end", F.char_length("html")) - F.col("stop")
-    texts = cells.join(held, "page_id").select("page_id", F.col("i").alias("td"), plain_text(F.substring("html", F.col("stop") + 1, length)).alias("text"), span.alias("colspan"))
-    found = under.join(inside, ["page_id", "tr"]).join(texts, ["page_id", "td"])
+    texts = cells.join(shuffled(held), "page_id").select("page_id", F.col("i").alias("td"), plain_text(F.substring("html", F.col("stop") + 1, length)).alias("text"), span.alias("colspan"))
+    found = under.join(shuffled(inside), ["page_id", "tr"]).join(shuffled(texts), ["page_id", "td"])
     return found.select("page_id", "table_idx", "row_idx", "cell_idx", "text", "colspan")
