@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom.llm.jaccard import shingle_set
+from specloom.llm.components import connected_components
 from specloom.llm.minhash import MinHash, edited, likeness, near_groups, next_fingerprints, printed
 from specloom.llm.queries import QUERIES
 
@@ -131,3 +132,12 @@ def test_groups_of_the_documents_are_those_of_the_exact_join(spark):
     sf = "/root/testdata/sf0.01"
     want = {r.doc_id: r.component_id for r in QUERIES["op8_jaccard"](spark, sf).collect()}
     assert {r.doc_id: r.class_id for r in QUERIES["minhash_groups"](spark, sf).collect()} == want
+
+
+def test_size_estimates_do_not_grow_with_the_rounds_of_components(spark):
+    """The estimate of a checkpoint multiplied with each round, up to thousands of digits in the driver."""
+    chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    labels = connected_components(chain)
+    size = labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(size.toString() if hasattr(size, "toString") else size).bit_length() < 64
+    assert sorted(map(tuple, labels.collect())) == [(i, 0) for i in range(301)]
