@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom.operators import mapping, rule_index
+from specloom.operators.joins import lookup_join
 from specloom.operators.mapping import Rule
 
 ROWS = "ruleset string, sheet_id long, row_idx int, section string, property string, vals array<string>"
@@ -85,6 +86,42 @@ def test_index_gives_what_the_literal_plan_gives(spark, broadcast):
     assert one == two and len(one) > 200
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_rules_with_equal_matchers_are_tried_once(spark, broadcast):
+    """Five thousand rules of ten matchers: the pattern is tried on a row and a matcher, not on a rule."""
+    rows = spark.range(40).select(F.lit("r").alias("ruleset"), F.col("id").alias("sheet_id"), F.lit(0).alias("row_idx"), F.when(F.col("id") % 3 > 0, "s").alias("section"), F.concat(F.lit("n"), F.col("id") % 10).alias("property"), F.array(F.lit("1")).alias("vals"))
+    rules = [Rule(["model"], section=("exact", "s") if i % 2 else None, row=("regex", f"[n]{i % 10}$")) for i in range(5_000)]
+    table = mapping.rule_table(spark, {"r": rules}).where("rule_idx >= 0")
+    spark.conf.set("specloom.broadcastRows", str(broadcast))
+    try:
+        found = mapping.match_rows(rows, table)
+        assert found.columns[: len(rows.columns)] == rows.columns and sorted(found.columns[len(rows.columns) :]) == sorted(set(table.columns) - {"ruleset"})
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r.sheet_id, r.rule_idx) for r in found.select("sheet_id", "rule_idx").collect())
+    finally:
+        spark.conf.unset("specloom.broadcastRows")
+    assert plan.count("_matcher") > 0
+    assert got == sorted((s, i) for s in range(40) for i in range(5_000) if i % 10 == s % 10 and (i % 2 == 0 or s % 3 > 0))
+
+
+def test_rules_are_found_by_the_rarest_piece_of_any_run(spark, monkeypatch):
+    """The longest run stands in every text, so it would pair all rules with all rows."""
+    texts = spark.range(1_000).select(F.lit("r").alias("ruleset"), F.format_string("Customer number %04d", "id").alias("text"))
+    rules = spark.range(1_000).select(F.lit("r").alias("ruleset"), F.col("id").alias("rule_idx"), F.lit("regex").alias("kind"), F.format_string("^Customer number +%04d$", "id").alias("pattern"))
+    rules = rules.withColumn("anchor", rule_index.required_literal(F.col("kind"), F.col("pattern")))
+    candidates = []
+
+    def counted(big, small, on, fits=None, **options):
+        if fits is not None:
+            candidates.append(big.join(small, on).count())
+        return lookup_join(big, small, on, fits, **options)
+
+    monkeypatch.setattr(rule_index, "lookup_join", counted)
+    got = rule_index.selected_texts(texts, rules, "kind", "pattern").collect()
+    assert sorted((r.text, r.rule_idx) for r in got) == [(f"Customer number {i:04d}", i) for i in range(1_000)]
+    assert candidates[0] < 50_000
+
+
 def test_ten_thousand_rules_meet_no_product_of_rows(spark):
     """Rows and rules that share a ruleset are not paired: candidates stay near the matches."""
     rows = spark.range(60_000).select(F.substring(F.concat(F.lit("r"), "id"), 1, 1).alias("ruleset"), F.col("id").alias("sheet_id"), F.lit(0).alias("row_idx"), F.lit("s").alias("section"), F.format_string("Item %06d of a list", F.col("id") % 20_000).alias("property"), F.array(F.lit("1")).alias("vals"))
