@@ -257,6 +257,22 @@ def test_the_last_of_a_repeated_property_counts(spark):
     assert [r["props"] for r in sheets.column_json(df).collect()] == [{"x": {"p": "new"}, "": {"q": "z"}}]
 
 
+def test_small_sheets_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheets, "TASK_FILES", 5)
+    wide = spark.range(120).selectExpr("id div 3 as sheet_id", "int(id % 3) as row_idx", "'S' as section", "concat('p', id) as property", "string(id) as `col:0`")
+    sheets.write_sheets(wide.groupBy("sheet_id", "row_idx", "section", "property").agg(F.max("col:0").alias("col:0")), str(tmp_path / "w"), ["sheet_id"])
+    files = list((tmp_path / "w").rglob("*.csv"))
+    assert len(files) == 40
+    by_task: dict[str, int] = {}
+    for f in files:
+        by_task[f.name[:10]] = by_task.get(f.name[:10], 0) + 1
+    assert len(by_task) >= 6 and max(by_task.values()) <= 15
+    for hot in (None, False, True):
+        got = sheets.read_sheets(spark, str(tmp_path / "w"), 1, hot=hot)
+        assert got.count() == 120
+        assert got.filter("int(`col:0`) <> 3 * int(regexp_extract(sheet_id, 'sheet_id=([0-9]+)/', 1)) + row_idx").count() == 0
+
+
 def test_fields_with_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('section,property,col:0\nS,"A\nB",1\nsection,property,x\n')
     got = sheets.read_sheets(spark, str(tmp_path)).orderBy("row_idx").collect()
