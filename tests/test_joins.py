@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from specloom.operators import find, nearest, scan
 from specloom.operators import tables as T
 from specloom.operators.joins import lookup_join
@@ -57,3 +58,26 @@ def test_dealt_rows_stay_apart_from_the_join_before(spark, pages):
     fragments, config = pages
     joined = T.area_filter(fragments, config, 10**9)
     assert T.by_sheet(joined, False, 0).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+
+
+# Queries of the chain of reconstruction whose sides grow with the sheets.
+CHAIN = [
+    "section_by_first_col",
+]
+
+
+@pytest.mark.parametrize("name", CHAIN)
+def test_query_of_many_sheets_is_planned_without_a_broadcast(spark, tmp_path, name):
+    """Sheets beyond the checked number, in a file of a few kB that Spark takes for a small side."""
+    text = [F.lit(v).alias(c) for c, v in (("p_name", "a b"), ("p_brand", "c"), ("p_type", "d"))]
+    parts = spark.range(0, 64, 1, 2).select(F.col("id").alias("p_partkey"), *text, (F.col("id") % 50 + 1).cast("int").alias("p_size"), F.lit(1.5).alias("p_retailprice"))
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    # On so few rows most of the time is that of compiling them.
+    conf = {"specloom.broadcastRows": "3", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        assert "Broadcast" not in plan(queries()[name](spark, str(tmp_path)))
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
