@@ -62,6 +62,7 @@ def test_dealt_rows_stay_apart_from_the_join_before(spark, pages):
 
 # Queries of the chain of reconstruction whose sides grow with the sheets.
 CHAIN = [
+    "disputed_rows",
     "row_clusters",
     "section_by_first_col",
 ]
