@@ -65,6 +65,7 @@ CHAIN = [
     "disputed_rows",
     "row_clusters",
     "section_by_first_col",
+    "span_join",
 ]
 
 
