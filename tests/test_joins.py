@@ -64,6 +64,7 @@ def test_dealt_rows_stay_apart_from_the_join_before(spark, pages):
 CHAIN = [
     "disputed_rows",
     "row_clusters",
+    "section_by_center",
     "section_by_first_col",
     "span_join",
 ]
