@@ -67,6 +67,7 @@ CHAIN = [
     "section_by_center",
     "section_by_first_col",
     "span_join",
+    "certain_cells",
 ]
 
 
