@@ -68,6 +68,7 @@ CHAIN = [
     "section_by_first_col",
     "span_join",
     "certain_cells",
+    "merge_fragments",
 ]
 
 
