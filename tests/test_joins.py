@@ -69,6 +69,7 @@ CHAIN = [
     "section_by_first_col",
     "span_join",
     "certain_cells",
+    "colspan_expand",
     "merge_fragments",
 ]
 
