@@ -71,6 +71,7 @@ CHAIN = [
     "certain_cells",
     "colspan_expand",
     "merge_fragments",
+    "quarantine_spans",
 ]
 
 
