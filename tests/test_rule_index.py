@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from specloom.operators import mapping, rule_index
 from specloom.operators.joins import lookup_join
 from specloom.operators.mapping import Rule
+from specloom.session import stable
 
 ROWS = "ruleset string, sheet_id long, row_idx int, section string, property string, vals array<string>"
 
@@ -134,6 +135,45 @@ def test_ten_thousand_rules_meet_no_product_of_rows(spark):
     assert len(got) == 30_000 and all(r.sheet_id % 20_000 == r.rule_idx for r in got)
 
 
+@pytest.mark.parametrize("hot", [None, 60])
+def test_rules_of_many_texts_are_not_repeated_over_salts(spark, hot):
+    """Only those of a text that many rows have are; a copy for every salt of all of them filled the disk."""
+    item = F.when(F.col("id") < 500, F.col("id")).otherwise(7)
+    rows = spark.range(600).select(F.lit("r").alias("ruleset"), F.col("id").alias("sheet_id"), F.lit(0).alias("row_idx"), F.lit("s").alias("section"), F.format_string("Item %06d", item).alias("property"), F.array(F.lit("1")).alias("vals"))
+    rules = [Rule(["model"], row=("includes", f"ITEM {i:06d}") if i % 2 else ("regex", f"^Item +{i:06d}$")) for i in range(500)]
+    table = mapping.rule_table(spark, {"r": rules}).where("rule_idx >= 0")
+    conf = {"specloom.broadcastRows": "200"} | ({"specloom.hotRows": str(hot)} if hot else {})
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = mapping.match_rows(rows, table)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r.sheet_id, r.rule_idx) for r in found.select("sheet_id", "rule_idx").collect())
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert ("_salt" in plan) == (hot is not None)
+    assert got == [(s, s if s < 500 else 7) for s in range(600)]
+
+
+def test_pieces_of_texts_are_not_written(spark, monkeypatch):
+    """A text has about as many pieces as characters, each stored with the whole text."""
+    texts = spark.range(300).select(F.lit("r").alias("ruleset"), F.format_string("A text of many characters, number %06d", "id").alias("text"))
+    rules = spark.range(300).select(F.lit("r").alias("ruleset"), F.col("id").alias("rule_idx"), F.lit("includes").alias("kind"), F.format_string("%06d", "id").alias("pattern"))
+    rules = rules.withColumn("anchor", F.lower("pattern"))
+    rows = []
+
+    def counted(df):
+        out = stable(df)
+        rows.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(rule_index, "stable", counted)
+    got = rule_index.selected_texts(texts, rules, "kind", "pattern").collect()
+    assert sorted((int(r.text[-6:]), r.rule_idx) for r in got) == [(i, i) for i in range(300)]
+    assert [n for columns, n in rows if "text" in columns and n > 300] == []
+
+
 def test_empty_tables(spark):
     rows = spark.createDataFrame([], ROWS)
     assert mapping.match_rows(rows, mapping.rule_table(spark, {"main": [Rule(["model"], row=("includes", "abc"))]})).collect() == []
