@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from specloom.llm import minhash
+from specloom.llm.components import connected_components, linked_labels
 from specloom.llm.jaccard import shingle_set
-from specloom.llm.components import connected_components
 from specloom.llm.minhash import MinHash, edited, likeness, near_groups, next_fingerprints, printed
 from specloom.llm.queries import QUERIES
 
@@ -141,3 +142,39 @@ def test_size_estimates_do_not_grow_with_the_rounds_of_components(spark):
     size = labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     assert int(size.toString() if hasattr(size, "toString") else size).bit_length() < 64
     assert sorted(map(tuple, labels.collect())) == [(i, 0) for i in range(301)]
+
+
+def test_pairs_that_were_not_similar_do_not_meet_again(spark, monkeypatch):
+    """A round is over all texts that are still apart, so the job took as long as the last of many rounds."""
+    rnd, rows, apart = random.Random(6), [], 20
+    for g in range(apart):
+        base = words(rnd, 80).split()
+        other = base[:60] + words(rnd, 20).split()
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    base = words(rnd, 200)
+    rows += [(1000 + i, f"{base} end{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    verified, met = minhash._verified, []
+
+    def counted(keyed, texts, pairs, *options):
+        met.append(sorted(map(tuple, pairs.collect())))
+        return verified(keyed, texts, pairs, *options)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in near_groups(df).collect()}
+    assert all(got[i] == (i, 0) for i in range(2 * apart))
+    assert all(got[1000 + i][0] == 1000 for i in range(5))
+    assert len(met) > 1 and len(met[0]) > apart // 2
+    assert sum(len(x) for x in met) == len({p for x in met for p in x})
+
+
+@pytest.mark.parametrize("local_edges", [100_000, 0])
+def test_further_links_give_the_components_of_all(spark, local_edges):
+    rnd = random.Random(3)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(180)]
+    table = lambda part: spark.createDataFrame(part, "a bigint, b bigint")
+    labels = connected_components(table(edges[:90]))
+    for part in (edges[90:120], edges[120:], edges[:5]):
+        labels = linked_labels(labels, table(part), local_edges)
+    got = sorted(map(tuple, labels.collect()))
+    assert got == sorted(map(tuple, connected_components(table(edges)).collect())) and len(got) > 100
