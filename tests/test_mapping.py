@@ -12,6 +12,7 @@ from specloom.functions import text as X
 from specloom.operators import incremental as inc
 from specloom.operators import mapping, reshape
 from specloom.operators.mapping import Rule
+from specloom.session import written
 from specloom.sources import html, sheets
 from specloom.operators.html import columnize
 from specloom.operators import table_json
@@ -273,6 +274,32 @@ def test_small_sheets_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
         assert got.filter("int(`col:0`) <> 3 * int(regexp_extract(sheet_id, 'sheet_id=([0-9]+)/', 1)) + row_idx").count() == 0
 
 
+def test_sheets_are_read_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    """The driver listed all files at once, and the job was committed file by file."""
+    monkeypatch.setattr(sheets, "TASK_FILES", 5)
+    keys = [None, *range(39)]
+    wide = spark.createDataFrame([(k, i, "S" if i else None, f"p{i}", f"{k},\n{i}") for k in keys for i in range(3)], "sheet_id long, row_idx int, section string, property string, `col:0` string")
+    sheets.write_sheets(wide, str(tmp_path / "w"), ["sheet_id"])
+    files = list((tmp_path / "w").rglob("*.csv"))
+    by_task: dict[str, set] = {}
+    for f in files:
+        by_task.setdefault(f.name[:10], set()).add(f.parent.parent)
+    assert len(files) == 40 and all(len(x) == 1 for x in by_task.values())
+    assert not list((tmp_path / "w").rglob(".part*.crc"))
+    made = []
+    monkeypatch.setattr(sheets, "written", lambda df: made.append(len(df.inputFiles())) or written(df))
+    monkeypatch.setattr(sheets, "READ_FOLDERS", 2)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    got = sheets.read_sheets(spark, str(tmp_path / "w"))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert len(made) > 2 and sum(made) == 40
+    key = F.regexp_extract("sheet_id", "sheet_id=([^/]+)/", 1).try_cast("long").alias("key")
+    assert sorted(map(str, got.select(key, "row_idx", "section", "property", "col:0").collect())) == sorted(map(str, wide.withColumnRenamed("sheet_id", "key").collect()))
+    (tmp_path / "w" / "other").mkdir()
+    (tmp_path / "w" / "other" / "x.csv").write_text("section,property,col:0\n,Model,x\n", encoding="utf-8")
+    assert sheets.read_sheets(spark, str(tmp_path / "w"), 1).count() == 121
+
+
 def test_fields_with_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('section,property,col:0\nS,"A\nB",1\nsection,property,x\n')
     got = sheets.read_sheets(spark, str(tmp_path)).orderBy("row_idx").collect()
